@@ -31,13 +31,15 @@ def keyed_difference(table: DataFrame, keys: DataFrame, on=DELETE_KEY) -> DataFr
     return table.join(keys.select(*on).distinct(), on, "left_anti")
 
 
-def align(df: DataFrame, like: DataFrame) -> DataFrame:
-    """Columns of ``like`` in its order and types, missing ones NULL (defaults)."""
+def align(df: DataFrame, like: DataFrame, keep=()) -> DataFrame:
+    """Columns of ``like`` in its order and types, missing ones NULL (defaults);
+    ``keep`` names extra columns of ``df`` carried along at the end."""
     out = []
     for f in like.schema.fields:
         out.append((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType)
                    .alias(f.name))
-    return df.select(*out)
+    extra = [c for c in keep if c in df.columns and c not in like.columns]
+    return df.select(*out, *extra)
 
 
 def _with_order(df: DataFrame, order_col: str) -> DataFrame:
@@ -54,6 +56,8 @@ def insert_if_absent(table: DataFrame, incoming: DataFrame, key=TRACKER_KEY,
     ignored; among in-batch duplicates the first (by ``order_col``) wins."""
     key = list(key)
     incoming = _with_order(incoming, order_col)
+    # Columns the batch lacks take their defaults (NULL) before keys are compared.
+    incoming = align(incoming, table, keep=[order_col])
     first = keep_first(incoming, key, order_col)
     existing = table.select(*[F.col(c).alias(f"_t_{c}") for c in key])
     cond = reduce(lambda a, b: a & b,

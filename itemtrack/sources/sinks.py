@@ -48,6 +48,7 @@ def write_result_files(df: DataFrame, root: str, columns=OBSERVATION_FILE_COLUMN
     lines = body.unionByName(heads)
     (lines.repartition("_folder", "_fileno")
      .sortWithinPartitions("_folder", "_fileno", "_part", "_ord")
+     .select("_folder", "_fileno", "value")
      .write.mode("overwrite").partitionBy("_folder", "_fileno")
      .option("compression", "none").text(root))
     return root

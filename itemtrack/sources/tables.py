@@ -7,7 +7,7 @@ predicates and the projection reach the Parquet scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from itemtrack import schemas
 from itemtrack.functions.scalars import zero_date_to_null
@@ -75,6 +75,8 @@ def read_lookup(spark: SparkSession, path: str, schema, fmt: str = "csv",
     explicit ``order_col`` is numbered when the sheet lacks one: file path then
     row position, computed right after the scan.
     """
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
     reader = spark.read.schema(schema)
     if fmt == "csv":
         df = reader.option("header", header).csv(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -62,7 +63,7 @@ def read_tolerant_tsv(spark: SparkSession, paths, columns, na_tokens=fixed.PANDA
 
 def discover_result_files(spark: SparkSession, root: str, columns, passed_markets=None,
                           day=None, na_tokens=fixed.PANDAS_NA_TOKENS) -> DataFrame:
-    """SRC-04: rows of the files in ``root/<market>/`` modified on ``day`` (UTC).
+    """SRC-04: rows of the files under ``root/<market>/`` modified on ``day`` (UTC).
 
     Only markets that passed the job gate (a DataFrame with ``market`` or a list)
     are read.  The day window is handed to the file listing
@@ -76,12 +77,16 @@ def discover_result_files(spark: SparkSession, root: str, columns, passed_market
         day = _dt.date.fromisoformat(str(day))
     after = _dt.datetime.combine(day, _dt.time()) - _dt.timedelta(seconds=1)
     before = _dt.datetime.combine(day + _dt.timedelta(days=1), _dt.time())
+    root = root.rstrip("/")
     df = read_tolerant_tsv(
-        spark, f"{root.rstrip('/')}/*/", columns, na_tokens,
+        spark, root, columns, na_tokens, recursiveFileLookup="true",
         modifiedAfter=after.strftime("%Y-%m-%dT%H:%M:%S"),
         modifiedBefore=before.strftime("%Y-%m-%dT%H:%M:%S"))
     df = df.where(F.to_date("_file_mtime") == F.lit(day))
-    df = df.withColumn("market", F.regexp_extract("_file", r"/([^/]+)/[^/]+$", 1))
+    # The market is the first folder under the root ("US" or "market=US").
+    tail = re.escape(root.split(":", 1)[-1].lstrip("/"))
+    folder = F.regexp_extract("_file", tail + r"/([^/]+)/", 1)
+    df = df.withColumn("market", F.regexp_replace(folder, r"^[^=]*=", ""))
     if passed_markets is not None:
         if isinstance(passed_markets, DataFrame):
             gate = passed_markets.select("market").distinct()
