@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from itemtrack.session import ensure_checkpoint_dir
 
-# Config-sized tables (code maps, rules, quotas, allow-lists) are broadcast only
-# after a row count below this bound was seen.
+# Rule sheets beyond this many rows are classified in ordered chunks.
 MAX_BROADCAST_ROWS = 200_000
 
 
@@ -17,10 +16,16 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check; beyond the bound the plain (shuffled,
-    AQE-managed) join is used instead."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def config_side(df: DataFrame) -> DataFrame:
+    """A config-sized join side (code map, allow-list, quotas, gate).
+
+    No hint: the planner broadcasts it only when its estimated size is under
+    ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks with the actual
+    size at run time; beyond that the join stays a shuffled join.  This costs no
+    extra job, unlike counting rows first.
+    """
+    return df
+
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, cols) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from itemtrack.functions import fixed
-from itemtrack.operators.common import bounded_broadcast
+from itemtrack.operators.common import config_side
 
 
 def _last(codes: DataFrame, key: str, value: str, order_col: str | None) -> DataFrame:
@@ -37,7 +37,7 @@ def attach_market(df: DataFrame, codes: DataFrame, code_col: str = "market_code"
     strict mode, fail the job like the reference's dictionary lookup."""
     cmap = code_to_market(codes, order_col).select(
         F.col("market_code").alias("_code"), F.col("market").alias("_market"))
-    joined = df.join(bounded_broadcast(cmap), F.col(code_col) == F.col("_code"), "left")
+    joined = df.join(config_side(cmap), F.col(code_col) == F.col("_code"), "left")
     value = _strict("_market", "market code", code_col) if strict else F.col("_market")
     return joined.withColumn(out, value).drop("_code", "_market")
 
@@ -48,7 +48,7 @@ def attach_code(df: DataFrame, codes: DataFrame, market_col: str = "market",
     """JON-05, market -> code."""
     cmap = market_to_code(codes, order_col).select(
         F.col("market").alias("_mk"), F.col("market_code").alias("_mcode"))
-    joined = df.join(bounded_broadcast(cmap), F.col(market_col) == F.col("_mk"), "left")
+    joined = df.join(config_side(cmap), F.col(market_col) == F.col("_mk"), "left")
     value = _strict("_mcode", "market", market_col) if strict else F.col("_mcode")
     return joined.withColumn(out, value).drop("_mk", "_mcode")
 
@@ -61,13 +61,13 @@ def rejects(df: DataFrame, out: str = "market") -> DataFrame:
 def allowed(df: DataFrame, allow: DataFrame, market_col: str = "market") -> DataFrame:
     """FLT-04: keep rows of allowed markets (semi join on the broadcast allow-list)."""
     a = allow.select(F.col("market").alias("_allowed")).distinct()
-    return df.join(bounded_broadcast(a), F.col(market_col) == F.col("_allowed"), "left_semi")
+    return df.join(config_side(a), F.col(market_col) == F.col("_allowed"), "left_semi")
 
 
 def skipped(df: DataFrame, allow: DataFrame, market_col: str = "market") -> DataFrame:
     """FLT-04 report side: rows of markets outside the allow-list."""
     a = allow.select(F.col("market").alias("_allowed")).distinct()
-    return df.join(bounded_broadcast(a), F.col(market_col) == F.col("_allowed"), "left_anti")
+    return df.join(config_side(a), F.col(market_col) == F.col("_allowed"), "left_anti")
 
 
 def region_pairs(spark: SparkSession, mapping=None) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from itemtrack.operators.common import bounded_broadcast, rank_within
+from itemtrack.operators.common import config_side, rank_within
 
 
 def slot_ranges(quotas: DataFrame) -> DataFrame:
@@ -40,14 +40,14 @@ def plan_batches(queue: DataFrame, quotas: DataFrame, order_col: str = "seq"):
     unassigned: the queue rows beyond the total capacity of their market.
     """
     ranked = queue_positions(queue, order_col)
-    ranges = bounded_broadcast(slot_ranges(quotas))
+    ranges = config_side(slot_ranges(quotas))
     cond = ((ranked["market"] == ranges["market"])
             & (ranked["position"] > ranges["lo"]) & (ranked["position"] <= ranges["hi"]))
     assigned = ranked.join(ranges, cond, "inner").select(
         ranked["market"], "slot_no", "slot_ref", *[ranked[c] for c in ranked.columns if c != "market"])
     totals = quotas.groupBy("market").agg(
         F.sum(F.greatest(F.coalesce("capacity", F.lit(0)), F.lit(0))).cast("long").alias("_total"))
-    unassigned = (ranked.join(bounded_broadcast(totals), "market", "left")
+    unassigned = (ranked.join(config_side(totals), "market", "left")
                   .where(F.col("position") > F.coalesce(F.col("_total"), F.lit(0)))
                   .drop("_total"))
     return assigned, unassigned

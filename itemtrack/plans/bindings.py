@@ -214,6 +214,20 @@ SELECT
 FROM {events}
 """
 
+# Quota sheet and job table for the tracker markets (dimension refresh, PIP-02).
+VIEWS["v_dim_quota"] = f"""
+SELECT {market_of('s_suppkey')} AS market, CAST(s_suppkey AS INT) AS slot_no,
+       CAST(20 + (s_suppkey % 7) * 10 AS INT) AS capacity, s_name AS slot_ref
+FROM {{supplier}}
+"""
+
+VIEWS["v_dim_jobs"] = f"""
+SELECT {market_of('s_suppkey')} AS market, CAST(s_suppkey AS INT) AS slot_no,
+       'result' AS phase,
+       CASE WHEN s_suppkey % 37 = 0 THEN 'Error' ELSE 'Success' END AS status_text
+FROM {{supplier}}
+"""
+
 _TABLE_REF = re.compile(r"\{([a-z_]+)\}")
 
 

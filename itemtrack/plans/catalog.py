@@ -148,18 +148,15 @@ ORACLE["SRC_02"] = with_("v_core_export", extra=[CE_CTE]) + "SELECT * FROM ce"
 # Result files written from v_obs_raw with malformed lines by rule:
 # seq % 13 = 0 one field too many (dropped), seq % 17 = 0 only three fields
 # (padded), seq % 19 = 0 an NA token as reason, seq % 23 = 0 followed by an empty line.
-_RAW_LINE = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in
-                                ["asin", "marketplace_id", "contributions",
-                                 "restriction_reasons", "country_code"]])
-
-
 def _obs_lines(df: DataFrame) -> DataFrame:
     seq = F.col("seq")
+    raw = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in
+                              schemas.OBSERVATION_FILE_COLUMNS])
     short = F.concat_ws("\t", "asin", "marketplace_id", "contributions")
     na = F.concat_ws("\t", "asin", "marketplace_id", "contributions", F.lit("N/A"),
                      F.coalesce("country_code", F.lit("")))
-    line = (F.when(seq % 13 == 0, F.concat(_RAW_LINE, F.lit("\textra")))
-            .when(seq % 17 == 0, short).when(seq % 19 == 0, na).otherwise(_RAW_LINE))
+    line = (F.when(seq % 13 == 0, F.concat(raw, F.lit("\textra")))
+            .when(seq % 17 == 0, short).when(seq % 19 == 0, na).otherwise(raw))
     line = F.when(seq % 23 == 0, F.concat(line, F.lit("\n"))).otherwise(line)
     return df.withColumn("_line", line)
 
@@ -229,7 +226,7 @@ _DIM_COLS = ", ".join("d." + c for c in schemas.DIMENSION_FILE_COLUMNS)
 def src_06(spark, sf):
     batch = queues.dimension_queue(tracker(spark, sf), REASON_NAME)
     return dimension_extract(v(spark, sf, "v_dimensions"), batch, v(spark, sf, "v_codes"),
-                             lookups.region_pairs(spark))
+                             lookups.region_pairs(spark)).drop("seq")
 
 
 ORACLE["SRC_06"] = with_("v_tracker_raw", "v_dimensions", "v_codes",
@@ -1011,6 +1008,51 @@ SELECT t.* REPLACE (CASE WHEN u1.item_id IS NULL THEN t.export_date ELSE u1.new_
 FROM v_tracker t LEFT JOIN u1 USING (item_id, market)"""
 
 
+@query("PIP_02")
+def pip_02(spark, sf):
+    out = P.refresh_dimensions(
+        tracker(spark, sf), v(spark, sf, "v_dim_quota"), v(spark, sf, "v_dimensions"),
+        v(spark, sf, "v_dim_jobs"), v(spark, sf, "v_codes"), lookups.region_pairs(spark),
+        reason_name=REASON_NAME, on_duplicate="allow")
+    return out["tracker"]
+
+
+ORACLE["PIP_02"] = with_("v_tracker_raw", "v_dim_quota", "v_dim_jobs", "v_dimensions", "v_codes",
+                         extra=[T_CTE, CM1_CTE, CM2_CTE, _REGIONS_SQL, f"""
+q AS (SELECT item_id, market, seq FROM v_tracker
+      WHERE (reason IS NULL OR reason IN ('{REASON_NAME}', ''))
+      AND (status NOT IN ('TP', 'unblocked') OR status IS NULL)
+      AND (has_dimensions <> 'True' OR has_dimensions IS NULL OR has_weight <> 'True'
+           OR has_weight IS NULL))""", """
+qr AS (SELECT *, row_number() OVER (PARTITION BY market ORDER BY seq, item_id) AS position FROM q)""",
+    """
+s AS (SELECT market, slot_no, greatest(capacity, 0) AS cap,
+        sum(greatest(capacity, 0)) OVER (PARTITION BY market ORDER BY slot_no
+                                         ROWS UNBOUNDED PRECEDING) AS hi FROM v_dim_quota)""", f"""
+js AS (SELECT *, {_JOB_STATE} AS state FROM v_dim_jobs)""", """
+gate AS (SELECT market FROM js GROUP BY market
+         HAVING bool_and(state = 'ok') AND NOT bool_or(state = 'failed'))""", """
+batch AS (SELECT qr.item_id, qr.market FROM qr JOIN s ON qr.market = s.market
+          AND qr.position > s.hi - s.cap AND qr.position <= s.hi
+          WHERE qr.market IN (SELECT market FROM gate))""", """
+rws AS (SELECT d.* FROM v_dimensions d
+  WHERE EXISTS (SELECT 1 FROM regions r JOIN cm2 USING (market)
+                WHERE cm2.market_code = d.marketplace_id AND r.region_id = d.region_id)
+    AND EXISTS (SELECT 1 FROM batch b JOIN cm2 USING (market)
+                WHERE b.item_id = d.asin AND cm2.market_code = d.marketplace_id))""", """
+flg AS (SELECT CASE WHEN length(asin) >= 10 THEN asin ELSE lpad(asin, 10, '0') END AS item_id,
+          cm1.market, seq,
+          CASE WHEN coalesce(pkg_height, '') <> '' AND coalesce(pkg_length, '') <> ''
+                    AND coalesce(pkg_width, '') <> '' THEN 'True' ELSE 'False' END AS dims,
+          CASE WHEN coalesce(pkg_weight, '') <> '' THEN 'True' ELSE 'False' END AS wt
+        FROM rws JOIN cm1 ON cm1.market_code = rws.marketplace_id)""", """
+u AS (SELECT item_id, market, dims, wt FROM (SELECT *, row_number() OVER (PARTITION BY item_id,
+        market ORDER BY seq DESC, dims DESC, wt DESC) AS rn FROM flg) WHERE rn = 1)"""]) + """
+SELECT t.* REPLACE (CASE WHEN u.item_id IS NULL THEN t.has_dimensions ELSE u.dims END AS has_dimensions,
+                    CASE WHEN u.item_id IS NULL THEN t.has_weight ELSE u.wt END AS has_weight)
+FROM v_tracker t LEFT JOIN u USING (item_id, market)"""
+
+
 @query("PIP_03")
 def pip_03(spark, sf):
     out = P.refresh_status(tracker(spark, sf), v(spark, sf, "v_obs_raw"),

@@ -44,12 +44,15 @@ def refresh_export_dates(tracker: DataFrame, core_export: DataFrame, codes: Data
 
 def dimension_updates(rows: DataFrame, codes: DataFrame, strict: bool = True) -> DataFrame:
     """CMP-01 -> JON-05 on dimension result rows: (item_id, market, flags, seq)."""
-    filled = fill_empty(rows.select(*[c for c in rows.columns]))
-    flagged = completeness_flags(filled)
+    flagged = completeness_flags(fill_empty(rows))
     flagged = flagged.withColumn("market_code", F.col("marketplace_id").cast("int"))
     flagged = lookups.attach_market(flagged, codes, "market_code", strict=strict)
     cols = ["item_id", "market", "has_dimensions", "has_weight"]
     if "seq" in flagged.columns:
+        # Arrival order, then the flags, so that "last one wins" is a total order.
+        flagged = flagged.withColumn("seq", F.struct(F.col("seq").alias("seq"),
+                                                     F.col("has_dimensions").alias("d"),
+                                                     F.col("has_weight").alias("w")))
         cols.append("seq")
     return flagged.withColumn("item_id", zfill("asin")).select(*cols)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from itemtrack import schemas
 from itemtrack.functions import fixed
 from itemtrack.functions.scalars import na_to_null
-from itemtrack.operators.common import bounded_broadcast
+from itemtrack.operators.common import config_side
 from itemtrack.operators.lookups import code_to_market
 
 CORRUPT = "_corrupt_record"
@@ -92,7 +92,7 @@ def discover_result_files(spark: SparkSession, root: str, columns, passed_market
             gate = passed_markets.select("market").distinct()
         else:
             gate = spark.createDataFrame([(m,) for m in passed_markets], "market string")
-        df = df.join(bounded_broadcast(gate), "market", "left_semi")
+        df = df.join(config_side(gate), "market", "left_semi")
     return df
 
 
@@ -107,7 +107,7 @@ def route_by_first_row(df: DataFrame, codes: DataFrame, code_col: str = "country
     firsts = df.groupBy("_file").agg(F.min_by(F.col(code_col), F.col(seq_col)).alias("_code"))
     cmap = code_to_market(codes).select(F.col("market_code").cast("string").alias("_code"),
                                         F.col("market").alias("routed_market"))
-    routed = firsts.join(bounded_broadcast(cmap), "_code", "left")
+    routed = firsts.join(config_side(cmap), "_code", "left")
     if strict:
         routed = routed.withColumn("routed_market", F.coalesce(
             "routed_market", F.raise_error(F.concat(F.lit("unknown country code: "),

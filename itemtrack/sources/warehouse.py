@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from itemtrack.operators.common import bounded_broadcast
+from itemtrack.operators.common import config_side
 from itemtrack.operators.lookups import market_to_code
 
 DIMENSION_COLUMNS = [
@@ -28,7 +28,7 @@ def dimension_extract(warehouse: DataFrame, batch: DataFrame, codes: DataFrame,
     cmap = market_to_code(codes)
     code_regions = (regions.join(cmap, "market")
                     .select(F.col("market_code").alias("_mc"), F.col("region_id").alias("_rg")))
-    keys = (batch.select("item_id", "market").distinct().join(bounded_broadcast(cmap), "market")
+    keys = (batch.select("item_id", "market").distinct().join(config_side(cmap), "market")
             .select(F.col("item_id").alias("_item"), F.col("market_code").alias("_code")))
     rows = warehouse.join(
         F.broadcast(code_regions),
@@ -36,4 +36,5 @@ def dimension_extract(warehouse: DataFrame, batch: DataFrame, codes: DataFrame,
         "left_semi")
     rows = rows.join(keys, (F.col("asin") == F.col("_item"))
                      & (F.col("marketplace_id") == F.col("_code")), "left_semi")
-    return rows.select(*DIMENSION_COLUMNS)
+    carry = [c for c in ("seq",) if c in warehouse.columns]
+    return rows.select(*DIMENSION_COLUMNS, *carry)
