@@ -27,6 +27,17 @@ def config_side(df: DataFrame) -> DataFrame:
     return df
 
 
+def literal_table(spark, rows, schema: str) -> DataFrame:
+    """A small fixed table built from literals on the JVM side (it plans as a
+    local relation; no Python worker is started to scan it)."""
+    from pyspark.sql import types as T
+    st = T._parse_datatype_string(schema)
+    if not rows:
+        return spark.createDataFrame([], st)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
 
 def null_safe_on(left: DataFrame, right: DataFrame, cols) -> Column:
     """Null-safe equality on several columns (``<=>``); still an equi-join key."""

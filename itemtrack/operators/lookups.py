@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from itemtrack.functions import fixed
-from itemtrack.operators.common import config_side
+from itemtrack.operators.common import config_side, literal_table
 
 
 def _last(codes: DataFrame, key: str, value: str, order_col: str | None) -> DataFrame:
@@ -74,7 +74,7 @@ def region_pairs(spark: SparkSession, mapping=None) -> DataFrame:
     """FLT-05 as a table of (market, region_id) pairs."""
     mapping = mapping or fixed.REGIONS_BY_MARKET
     rows = [(m, int(r)) for m, regions in mapping.items() for r in regions]
-    return spark.createDataFrame(rows, "market string, region_id int")
+    return literal_table(spark, rows, "market string, region_id int")
 
 
 def in_market_regions(df: DataFrame, pairs: DataFrame, market_col: str = "market",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from itemtrack.operators.common import config_side
+from itemtrack.operators.common import config_side, literal_table
 
 
 def items_per_code(df: DataFrame, key: str = "market_code", item: str = "item_id",
@@ -15,7 +15,7 @@ def items_per_code(df: DataFrame, key: str = "market_code", item: str = "item_id
 
 
 def requested_markets(spark: SparkSession, markets) -> DataFrame:
-    return spark.createDataFrame([(m,) for m in markets], "market string")
+    return literal_table(spark, [(m,) for m in markets], "market string")
 
 
 def rows_per_requested_market(df: DataFrame, requested: DataFrame,

@@ -180,7 +180,8 @@ _EXPECT_ROWS = """rows AS (SELECT asin, marketplace_id, contributions,
 @query("SRC_03")
 def src_03(spark, sf):
     root = _write_obs_files(spark, sf, F.col("marketplace_id"), F.col("seq") % 3)
-    return tsv.read_tolerant_tsv(spark, f"{root}/*/*", schemas.OBSERVATION_FILE_COLUMNS) \
+    return tsv.read_tolerant_tsv(spark, root, schemas.OBSERVATION_FILE_COLUMNS,
+                                 recursiveFileLookup="true") \
         .select(*_READ_BACK)
 
 
@@ -204,7 +205,8 @@ ORACLE["SRC_04"] = with_("v_obs_raw", extra=[_EXPECT_ROWS]) + \
 @query("SRC_05")
 def src_05(spark, sf):
     root = _write_obs_files(spark, sf, F.lit("inbox"), F.col("seq") % 4)
-    rows = tsv.read_tolerant_tsv(spark, f"{root}/*/*", schemas.OBSERVATION_FILE_COLUMNS)
+    rows = tsv.read_tolerant_tsv(spark, root, schemas.OBSERVATION_FILE_COLUMNS,
+                                 recursiveFileLookup="true")
     routed = tsv.route_by_first_row(rows, v(spark, sf, "v_codes"))
     return routed.select(*_READ_BACK, "routed_market")
 

@@ -28,28 +28,33 @@ def write_snapshot(df: DataFrame, path: str, fmt: str = "parquet",
 
 def write_result_files(df: DataFrame, root: str, columns=OBSERVATION_FILE_COLUMNS,
                        folder_col: str = "market", file_col: str = "file_no",
-                       order_col: str = "seq", line_col: str | None = None) -> str:
-    """Write rows as tab-separated result files ``root/<folder>/<file>.txt``, each
-    with its header line first, in ``order_col`` order.
+                       order_col: str = "seq", line_col: str | None = None,
+                       files_per_group: int = 1) -> str:
+    """Write rows as tab-separated result files under ``root/<folder>/``, each file
+    with its header line first and its rows in ``order_col`` order.
 
     ``line_col`` may carry a pre-built raw line (for files with malformed lines);
-    otherwise the columns are joined with tabs.  One file per (folder, file_no):
-    rows are hash-partitioned by those keys, so each file is written by one task.
+    otherwise the columns are joined with tabs.  Rows of one (folder, file) group
+    are hash-partitioned together so one task writes each file; a hot group is
+    spread over ``files_per_group`` files (its own sub-folders), each with a header.
     """
     line = F.col(line_col) if line_col else F.concat_ws("\t", *[
         F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    part = (F.pmod(F.xxhash64(F.col(order_col)), F.lit(files_per_group)) if files_per_group > 1
+            else F.lit(0)).cast("string")
     body = df.select(F.col(folder_col).cast("string").alias("_folder"),
-                     F.col(file_col).cast("string").alias("_fileno"),
+                     F.col(file_col).cast("string").alias("_fileno"), part.alias("_split"),
                      F.lit(1).alias("_part"), F.col(order_col).alias("_ord"), line.alias("value"))
-    heads = (body.select("_folder", "_fileno").distinct()
-             .select("_folder", "_fileno", F.lit(0).alias("_part"),
+    heads = (body.select("_folder", "_fileno", "_split").distinct()
+             .select("_folder", "_fileno", "_split", F.lit(0).alias("_part"),
                      F.lit(None).cast(body.schema["_ord"].dataType).alias("_ord"),
                      F.lit("\t".join(columns)).alias("value")))
-    lines = body.unionByName(heads)
-    (lines.repartition("_folder", "_fileno")
-     .sortWithinPartitions("_folder", "_fileno", "_part", "_ord")
-     .select("_folder", "_fileno", "value")
-     .write.mode("overwrite").partitionBy("_folder", "_fileno")
+    keys = ["_folder", "_fileno", "_split"]
+    (body.unionByName(heads)
+     .repartition(*keys)
+     .sortWithinPartitions(*keys, "_part", "_ord")
+     .select(*keys, "value")
+     .write.mode("overwrite").partitionBy(*keys)
      .option("compression", "none").text(root))
     return root
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from itemtrack import schemas
 from itemtrack.functions import fixed
 from itemtrack.functions.scalars import na_to_null
-from itemtrack.operators.common import config_side
+from itemtrack.operators.common import config_side, literal_table
 from itemtrack.operators.lookups import code_to_market
 
 CORRUPT = "_corrupt_record"
@@ -91,7 +91,7 @@ def discover_result_files(spark: SparkSession, root: str, columns, passed_market
         if isinstance(passed_markets, DataFrame):
             gate = passed_markets.select("market").distinct()
         else:
-            gate = spark.createDataFrame([(m,) for m in passed_markets], "market string")
+            gate = literal_table(spark, [(m,) for m in passed_markets], "market string")
         df = df.join(config_side(gate), "market", "left_semi")
     return df
 

@@ -64,7 +64,8 @@ def test_result_file_writer_roundtrip(spark, tmp_dir):
                                "restriction_reasons string, country_code string, seq long, "
                                "market string, file_no int")
     root = sinks.write_result_files(df, tmp_dir + "/out")
-    back = tsv.read_tolerant_tsv(spark, root + "/*/*", schemas.OBSERVATION_FILE_COLUMNS)
+    back = tsv.read_tolerant_tsv(spark, root, schemas.OBSERVATION_FILE_COLUMNS,
+                                 recursiveFileLookup="true")
     assert sorted((r.asin, r.restriction_reasons) for r in back.collect()) == \
         [("1", "x"), ("2", None), ("3", "y")]
 
