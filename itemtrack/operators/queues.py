@@ -13,6 +13,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from itemtrack.functions import fixed
 
 
+def _text(c: str, case_insensitive: bool) -> Column:
+    """Binary comparison by default; the database's case-insensitive collation
+    on request (``UTF8_LCASE``)."""
+    col = F.col(c)
+    return F.collate(col, "UTF8_LCASE") if case_insensitive else col
+
+
 def _not_done(status: Column) -> Column:
     # NOT IN on NULL is NULL, hence the explicit NULL branch.
     return F.coalesce(~status.isin(list(fixed.DONE_STATUSES)), F.lit(True))
@@ -27,20 +34,22 @@ def export_date_queue(tracker: DataFrame, columns=("item_id", "market")) -> Data
     return tracker.where(F.col("export_date").isNull()).select(*columns)
 
 
-def status_queue(tracker: DataFrame, columns=("item_id", "market")) -> DataFrame:
+def status_queue(tracker: DataFrame, columns=("item_id", "market"),
+                 case_insensitive: bool = False) -> DataFrame:
     """FLT-02: status not in (TP, unblocked) or NULL, and export date none."""
-    cond = _not_done(F.col("status")) & F.col("export_date").isNull()
+    cond = _not_done(_text("status", case_insensitive)) & F.col("export_date").isNull()
     return tracker.where(cond).select(*columns)
 
 
 def dimension_queue(tracker: DataFrame, reason_name: str = fixed.NOT_CONVEYABLE_REASON,
-                    columns=("item_id", "market")) -> DataFrame:
+                    columns=("item_id", "market"), case_insensitive: bool = False) -> DataFrame:
     """FLT-03: reason is the rule name, '' or NULL; status not done; and one of
     the two completeness flags is not 'True' (or NULL)."""
-    reason = F.col("reason")
+    reason = _text("reason", case_insensitive)
+    flags = [_text(c, case_insensitive) for c in ("has_dimensions", "has_weight")]
     cond = ((reason.isNull() | reason.isin(reason_name, ""))
-            & _not_done(F.col("status"))
-            & (_flag_not_true(F.col("has_dimensions")) | _flag_not_true(F.col("has_weight"))))
+            & _not_done(_text("status", case_insensitive))
+            & (_flag_not_true(flags[0]) | _flag_not_true(flags[1])))
     return tracker.where(cond).select(*columns)
 
 

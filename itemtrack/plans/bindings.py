@@ -8,6 +8,7 @@ arguments), DuckDB the view names.  These are fixtures, not library code.
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,11 @@ def pad(expr: str) -> str:
     return f"CASE WHEN length({s}) < 10 THEN lpad({s}, 10, '0') ELSE {s} END"
 
 
+def hundredths(expr: str) -> str:
+    """A measure as text of whole hundredths (cheap and identical in both engines)."""
+    return f"CAST(CAST(round({expr} * 100) AS BIGINT) AS STRING)"
+
+
 def market_of(expr: str) -> str:
     return (f"CASE {expr} % 5 WHEN 0 THEN 'US' WHEN 1 THEN 'UK' WHEN 2 THEN 'DE' "
             f"WHEN 3 THEN 'JP' ELSE 'AE' END")
@@ -105,16 +111,16 @@ SELECT
   {pad('l_partkey')} AS asin,
   CAST(l_orderkey % 5 + 1 AS INT) AS marketplace_id,
   CAST(l_suppkey % 4 AS INT) AS region_id,
-  CAST(CAST(NULLIF(l_quantity, 1) AS DECIMAL(10,2)) AS STRING) AS pkg_length,
-  CAST(CAST(NULLIF(l_discount, 0) AS DECIMAL(10,2)) AS STRING) AS pkg_width,
-  CAST(CAST(NULLIF(l_tax, 0) AS DECIMAL(10,2)) AS STRING) AS pkg_height,
-  CAST(CAST(NULLIF(l_tax, 0.01) AS DECIMAL(10,2)) AS STRING) AS pkg_weight,
+  {hundredths('NULLIF(l_quantity, 1)')} AS pkg_length,
+  {hundredths('NULLIF(l_discount, 0)')} AS pkg_width,
+  {hundredths('NULLIF(l_tax, 0)')} AS pkg_height,
+  {hundredths('NULLIF(l_tax, 0.01)')} AS pkg_weight,
   'cm' AS pkg_dimensional_uom,
   'kg' AS pkg_weight_uom,
-  CAST(CAST(l_quantity AS DECIMAL(10,2)) AS STRING) AS item_length,
-  CAST(CAST(l_discount AS DECIMAL(10,2)) AS STRING) AS item_width,
-  CAST(CAST(l_tax AS DECIMAL(10,2)) AS STRING) AS item_height,
-  CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) AS item_weight,
+  {hundredths('l_quantity')} AS item_length,
+  {hundredths('l_discount')} AS item_width,
+  {hundredths('l_tax')} AS item_height,
+  {hundredths('l_extendedprice')} AS item_weight,
   l_orderkey * 8 + l_linenumber AS seq
 FROM {{lineitem}}
 """
@@ -245,8 +251,24 @@ def cte(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({duckdb_sql(n)})" for n in names)
 
 
+SPREAD_BYTES = 8 << 20
+
+
 def base_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    """A driver table.  The test files hold a single row group each, so a scan is
+    one task; a large one (over ``SPREAD_BYTES``) is spread round-robin over the
+    cores (filters and column pruning still reach the Parquet scan below it).
+    Tables stored as many files / row groups keep their scan splits untouched."""
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        size = os.path.getsize(path)
+    except OSError:
+        size = 0
+    if cores > 2 and size > SPREAD_BYTES and df.rdd.getNumPartitions() * 4 <= cores:
+        df = df.repartition(cores)
+    return df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -82,7 +82,9 @@ def discover_result_files(spark: SparkSession, root: str, columns, passed_market
         spark, root, columns, na_tokens, recursiveFileLookup="true",
         modifiedAfter=after.strftime("%Y-%m-%dT%H:%M:%S"),
         modifiedBefore=before.strftime("%Y-%m-%dT%H:%M:%S"))
-    df = df.where(F.to_date("_file_mtime") == F.lit(day))
+    start = _dt.datetime.combine(day, _dt.time(), tzinfo=_dt.timezone.utc)
+    df = df.where((F.col("_file_mtime") >= F.lit(start))
+                  & (F.col("_file_mtime") < F.lit(start + _dt.timedelta(days=1))))
     # The market is the first folder under the root ("US" or "market=US").
     tail = re.escape(root.split(":", 1)[-1].lstrip("/"))
     folder = F.regexp_extract("_file", tail + r"/([^/]+)/", 1)

@@ -79,3 +79,13 @@ def test_na_tokens(spark):
     df = spark.createDataFrame([("NA",), ("null",), ("N/A",), ("None",), ("x",), ("",)], "x string")
     got = [r.y for r in df.select(S.na_to_null("x").alias("y")).collect()]
     assert got == [None, None, None, "None", "x", None]
+
+
+def test_case_insensitive_queue_option(spark):
+    import datetime as _d
+    from itemtrack.operators import queues
+    df = spark.createDataFrame([("a", "US", "tp", None), ("b", "US", "TP", None), ("c", "US", None, None)],
+                               "item_id string, market string, status string, export_date date")
+    assert sorted(r.item_id for r in queues.status_queue(df).collect()) == ["a", "c"]
+    got = sorted(r.item_id for r in queues.status_queue(df, case_insensitive=True).collect())
+    assert got == ["c"]
