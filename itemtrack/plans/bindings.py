@@ -91,7 +91,7 @@ FROM {{orders}}
 VIEWS["v_inflow"] = f"""
 SELECT
   {pad('c_custkey')} AS item_id,
-  {market_of('c_custkey')} AS market,
+  {market_of('c_custkey + c_nationkey')} AS market,
   CASE c_custkey % 3 WHEN 0 THEN '1-URGENT' WHEN 1 THEN '2-HIGH' ELSE '3-MEDIUM' END AS target,
   'F' AS offer_type,
   'intake' AS task,
@@ -103,7 +103,6 @@ SELECT
   CAST(31 AS INT) AS action_wk,
   c_custkey AS seq
 FROM {{customer}}
-WHERE c_custkey % 4 = 0
 """
 
 VIEWS["v_dimensions"] = f"""
@@ -155,8 +154,10 @@ SELECT * FROM (VALUES ('US', 1, 'hot', 'Heat'), ('US', 2, 'large;small', 'Size')
   AS t(market, rule_no, keyword, blocker_type)
 """
 
-_OBS_FILTER = "event_id % 5 <> 0 AND event_id % 7 <> 0"
-_OBS_ITEM = "CAST(floor(event_id / 3) AS BIGINT)"
+# Every event is an observation.  Items group three consecutive events, except
+# that every fifth event is an item of its own, so items have 1, 2 or 3 rows.
+_OBS_ITEM = ("CASE WHEN event_id % 5 = 0 THEN 1000000000 + event_id "
+             "ELSE CAST(floor(event_id / 3) AS BIGINT) END")
 
 VIEWS["v_obs"] = f"""
 SELECT
@@ -171,7 +172,6 @@ SELECT
        WHEN 3 THEN '' ELSE NULL END AS reason,
   event_id AS seq
 FROM {{events}}
-WHERE {_OBS_FILTER}
 """
 
 # Raw observation rows as the result files hold them (ids without padding,
@@ -187,7 +187,6 @@ SELECT
   CASE WHEN event_id % 2 = 0 THEN '1' ELSE '2' END AS country_code,
   event_id AS seq
 FROM {{events}}
-WHERE {_OBS_FILTER}
 """
 
 VIEWS["v_obs_rules"] = """

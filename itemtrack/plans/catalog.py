@@ -684,13 +684,13 @@ LEFT JOIN s ON q.market = s.market AND q.position > s.hi - s.cap AND q.position
 
 @query("SET_01")
 def set_01(spark, sf):
-    a = tracker(spark, sf).where(F.col("seq") % 2 == 0).select("item_id", "market", "reason", "seq")
+    a = tracker(spark, sf).select("item_id", "market", "reason", "seq")
     b = v(spark, sf, "v_inflow").select("item_id", "market", "target", "seq")
     return changes.union_by_name(a, b)
 
 
 ORACLE["SET_01"] = with_("v_tracker_raw", "v_inflow", extra=[T_CTE]) + """
-SELECT item_id, market, reason, seq FROM v_tracker WHERE seq % 2 = 0
+SELECT item_id, market, reason, seq FROM v_tracker
 UNION ALL BY NAME SELECT item_id, market, target, seq FROM v_inflow"""
 
 
@@ -841,21 +841,25 @@ ORACLE["RUL_04"] = with_("v_obs", extra=[DEDUP_CTE]) + decide_sql("dd", "per_mar
 
 
 def _existing(spark, sf):
-    return tracker(spark, sf).where(F.col("seq") % 3 != 0)
+    return tracker(spark, sf)
 
 
 def _incoming(spark, sf):
-    t = tracker(spark, sf).where(F.col("seq") % 2 == 0)
+    """Every tracker row again, twice with different comments; odd rows moved one
+    day later, so half of the keys exist and half are new."""
+    t = tracker(spark, sf).withColumn(
+        "action_date", F.date_add("action_date", (F.col("seq") % 2).cast("int")))
     first = t.withColumn("comment", F.lit("first")).withColumn("seq", F.col("seq") * 2)
     second = t.withColumn("comment", F.lit("second")).withColumn("seq", F.col("seq") * 2 + 1)
     return first.unionByName(second)
 
 
-_NEW_ROWS_SQL = [T_CTE, "ex AS (SELECT * FROM v_tracker WHERE seq % 3 <> 0)", """
-inc AS (SELECT * REPLACE ('first' AS comment, seq * 2 AS seq) FROM v_tracker WHERE seq % 2 = 0
+_NEW_ROWS_SQL = [T_CTE, "ex AS (SELECT * FROM v_tracker)", """
+moved AS (SELECT * REPLACE (action_date + CAST(seq % 2 AS INTEGER) AS action_date) FROM v_tracker)""",
+                 """
+inc AS (SELECT * REPLACE ('first' AS comment, seq * 2 AS seq) FROM moved
         UNION ALL
-        SELECT * REPLACE ('second' AS comment, seq * 2 + 1 AS seq) FROM v_tracker
-        WHERE seq % 2 = 0)""", """
+        SELECT * REPLACE ('second' AS comment, seq * 2 + 1 AS seq) FROM moved)""", """
 inc1 AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY
          """ + ", ".join(schemas.TRACKER_KEY) + """ ORDER BY seq) AS rn FROM inc) WHERE rn = 1)"""]
 
@@ -929,14 +933,14 @@ FROM v_tracker t LEFT JOIN u USING (item_id, market)"""
 _ARCHIVE_SQL = [T_CTE, """
 cand AS (SELECT * FROM v_tracker t WHERE status = 'unblocked' AND EXISTS
          (SELECT 1 FROM v_inflow i WHERE i.item_id = t.item_id AND i.market = t.market))""",
-                "hist AS (SELECT * FROM v_tracker WHERE seq % 10 = 1)", """
+                "hist AS (SELECT * FROM v_tracker WHERE status = 'TP')", """
 cand1 AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY
           """ + ", ".join(schemas.TRACKER_KEY) + """ ORDER BY seq) AS rn FROM cand) WHERE rn = 1)"""]
 
 
 def _archive(spark, sf, only_archived=False):
     t = tracker(spark, sf)
-    hist = t.where(F.col("seq") % 10 == 1)
+    hist = t.where(F.col("status") == "TP")
     return changes.archive_move(t, hist, v(spark, sf, "v_inflow"), only_archived=only_archived)
 
 
@@ -1085,7 +1089,7 @@ FROM decided"""
 @query("PIP_04")
 def pip_04(spark, sf):
     t = tracker(spark, sf)
-    out = P.intake_inflow(t, t.where(F.col("seq") % 10 == 1), v(spark, sf, "v_inflow"))
+    out = P.intake_inflow(t, t.where(F.col("status") == "TP"), v(spark, sf, "v_inflow"))
     return out["tracker"]
 
 
