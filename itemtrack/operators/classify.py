@@ -31,32 +31,49 @@ def _rule_arrays(rules: DataFrame, sep: str) -> DataFrame:
 
 
 def _first_hit(text: Column) -> Column:
-    hits = F.filter("_rules", lambda r: F.exists(r["keys"], lambda k: text.contains(k)))
-    return F.try_element_at(hits, F.lit(1))["blocker_type"]
+    """Blocker type of the first rule (array order = rule order) with a keyword in
+    ``text``.  The fold stops testing once a rule has matched, like the reference's
+    early ``break``."""
+    return F.aggregate(
+        "_rules", F.lit(None).cast("string"),
+        lambda found, r: F.when(found.isNotNull(), found)
+        .when(F.exists(r["keys"], lambda k: text.contains(k)), r["blocker_type"]))
+
+
+def _with_rules(df: DataFrame, rules: DataFrame, market_col: str, sep: str) -> DataFrame:
+    arrays = F.broadcast(_rule_arrays(rules, sep))
+    return df.join(arrays, F.col(market_col) == F.col("_rules_market"), "left")
 
 
 def first_matching_rule(df: DataFrame, rules: DataFrame, text_col: str = "reason_text",
                         market_col: str = "market", out: str = "matched_type",
                         sep: str = fixed.KEYWORD_SEPARATOR,
-                        max_rules: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                        max_rules: int = MAX_BROADCAST_ROWS, only_when: Column | None = None
+                        ) -> DataFrame:
     """Blocker type of the first rule (by rule_no, same market) with any keyword
-    as a literal, case-sensitive substring of the text; NULL when none matches."""
+    as a literal, case-sensitive substring of the text; NULL when none matches
+    (or when ``only_when`` is false: the rules are then not evaluated at all)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+
+    def hit():
+        h = _first_hit(text)
+        return h if only_when is None else F.when(only_when, h)
+
     if fits_broadcast(rules, max_rules):
-        arrays = F.broadcast(_rule_arrays(rules, sep))
-        joined = df.join(arrays, F.col(market_col) == F.col("_rules_market"), "left")
-        return joined.withColumn(out, _first_hit(text)).drop("_rules_market", "_rules")
+        joined = _with_rules(df, rules, market_col, sep)
+        return joined.withColumn(out, hit()).drop("_rules_market", "_rules")
     # Large rule sets: ordered chunks of bounded size, earliest chunk wins.
     chunked = rules.withColumn("_chunk", F.floor((F.col("rule_no") - 1) / max_rules))
     chunk_ids = sorted(r[0] for r in chunked.select("_chunk").distinct().collect())
-    result, hit = df, None
+    result, found = df, None
     for i, cid in enumerate(chunk_ids):
-        arrays = F.broadcast(_rule_arrays(chunked.where(F.col("_chunk") == cid), sep))
         name = f"_hit{i}"
-        result = (result.join(arrays, F.col(market_col) == F.col("_rules_market"), "left")
-                  .withColumn(name, _first_hit(text)).drop("_rules_market", "_rules"))
-        hit = F.col(name) if hit is None else F.coalesce(hit, F.col(name))
-    result = result.withColumn(out, hit)
+        part = chunked.where(F.col("_chunk") == cid).drop("_chunk")
+        h = hit() if found is None else F.when(found.isNull(), hit())
+        result = (_with_rules(result, part, market_col, sep)
+                  .withColumn(name, h).drop("_rules_market", "_rules"))
+        found = F.col(name) if found is None else F.coalesce(found, F.col(name))
+    result = result.withColumn(out, found)
     return result.drop(*[f"_hit{i}" for i in range(len(chunk_ids))])
 
 
@@ -71,8 +88,9 @@ def classify(df: DataFrame, rules: DataFrame, text_col: str = "reason_text",
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     contrib = F.coalesce(F.col(contribution_col), F.lit(""))
-    matched = first_matching_rule(df, rules, text_col, market_col, "_matched", sep)
     is_rule = contrib == fixed.OPERATIONAL_RULE
+    matched = first_matching_rule(df, rules, text_col, market_col, "_matched", sep,
+                                  only_when=is_rule & (text != ""))
     decision = (F.when(is_rule & (text != ""), F.coalesce(F.col("_matched"), F.lit(fixed.REASON_OTHERS)))
                 .when(is_rule, F.lit(fixed.REASON_NONE))
                 .otherwise(F.lit(fixed.REASON_OTHERS)))

@@ -67,3 +67,23 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def cluster_conf(input_bytes: int, executor_cores_total: int) -> dict:
+    """Settings for a large run, sized from the input volume.
+
+    Shuffle partitions start at ~256 MiB of input each (at least 2x the cores) and
+    AQE coalesces small ones and splits skewed ones at run time; scan splits are
+    256 MiB; broadcasts stay at the default threshold (config-sized tables only).
+    """
+    mib = 1 << 20
+    partitions = max(2 * executor_cores_total, input_bytes // (256 * mib))
+    return {
+        **BASE_CONF,
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.files.maxPartitionBytes": str(256 * mib),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mib),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * mib),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mib),
+    }
