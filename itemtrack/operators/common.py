@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from itemtrack.session import ensure_checkpoint_dir
+from itemtrack.session import scratch_path
 
 # Rule sheets beyond this many rows are classified in ordered chunks.
 MAX_BROADCAST_ROWS = 200_000
@@ -39,6 +39,21 @@ def literal_table(spark, rows, schema: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a Parquet table under the cluster's checkpoint folder
+    (``spark.checkpoint.dir``) and read it from there.
+
+    Used where one intermediate feeds several branches of a plan (a diamond) or
+    must keep its values when recomputed (positions, partition ids).  The plan
+    is computed once, the read-back scan gets column pruning and filter
+    pushdown, and the lineage is cut, so lost executors do not recompute it.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def null_safe_on(left: DataFrame, right: DataFrame, cols) -> Column:
     """Null-safe equality on several columns (``<=>``); still an equi-join key."""
     cond = None
@@ -94,8 +109,8 @@ def rank_within(df: DataFrame, group: str, order_cols, out: str = "rank",
     1. range-partition by (group, order) and sort inside partitions, so every
        partition holds one contiguous run of keys; a hot group spans many;
     2. number rows inside each partition (``monotonically_increasing_id`` right
-       after the sort) and checkpoint, so partition ids and positions are stable
-       even if executors are lost later;
+       after the sort) and materialize them in the checkpoint folder, so partition
+       ids and positions keep their values even if executors are lost later;
     3. count rows per (partition, group): at most partitions + groups rows, a
        proven bound, hence broadcast; prefix sums give each run's offset.
     """
@@ -103,12 +118,11 @@ def rank_within(df: DataFrame, group: str, order_cols, out: str = "rank",
     spark = df.sparkSession
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
     ranged = (df.repartitionByRange(num_partitions, group, *order_cols)
               .sortWithinPartitions(group, *order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
+    ranged = materialize(ranged, "rank")
     runs = (ranged.groupBy("_pid", group)
             .agg(F.min("_pos").alias("_p0"), F.count(F.lit(1)).alias("_n")))
     before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -101,7 +101,10 @@ def decide_status(observations: DataFrame, tracker: DataFrame, rules: DataFrame,
     """JON-06 -> AGG-04 -> JON-02/04 -> RUL-01..04 on prepared observations."""
     classified = cls.classify(observations, rules)
     deduped = dec.dedup_observations(classified)
-    state = joins.first_state(joins.restrict_to_keys(tracker, deduped))
+    # Deduplication keeps every (item, market) key, so the tracker is restricted
+    # by the keys of the unclassified observations (no classification in that
+    # branch); AQE reuses the deduplication shuffle between the other branches.
+    state = joins.first_state(joins.restrict_to_keys(tracker, observations))
     rows = joins.attach_state(deduped, state)
     return dec.decide(rows, mode=mode)
 
