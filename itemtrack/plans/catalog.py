@@ -17,7 +17,7 @@ from itemtrack.operators import changes, classify as cls, decide as dec, joins,
 from itemtrack.operators import quota, report
 from itemtrack.operators.jobs import job_gate, job_states
 from itemtrack.plans import bindings as B
-from itemtrack.plans import pipelines as P
+from itemtrack.plans import refresh as P
 from itemtrack.session import scratch_path
 from itemtrack.sources import sinks, tables, tsv
 from itemtrack.sources.warehouse import dimension_extract

@@ -15,9 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from itemtrack import schemas
 from itemtrack.functions import fixed
 from itemtrack.functions.scalars import na_to_null
-from itemtrack.operators import changes
 from itemtrack.operators.decide import AS_WRITTEN
-from itemtrack.plans import pipelines as P
+from itemtrack.plans import refresh as P
 from itemtrack.sources.sinks import VersionedTable
 from itemtrack.sources.tsv import CORRUPT, _tsv_reader
 
@@ -95,5 +94,5 @@ def tracker_store(spark: SparkSession, root: str, initial: DataFrame | None = No
             initial = spark.createDataFrame([], schemas.TRACKER_SCHEMA)
         if order_col not in initial.columns:
             initial = initial.withColumn(order_col, F.monotonically_increasing_id())
-        store.commit(changes.align(initial, initial), version=0)
+        store.commit(initial, version=0)
     return store
