@@ -46,8 +46,9 @@ def test_entry_runs(spark):
     assert "next_status" in df.columns and df.count() > 0
 
 
-@pytest.mark.parametrize("name", ["FLT_02", "JON_06", "WIN_01", "WIN_06", "RUL_03", "DML_07",
-                                  "PIP_01", "PIP_03", "SRC_03"])
+@pytest.mark.parametrize("name", ["FLT_02", "JON_06", "WIN_01", "WIN_06", "RUL_03", "DML_01",
+                                  "DML_07", "AGG_07", "SRC_03", "SRC_05", "PIP_01", "PIP_02",
+                                  "PIP_03", "PIP_04"])
 def test_oracle_agreement_small(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     cur = duck.execute(E.oracle_sql()[name])
