@@ -39,17 +39,31 @@ def query(name):
 
 # ------------------------------------------------------------------ inputs --
 
+_PLANS: dict = {}
+
+
+def _memo(spark, key, build) -> DataFrame:
+    """Input DataFrames are built once per session and table folder and then
+    reused by every query (a DataFrame is a plan; no data is cached)."""
+    k = (spark.sparkContext.applicationId, id(spark), key)
+    if k not in _PLANS:
+        _PLANS[k] = build()
+    return _PLANS[k]
+
+
 def v(spark, sf, name) -> DataFrame:
-    return B.view(spark, sf, name)
+    return _memo(spark, (sf, name), lambda: B.view(spark, sf, name))
 
 
 def tracker(spark, sf) -> DataFrame:
     """T1 over the bindings: zero dates normalised (FLT-06), seq kept."""
-    return tables.normalize_tracker(v(spark, sf, "v_tracker_raw"))
+    return _memo(spark, (sf, "tracker"),
+                 lambda: tables.normalize_tracker(v(spark, sf, "v_tracker_raw")))
 
 
 def core_export(spark, sf) -> DataFrame:
-    return tables.read_core_export(v(spark, sf, "v_core_export"))
+    return _memo(spark, (sf, "core_export"),
+                 lambda: tables.read_core_export(v(spark, sf, "v_core_export")))
 
 
 def obs_dedup(spark, sf) -> DataFrame:
