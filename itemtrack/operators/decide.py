@@ -10,7 +10,8 @@ reduced map-side before it is shuffled:
 * (item, market, new_reason) -> first seq, row count;
 * (item, market) -> rows, first seq, ordered distinct reasons (bounded by the
   number of rule types, so the lists stay small);
-* item -> rows, markets, the last-appearing market and its statistics;
+* item -> rows, markets, the last-appearing market and its statistics, as a
+  window over the (item, market) table (at most one row per market per item);
 
 then one join of the rows to their (item, market) statistics.  That join is the
 only shuffle of full rows; AQE splits a skewed key there.
@@ -18,7 +19,7 @@ only shuffle of full rows; AQE splits a skewed key there.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from itemtrack.functions import fixed
 from itemtrack.operators.common import keep_first, ordered_distinct_list
@@ -72,7 +73,12 @@ def last_market(df: DataFrame, order_col: str = "seq", out: str = "last_market")
 
 
 def _stats(df: DataFrame, order_col: str) -> DataFrame:
-    """Per (item, market): own statistics plus the item's, one row each."""
+    """Per (item, market): own statistics plus the item's, one row each.
+
+    The item statistics are a window over the (item, market) table: it has at
+    most one row per market for an item, so a window group is bounded by the
+    number of markets however hot the item is, and no self-join is needed.
+    """
     per_reason = (df.groupBy("item_id", "market", "new_reason")
                   .agg(F.min(order_col).alias("_fs"), F.count(F.lit(1)).alias("_n")))
     per_market = (per_reason.groupBy("item_id", "market")
@@ -81,13 +87,14 @@ def _stats(df: DataFrame, order_col: str) -> DataFrame:
                        F.array_sort(F.collect_list(F.struct("_fs", "new_reason"))).alias("_l"))
                   .withColumn("m_reasons", F.transform("_l", lambda x: x["new_reason"]))
                   .drop("_l"))
-    per_item = (per_market.groupBy("item_id")
-                .agg(F.sum("m_rows").alias("i_rows"),
-                     F.count(F.lit(1)).alias("i_markets"),
-                     F.max_by(F.struct(F.col("m_rows").alias("rows"),
-                                       F.col("m_reasons").alias("reasons")),
-                              F.col("m_first")).alias("last")))
-    return per_market.join(per_item, "item_id")
+    item = Window.partitionBy("item_id")
+    return per_market.withColumns({
+        "i_rows": F.sum("m_rows").over(item),
+        "i_markets": F.count(F.lit(1)).over(item),
+        "last": F.max_by(F.struct(F.col("m_rows").alias("rows"),
+                                  F.col("m_reasons").alias("reasons")),
+                         F.col("m_first")).over(item),
+    })
 
 
 def _pair(reason, status: str) -> Column:
