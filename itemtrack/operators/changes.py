@@ -53,15 +53,24 @@ def _with_order(df: DataFrame, order_col: str) -> DataFrame:
 def insert_if_absent(table: DataFrame, incoming: DataFrame, key=TRACKER_KEY,
                      order_col: str = "seq") -> DataFrame:
     """DML-01/02: append incoming rows whose full key is absent; conflicts are
-    ignored; among in-batch duplicates the first (by ``order_col``) wins."""
+    ignored; among in-batch duplicates the first (by ``order_col``) wins.
+
+    The ten-column key is led by its 64-bit hash: the anti join uses the hash as
+    its only join key with the exact null-safe comparison of every key column as
+    the residual condition (so hash collisions cannot change the result), and the
+    deduplication groups by (hash, key) so sort comparisons mostly end at the
+    first field.
+    """
     key = list(key)
     incoming = _with_order(incoming, order_col)
     # Columns the batch lacks take their defaults (NULL) before keys are compared.
     incoming = align(incoming, table, keep=[order_col])
-    first = keep_first(incoming, key, order_col)
-    existing = table.select(*[F.col(c).alias(f"_t_{c}") for c in key])
-    cond = reduce(lambda a, b: a & b,
-                  [first[c].eqNullSafe(existing[f"_t_{c}"]) for c in key])
+    hashed = incoming.withColumn("_h", F.xxhash64(*key))
+    first = keep_first(hashed, ["_h", *key], order_col)
+    existing = table.select(F.xxhash64(*key).alias("_t_h"),
+                            *[F.col(c).alias(f"_t_{c}") for c in key])
+    same = reduce(lambda a, b: a & b, [first[c].eqNullSafe(existing[f"_t_{c}"]) for c in key])
+    cond = (first["_h"] == existing["_t_h"]) & F.coalesce(same, F.lit(False))
     new_rows = first.join(existing, cond, "left_anti")
     return table.unionByName(align(new_rows, table))
 
