@@ -65,8 +65,7 @@ def insert_if_absent(table: DataFrame, incoming: DataFrame, key=TRACKER_KEY,
     incoming = _with_order(incoming, order_col)
     # Columns the batch lacks take their defaults (NULL) before keys are compared.
     incoming = align(incoming, table, keep=[order_col])
-    hashed = incoming.withColumn("_h", F.xxhash64(*key))
-    first = keep_first(hashed, ["_h", *key], order_col)
+    first = keep_first(incoming, key, order_col).withColumn("_h", F.xxhash64(*key))
     existing = table.select(F.xxhash64(*key).alias("_t_h"),
                             *[F.col(c).alias(f"_t_{c}") for c in key])
     same = reduce(lambda a, b: a & b, [first[c].eqNullSafe(existing[f"_t_{c}"]) for c in key])

@@ -63,26 +63,32 @@ def null_safe_on(left: DataFrame, right: DataFrame, cols) -> Column:
     return cond
 
 
+def _by_key(df: DataFrame, keys, order_col: str, pick, name: str) -> DataFrame:
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.dropDuplicates(keys)
+    # Wide keys (several columns, long texts) are led by their 64-bit hash, so the
+    # sort-based aggregation mostly compares one long; the key columns still
+    # decide the groups, so a collision cannot merge two keys.
+    lead = [F.xxhash64(*keys).alias("_h")] if len(keys) >= 3 else []
+    packed = pick(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias(name)
+    return (df.groupBy(*lead, *keys).agg(packed)
+            .select(*keys, f"{name}.*").select(*df.columns))
+
+
 def keep_first(df: DataFrame, keys, order_col: str = "seq") -> DataFrame:
     """First row per key by ``order_col`` (pandas ``drop_duplicates(keep='first')``).
 
     Written as ``min_by`` over a struct so the aggregate is partial: a hot key
     is reduced map-side before the shuffle instead of landing whole in one task.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.dropDuplicates(keys)
-    packed = F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_first")
-    return df.groupBy(*keys).agg(packed).select(*keys, "_first.*").select(*df.columns)
+    return _by_key(df, keys, order_col, F.min_by, "_first")
 
 
 def keep_last(df: DataFrame, keys, order_col: str = "seq") -> DataFrame:
     """Last row per key by ``order_col`` (repeated keyed updates: last one wins)."""
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_last")
-    return df.groupBy(*keys).agg(packed).select(*keys, "_last.*").select(*df.columns)
+    return _by_key(df, keys, order_col, F.max_by, "_last")
 
 
 def ordered_distinct_list(df: DataFrame, keys, value: str, order_col: str = "seq",
