@@ -22,8 +22,11 @@ def tsv_schema(columns) -> T.StructType:
 
 
 def _tsv_reader(reader, columns):
+    # Quoting as the reference's reader: '"' quotes a field and '""' inside it is
+    # a literal quote (no backslash escapes).
     return (reader.schema(tsv_schema(columns))
             .option("sep", "\t").option("header", True)
+            .option("quote", '"').option("escape", '"')
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
 
 

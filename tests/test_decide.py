@@ -91,3 +91,21 @@ def test_group_stats(spark):
     assert w2[1400] == 3 and w3[1400] == 2 and w4[1401] == 2 and w4[1400] == 1
     last = {r.item_id: r.last_market for r in D.last_market(df).collect()}
     assert last == {"item14": "UK", "item15": "UK"}
+
+
+def test_status_decisions_ignore_input_order(spark):
+    from pyspark.sql import functions as F
+    from itemtrack.plans import bindings as B, refresh as R
+    from itemtrack.plans.catalog import tracker
+    from conftest import SF_SMALL
+    raw = B.view(spark, SF_SMALL, "v_obs_raw")
+    args = (tracker(spark, SF_SMALL), B.view(spark, SF_SMALL, "v_obs_rules"),
+            B.view(spark, SF_SMALL, "v_codes"))
+    cols = ["seq", "next_reason", "next_status"]
+
+    def run(df):
+        return sorted(tuple(r) for r in R.refresh_status(args[0], df, args[1], args[2])
+                      ["decisions"].select(*cols).collect())
+
+    shuffled = raw.repartition(5, F.rand(7)).sortWithinPartitions(F.rand(3))
+    assert run(raw) == run(shuffled)

@@ -97,3 +97,9 @@ def test_stream_apply_once_and_idempotent(spark, tmp_dir):
     assert store.current_version() == 2
     got = {r.item_id: (r.reason, r.status) for r in store.read().collect()}
     assert got["0000000001"] == ("Others", "nonaction")
+
+
+def test_quoting_like_the_reference_reader(spark, tmp_dir):
+    write(f"{tmp_dir}/q/a.txt", ['1\t1\tOperationalRule\t"says ""too large"", \\\\ ok"\t1'])
+    row = tsv.read_tolerant_tsv(spark, f"{tmp_dir}/q", schemas.OBSERVATION_FILE_COLUMNS).first()
+    assert row.restriction_reasons == 'says "too large", \\\\ ok'
