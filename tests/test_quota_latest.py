@@ -60,3 +60,14 @@ def test_latest_plan_uses_window_group_limit(spark):
                                "item_id string, market_code int, exportable_date date")
     plan_text = joins.latest_export(df)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan_text
+
+
+def test_first_n_per_market(spark):
+    q = spark.createDataFrame([(f"i{i}", "US" if i % 3 else "DE", i) for i in range(20)],
+                              "item_id string, market string, seq long")
+    got = quota.first_n_per_market(q, 2).collect()
+    by_market = {}
+    for r in got:
+        by_market.setdefault(r.market, []).append((r.position, r.seq))
+    assert sorted(by_market["US"]) == [(1, 1), (2, 2)]
+    assert sorted(by_market["DE"]) == [(1, 0), (2, 3)]

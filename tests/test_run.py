@@ -51,3 +51,32 @@ def test_status_and_export_and_intake_jobs(spark, tmp_dir):
     tv, hv = run.intake(spark, f"{tmp_dir}/tracker", f"{tmp_dir}/history", inflow, f"{tmp_dir}/out")
     assert (tv, hv) == (3, 1)
     assert hist.read().where("status = 'unblocked'").count() == hist.read().count() > 0
+
+
+def test_dimensions_job(spark, tmp_dir):
+    cfg = os.path.join(tmp_dir, "config")
+    os.makedirs(cfg)
+    write_sheet(B.view(spark, SF_SMALL, "v_codes").orderBy("seq").select("market", "market_code"),
+                f"{cfg}/codes.csv")
+    write_sheet(B.view(spark, SF_SMALL, "v_dim_quota").orderBy("slot_no")
+                .select("market", "capacity", "slot_ref"), f"{cfg}/quotas.csv")
+    write_sheet(B.view(spark, SF_SMALL, "v_dim_jobs").orderBy("slot_no")
+                .select("market", "slot_no", "phase", "status_text"), f"{cfg}/jobs.csv")
+    tracker = bound_tracker(spark, SF_SMALL).drop("seq")
+    store = VersionedTable(spark, f"{tmp_dir}/tracker")
+    store.commit(tracker, version=0)
+    warehouse = f"{tmp_dir}/warehouse"
+    B.view(spark, SF_SMALL, "v_dimensions").write.parquet(warehouse)
+    v = run.dimensions(spark, f"{tmp_dir}/tracker", warehouse, cfg, f"{tmp_dir}/out")
+    assert v == 1 and store.read().count() == tracker.count()
+    from pyspark.errors import AnalysisException
+    from itemtrack.operators import queues
+
+    def rows(name):
+        try:   # an empty partitioned snapshot has no data files
+            return spark.read.parquet(f"{tmp_dir}/out/dimensions/{name}").count()
+        except AnalysisException:
+            return 0
+
+    assert rows("assigned") > 0
+    assert rows("assigned") + rows("unassigned") == queues.dimension_queue(tracker).count()
