@@ -15,12 +15,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from itemtrack import schemas
 from itemtrack.functions import fixed
 from itemtrack.functions.scalars import na_to_null
+from itemtrack.operators import changes
 from itemtrack.operators.decide import AS_WRITTEN
 from itemtrack.plans import refresh as P
 from itemtrack.sources.sinks import VersionedTable
 from itemtrack.sources.tsv import CORRUPT, _tsv_reader
 
 
+def _observation_rows(df: DataFrame, columns) -> DataFrame:
+    width = len(columns)
+    keep = F.col(CORRUPT).isNull() | (F.size(F.split(F.col(CORRUPT), "\t")) <= width)
+    df = df.select("*", F.col("_metadata.file_path").alias("_file"),
+                   F.col("_metadata.file_block_start").alias("_block")).where(keep)
+    return df.select(*[na_to_null(c, fixed.PANDAS_NA_TOKENS).alias(c) for c in columns],
+                     "_file", "_block")
+
+
 def observation_stream(spark: SparkSession, path: str,
                        columns=schemas.OBSERVATION_FILE_COLUMNS,
                        max_files_per_trigger: int | None = None) -> DataFrame:
@@ -32,13 +42,14 @@ def observation_stream(spark: SparkSession, path: str,
     reader = _tsv_reader(spark.readStream, columns).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.csv(path)
-    width = len(columns)
-    keep = F.col(CORRUPT).isNull() | (F.size(F.split(F.col(CORRUPT), "\t")) <= width)
-    df = df.select("*", F.col("_metadata.file_path").alias("_file"),
-                   F.col("_metadata.file_block_start").alias("_block")).where(keep)
-    return df.select(*[na_to_null(c, fixed.PANDAS_NA_TOKENS).alias(c) for c in columns],
-                     "_file", "_block")
+    return _observation_rows(reader.csv(path), columns)
+
+
+def observation_batch(spark: SparkSession, paths, columns=schemas.OBSERVATION_FILE_COLUMNS
+                      ) -> DataFrame:
+    """The same rows as a static frame (backfills, or replaying a batch by hand)."""
+    reader = _tsv_reader(spark.read, columns).option("recursiveFileLookup", "true")
+    return _observation_rows(reader.csv(paths), columns)
 
 
 def with_arrival_order(batch: DataFrame, batch_id: int, seq_col: str = "seq") -> DataFrame:
@@ -96,3 +107,72 @@ def tracker_store(spark: SparkSession, root: str, initial: DataFrame | None = No
             initial = initial.withColumn(order_col, F.monotonically_increasing_id())
         store.commit(initial, version=0)
     return store
+
+
+# ------------------------------------------------------------ change log ----
+# For a large tracker a micro-batch must not rewrite the table: each batch only
+# writes its keyed updates to a change log, readers apply the log to the base
+# version (merge on read) and a compaction job folds it into the next version.
+# One writer at a time (the stream or the compaction) is assumed.
+
+UPDATE_COLUMNS = ["reason", "status"]
+
+
+def _log_path(store: VersionedTable, log_root: str) -> str:
+    return f"{log_root.rstrip('/')}/base={store.current_version():08d}"
+
+
+def _log_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def current_tracker(spark: SparkSession, store: VersionedTable, log_root: str) -> DataFrame:
+    """Base version with the logged updates applied (last batch, then last row wins)."""
+    base = store.read(schema=schemas.TRACKER_SCHEMA)
+    path = _log_path(store, log_root)
+    if not _log_exists(spark, path):
+        return base
+    log = spark.read.parquet(path)
+    log = log.withColumn("seq", F.struct("batch_id", "seq"))
+    return changes.keyed_update(base, log.select("item_id", "market", *UPDATE_COLUMNS, "seq"),
+                                UPDATE_COLUMNS, on_duplicate="allow")
+
+
+def status_log_apply(store: VersionedTable, log_root: str, rules: DataFrame, codes: DataFrame,
+                     mode: str = AS_WRITTEN):
+    """STM-02 in merge-on-read form: decide against the current state and write
+    only this batch's updates to ``log/base=<v>/batch_id=<n>``.  A replayed batch
+    overwrites its own folder, so it is idempotent."""
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # Tracker order for "first tracker row": primary-key order.
+        tracker = current_tracker(spark, store, log_root).withColumn(
+            "seq", F.struct(*schemas.TRACKER_KEY))
+        raw = with_arrival_order(batch, batch_id)
+        obs = P.prepare_observations(raw, codes)
+        decisions = P.decide_status(obs, tracker, rules, mode)
+        updates = changes.one_update_per_item_market(decisions)
+        (updates.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .withColumn("seq", F.col("seq.pos"))
+         .write.mode("overwrite")
+         .parquet(f"{_log_path(store, log_root)}/batch_id={batch_id}"))
+
+    return apply
+
+
+def start_status_log_stream(spark: SparkSession, source_path: str, store: VersionedTable,
+                            log_root: str, rules: DataFrame, codes: DataFrame, checkpoint: str,
+                            mode: str = AS_WRITTEN, available_now: bool = True):
+    """STM-01 + merge-on-read STM-02."""
+    writer = (observation_stream(spark, source_path).writeStream
+              .foreachBatch(status_log_apply(store, log_root, rules, codes, mode))
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()
+
+
+def compact(spark: SparkSession, store: VersionedTable, log_root: str) -> int:
+    """Fold the change log into the next base version (a fresh, empty log follows)."""
+    return store.commit(current_tracker(spark, store, log_root))

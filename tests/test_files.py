@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from itemtrack import schemas
 from itemtrack.sources import sinks, tsv
+from itemtrack.sources.sinks import VersionedTable
 from itemtrack.streaming import ingest
 
 HEADER = "\t".join(schemas.OBSERVATION_FILE_COLUMNS)
@@ -103,3 +104,36 @@ def test_quoting_like_the_reference_reader(spark, tmp_dir):
     write(f"{tmp_dir}/q/a.txt", ['1\t1\tOperationalRule\t"says ""too large"", \\\\ ok"\t1'])
     row = tsv.read_tolerant_tsv(spark, f"{tmp_dir}/q", schemas.OBSERVATION_FILE_COLUMNS).first()
     assert row.restriction_reasons == 'says "too large", \\\\ ok'
+
+
+def test_change_log_stream_and_compaction(spark, tmp_dir):
+    src = f"{tmp_dir}/incoming"
+    write(f"{src}/US/a.txt", ["1\t1\tOperationalRule\ttoo large\t1",
+                              "2\t1\tOperationalRule\t\t1"])
+    codes = spark.createDataFrame([("US", 1, 1)], "market string, market_code int, seq int")
+    rules = spark.createDataFrame([("US", 1, "large", "LARGE")],
+                                  "market string, rule_no int, keyword string, blocker_type string")
+    from tests.test_changes import tracker
+    initial = tracker(spark, [("0000000001", "US", "t", "WIP", "OLD", 1),
+                              ("0000000002", "US", "t", "WIP", "OLD", 2),
+                              ("0000000003", "US", "t", "WIP", "KEEP", 3)]).drop("seq")
+    store = VersionedTable(spark, f"{tmp_dir}/tracker")
+    store.commit(initial, version=0)
+    log = f"{tmp_dir}/log"
+    q = ingest.start_status_log_stream(spark, src, store, log, rules, codes, f"{tmp_dir}/ckpt")
+    q.awaitTermination(120)
+    assert store.current_version() == 0                       # the base is not rewritten
+    state = {r.item_id: (r.reason, r.status) for r in
+             ingest.current_tracker(spark, store, log).collect()}
+    assert state == {"0000000001": ("LARGE", "WIP"), "0000000002": ("OLD", "unblocked"),
+                     "0000000003": ("KEEP", "WIP")}
+    # replaying batch 0 rewrites only its own log folder: same state
+    ingest.status_log_apply(store, log, rules, codes)(ingest.observation_batch(spark, src), 0)
+    state2 = {r.item_id: (r.reason, r.status) for r in
+              ingest.current_tracker(spark, store, log).collect()}
+    assert state2 == state
+    assert ingest.compact(spark, store, log) == 1
+    folded = {r.item_id: (r.reason, r.status) for r in store.read().collect()}
+    assert folded == {k: v for k, v in state2.items()}
+    assert {r.item_id: (r.reason, r.status) for r in
+            ingest.current_tracker(spark, store, log).collect()} == folded
