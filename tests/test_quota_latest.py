@@ -71,3 +71,17 @@ def test_first_n_per_market(spark):
         by_market.setdefault(r.market, []).append((r.position, r.seq))
     assert sorted(by_market["US"]) == [(1, 1), (2, 2)]
     assert sorted(by_market["DE"]) == [(1, 0), (2, 3)]
+
+
+def test_rank_within_equals_row_number_with_a_hot_market(spark):
+    from pyspark.sql import Window, functions as F
+    from itemtrack.operators.common import rank_within
+    c = spark.read.parquet("/root/testdata/sf0.01/customer.parquet")
+    # two thirds of the queue in one market
+    q = c.select(F.col("c_custkey").alias("seq"),
+                 F.when(F.col("c_custkey") % 3 == 0, F.col("c_nationkey").cast("string"))
+                 .otherwise(F.lit("HOT")).alias("market"))
+    got = rank_within(q, "market", ["seq"], num_partitions=7)
+    want = q.withColumn("rank", F.row_number().over(Window.partitionBy("market").orderBy("seq")))
+    assert sorted(map(tuple, got.select("seq", "market", "rank").collect())) == \
+        sorted(map(tuple, want.select("seq", "market", "rank").collect()))
