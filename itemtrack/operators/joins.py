@@ -13,9 +13,14 @@ from itemtrack.schemas import ITEM_MARKET
 
 
 def restrict_to_keys(df: DataFrame, keys: DataFrame, on=ITEM_MARKET) -> DataFrame:
-    """JON-07: rows of a large table whose key is in the key table (semi join)."""
+    """JON-07: rows of a large table whose key is in the key table (semi join).
+
+    The key list is made distinct first (a partial aggregate), so a key repeated
+    in a third of the list is collapsed map-side instead of piling up on one
+    task of the join's build side, where AQE cannot split it.
+    """
     on = list(on)
-    return df.join(keys.select(*on), on, "left_semi")
+    return df.join(keys.select(*on).distinct(), on, "left_semi")
 
 
 def inflow_lookup(tracker: DataFrame, inflow: DataFrame) -> DataFrame:
