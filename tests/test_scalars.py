@@ -89,3 +89,14 @@ def test_case_insensitive_queue_option(spark):
     assert sorted(r.item_id for r in queues.status_queue(df).collect()) == ["a", "c"]
     got = sorted(r.item_id for r in queues.status_queue(df, case_insensitive=True).collect())
     assert got == ["c"]
+
+
+def test_cluster_conf_and_literal_tables(spark):
+    from itemtrack.operators.common import literal_table
+    from itemtrack.session import cluster_conf
+    conf = cluster_conf(100 << 40, 8000)          # 100 TiB on 8000 cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    t = literal_table(spark, [("US", 1), ("UK", 2)], "market string, code int")
+    assert sorted(tuple(r) for r in t.collect()) == [("UK", 2), ("US", 1)]
+    assert literal_table(spark, [], "market string").count() == 0
