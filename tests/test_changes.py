@@ -96,3 +96,39 @@ def test_one_update_per_item_market(spark):
 def test_create_table(spark, tmp_dir):
     df = changes.create_table(spark, tmp_dir + "/t")
     assert df.count() == 0 and df.schema.fieldNames()[0] == "item_id"
+
+
+
+NULL_CASES = [
+    ([(None, None)], [(None, None, "x")]),
+    ([], [(None, "a", "x"), ("a", None, "y")]),
+    ([("a", None)], [(None, "a", "x"), ("a", None, "y")]),
+    ([], [(None, None, "x"), (None, None, "y")]),
+    ([(None, "")], [("", None, "x"), (None, "", "y")]),
+    ([], [("", "", "x"), (None, None, "y"), ("", "", "z")]),
+]
+
+
+@pytest.mark.parametrize("existing,incoming", NULL_CASES)
+def test_insert_if_absent_null_safe_keys(spark, existing, incoming):
+    """Reason and subtask (key columns) take NULLs and ''; NULL equals NULL but not ''."""
+    def rows(data, with_comment):
+        out = []
+        for i, d in enumerate(data):
+            r = {c: None for c in schemas.TRACKER_COLUMNS}
+            r.update(item_id="i", market="US", target="t", offer_type="F", action_date=D0,
+                     reason=d[0], subtask_type=d[1], comment=d[2] if with_comment else None)
+            out.append(tuple(r[c] for c in schemas.TRACKER_COLUMNS) + (i,))
+        return out
+    schema = T.StructType(schemas.TRACKER_SCHEMA.fields + [T.StructField("seq", T.LongType())])
+    t = spark.createDataFrame(rows(existing, False), schema)
+    inc = spark.createDataFrame(rows(incoming, True), schema)
+    got = sorted(str((r.reason, r.subtask_type, r.comment))
+                 for r in changes.insert_if_absent(t, inc).collect())
+    seen = [(e[0], e[1]) for e in existing]
+    want = [(e[0], e[1], None) for e in existing]
+    for reason, subtask, comment in incoming:
+        if (reason, subtask) not in seen:
+            seen.append((reason, subtask))
+            want.append((reason, subtask, comment))
+    assert got == sorted(str(w) for w in want)
