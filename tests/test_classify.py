@@ -69,3 +69,17 @@ def test_large_rule_sets_use_ordered_chunks(spark):
     r = spark.createDataFrame(rules, RULE_SCHEMA)
     got = C.first_matching_rule(o, r, max_rules=3).first()["matched_type"]
     assert got == "T2"
+
+
+def test_chunked_rules_keep_order_per_market(spark):
+    from itemtrack.operators import classify as C
+    rules = [("US", 1, "zz", "US1"), ("UK", 1, "b", "UK1"), ("US", 2, "a", "US2"),
+             ("UK", 2, "a", "UK2"), ("US", 3, "b", "US3"), ("UK", 3, "zz", "UK3")]
+    obs = [("US", "OperationalRule", "ab", 0), ("UK", "OperationalRule", "ab", 1),
+           ("UK", "OperationalRule", "a", 2), ("DE", "OperationalRule", "ab", 3)]
+    o = spark.createDataFrame(obs, OBS_SCHEMA)
+    r = spark.createDataFrame(rules, RULE_SCHEMA)
+    for bound in (1, 2, 10):
+        got = [x.matched_type for x in
+               C.first_matching_rule(o, r, max_rules=bound).orderBy("seq").collect()]
+        assert got == ["US2", "UK1", "UK2", None], bound
