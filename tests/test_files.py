@@ -137,3 +137,16 @@ def test_change_log_stream_and_compaction(spark, tmp_dir):
     assert folded == {k: v for k, v in state2.items()}
     assert {r.item_id: (r.reason, r.status) for r in
             ingest.current_tracker(spark, store, log).collect()} == folded
+
+
+def test_versioned_table_ignores_unfinished_versions(spark, tmp_dir):
+    store = VersionedTable(spark, f"{tmp_dir}/t")
+    df = spark.createDataFrame([("a", "US")], "item_id string, market string")
+    assert store.commit(df) == 0
+    # a commit that died half-way leaves a folder without _SUCCESS
+    os.makedirs(f"{tmp_dir}/t/v=00000001/market=US")
+    with open(f"{tmp_dir}/t/v=00000001/market=US/part-0.parquet", "w") as fh:
+        fh.write("partial")
+    assert store.current_version() == 0 and store.read().count() == 1
+    assert store.commit(df.union(df), version=1) == 1      # the retry overwrites it
+    assert store.current_version() == 1 and store.read().count() == 2
