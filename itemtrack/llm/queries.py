@@ -10,6 +10,30 @@ URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/"
 N_SHARDS = 16
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from itemtrack.llm.bpe import BpeTokenizer
+    bpe = BpeTokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = bpe.encode(read_table(spark, sf_dir, "documents"), "doc_id")
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256)
+    decoded = bpe.decode(encoded, "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                         digest.alias("ids_sha256"))
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from itemtrack.llm.token_counts import UnigramVocabulary, count_tokens
+    vocabulary = UnigramVocabulary.from_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return count_tokens(read_table(spark, sf_dir, "documents"), vocabulary, "doc_id")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from itemtrack.llm.packing import pack
+    return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from itemtrack.llm.urls import UrlFilter, labelled_pages
     pages, labels = read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels")
@@ -36,6 +60,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QualityRatio().fit(docs, labels).measure(docs, "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op6_language_id, op8_sharding, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op1_byte_bpe, op3_url_filter, op4_token_counts, op5_packing, op6_language_id, op8_sharding, op9_quality_rules)}
 
 ORACLE: dict[str, str] = {}
