@@ -8,12 +8,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from itemtrack.operators.common import materialize  # noqa: F401  (re-exported)
+from itemtrack.operators.common import materialize as _materialize
 
 # One slice of rows that a task holds as Python objects at a time.
 SLICE_BYTES = 4 << 20
-# The largest signed 63-bit value, to bring unsigned hashes into Spark longs.
-MASK63 = np.uint64((1 << 63) - 1)
+
+
+# Shuffle files of a finished job are of no use once its result is a table.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder; the job's shuffle files go when it ends."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN, "false")
+    conf.set(_CLEAN, "true")
+    try:
+        return _materialize(df, name)
+    finally:
+        conf.set(_CLEAN, before)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,8 +79,5 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hashes of words, equal on every worker (Python's own hash is not)."""
-    from zlib import adler32, crc32
-    n = len(words)
-    low = np.fromiter(map(crc32, words), np.uint64, n)
-    high = np.fromiter(map(adler32, words), np.uint64, n)
-    return mix64(low | (high << np.uint64(32)))
+    from xxhash import xxh3_64_intdigest
+    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))

@@ -47,6 +47,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.predict(docs, "doc_id", (fold("doc_id", 4) == 2).alias("held_out"))
 
 
+def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from itemtrack.llm.dartminhash import near_duplicates
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from itemtrack.llm.sharding import byte_shards
     shards = byte_shards(read_table(spark, sf_dir, "documents"), N_SHARDS)
@@ -60,7 +65,15 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QualityRatio().fit(docs, labels).measure(docs, "doc_id")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from itemtrack.llm.lm import score
+    scored = score(read_table(spark, sf_dir, "documents"), fold("doc_id", 5) != 1)
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_byte_bpe, op3_url_filter, op4_token_counts, op5_packing, op6_language_id, op8_sharding, op9_quality_rules)}
+    op1_byte_bpe, op3_url_filter, op4_token_counts, op5_packing, op6_language_id, op7_dart_minhash,
+    op8_sharding, op9_quality_rules, op10_lm_scoring)}
 
 ORACLE: dict[str, str] = {}
