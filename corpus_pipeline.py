@@ -31,7 +31,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return QualityRatio().fit(docs, read_table(spark, sf_dir, "labels")).keep_rows(docs)
 
 
-STAGES = [("language", language), ("quality", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one row of each near-duplicate class, that of the smallest id (operator 7)."""
+    from itemtrack.llm.dartminhash import keep_one
+    return keep_one(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the rows that are left into sequences of at most 1024 tokens (operator 5): one
+    row per piece with its sequence and its offset there."""
+    import public_tokenizers
+    from itemtrack.llm.packing import pack
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("language", language), ("quality", quality), ("near_duplicates", near_duplicates), ("packing", packing)]
 
 ORACLE_SQL = None  # models and hashes: tested against brute-force versions instead
 

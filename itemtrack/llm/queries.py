@@ -34,6 +34,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose id is divisible by 100, as a query against all documents."""
+    from itemtrack.llm.search import build_index, top_k
+    docs = read_table(spark, sf_dir, "documents")
+    return top_k(build_index(docs), docs.filter(F.col("doc_id") % 100 == 0), k=10)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from itemtrack.llm.urls import UrlFilter, labelled_pages
     pages, labels = read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels")
@@ -73,7 +80,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_byte_bpe, op3_url_filter, op4_token_counts, op5_packing, op6_language_id, op7_dart_minhash,
+    op1_byte_bpe, op2_search, op3_url_filter, op4_token_counts, op5_packing, op6_language_id, op7_dart_minhash,
     op8_sharding, op9_quality_rules, op10_lm_scoring)}
 
 ORACLE: dict[str, str] = {}
