@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from itemtrack.llm import oracles
 from itemtrack.llm.common import fold, read_table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -83,4 +84,4 @@ QUERIES = {f.__name__: f for f in (
     op1_byte_bpe, op2_search, op3_url_filter, op4_token_counts, op5_packing, op6_language_id, op7_dart_minhash,
     op8_sharding, op9_quality_rules, op10_lm_scoring)}
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op8_sharding": oracles.SHARDING}
