@@ -13,7 +13,6 @@ ITEM_ID_WIDTH = 10
 DONE_STATUSES = ("TP", "unblocked")
 
 # Reason name of the dimension queue (a parameter; this is the live value).
-NOT_CONVEYABLE_REASON = "BizRule_ASINLevel_NotConveyable"
 
 # Completeness flag texts.
 FLAG_TRUE = "True"

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from itemtrack import schemas
-from itemtrack.operators.common import keep_first, keep_last
+from itemtrack.operators.common import join_split, keep_first, keep_last
 from itemtrack.schemas import DELETE_KEY, ITEM_MARKET, TRACKER_KEY
 
 
@@ -28,7 +28,7 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
 def keyed_difference(table: DataFrame, keys: DataFrame, on=DELETE_KEY) -> DataFrame:
     """SET-02: table rows whose key is not among ``keys`` (anti join)."""
     on = list(on)
-    return table.join(keys.select(*on).distinct(), on, "left_anti")
+    return join_split(table, keys.select(*on).distinct(), on, "left_anti")
 
 
 def align(df: DataFrame, like: DataFrame, keep=()) -> DataFrame:
@@ -42,12 +42,10 @@ def align(df: DataFrame, like: DataFrame, keep=()) -> DataFrame:
     return df.select(*out, *extra)
 
 
-def _with_order(df: DataFrame, order_col: str) -> DataFrame:
-    # Arrival order of an incoming batch when it carries none: position taken at
-    # the source, before any shuffle.
-    if order_col in df.columns:
-        return df
-    return df.withColumn(order_col, F.monotonically_increasing_id())
+def _need_order(df: DataFrame, order_col: str) -> None:
+    # "First" and "last" of a repeated key mean something only under a stated order.
+    if order_col not in df.columns:
+        raise ValueError(f"the incoming rows need their arrival order in column {order_col!r}")
 
 
 def insert_if_absent(table: DataFrame, incoming: DataFrame, key=TRACKER_KEY,
@@ -62,7 +60,7 @@ def insert_if_absent(table: DataFrame, incoming: DataFrame, key=TRACKER_KEY,
     first field.
     """
     key = list(key)
-    incoming = _with_order(incoming, order_col)
+    _need_order(incoming, order_col)
     # Columns the batch lacks take their defaults (NULL) before keys are compared.
     incoming = align(incoming, table, keep=[order_col])
     first = keep_first(incoming, key, order_col).withColumn("_h", F.xxhash64(*key))
@@ -94,16 +92,18 @@ def keyed_update(table: DataFrame, updates: DataFrame, set_cols, key=ITEM_MARKET
     Repeated update keys: the last (by ``order_col``) wins; an explicit NULL
     overwrites; unmatched updates are dropped.  The updated columns may be part
     of the full key, so two rows of one (item, market) can collide afterwards:
-    ``on_duplicate='error'`` raises (as the database would), ``'keep_first'``
-    keeps the first by ``order_col``, ``'allow'`` skips the check.  Only matched
-    rows can collide, so the check is limited to them.
+    ``on_duplicate='error'`` raises (as the database would), ``'allow'`` skips the
+    check and keeps all rows.  Only matched rows can collide, so the check is
+    limited to them.
     """
+    if on_duplicate not in ("error", "allow"):
+        raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
     key, set_cols = list(key), list(set_cols)
-    updates = _with_order(updates, order_col)
+    _need_order(updates, order_col)
     last = keep_last(updates.select(*key, *set_cols, order_col), key, order_col)
     new = last.select(*key, *[F.col(c).alias(f"_new_{c}") for c in set_cols],
                       F.lit(True).alias("_matched"))
-    joined = table.join(new, key, "left")
+    joined = join_split(table, new, key, "left")
     matched = F.coalesce(F.col("_matched"), F.lit(False))
     out = joined.withColumns({
         c: F.when(matched, F.col(f"_new_{c}")).otherwise(F.col(c)).cast(table.schema[c].dataType)
@@ -115,13 +115,6 @@ def keyed_update(table: DataFrame, updates: DataFrame, set_cols, key=ITEM_MARKET
                .limit(1).collect())
         if dup:
             raise KeyCollision(f"keyed update makes the primary key collide: {dup[0].asDict()}")
-    elif on_duplicate == "keep_first":
-        if order_col not in table.columns:
-            raise ValueError("keep_first needs an order column on the table")
-        kept = keep_first(out.where("_matched"), full_key, order_col)
-        out = out.where(~F.col("_matched")).unionByName(kept)
-    elif on_duplicate not in ("error", "allow"):
-        raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
     return out.select(*table.columns)
 
 
@@ -143,7 +136,7 @@ def set_reason_status(table: DataFrame, updates: DataFrame, **kw) -> DataFrame:
 def archive_candidates(tracker: DataFrame, inflow: DataFrame) -> DataFrame:
     """DML-06 selection: 'unblocked' tracker rows whose (item, market) is in the inflow."""
     return (tracker.where(F.col("status") == "unblocked")
-            .join(inflow.select(*ITEM_MARKET).distinct(), list(ITEM_MARKET), "left_semi"))
+            .transform(join_split, inflow.select(*ITEM_MARKET).distinct(), ITEM_MARKET, "left_semi"))
 
 
 def archive_move(tracker: DataFrame, history: DataFrame, inflow: DataFrame,
@@ -159,7 +152,7 @@ def archive_move(tracker: DataFrame, history: DataFrame, inflow: DataFrame,
     new_history = insert_if_absent(history, moved.select(*history.columns, *carry),
                                    order_col=order_col)
     triples = moved.select(*DELETE_KEY).distinct().withColumn("_hit", F.lit(True))
-    marked = tracker.join(triples, list(DELETE_KEY), "left")
+    marked = join_split(tracker, triples, DELETE_KEY, "left")
     gone = F.coalesce(F.col("_hit"), F.lit(False))
     if only_archived:
         gone = gone & (F.col("status") == "unblocked")
@@ -170,7 +163,7 @@ def archive_move(tracker: DataFrame, history: DataFrame, inflow: DataFrame,
 def bulk_delete_unblocked(tracker: DataFrame) -> DataFrame:
     """DML-08: drop every (item, market, target) triple that has an 'unblocked' row."""
     triples = tracker.where(F.col("status") == "unblocked").select(*DELETE_KEY).distinct()
-    return tracker.join(triples, list(DELETE_KEY), "left_anti")
+    return join_split(tracker, triples, DELETE_KEY, "left_anti")
 
 
 def create_table(spark: SparkSession, path: str, schema=schemas.TRACKER_SCHEMA,

@@ -1,13 +1,10 @@
 """JON-06: classify free-text reasons with ordered keyword rules per market.
 
-The rules are a config sheet: (market, rule_no, keyword list, blocker_type).
-They are folded into one sorted array of rules per market and broadcast-joined
-to the observations on ``market`` -- one extra column per row, no fan-out and
-no shuffle of the (possibly long) texts.  The first matching rule is then a
-higher-order expression inside whole-stage codegen.
-
-Rule sets beyond the broadcast bound are processed in ordered chunks, each chunk
-broadcast on its own; the first chunk with a hit wins, so the result stays exact.
+The rules are a config sheet: (market, rule_no, keyword list, blocker_type).  Reason
+texts repeat a lot, so they are classified once per distinct (market, text): the
+distinct texts are joined with their market's keywords, the containment test being the
+join's residual condition, the hit with the smallest rule number is kept, and the
+answers are joined back to the rows.
 """
 
 from __future__ import annotations
@@ -16,65 +13,35 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from itemtrack.functions import fixed
 from itemtrack.functions.scalars import _regex_literal
-from itemtrack.operators.common import MAX_BROADCAST_ROWS, fits_broadcast
+from itemtrack.operators.common import join_split
 
 
-def _rule_arrays(rules: DataFrame, sep: str) -> DataFrame:
-    rule = F.struct(
-        F.col("rule_no").alias("rule_no"),
-        F.split(F.col("keyword"), _regex_literal(sep)).alias("keys"),
-        F.col("blocker_type").alias("blocker_type"),
-    )
+def _keywords(rules: DataFrame, sep: str) -> DataFrame:
+    """One row per keyword: market, rule number, keyword, type."""
     return (rules.where(F.col("keyword").isNotNull())
-            .groupBy(F.col("market").alias("_rules_market"))
-            .agg(F.array_sort(F.collect_list(rule)).alias("_rules")))
-
-
-def _first_hit(text: Column) -> Column:
-    """Blocker type of the first rule (array order = rule order) with a keyword in
-    ``text``.  The fold stops testing once a rule has matched, like the reference's
-    early ``break``."""
-    return F.aggregate(
-        "_rules", F.lit(None).cast("string"),
-        lambda found, r: F.when(found.isNotNull(), found)
-        .when(F.exists(r["keys"], lambda k: text.contains(k)), r["blocker_type"]))
-
-
-def _with_rules(df: DataFrame, rules: DataFrame, market_col: str, sep: str) -> DataFrame:
-    arrays = F.broadcast(_rule_arrays(rules, sep))
-    return df.join(arrays, F.col(market_col) == F.col("_rules_market"), "left")
+            .select(F.col("market").alias("_rule_market"), "rule_no", F.col("blocker_type").alias("_type"),
+                    F.explode(F.split(F.col("keyword"), _regex_literal(sep))).alias("_word")))
 
 
 def first_matching_rule(df: DataFrame, rules: DataFrame, text_col: str = "reason_text",
                         market_col: str = "market", out: str = "matched_type",
-                        sep: str = fixed.KEYWORD_SEPARATOR,
-                        max_rules: int = MAX_BROADCAST_ROWS, only_when: Column | None = None
-                        ) -> DataFrame:
+                        sep: str = fixed.KEYWORD_SEPARATOR, only_when: Column | None = None,
+                        matched: str | None = None) -> DataFrame:
     """Blocker type of the first rule (by rule_no, same market) with any keyword
     as a literal, case-sensitive substring of the text; NULL when none matches
-    (or when ``only_when`` is false: the rules are then not evaluated at all)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-
-    def hit():
-        h = _first_hit(text)
-        return h if only_when is None else F.when(only_when, h)
-
-    if fits_broadcast(rules, max_rules):
-        joined = _with_rules(df, rules, market_col, sep)
-        return joined.withColumn(out, hit()).drop("_rules_market", "_rules")
-    # Large rule sets: ordered chunks of bounded size, earliest chunk wins.
-    chunked = rules.withColumn("_chunk", F.floor((F.col("rule_no") - 1) / max_rules))
-    chunk_ids = sorted(r[0] for r in chunked.select("_chunk").distinct().collect())
-    result, found = df, None
-    for i, cid in enumerate(chunk_ids):
-        name = f"_hit{i}"
-        part = chunked.where(F.col("_chunk") == cid).drop("_chunk")
-        h = hit() if found is None else F.when(found.isNull(), hit())
-        result = (_with_rules(result, part, market_col, sep)
-                  .withColumn(name, h).drop("_rules_market", "_rules"))
-        found = F.col(name) if found is None else F.coalesce(found, F.col(name))
-    result = result.withColumn(out, found)
-    return result.drop(*[f"_hit{i}" for i in range(len(chunk_ids))])
+    (or when ``only_when`` is false) and also when the rule that matches has no type.
+    ``matched`` names a column that tells these cases apart."""
+    asked = df.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn(
+        "_text", F.col("_text") if only_when is None else F.when(only_when, F.col("_text")))
+    texts = asked.where("_text IS NOT NULL").select(F.col(market_col).alias("_market"), "_text").distinct()
+    hit = (F.col("_market") == F.col("_rule_market")) & F.col("_text").contains(F.col("_word"))
+    first = (texts.join(_keywords(rules, sep), hit).groupBy("_market", "_text")
+             .agg(F.min(F.struct("rule_no", "_type")).alias("_hit")))
+    joined = join_split(asked.withColumn("_market", F.col(market_col)), first, ["_market", "_text"], "left")
+    joined = joined.withColumn(out, F.col("_hit._type"))
+    if matched:
+        joined = joined.withColumn(matched, F.col("_hit").isNotNull())
+    return joined.select(*df.columns, out, *([matched] if matched else []))
 
 
 def classify(df: DataFrame, rules: DataFrame, text_col: str = "reason_text",
@@ -82,16 +49,17 @@ def classify(df: DataFrame, rules: DataFrame, text_col: str = "reason_text",
              out: str = "new_reason", sep: str = fixed.KEYWORD_SEPARATOR) -> DataFrame:
     """JON-06 in full.
 
-    contribution = 'OperationalRule' and text != '': first matching rule of the
-    market, else 'Others'; contribution = 'OperationalRule' and text = '':
-    'No blocker'; any other contribution: 'Others'.  Missing values count as ''.
+    contribution = 'OperationalRule' and text != '': type of the first matching rule of
+    the market (NULL if that rule has none), without a match 'Others'; contribution =
+    'OperationalRule' and text = '': 'No blocker'; any other contribution: 'Others'.
+    Missing values count as ''.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     contrib = F.coalesce(F.col(contribution_col), F.lit(""))
     is_rule = contrib == fixed.OPERATIONAL_RULE
-    matched = first_matching_rule(df, rules, text_col, market_col, "_matched", sep,
-                                  only_when=is_rule & (text != ""))
-    decision = (F.when(is_rule & (text != ""), F.coalesce(F.col("_matched"), F.lit(fixed.REASON_OTHERS)))
-                .when(is_rule, F.lit(fixed.REASON_NONE))
+    found = first_matching_rule(df, rules, text_col, market_col, "_found", sep,
+                                only_when=is_rule & (text != ""), matched="_matched")
+    decision = (F.when(F.col("_matched"), F.col("_found"))
+                .when(is_rule & (text == ""), F.lit(fixed.REASON_NONE))
                 .otherwise(F.lit(fixed.REASON_OTHERS)))
-    return matched.withColumn(out, decision).drop("_matched")
+    return found.withColumn(out, decision).drop("_found", "_matched")

@@ -1,4 +1,4 @@
-"""Building blocks shared by the operators: size-checked broadcast, keep-first,
+"""Building blocks shared by the operators: joins whose hot keys can be split, keep-first,
 ordered distinct lists and a scalable rank within a few large groups."""
 
 from __future__ import annotations
@@ -7,24 +7,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from itemtrack.session import scratch_path
 
-# Rule sheets beyond this many rows are classified in ordered chunks.
-MAX_BROADCAST_ROWS = 200_000
 
+def join_split(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join on ``on`` so that adaptive execution can split a hot key.
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (a tiny bounded job)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def config_side(df: DataFrame) -> DataFrame:
-    """A config-sized join side (code map, allow-list, quotas, gate).
-
-    No hint: the planner broadcasts it only when its estimated size is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks with the actual
-    size at run time; beyond that the join stays a shuffled join.  This costs no
-    extra job, unlike counting rows first.
+    A side that was just aggregated (or ranked) by the join key is joined without an
+    exchange of its own, and the skew rule only splits joins whose both sides were
+    exchanged for them.  A further equality on the hash of the key gives both sides
+    such an exchange; the key columns themselves still decide.
     """
-    return df
+    on = [on] if isinstance(on, str) else list(on)
+    mark = F.xxhash64(*on)
+    return (left.withColumn("_key_hash", mark)
+            .join(right.withColumn("_key_hash", mark), ["_key_hash", *on], how).drop("_key_hash"))
 
 
 def literal_table(spark, rows, schema: str) -> DataFrame:
@@ -39,7 +34,7 @@ def literal_table(spark, rows, schema: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
     """Write ``df`` once as a Parquet table under the cluster's checkpoint folder
     (``spark.checkpoint.dir``) and read it from there.
 
@@ -49,7 +44,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     pushdown, and the lineage is cut, so lost executors do not recompute it.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -106,7 +101,7 @@ def ordered_distinct_list(df: DataFrame, keys, value: str, order_col: str = "seq
 
 
 def rank_within(df: DataFrame, group: str, order_cols, out: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, store: str | None = None) -> DataFrame:
     """Dense 1-based position of each row inside ``group`` by ``order_cols``.
 
     A window partitioned by ``group`` puts a whole group in one task, which does
@@ -117,8 +112,11 @@ def rank_within(df: DataFrame, group: str, order_cols, out: str = "rank",
     2. number rows inside each partition (``monotonically_increasing_id`` right
        after the sort) and materialize them in the checkpoint folder, so partition
        ids and positions keep their values even if executors are lost later;
-    3. count rows per (partition, group): at most partitions + groups rows, a
-       proven bound, hence broadcast; prefix sums give each run's offset.
+    3. count rows per (partition, group): at most partitions + groups rows; prefix
+       sums give each run's offset.  Rows of a null group are ranked like any other.
+
+    The written table is at ``store`` (default: a fresh scratch folder); the caller owns
+    it and may remove it (:func:`itemtrack.session.remove_path`) once the result is used.
     """
     order_cols = list(order_cols)
     spark = df.sparkSession
@@ -128,12 +126,13 @@ def rank_within(df: DataFrame, group: str, order_cols, out: str = "rank",
               .sortWithinPartitions(group, *order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
-    ranged = materialize(ranged, "rank")
+    ranged = materialize(ranged, "rank", store)
     runs = (ranged.groupBy("_pid", group)
             .agg(F.min("_pos").alias("_p0"), F.count(F.lit(1)).alias("_n")))
     before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    runs = runs.select("_pid", group, "_p0", "_before")
-    return (ranged.join(F.broadcast(runs), ["_pid", group])
+    runs = runs.select(F.col("_pid").alias("_run"), F.col(group).alias("_group"), "_p0", "_before")
+    same = (ranged["_pid"] == runs["_run"]) & ranged[group].eqNullSafe(runs["_group"])
+    return (ranged.join(runs, same)
             .withColumn(out, F.col("_pos") - F.col("_p0") + F.col("_before") + 1)
-            .drop("_pid", "_pos", "_p0", "_before"))
+            .drop("_pid", "_pos", "_run", "_group", "_p0", "_before"))

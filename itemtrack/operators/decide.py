@@ -14,7 +14,7 @@ reduced map-side before it is shuffled:
   window over the (item, market) table (at most one row per market per item);
 
 then one join of the rows to their (item, market) statistics.  That join is the
-only shuffle of full rows; AQE splits a skewed key there.
+only shuffle of full rows; both sides are exchanged for it, so AQE splits a hot key.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from itemtrack.functions import fixed
-from itemtrack.operators.common import keep_first, ordered_distinct_list
+from itemtrack.operators.common import join_split, keep_first, ordered_distinct_list
 from itemtrack.schemas import ITEM_MARKET
 
 OTHERS, NONE = fixed.REASON_OTHERS, fixed.REASON_NONE
@@ -50,20 +50,20 @@ def rows_per_item(df: DataFrame, out: str = "item_rows") -> DataFrame:
     hot item is never buffered whole in one task.
     """
     counts = df.groupBy("item_id").agg(F.count(F.lit(1)).alias(out))
-    return df.join(counts, "item_id", "left")
+    return join_split(df, counts, "item_id", "left")
 
 
 def markets_per_item(df: DataFrame, out: str = "item_markets") -> DataFrame:
     """WIN-03: distinct markets per item (distinct windows are not supported)."""
     counts = (df.select("item_id", "market").distinct()
               .groupBy("item_id").agg(F.count(F.lit(1)).alias(out)))
-    return df.join(counts, "item_id", "left")
+    return join_split(df, counts, "item_id", "left")
 
 
 def rows_per_item_market(df: DataFrame, out: str = "market_rows") -> DataFrame:
     """WIN-04: rows per (item, market), attached to every row."""
     counts = df.groupBy(*ITEM_MARKET).agg(F.count(F.lit(1)).alias(out))
-    return df.join(counts, list(ITEM_MARKET), "left")
+    return join_split(df, counts, ITEM_MARKET, "left")
 
 
 def last_market(df: DataFrame, order_col: str = "seq", out: str = "last_market") -> DataFrame:
@@ -138,7 +138,7 @@ def decide(df: DataFrame, mode: str = AS_WRITTEN, order_col: str = "seq",
     if mode not in (AS_WRITTEN, PER_MARKET):
         raise ValueError(f"unknown decision mode {mode!r}")
     stats = _stats(df, order_col)
-    rows = df.join(stats, list(ITEM_MARKET), "left")
+    rows = join_split(df, stats, ITEM_MARKET, "left")
     nr, old = F.col("new_reason"), F.col(old_col)
     own_single = _single(nr, old)
     own_many = _one_market(F.col("m_reasons"), old)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from itemtrack.operators.common import join_split
 from itemtrack.schemas import ITEM_MARKET
 
 
@@ -16,11 +17,11 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, on=ITEM_MARKET) -> DataFram
     """JON-07: rows of a large table whose key is in the key table (semi join).
 
     The key list is made distinct first (a partial aggregate), so a key repeated
-    in a third of the list is collapsed map-side instead of piling up on one
-    task of the join's build side, where AQE cannot split it.
+    in a third of the list is collapsed map-side; a key hot in ``df`` is split by
+    adaptive execution.
     """
     on = list(on)
-    return df.join(keys.select(*on).distinct(), on, "left_semi")
+    return join_split(df, keys.select(*on).distinct(), on, "left_semi")
 
 
 def inflow_lookup(tracker: DataFrame, inflow: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def status_lookup(tracker: DataFrame, keys: DataFrame) -> DataFrame:
 
 def attach_state(observations: DataFrame, state: DataFrame) -> DataFrame:
     """JON-04: observations left-joined to tracker state on (item, market); fans out."""
-    return observations.join(state, list(ITEM_MARKET), "left")
+    return join_split(observations, state, ITEM_MARKET, "left")
 
 
 def first_state(tracker: DataFrame, order_col: str = "seq") -> DataFrame:
@@ -70,4 +71,4 @@ def latest_export(core: DataFrame, keys: DataFrame | None = None, by=("item_id",
 def queue_with_latest(queue: DataFrame, latest: DataFrame) -> DataFrame:
     """JON-03: queue (item, market_code) inner-joined to the latest export;
     queue duplicates fan out, as in the reference."""
-    return queue.join(latest, ["item_id", "market_code"], "inner")
+    return join_split(queue, latest, ["item_id", "market_code"], "inner")

@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from itemtrack.functions import fixed
-from itemtrack.operators.common import config_side, literal_table
+from itemtrack.operators.common import literal_table
 
 
-def _last(codes: DataFrame, key: str, value: str, order_col: str | None) -> DataFrame:
+def _last(codes: DataFrame, key: str, value: str, order_col: str) -> DataFrame:
     """One row per ``key``; the last duplicate in sheet order wins."""
-    if order_col and order_col in codes.columns:
-        agg = F.max_by(F.col(value), F.col(order_col))
-    else:
-        agg = F.max(F.col(value))
+    if order_col not in codes.columns:
+        raise ValueError(f"the code sheet needs its order in column {order_col!r}")
+    agg = F.max_by(F.col(value), F.col(order_col))
     return codes.where(F.col(key).isNotNull()).groupBy(key).agg(agg.alias(value))
 
 
@@ -32,12 +31,11 @@ def _strict(col: str, what: str, key: str):
 
 def attach_market(df: DataFrame, codes: DataFrame, code_col: str = "market_code",
                   out: str = "market", strict: bool = False, order_col: str = "seq") -> DataFrame:
-    """JON-05, code -> market: broadcast left join (the map is config-sized and
-    size-checked).  Unknown codes keep a NULL market (see :func:`rejects`) or, in
+    """JON-05, code -> market: left join (the planner broadcasts a small map).  Unknown codes keep a NULL market (see :func:`rejects`) or, in
     strict mode, fail the job like the reference's dictionary lookup."""
     cmap = code_to_market(codes, order_col).select(
         F.col("market_code").alias("_code"), F.col("market").alias("_market"))
-    joined = df.join(config_side(cmap), F.col(code_col) == F.col("_code"), "left")
+    joined = df.join(cmap, F.col(code_col) == F.col("_code"), "left")
     value = _strict("_market", "market code", code_col) if strict else F.col("_market")
     return joined.withColumn(out, value).drop("_code", "_market")
 
@@ -48,7 +46,7 @@ def attach_code(df: DataFrame, codes: DataFrame, market_col: str = "market",
     """JON-05, market -> code."""
     cmap = market_to_code(codes, order_col).select(
         F.col("market").alias("_mk"), F.col("market_code").alias("_mcode"))
-    joined = df.join(config_side(cmap), F.col(market_col) == F.col("_mk"), "left")
+    joined = df.join(cmap, F.col(market_col) == F.col("_mk"), "left")
     value = _strict("_mcode", "market", market_col) if strict else F.col("_mcode")
     return joined.withColumn(out, value).drop("_mk", "_mcode")
 
@@ -59,15 +57,15 @@ def rejects(df: DataFrame, out: str = "market") -> DataFrame:
 
 
 def allowed(df: DataFrame, allow: DataFrame, market_col: str = "market") -> DataFrame:
-    """FLT-04: keep rows of allowed markets (semi join on the broadcast allow-list)."""
+    """FLT-04: keep rows of allowed markets (semi join on the allow-list)."""
     a = allow.select(F.col("market").alias("_allowed")).distinct()
-    return df.join(config_side(a), F.col(market_col) == F.col("_allowed"), "left_semi")
+    return df.join(a, F.col(market_col) == F.col("_allowed"), "left_semi")
 
 
 def skipped(df: DataFrame, allow: DataFrame, market_col: str = "market") -> DataFrame:
     """FLT-04 report side: rows of markets outside the allow-list."""
     a = allow.select(F.col("market").alias("_allowed")).distinct()
-    return df.join(config_side(a), F.col(market_col) == F.col("_allowed"), "left_anti")
+    return df.join(a, F.col(market_col) == F.col("_allowed"), "left_anti")
 
 
 def region_pairs(spark: SparkSession, mapping=None) -> DataFrame:
@@ -82,4 +80,4 @@ def in_market_regions(df: DataFrame, pairs: DataFrame, market_col: str = "market
     """FLT-05: keep rows whose region id is in the set of their market."""
     p = pairs.select(F.col("market").alias("_m"), F.col("region_id").alias("_r"))
     cond = (F.col(market_col) == F.col("_m")) & (F.col(region_col) == F.col("_r"))
-    return df.join(F.broadcast(p), cond, "left_semi")
+    return df.join(p, cond, "left_semi")

@@ -41,9 +41,9 @@ def status_queue(tracker: DataFrame, columns=("item_id", "market"),
     return tracker.where(cond).select(*columns)
 
 
-def dimension_queue(tracker: DataFrame, reason_name: str = fixed.NOT_CONVEYABLE_REASON,
+def dimension_queue(tracker: DataFrame, reason_name: str,
                     columns=("item_id", "market"), case_insensitive: bool = False) -> DataFrame:
-    """FLT-03: reason is the rule name, '' or NULL; status not done; and one of
+    """FLT-03: reason is ``reason_name`` (the caller's config), '' or NULL; status not done; and one of
     the two completeness flags is not 'True' (or NULL)."""
     reason = _text("reason", case_insensitive)
     flags = [_text(c, case_insensitive) for c in ("has_dimensions", "has_weight")]

@@ -6,16 +6,15 @@ returned in a second output instead of being dropped silently); a market
 without slots assigns nothing.
 
 Plan: the queue position is computed by :func:`rank_within` (range partitioning
-plus broadcast prefix sums: no task holds a whole market); slots become
-(lo, hi] ranges by a running sum over the small quota sheet; a broadcast hash
-join on ``market`` with the range as residual condition assigns each item.
+plus prefix sums: no task holds a whole market); slots become
+(lo, hi] ranges by a running sum over the small quota sheet; a join on ``market`` with the range as residual condition assigns each item.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from itemtrack.operators.common import config_side, rank_within
+from itemtrack.operators.common import rank_within
 
 
 def slot_ranges(quotas: DataFrame) -> DataFrame:
@@ -28,31 +27,39 @@ def slot_ranges(quotas: DataFrame) -> DataFrame:
             .select("market", "slot_no", "slot_ref", "lo", "hi"))
 
 
-def queue_positions(queue: DataFrame, order_col: str = "seq") -> DataFrame:
-    """TOP-02 building block: 1-based position of every queue row in its market."""
-    return rank_within(queue, "market", [order_col, "item_id"], out="position")
+def queue_positions(queue: DataFrame, order_col: str = "seq", store: str | None = None) -> DataFrame:
+    """1-based position of every queue row in its market (a null market is one too)."""
+    return rank_within(queue, "market", [order_col, "item_id"], out="position", store=store)
 
 
-def plan_batches(queue: DataFrame, quotas: DataFrame, order_col: str = "seq"):
-    """WIN-06: returns ``(assigned, unassigned)``.
+def plan_batches(queue: DataFrame, quotas: DataFrame, order_col: str = "seq", store: str | None = None):
+    """WIN-06: returns ``(assigned, unassigned)``, together the whole queue.
 
     assigned: market, slot_no, slot_ref, item_id, position (+ queue columns);
-    unassigned: the queue rows beyond the total capacity of their market.
+    unassigned: the queue rows beyond the total capacity of their market, also those
+    of markets without slots and of no market.
+
+    The positions are written at once, to ``store`` if given (the caller's folder, to be
+    removed when the outputs are no longer needed), else to a fresh scratch folder.
     """
-    ranked = queue_positions(queue, order_col)
-    ranges = config_side(slot_ranges(quotas))
+    ranked = queue_positions(queue, order_col, store)
+    ranges = slot_ranges(quotas)
     cond = ((ranked["market"] == ranges["market"])
             & (ranked["position"] > ranges["lo"]) & (ranked["position"] <= ranges["hi"]))
     assigned = ranked.join(ranges, cond, "inner").select(
         ranked["market"], "slot_no", "slot_ref", *[ranked[c] for c in ranked.columns if c != "market"])
     totals = quotas.groupBy("market").agg(
         F.sum(F.greatest(F.coalesce("capacity", F.lit(0)), F.lit(0))).cast("long").alias("_total"))
-    unassigned = (ranked.join(config_side(totals), "market", "left")
+    unassigned = (ranked.join(totals, "market", "left")
                   .where(F.col("position") > F.coalesce(F.col("_total"), F.lit(0)))
                   .drop("_total"))
     return assigned, unassigned
 
 
 def first_n_per_market(queue: DataFrame, n: int, order_col: str = "seq") -> DataFrame:
-    """TOP-02: the first ``n`` queue rows per market (a rank filter)."""
-    return queue_positions(queue, order_col).where(F.col("position") <= n)
+    """TOP-02: the first ``n`` queue rows per market with their position.
+
+    A head needs no positions of the whole queue: the rank filter is planned as a
+    group limit below the shuffle, so a task sends at most ``n`` rows of a market."""
+    head = Window.partitionBy("market").orderBy(order_col, "item_id")
+    return queue.withColumn("position", F.row_number().over(head)).where(F.col("position") <= n)

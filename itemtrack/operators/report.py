@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from itemtrack.operators.common import config_side, literal_table
+from itemtrack.operators.common import literal_table
 
 
 def items_per_code(df: DataFrame, key: str = "market_code", item: str = "item_id",
@@ -43,7 +43,7 @@ def refresh_report(updated_rows: DataFrame, requested: DataFrame, allow: DataFra
     counts = rows_per_requested_market(updated_rows, requested, "rows_updated")
     allowed = allow.select("market").distinct().withColumn("_allowed", F.lit(True))
     queued = queue.groupBy("market").agg(F.count(F.lit(1)).alias("_queued"))
-    return (counts.join(config_side(allowed), "market", "left")
+    return (counts.join(allowed, "market", "left")
             .join(queued, "market", "left")
             .select("market",
                     (F.coalesce("_allowed", F.lit(False))

@@ -8,7 +8,6 @@ arguments), DuckDB the view names.  These are fixtures, not library code.
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +43,7 @@ SELECT
   o_orderstatus AS offer_type,
   CASE WHEN o_orderkey % 2 = 0 THEN 'refresh' ELSE 'intake' END AS task,
   CASE WHEN o_orderkey % 8 < 4 THEN 'core export' ELSE 'dimension' END AS subtask_type,
-  CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'NotConveyable'
+  CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'OddShape'
        WHEN 3 THEN 'TooLarge' ELSE 'Others' END AS reason,
   CASE o_orderkey % 4 WHEN 0 THEN 'TP' WHEN 1 THEN 'unblocked' WHEN 2 THEN 'WIP'
        ELSE NULL END AS status,
@@ -134,12 +133,14 @@ SELECT
 FROM {{documents}}
 """
 
-# Keyword rules per market in sheet order; 'es' has none on purpose.
+# Keyword rules per market in sheet order; 'es' has none on purpose, one rule has no type
+# and the empty keyword is in every text.
 VIEWS["v_keywords"] = """
 SELECT * FROM (VALUES
   ('en', 1, '@;License', 'Policy'), ('en', 2, 'ein', 'German'), ('en', 3, 'ou', 'Common'),
   ('de', 1, '@;License', 'Policy'), ('de', 2, 'ein', 'German'), ('de', 3, 'ou', 'Common'),
-  ('fr', 1, '@;License', 'Policy'), ('fr', 2, 'ein', 'German'), ('fr', 3, 'ou', 'Common')
+  ('fr', 1, '@;License', 'Policy'), ('fr', 2, 'eau;que', NULL), ('fr', 3, 'ou', 'Common'),
+  ('fr', 4, '', 'Any')
 ) AS t(market, rule_no, keyword, blocker_type)
 """
 
@@ -198,7 +199,8 @@ SELECT * FROM (VALUES
 """
 
 VIEWS["v_queue"] = f"""
-SELECT {pad('c_custkey')} AS item_id, CAST(c_nationkey AS STRING) AS market, c_custkey AS seq
+SELECT {pad('c_custkey')} AS item_id,
+       CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE CAST(c_nationkey AS STRING) END AS market, c_custkey AS seq
 FROM {{customer}}
 """
 
@@ -250,24 +252,9 @@ def cte(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({duckdb_sql(n)})" for n in names)
 
 
-SPREAD_BYTES = 8 << 20
-
-
 def base_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A driver table.  The test files hold a single row group each, so a scan is
-    one task; a large one (over ``SPREAD_BYTES``) is spread round-robin over the
-    cores (filters and column pruning still reach the Parquet scan below it).
-    Tables stored as many files / row groups keep their scan splits untouched."""
-    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    try:
-        size = os.path.getsize(path)
-    except OSError:
-        size = 0
-    if cores > 2 and size > SPREAD_BYTES and df.rdd.getNumPartitions() * 4 <= cores:
-        df = df.repartition(cores)
-    return df
+    """A driver table, with its own scan splits."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -19,13 +19,15 @@ from itemtrack.operators.jobs import job_gate, job_states
 from itemtrack.plans import bindings as B
 from itemtrack.plans import refresh as P
 from itemtrack.session import scratch_path
+from itemtrack.streaming import ingest
 from itemtrack.sources import sinks, tables, tsv
+from itemtrack.sources.sinks import VersionedTable
 from itemtrack.sources.warehouse import dimension_extract
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
-REASON_NAME = "NotConveyable"          # the binding's name of the dimension-queue reason
+REASON_NAME = "OddShape"          # the binding's name of the dimension-queue reason
 REQUESTED = ["US", "UK", "DE", "JP", "AE", "FR"]
 TRACKER_COLS = schemas.TRACKER_COLUMNS + ["seq"]
 
@@ -481,7 +483,7 @@ typ AS (SELECT hit.seq, k.blocker_type FROM hit JOIN {src} r USING (seq)
         JOIN {rules} k ON k.market = r.market AND k.rule_no = hit.rule_no),
 classified AS (SELECT r.*, CASE
    WHEN coalesce(r.contribution, '') = 'OperationalRule' AND coalesce(r.reason_text, '') <> ''
-     THEN coalesce(typ.blocker_type, 'Others')
+     THEN CASE WHEN typ.seq IS NULL THEN 'Others' ELSE typ.blocker_type END
    WHEN coalesce(r.contribution, '') = 'OperationalRule' THEN 'No blocker'
    ELSE 'Others' END AS new_reason
    FROM {src} r LEFT JOIN typ USING (seq))"""
@@ -693,6 +695,17 @@ s AS (SELECT market, slot_no, slot_ref, greatest(capacity, 0) AS cap,
 SELECT q.item_id, q.market, q.seq, q.position, s.slot_no, s.slot_ref FROM q
 LEFT JOIN s ON q.market = s.market AND q.position > s.hi - s.cap AND q.position <= s.hi"""
 
+
+
+@query("TOP_02")
+def top_02(spark, sf):
+    return quota.first_n_per_market(v(spark, sf, "v_queue"), 20).select("item_id", "market", "seq", "position")
+
+
+ORACLE["TOP_02"] = with_("v_queue") + """
+SELECT * FROM (SELECT item_id, market, seq, row_number() OVER (PARTITION BY market ORDER BY seq, item_id)
+               AS position FROM v_queue) WHERE position <= 20"""
+
 # ========================================================== 2.7 sets =======
 
 
@@ -1100,11 +1113,144 @@ SELECT item_id, market, contribution, new_reason, reason, status, seq, next_reas
 FROM decided"""
 
 
+def _status_rows(spark, sf):
+    return P.refresh_status(tracker(spark, sf), v(spark, sf, "v_obs_raw"), v(spark, sf, "v_obs_rules"),
+                            v(spark, sf, "v_codes"), on_duplicate="allow")
+
+
+@query("PIP_03_TRACKER")
+def pip_03_tracker(spark, sf):
+    return _status_rows(spark, sf)["tracker"]
+
+
+_PIP03_UPDATES = """
+, upd AS (SELECT item_id, market, coalesce(next_reason, '') AS reason, coalesce(next_status, '') AS status, seq
+    FROM (SELECT *, row_number() OVER (PARTITION BY market, item_id ORDER BY seq) AS rn FROM decided)
+    WHERE rn = 1)"""
+_PIP03_DECIDED = ORACLE["PIP_03"][:ORACLE["PIP_03"].rindex("SELECT item_id, market, contribution")]
+
+ORACLE["PIP_03_TRACKER"] = _PIP03_DECIDED + _PIP03_UPDATES + """
+SELECT t.* REPLACE (CASE WHEN u.item_id IS NULL THEN t.reason ELSE u.reason END AS reason,
+                    CASE WHEN u.item_id IS NULL THEN t.status ELSE u.status END AS status)
+FROM v_tracker t LEFT JOIN upd u USING (item_id, market)"""
+
+
+@query("PIP_03_UPDATES")
+def pip_03_updates(spark, sf):
+    return _status_rows(spark, sf)["updates"]
+
+
+ORACLE["PIP_03_UPDATES"] = _PIP03_DECIDED + _PIP03_UPDATES + "SELECT * FROM upd"
+
+
+@query("PIP_03_BATCHES")
+def pip_03_batches(spark, sf):
+    out = P.status_batches(tracker(spark, sf), v(spark, sf, "v_dim_quota"))
+    return changes.union_by_name(out["assigned"], out["unassigned"])
+
+
+ORACLE["PIP_03_BATCHES"] = with_("v_tracker_raw", "v_dim_quota", extra=[T_CTE]) + """,
+q AS (SELECT item_id, market, seq, row_number() OVER (PARTITION BY market ORDER BY seq, item_id) AS position
+      FROM v_tracker WHERE (status NOT IN ('TP', 'unblocked') OR status IS NULL) AND export_date IS NULL),
+s AS (SELECT market, slot_no, slot_ref, greatest(capacity, 0) AS cap,
+        sum(greatest(capacity, 0)) OVER (PARTITION BY market ORDER BY slot_no
+                                         ROWS UNBOUNDED PRECEDING) AS hi FROM v_dim_quota)
+SELECT q.item_id, q.market, q.seq, q.position, s.slot_no, s.slot_ref FROM q
+LEFT JOIN s ON q.market = s.market AND q.position > s.hi - s.cap AND q.position <= s.hi"""
+
+
+def _streamed(spark, sf, log: bool):
+    """The status stream over result files written from the events, into a tracker table
+    that other jobs have already given later versions."""
+    root = _write_obs_files(spark, sf, F.lit("inbox"), F.col("seq") % 4)
+    base = scratch_path(spark, "stream")
+    store = VersionedTable(spark, f"{base}/tracker")
+    for _ in range(2):
+        store.commit(tracker(spark, sf).drop("seq"))
+    args = (v(spark, sf, "v_obs_rules"), v(spark, sf, "v_codes"), f"{base}/checkpoint")
+    if log:
+        ingest.start_status_log_stream(spark, root, store, f"{base}/log", *args).awaitTermination()
+        return ingest.current_tracker(spark, store, f"{base}/log")
+    ingest.start_status_stream(spark, root, store, *args, on_duplicate="allow").awaitTermination()
+    return store.read(schema=schemas.TRACKER_SCHEMA)
+
+
+@query("STM_01")
+def stm_01(spark, sf):
+    root = _write_obs_files(spark, sf, F.lit("inbox"), F.col("seq") % 4)
+    out = scratch_path(spark, "stream-rows")
+
+    def apply(batch, batch_id):
+        (ingest.observation_batch(batch, batch_id).select(*_READ_BACK)
+         .write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
+
+    (ingest.observation_stream(spark, root, max_files_per_trigger=2).writeStream.foreachBatch(apply)
+     .option("checkpointLocation", scratch_path(spark, "stream-checkpoint"))
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(out).select(*_READ_BACK)
+
+
+ORACLE["STM_01"] = ORACLE["SRC_03"]
+
+
+@query("STM_02")
+def stm_02(spark, sf):
+    return _streamed(spark, sf, log=False)
+
+
+@query("STM_02_LOG")
+def stm_02_log(spark, sf):
+    return _streamed(spark, sf, log=True)
+
+
+_STREAM_SQL = with_("v_obs_raw", "v_obs_rules", "v_codes", "v_tracker_raw", extra=[
+    T_CTE, CM1_CTE, _EXPECT_ROWS, """
+obs AS (SELECT CASE WHEN length(coalesce(asin, '')) >= 10 THEN coalesce(asin, '')
+                    ELSE lpad(coalesce(asin, ''), 10, '0') END AS item_id,
+               cm1.market, coalesce(contributions, '') AS contribution,
+               coalesce(restriction_reasons, '') AS reason_text, (o.seq % 4) * 1000000000 + o.seq AS seq
+        FROM rows o LEFT JOIN cm1 ON cm1.market_code = CAST(o.marketplace_id AS INTEGER))""",
+    _CLASSIFY_SQL.format(src="obs", rules="v_obs_rules").strip(), """
+dd AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY item_id, market,
+       new_reason, reason_text ORDER BY seq) AS rn FROM classified) WHERE rn = 1)""", f"""
+st AS (SELECT item_id, market, reason, status FROM (SELECT *, row_number() OVER
+       (PARTITION BY item_id, market ORDER BY {", ".join(c + " NULLS FIRST" for c in schemas.TRACKER_KEY)}) AS rn
+       FROM v_tracker) WHERE rn = 1)""", """
+joined AS (SELECT dd.*, st.reason, st.status FROM dd LEFT JOIN st USING (item_id, market))"""]) + \
+    decide_sql("joined") + _PIP03_UPDATES + f"""
+SELECT {", ".join("t." + c for c in schemas.TRACKER_COLUMNS if c not in ("reason", "status"))},
+  CASE WHEN u.item_id IS NULL THEN t.reason ELSE u.reason END AS reason,
+  CASE WHEN u.item_id IS NULL THEN t.status ELSE u.status END AS status
+FROM v_tracker t LEFT JOIN upd u USING (item_id, market)"""
+ORACLE["STM_02"] = ORACLE["STM_02_LOG"] = _STREAM_SQL
+
+
+def _intake(spark, sf):
+    t = tracker(spark, sf)
+    return P.intake_inflow(t, t.where(F.col("status") == "TP"), v(spark, sf, "v_inflow"))
+
+
+@query("PIP_04_HISTORY")
+def pip_04_history(spark, sf):
+    return _intake(spark, sf)["history"]
+
+
+ORACLE["PIP_04_HISTORY"] = ORACLE["DML_06"]
+
+
+@query("PIP_04_FOUND")
+def pip_04_found(spark, sf):
+    return _intake(spark, sf)["found"]
+
+
+ORACLE["PIP_04_FOUND"] = with_("v_tracker_raw", "v_inflow") + """
+SELECT t.item_id, t.market FROM v_tracker_raw t
+WHERE EXISTS (SELECT 1 FROM v_inflow i WHERE i.item_id = t.item_id AND i.market = t.market)"""
+
+
 @query("PIP_04")
 def pip_04(spark, sf):
-    t = tracker(spark, sf)
-    out = P.intake_inflow(t, t.where(F.col("status") == "TP"), v(spark, sf, "v_inflow"))
-    return out["tracker"]
+    return _intake(spark, sf)["tracker"]
 
 
 ORACLE["PIP_04"] = with_("v_tracker_raw", "v_inflow", extra=_ARCHIVE_SQL + [f"""

@@ -31,7 +31,9 @@ def refresh_export_dates(tracker: DataFrame, core_export: DataFrame, codes: Data
     latest = joins.latest_export(core_export, keys=queue, by=("item_id", "market_code"))
     joined = joins.queue_with_latest(queue, latest)
     updates = joined.select("item_id", "market", F.col("exportable_date").alias("export_date"))
-    new_tracker = changes.set_export_dates(tracker, updates, on_duplicate=on_duplicate)
+    # A key repeated in the queue repeats one and the same date.
+    new_tracker = changes.set_export_dates(tracker, updates.withColumn("seq", F.col("export_date")),
+                                           on_duplicate=on_duplicate)
     return {
         "queue": queue,
         "latest": latest,
@@ -58,10 +60,9 @@ def dimension_updates(rows: DataFrame, codes: DataFrame, strict: bool = True) ->
 
 
 def refresh_dimensions(tracker: DataFrame, quotas: DataFrame, warehouse: DataFrame,
-                       jobs: DataFrame, codes: DataFrame, regions: DataFrame,
-                       reason_name: str = "BizRule_ASINLevel_NotConveyable",
+                       jobs: DataFrame, codes: DataFrame, regions: DataFrame, reason_name: str,
                        result_rows: DataFrame | None = None,
-                       on_duplicate: str = "error") -> dict:
+                       on_duplicate: str = "error", scratch: str | None = None) -> dict:
     """PIP-02: FLT-03 -> WIN-06 -> SRC-06 -> AGG-06 -> (SRC-04/03) -> CMP-01 ->
     JON-05 -> DML-05.
 
@@ -69,7 +70,7 @@ def refresh_dimensions(tracker: DataFrame, quotas: DataFrame, warehouse: DataFra
     when absent the warehouse extract of the planned batches is used directly.
     """
     queue = queues.dimension_queue(tracker, reason_name, columns=("item_id", "market", "seq"))
-    assigned, unassigned = plan_batches(queue, quotas)
+    assigned, unassigned = plan_batches(queue, quotas, store=scratch)
     gate = job_gate(jobs)
     passed = passed_markets(jobs)
     if result_rows is None:
@@ -109,6 +110,13 @@ def decide_status(observations: DataFrame, tracker: DataFrame, rules: DataFrame,
     return dec.decide(rows, mode=mode)
 
 
+def status_batches(tracker: DataFrame, quotas: DataFrame, scratch: str | None = None) -> dict:
+    """PIP-03, planning: FLT-02 -> WIN-06, the items due and their quota batches."""
+    queue = queues.status_queue(tracker, columns=("item_id", "market", "seq"))
+    assigned, unassigned = plan_batches(queue, quotas, store=scratch)
+    return {"queue": queue, "assigned": assigned, "unassigned": unassigned}
+
+
 def refresh_status(tracker: DataFrame, raw_observations: DataFrame, rules: DataFrame,
                    codes: DataFrame, mode: str = dec.AS_WRITTEN,
                    on_duplicate: str = "error") -> dict:

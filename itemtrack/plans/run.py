@@ -16,13 +16,14 @@ blocker_type), ``quotas.csv`` (market, capacity, slot_ref), ``allow.csv``
 from __future__ import annotations
 
 import argparse
-import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from itemtrack import schemas
-from itemtrack.operators import lookups
+from itemtrack.operators import changes, lookups
+from itemtrack.operators.common import rank_within
 from itemtrack.plans import refresh as R
+from itemtrack.session import path_exists, remove_path, scratch_path
 from itemtrack.sources import sinks, tables, tsv
 from itemtrack.sources.sinks import VersionedTable
 
@@ -40,8 +41,8 @@ def load_config(spark: SparkSession, config_dir: str) -> dict:
     slot numbers derived from it."""
     out = {}
     for name, schema in SHEETS.items():
-        path = os.path.join(config_dir, f"{name}.csv")
-        if os.path.exists(path) or "://" in config_dir:
+        path = f"{config_dir.rstrip('/')}/{name}.csv"
+        if path_exists(spark, path):
             out[name] = tables.read_lookup(spark, path, schema, order_col="seq")
     if "rules" in out:
         out["rules"] = tables.number_rows(out["rules"], "rule_no", ["market"], ["seq"])
@@ -50,39 +51,49 @@ def load_config(spark: SparkSession, config_dir: str) -> dict:
     return out
 
 
-def with_seq(df: DataFrame) -> DataFrame:
-    """Table order for order-dependent steps when the table carries none: file
-    then position, taken right after the scan."""
-    if "seq" in df.columns:
-        return df
-    return df.withColumn("seq", F.struct(F.col("_metadata.file_path").alias("file"),
-                                         F.monotonically_increasing_id().alias("pos")))
+def with_seq(df: DataFrame, columns) -> DataFrame:
+    """Order for order-dependent steps: the table's own ``seq``, else the stated columns,
+    so that two runs over differently written files agree."""
+    return df if "seq" in df.columns else df.withColumn("seq", F.struct(*columns))
+
+
+def _sheet(cfg: dict, name: str) -> DataFrame:
+    if name not in cfg:
+        raise FileNotFoundError(f"this job needs the config sheet {name}.csv")
+    return cfg[name]
 
 
 def _read_store(spark, root):
     store = VersionedTable(spark, root)
-    return store, tables.normalize_tracker(with_seq(store.read(schema=schemas.TRACKER_SCHEMA)))
+    return store, tables.normalize_tracker(with_seq(store.read(schema=schemas.TRACKER_SCHEMA),
+                                                    schemas.TRACKER_KEY))
 
 
-def _publish(out_dir: str, job: str, frames: dict, fmt: str = "parquet") -> None:
+def _publish(out_dir: str, job: str, frames: dict, fmt: str = "parquet") -> dict:
+    """Write the snapshots of a run; returns them as read back, so that later steps do not
+    compute them again."""
+    out = {}
     for name, df in frames.items():
+        df = df.drop("seq") if name != "decisions" else df
         part = "market" if "market" in df.columns and len(df.columns) > 1 else None
-        sinks.write_snapshot(df, f"{out_dir.rstrip('/')}/{job}/{name}", fmt=fmt,
-                             partition_by=part)
+        path = sinks.write_snapshot(df, f"{out_dir.rstrip('/')}/{job}/{name}", fmt=fmt, partition_by=part)
+        if fmt == "parquet":
+            out[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+    return out
 
 
 def export_dates(spark, tracker_root, core_export_path, config_dir, out_dir, markets=None):
-    """PIP-01 end to end."""
+    """PIP-01 end to end; publishes the work queue, the latest-export table, the updates,
+    the report and the skipped markets."""
     store, tracker = _read_store(spark, tracker_root)
     cfg = load_config(spark, config_dir)
     core = tables.read_core_export(core_export_path, spark=spark)
-    res = R.refresh_export_dates(tracker, core, cfg["codes"], cfg["allow"], markets,
-                                 on_duplicate="keep_first")
-    _publish(out_dir, "export_dates", {k: res[k] for k in ("updates", "report", "skipped")})
+    res = R.refresh_export_dates(tracker, core, _sheet(cfg, "codes"), _sheet(cfg, "allow"), markets)
+    _publish(out_dir, "export_dates", {k: res[k] for k in ("queue", "latest", "updates", "report", "skipped")})
     return store.commit(res["tracker"].drop("seq"))
 
 
-def dimensions(spark, tracker_root, warehouse_path, config_dir, out_dir,
+def dimensions(spark, tracker_root, warehouse_path, config_dir, out_dir, reason_name,
                results_root=None, day=None):
     """PIP-02 end to end; reads result files (SRC-04/03) when ``results_root`` is given."""
     store, tracker = _read_store(spark, tracker_root)
@@ -90,35 +101,47 @@ def dimensions(spark, tracker_root, warehouse_path, config_dir, out_dir,
     rows = None
     if results_root:
         rows = tsv.discover_result_files(spark, results_root, schemas.DIMENSION_FILE_COLUMNS,
-                                         day=day)
-    res = R.refresh_dimensions(tracker, cfg["quotas"], spark.read.parquet(warehouse_path),
-                               cfg["jobs"], cfg["codes"], lookups.region_pairs(spark),
-                               result_rows=rows, on_duplicate="keep_first")
-    _publish(out_dir, "dimensions", {k: res[k] for k in ("assigned", "unassigned", "gate",
-                                                          "updates")})
-    return store.commit(res["tracker"].drop("seq"))
+                                         passed_markets=R.passed_markets(_sheet(cfg, "jobs")), day=day)
+    scratch = scratch_path(spark, "positions")
+    res = R.refresh_dimensions(tracker, _sheet(cfg, "quotas"), spark.read.parquet(warehouse_path),
+                               _sheet(cfg, "jobs"), _sheet(cfg, "codes"), lookups.region_pairs(spark),
+                               reason_name, result_rows=rows, scratch=scratch)
+    _publish(out_dir, "dimensions", {k: res[k] for k in ("assigned", "unassigned", "gate", "updates")})
+    version = store.commit(res["tracker"].drop("seq"))
+    remove_path(spark, scratch)
+    return version
 
 
 def status(spark, tracker_root, results_root, config_dir, out_dir, day=None,
            mode="as_written"):
-    """PIP-03 end to end: job gate, result files of the day, decisions, update."""
+    """PIP-03 end to end: work queue and batches (published for the next submission), job
+    gate, result files of the day, decisions (written once, the update is made from the
+    written table), keyed update."""
     store, tracker = _read_store(spark, tracker_root)
     cfg = load_config(spark, config_dir)
-    passed = R.passed_markets(cfg["jobs"]) if "jobs" in cfg else None
+    codes = _sheet(cfg, "codes")
+    if "quotas" in cfg:
+        scratch = scratch_path(spark, "positions")
+        batches = R.status_batches(tracker, cfg["quotas"], scratch=scratch)
+        _publish(out_dir, "status", batches)
+        remove_path(spark, scratch)
     raw = tsv.discover_result_files(spark, results_root, schemas.OBSERVATION_FILE_COLUMNS,
-                                    passed_markets=passed, day=day)
-    res = R.refresh_status(tracker, raw, cfg["rules"], cfg["codes"], mode=mode,
-                           on_duplicate="keep_first")
-    _publish(out_dir, "status", {"decisions": res["decisions"].drop("seq"),
-                                 "updates": res["updates"].drop("seq")})
-    return store.commit(res["tracker"].drop("seq"))
+                                    passed_markets=R.passed_markets(_sheet(cfg, "jobs")), day=day)
+    obs = R.prepare_observations(raw, codes)
+    written = _publish(out_dir, "status", {"decisions": R.decide_status(obs, tracker, _sheet(cfg, "rules"), mode)})
+    updates = changes.one_update_per_item_market(written["decisions"])
+    _publish(out_dir, "status", {"updates": updates})
+    return store.commit(changes.set_reason_status(tracker, updates).drop("seq"))
 
 
 def intake(spark, tracker_root, history_root, inflow_path, out_dir, only_archived=False):
     """PIP-04 end to end."""
     store, tracker = _read_store(spark, tracker_root)
     hstore, history = _read_store(spark, history_root)
-    inflow = with_seq(spark.read.parquet(inflow_path))
+    inflow = spark.read.parquet(inflow_path)
+    if "seq" not in inflow.columns:                  # order by the rows themselves, as one number
+        rows = [c for c in schemas.INFLOW_INSERT_COLUMNS if c in inflow.columns]
+        inflow = rank_within(inflow.withColumn("_all", F.lit(0)), "_all", rows, out="seq").drop("_all")
     res = R.intake_inflow(tracker, history, inflow, only_archived)
     _publish(out_dir, "intake", {"found": res["found"]})
     hversion = hstore.commit(res["history"].drop("seq"))
@@ -139,6 +162,7 @@ def main(argv=None) -> None:
     d.add_argument("--warehouse", required=True)
     d.add_argument("--config", required=True)
     d.add_argument("--out", required=True)
+    d.add_argument("--reason-name", required=True)
     d.add_argument("--results")
     d.add_argument("--day")
     s = sub.add_parser("status")
@@ -160,8 +184,8 @@ def main(argv=None) -> None:
     if args.job == "export-dates":
         v = export_dates(spark, args.tracker, args.core_export, args.config, args.out, args.markets)
     elif args.job == "dimensions":
-        v = dimensions(spark, args.tracker, args.warehouse, args.config, args.out, args.results,
-                       args.day)
+        v = dimensions(spark, args.tracker, args.warehouse, args.config, args.out, args.reason_name,
+                       args.results, args.day)
     elif args.job == "status":
         v = status(spark, args.tracker, args.results, args.config, args.out, args.day, args.mode)
     else:

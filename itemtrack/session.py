@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,8 +40,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (a bare local test session) is a private folder created and registered.
+    ``spark.checkpoint.dir`` is read from the session.  Only in a local session
+    (one process: tests, the bench) is a private folder created when it is unset;
+    on a cluster a machine-local folder would be lost to the other machines, so
+    there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,17 +52,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="itemtrack-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location (never machine-local)."""
+    """A fresh folder under the shared checkpoint location."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/itemtrack-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this job wrote, on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for python-side file helpers used in tests."""
     if path.startswith("file:"):

@@ -61,8 +61,10 @@ def write_result_files(df: DataFrame, root: str, columns=OBSERVATION_FILE_COLUMN
 
 class VersionedTable:
     """A table folder holding ``v=<n>`` snapshot versions; the newest one with a
-    ``_SUCCESS`` marker is current.  Uses the Hadoop file system of the session,
-    so it works on any shared store the cluster can reach."""
+    ``_SUCCESS`` marker is current.  A version may carry a tag in its folder name
+    (``v=<n>.<tag>``): what was applied and that it was applied are committed by the
+    same marker.  Uses the Hadoop file system of the session, so it works on any shared
+    store the cluster can reach; one writer at a time is assumed."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -72,24 +74,27 @@ class VersionedTable:
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(conf)
 
-    def versions(self) -> list[int]:
+    def folders(self) -> dict[int, str]:
+        """Folder names of the committed versions."""
         root = self._Path(self.root)
         if not self._fs.exists(root):
-            return []
-        out = []
-        for st in self._fs.listStatus(root):
-            name = st.getPath().getName()
-            if name.startswith("v=") and self._fs.exists(
-                    self._Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
+            return {}
+        names = [st.getPath().getName() for st in self._fs.listStatus(root)]
+        return {int(name[2:10]): name for name in sorted(names)
+                if name.startswith("v=") and self._fs.exists(self._Path(f"{self.root}/{name}/_SUCCESS"))}
+
+    def versions(self) -> list[int]:
+        return sorted(self.folders())
 
     def current_version(self) -> int | None:
         v = self.versions()
         return v[-1] if v else None
 
+    def has_tag(self, tag: str) -> bool:
+        return any(name[10:] == f".{tag}" for name in self.folders().values())
+
     def path(self, version: int) -> str:
-        return f"{self.root}/v={version:08d}"
+        return f"{self.root}/{self.folders().get(version, f'v={version:08d}')}"
 
     def read(self, schema=None) -> DataFrame:
         v = self.current_version()
@@ -98,16 +103,12 @@ class VersionedTable:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(v))
 
-    def commit(self, df: DataFrame, partition_by="market", version: int | None = None) -> int:
-        """Write ``df`` as the next version (or an explicit one) and return it."""
-        if version is None:
-            cur = self.current_version()
-            version = 0 if cur is None else cur + 1
+    def commit(self, df: DataFrame, partition_by="market", tag: str | None = None) -> int:
+        """Write ``df`` as the next version and return its number."""
+        current = self.current_version()
+        version = 0 if current is None else current + 1
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(partition_by)
-        writer.parquet(self.path(version))
+        writer.parquet(f"{self.root}/v={version:08d}" + (f".{tag}" if tag else ""))
         return version
-
-    def has_version(self, version: int) -> bool:
-        return version in self.versions()

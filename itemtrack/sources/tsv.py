@@ -1,104 +1,124 @@
-"""Result files: SRC-03 tolerant TSV scan, SRC-04 discovery by day, SRC-05 routing."""
+"""Result files: SRC-03 tolerant TSV scan, SRC-04 discovery by day, SRC-05 routing.
+
+Files are scanned as lines.  Each file's first line is its header: fields are taken by
+the header's names, and the header's width says which lines are too long.
+"""
 
 from __future__ import annotations
 
 import datetime as _dt
-import re
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from itemtrack import schemas
 from itemtrack.functions import fixed
 from itemtrack.functions.scalars import na_to_null
-from itemtrack.operators.common import config_side, literal_table
+from itemtrack.operators.common import join_split
 from itemtrack.operators.lookups import code_to_market
 
-CORRUPT = "_corrupt_record"
+# A field is quoted ('""' inside is a quote) or runs to the next tab.
+_FIELD = r'(?:^|\t)("(?:[^"]|"")*"[^\t]*|[^\t]*)'
 
 
-def tsv_schema(columns) -> T.StructType:
-    return T.StructType(schemas.all_string_schema(columns).fields
-                        + [T.StructField(CORRUPT, T.StringType(), True)])
+def fields(line: Column) -> Column:
+    """The fields of a tab-separated line as an array of text."""
+    plain = F.split(line, "\t")
+    quoted = F.transform(F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1)), lambda x: F.when(
+        x.startswith('"'), F.replace(F.regexp_replace(x, r'^"((?:[^"]|"")*)"', "$1"), F.lit('""'), F.lit('"')))
+        .otherwise(x))
+    return F.when(F.instr(line, '"') > 0, quoted).otherwise(plain)
 
 
-def _tsv_reader(reader, columns):
-    # Quoting as the reference's reader: '"' quotes a field and '""' inside it is
-    # a literal quote (no backslash escapes).
-    return (reader.schema(tsv_schema(columns))
-            .option("sep", "\t").option("header", True)
-            .option("quote", '"').option("escape", '"')
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
+def scan_lines(reader, paths, seq_col: str | None = "seq") -> DataFrame:
+    """Lines of result files with ``_file``, ``_file_mtime``, ``_block`` and, on static
+    frames, the arrival order (file, block, position) taken right after the scan."""
+    meta = [F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_modification_time").alias("_file_mtime"),
+            F.col("_metadata.file_block_start").alias("_block")]
+    lines = reader.text(paths).select(F.col("value").alias("_line"), *meta)
+    if seq_col is None:
+        return lines
+    return lines.withColumn(seq_col, F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"),
+                                              F.monotonically_increasing_id().alias("pos")))
 
 
-def tolerate(df: DataFrame, columns, na_tokens=fixed.PANDAS_NA_TOKENS,
-             seq_col: str = "seq") -> DataFrame:
-    """SRC-03 rules on a freshly scanned frame.
+def parse_lines(lines: DataFrame, columns, na_tokens=fixed.PANDAS_NA_TOKENS, seq_col: str = "seq") -> DataFrame:
+    """SRC-03 rules on scanned lines.
 
-    Lines with too many fields are dropped, short lines keep NULL padding (Spark
-    flags both as corrupt, so the field count of the raw line decides), empty
-    lines never appear, NA tokens become NULL.  ``seq`` records arrival order
-    (file, block, position) and is taken right after the scan, before any shuffle.
+    The first line of a file is its header (one row per file, a partial aggregate);
+    ``columns`` are taken by name, a column that the header lacks is NULL.  Lines with
+    more fields than the header are dropped, short lines end in NULLs, empty lines never
+    appear, NA tokens become NULL.
     """
-    width = len(columns)
-    df = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_modification_time").alias("_file_mtime"),
-        F.struct(F.col("_metadata.file_path").alias("file"),
-                 F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("pos")).alias(seq_col),
-    )
-    keep = F.col(CORRUPT).isNull() | (F.size(F.split(F.col(CORRUPT), "\t")) <= width)
-    df = df.where(keep)
-    return df.select(*[na_to_null(c, na_tokens).alias(c) for c in columns],
-                     "_file", "_file_mtime", seq_col)
+    kept = lines.where(F.length("_line") > 0)
+    heads = (kept.where("_block = 0").groupBy("_file")
+             .agg(F.min_by("_line", seq_col).alias("_head"), F.min(seq_col).alias("_first"))
+             .select("_file", "_first", fields(F.col("_head")).alias("_names")))
+    rows = join_split(kept, heads, "_file", "inner").where(F.col(seq_col) > F.col("_first"))
+    rows = rows.withColumn("_fields", fields(F.col("_line"))).where(F.size("_fields") <= F.size("_names"))
+    named = [F.get("_fields", (F.array_position("_names", c) - 1).cast("int")) for c in columns]
+    out = rows.select(*[F.when(F.array_contains("_names", c), f).alias(c) for c, f in zip(columns, named)],
+                      "_file", "_file_mtime", seq_col)
+    return out.select(*[na_to_null(c, na_tokens).alias(c) for c in columns], "_file", "_file_mtime", seq_col)
 
 
 def read_tolerant_tsv(spark: SparkSession, paths, columns, na_tokens=fixed.PANDAS_NA_TOKENS,
                       seq_col: str = "seq", **options) -> DataFrame:
     """SRC-03: header row, tab separated, all columns text."""
-    reader = _tsv_reader(spark.read, columns)
-    for k, v in options.items():
-        reader = reader.option(k, v)
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return tolerate(reader.csv(paths), columns, na_tokens, seq_col)
+    return parse_lines(scan_lines(spark.read.options(**options), paths, seq_col), columns, na_tokens, seq_col)
+
+
+def market_folders(spark: SparkSession, root: str) -> dict[str, str]:
+    """Market to folder of the folders under ``root`` ("US" or "market=US")."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = {}
+    for entry in fs.listStatus(where) if fs.exists(where) else ():
+        if entry.isDirectory():
+            name = entry.getPath().getName()
+            out[unquote(name.split("=", 1)[1]) if "=" in name else name] = entry.getPath().toString()
+    return out
 
 
 def discover_result_files(spark: SparkSession, root: str, columns, passed_markets=None,
                           day=None, na_tokens=fixed.PANDAS_NA_TOKENS) -> DataFrame:
     """SRC-04: rows of the files under ``root/<market>/`` modified on ``day`` (UTC).
 
-    Only markets that passed the job gate (a DataFrame with ``market`` or a list)
-    are read.  The day window is handed to the file listing
-    (``modifiedAfter`` / ``modifiedBefore``) so old files are pruned before any
-    read; the exact day test on ``_metadata.file_modification_time`` stays as
-    the rule.  Adds ``market`` from the folder name.
+    Only the folders of markets that passed the job gate (a DataFrame with ``market`` or
+    a list; markets are as many as the config sheets name) are listed and read.  The day
+    window is handed to the file listing (``modifiedAfter`` / ``modifiedBefore``) so old
+    files are pruned before any read; the exact day test on
+    ``_metadata.file_modification_time`` stays as the rule.  Adds ``market``.
     """
     if day is None:
         day = _dt.datetime.now(_dt.timezone.utc).date()
     elif not isinstance(day, _dt.date):
         day = _dt.date.fromisoformat(str(day))
-    after = _dt.datetime.combine(day, _dt.time()) - _dt.timedelta(seconds=1)
-    before = _dt.datetime.combine(day + _dt.timedelta(days=1), _dt.time())
-    root = root.rstrip("/")
-    df = read_tolerant_tsv(
-        spark, root, columns, na_tokens, recursiveFileLookup="true",
-        modifiedAfter=after.strftime("%Y-%m-%dT%H:%M:%S"),
-        modifiedBefore=before.strftime("%Y-%m-%dT%H:%M:%S"))
     start = _dt.datetime.combine(day, _dt.time(), tzinfo=_dt.timezone.utc)
-    df = df.where((F.col("_file_mtime") >= F.lit(start))
-                  & (F.col("_file_mtime") < F.lit(start + _dt.timedelta(days=1))))
-    # The market is the first folder under the root ("US" or "market=US").
-    tail = re.escape(root.split(":", 1)[-1].lstrip("/"))
-    folder = F.regexp_extract("_file", tail + r"/([^/]+)/", 1)
-    df = df.withColumn("market", F.regexp_replace(folder, r"^[^=]*=", ""))
+    end = start + _dt.timedelta(days=1)
+    window = {"modifiedAfter": (start - _dt.timedelta(seconds=1)).strftime("%Y-%m-%dT%H:%M:%S"),
+              "modifiedBefore": end.strftime("%Y-%m-%dT%H:%M:%S"), "recursiveFileLookup": "true"}
+    folders = market_folders(spark, root)
     if passed_markets is not None:
         if isinstance(passed_markets, DataFrame):
-            gate = passed_markets.select("market").distinct()
-        else:
-            gate = literal_table(spark, [(m,) for m in passed_markets], "market string")
-        df = df.join(config_side(gate), "market", "left_semi")
-    return df
+            passed_markets = [r["market"] for r in passed_markets.select("market").distinct().collect()]
+        folders = {m: path for m, path in folders.items() if m in set(passed_markets)}
+    found = [scan_lines(spark.read.options(**window), [path]).withColumn("_market", F.lit(m))
+             for m, path in sorted(folders.items())]
+    if not found:
+        names = ", ".join(f"`{c}` string" for c in columns)
+        return spark.createDataFrame([], f"{names}, _file string, _file_mtime timestamp, seq struct<file:string,"
+                                         "block:bigint,pos:bigint>, market string")
+    lines = reduce(DataFrame.unionByName, found)
+    lines = lines.where((F.col("_file_mtime") >= F.lit(start)) & (F.col("_file_mtime") < F.lit(end)))
+    # The folder goes through parsing as part of the arrival order.
+    lines = lines.withColumn("seq", F.struct("seq.file", "seq.block", "seq.pos", F.col("_market").alias("market")))
+    rows = parse_lines(lines, columns, na_tokens)
+    return rows.withColumn("market", F.col("seq.market")).withColumn(
+        "seq", F.struct("seq.file", "seq.block", "seq.pos"))
 
 
 def route_by_first_row(df: DataFrame, codes: DataFrame, code_col: str = "country_code",
@@ -112,9 +132,9 @@ def route_by_first_row(df: DataFrame, codes: DataFrame, code_col: str = "country
     firsts = df.groupBy("_file").agg(F.min_by(F.col(code_col), F.col(seq_col)).alias("_code"))
     cmap = code_to_market(codes).select(F.col("market_code").cast("string").alias("_code"),
                                         F.col("market").alias("routed_market"))
-    routed = firsts.join(config_side(cmap), "_code", "left")
+    routed = firsts.join(cmap, "_code", "left")
     if strict:
         routed = routed.withColumn("routed_market", F.coalesce(
             "routed_market", F.raise_error(F.concat(F.lit("unknown country code: "),
                                                     F.coalesce("_code", F.lit("NULL"))))))
-    return df.join(routed.select("_file", "routed_market"), "_file", "left")
+    return join_split(df, routed.select("_file", "routed_market"), "_file", "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from itemtrack.operators.common import config_side
+from itemtrack.operators.common import join_split
 from itemtrack.operators.lookups import market_to_code
 
 DIMENSION_COLUMNS = [
@@ -21,20 +21,18 @@ def dimension_extract(warehouse: DataFrame, batch: DataFrame, codes: DataFrame,
     item is in that batch (JON-07).
 
     ``batch`` holds (item_id, market); ``regions`` holds (market, region_id).
-    Both filters are semi joins: the region pairs are tiny and broadcast, the
-    item list is joined by key (broadcast below the AQE threshold, shuffled
-    above, with a runtime bloom filter on the warehouse side).
+    Both filters are semi joins without hints: adaptive execution broadcasts a side
+    whose measured size is small; a hot item is split in the shuffled form.
     """
     cmap = market_to_code(codes)
     code_regions = (regions.join(cmap, "market")
                     .select(F.col("market_code").alias("_mc"), F.col("region_id").alias("_rg")))
-    keys = (batch.select("item_id", "market").distinct().join(config_side(cmap), "market")
-            .select(F.col("item_id").alias("_item"), F.col("market_code").alias("_code")))
+    keys = (batch.select("item_id", "market").distinct().join(cmap, "market")
+            .select(F.col("item_id").alias("asin"), F.col("market_code").alias("marketplace_id")))
     rows = warehouse.join(
-        F.broadcast(code_regions),
+        code_regions,
         (F.col("marketplace_id") == F.col("_mc")) & (F.col("region_id") == F.col("_rg")),
         "left_semi")
-    rows = rows.join(keys, (F.col("asin") == F.col("_item"))
-                     & (F.col("marketplace_id") == F.col("_code")), "left_semi")
+    rows = join_split(rows, keys.distinct(), ["asin", "marketplace_id"], "left_semi")
     carry = [c for c in ("seq",) if c in warehouse.columns]
     return rows.select(*DIMENSION_COLUMNS, *carry)

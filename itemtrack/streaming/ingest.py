@@ -1,83 +1,84 @@
 """STM-01 file-arrival ingest of result files and STM-02 micro-batch apply.
 
-The polling loops of the reference become a Structured Streaming file source:
-every TSV file is read once (the checkpoint remembers which), the SRC-03 rules
-apply per micro-batch, and ``foreachBatch`` runs the status decision and writes
-the next tracker version.  A batch writes version ``batch_id + 1`` of the tracker
-and is skipped when that version exists, so a replayed batch (after a failure
-between the write and the checkpoint commit) changes nothing.
+The polling loops of the reference become a Structured Streaming file source: every TSV
+file is read once (the checkpoint remembers which) as lines, and ``foreachBatch`` parses
+them by their files' headers (SRC-03), runs the status decision and writes the next
+tracker version.  The version carries the tag ``<stream>-<batch>``; a batch whose tag is
+committed is skipped, so a replay changes nothing and versions written by other jobs do
+not matter.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from itemtrack import schemas
-from itemtrack.functions import fixed
-from itemtrack.functions.scalars import na_to_null
 from itemtrack.operators import changes
 from itemtrack.operators.decide import AS_WRITTEN
 from itemtrack.plans import refresh as P
+from itemtrack.session import path_exists
 from itemtrack.sources.sinks import VersionedTable
-from itemtrack.sources.tsv import CORRUPT, _tsv_reader
+from itemtrack.sources.tsv import parse_lines, read_tolerant_tsv, scan_lines
 
 
-def _observation_rows(df: DataFrame, columns) -> DataFrame:
-    width = len(columns)
-    keep = F.col(CORRUPT).isNull() | (F.size(F.split(F.col(CORRUPT), "\t")) <= width)
-    df = df.select("*", F.col("_metadata.file_path").alias("_file"),
-                   F.col("_metadata.file_block_start").alias("_block")).where(keep)
-    return df.select(*[na_to_null(c, fixed.PANDAS_NA_TOKENS).alias(c) for c in columns],
-                     "_file", "_block")
+def observation_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """STM-01: a streaming frame of result-file lines (``_line``, ``_file``,
+    ``_file_mtime``, ``_block``); a file is never divided between batches, so its header
+    is in the batch: parse with :func:`observation_batch`."""
+    reader = spark.readStream.option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return scan_lines(reader, path, seq_col=None)
 
 
-def observation_stream(spark: SparkSession, path: str,
-                       columns=schemas.OBSERVATION_FILE_COLUMNS,
-                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """STM-01: a streaming frame of result-file rows (SRC-03 rules applied).
+def observation_batch(batch: DataFrame, batch_id: int, columns=schemas.OBSERVATION_FILE_COLUMNS,
+                      seq_col: str = "seq") -> DataFrame:
+    """Rows of a micro-batch of lines, with the arrival order (batch, file, block, position)."""
+    ordered = batch.withColumn(seq_col, F.struct(
+        F.lit(batch_id).cast("long").alias("batch"), F.col("_file").alias("file"),
+        F.col("_block").alias("block"), F.monotonically_increasing_id().alias("pos")))
+    return parse_lines(ordered, columns, seq_col=seq_col)
 
-    Carries ``_file`` and ``_block``; the position inside a batch is added in
-    :func:`with_arrival_order` (row ids are not allowed on streaming frames).
-    """
-    reader = _tsv_reader(spark.readStream, columns).option("recursiveFileLookup", "true")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _observation_rows(reader.csv(path), columns)
 
+def read_observations(spark: SparkSession, paths, columns=schemas.OBSERVATION_FILE_COLUMNS) -> DataFrame:
+    """The same rows as a static frame (backfills)."""
+    return read_tolerant_tsv(spark, paths, columns, recursiveFileLookup="true")
 
-def observation_batch(spark: SparkSession, paths, columns=schemas.OBSERVATION_FILE_COLUMNS
-                      ) -> DataFrame:
-    """The same rows as a static frame (backfills, or replaying a batch by hand)."""
-    reader = _tsv_reader(spark.read, columns).option("recursiveFileLookup", "true")
-    return _observation_rows(reader.csv(paths), columns)
 
+def tracker_order(tracker: DataFrame, seq_col: str = "seq") -> DataFrame:
+    """"First tracker row" means first by primary key: it does not depend on how the
+    table's files were written."""
+    return tracker.withColumn(seq_col, F.struct(*schemas.TRACKER_KEY))
 
-def with_arrival_order(batch: DataFrame, batch_id: int, seq_col: str = "seq") -> DataFrame:
-    """Arrival order inside a micro-batch: (batch, file, block, position)."""
-    return batch.withColumn(seq_col, F.struct(
-        F.lit(batch_id).cast("long").alias("batch"), F.col("_file").alias("file"),
-        F.col("_block").alias("block"), F.monotonically_increasing_id().alias("pos")))
 
+def stream_name(checkpoint: str) -> str:
+    """Identity of a stream: its checkpoint folder."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
-def status_apply(store: VersionedTable, rules: DataFrame, codes: DataFrame,
-                 mode: str = AS_WRITTEN, decisions_sink: str | None = None,
-                 on_duplicate: str = "keep_first"):
+
+def status_apply(store: VersionedTable, rules: DataFrame, codes: DataFrame, stream: str,
+                 mode: str = AS_WRITTEN, decisions_sink: str | None = None, on_duplicate: str = "error"):
     """STM-02: the ``foreachBatch`` function.
 
     Classify (JON-06), keep first per key (AGG-04), decide (RUL), one update per
-    (item, market) (DML-10) and keyed update (DML-05) into the next version.
+    (item, market) (DML-10) and keyed update (DML-05) into the next version.  Decisions
+    go to a folder per batch, overwritten by a replay.  A key collision fails the batch.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        if store.has_version(version):
+        tag = f"{stream}-{batch_id}"
+        if store.has_tag(tag):
             return
-        tracker = store.read()
-        raw = with_arrival_order(batch, batch_id)
-        out = P.refresh_status(tracker, raw, rules, codes, mode=mode, on_duplicate=on_duplicate)
+        spark = batch.sparkSession
+        tracker = tracker_order(store.read(schema=schemas.TRACKER_SCHEMA))
+        out = P.refresh_status(tracker, observation_batch(batch, batch_id), rules, codes, mode=mode,
+                               on_duplicate=on_duplicate)
         if decisions_sink:
-            (out["decisions"].withColumn("batch_id", F.lit(batch_id))
-             .drop("seq").write.mode("append").partitionBy("market").parquet(decisions_sink))
-        store.commit(out["tracker"], version=version)
+            folder = f"{decisions_sink.rstrip('/')}/batch={tag}"
+            out["decisions"].drop("seq").write.mode("overwrite").parquet(folder)
+            spark.catalog.refreshByPath(decisions_sink)
+        store.commit(out["tracker"].drop("seq"), tag=tag)
 
     return apply
 
@@ -85,27 +86,24 @@ def status_apply(store: VersionedTable, rules: DataFrame, codes: DataFrame,
 def start_status_stream(spark: SparkSession, source_path: str, store: VersionedTable,
                         rules: DataFrame, codes: DataFrame, checkpoint: str,
                         mode: str = AS_WRITTEN, available_now: bool = True,
-                        decisions_sink: str | None = None):
+                        decisions_sink: str | None = None, on_duplicate: str = "error"):
     """Run STM-01 + STM-02; with ``available_now`` it processes what has arrived
     and stops (the batch replacement for the reference's polling)."""
     stream = observation_stream(spark, source_path)
-    writer = (stream.writeStream.foreachBatch(status_apply(store, rules, codes, mode,
-                                                           decisions_sink))
+    writer = (stream.writeStream.foreachBatch(status_apply(store, rules, codes, stream_name(checkpoint), mode,
+                                                           decisions_sink, on_duplicate))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
 
-def tracker_store(spark: SparkSession, root: str, initial: DataFrame | None = None,
-                  order_col: str = "seq") -> VersionedTable:
+def tracker_store(spark: SparkSession, root: str, initial: DataFrame | None = None) -> VersionedTable:
     """A versioned tracker folder; ``initial`` becomes version 0 when it is empty."""
     store = VersionedTable(spark, root)
     if store.current_version() is None:
         if initial is None:
             initial = spark.createDataFrame([], schemas.TRACKER_SCHEMA)
-        if order_col not in initial.columns:
-            initial = initial.withColumn(order_col, F.monotonically_increasing_id())
-        store.commit(initial, version=0)
+        store.commit(initial)
     return store
 
 
@@ -122,42 +120,38 @@ def _log_path(store: VersionedTable, log_root: str) -> str:
     return f"{log_root.rstrip('/')}/base={store.current_version():08d}"
 
 
-def _log_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _logged(spark: SparkSession, store: VersionedTable, log_root: str, name: str) -> bool:
+    """Whether a batch's log folder is complete under any base version."""
+    root = log_root.rstrip("/")
+    return any(path_exists(spark, f"{root}/base={v:08d}/{name}/_SUCCESS") for v in store.versions())
 
 
-def current_tracker(spark: SparkSession, store: VersionedTable, log_root: str) -> DataFrame:
+def current_tracker(spark: SparkSession, store: VersionedTable, log_root: str,
+                    on_duplicate: str = "allow") -> DataFrame:
     """Base version with the logged updates applied (last batch, then last row wins)."""
     base = store.read(schema=schemas.TRACKER_SCHEMA)
     path = _log_path(store, log_root)
-    if not _log_exists(spark, path):
+    if not path_exists(spark, path):
         return base
-    log = spark.read.parquet(path)
-    log = log.withColumn("seq", F.struct("batch_id", "seq"))
-    return changes.keyed_update(base, log.select("item_id", "market", *UPDATE_COLUMNS, "seq"),
-                                UPDATE_COLUMNS, on_duplicate="allow")
+    return changes.keyed_update(base, spark.read.option("recursiveFileLookup", "true").parquet(path).select(
+        "item_id", "market", *UPDATE_COLUMNS, "seq"), UPDATE_COLUMNS, on_duplicate=on_duplicate)
 
 
-def status_log_apply(store: VersionedTable, log_root: str, rules: DataFrame, codes: DataFrame,
+def status_log_apply(store: VersionedTable, log_root: str, rules: DataFrame, codes: DataFrame, stream: str,
                      mode: str = AS_WRITTEN):
-    """STM-02 in merge-on-read form: decide against the current state and write
-    only this batch's updates to ``log/base=<v>/batch_id=<n>``.  A replayed batch
-    overwrites its own folder, so it is idempotent."""
+    """STM-02 in merge-on-read form: decide against the current state and write only this
+    batch's updates to ``base=<v>/batch=<stream>-<n>``.  A batch whose folder is complete,
+    under this or (after a compaction) an earlier base, is skipped."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # Tracker order for "first tracker row": primary-key order.
-        tracker = current_tracker(spark, store, log_root).withColumn(
-            "seq", F.struct(*schemas.TRACKER_KEY))
-        raw = with_arrival_order(batch, batch_id)
-        obs = P.prepare_observations(raw, codes)
-        decisions = P.decide_status(obs, tracker, rules, mode)
-        updates = changes.one_update_per_item_market(decisions)
-        (updates.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .withColumn("seq", F.col("seq.pos"))
-         .write.mode("overwrite")
-         .parquet(f"{_log_path(store, log_root)}/batch_id={batch_id}"))
+        name = f"batch={stream}-{batch_id}"
+        if _logged(spark, store, log_root, name):
+            return
+        tracker = tracker_order(current_tracker(spark, store, log_root))
+        obs = P.prepare_observations(observation_batch(batch, batch_id), codes)
+        updates = changes.one_update_per_item_market(P.decide_status(obs, tracker, rules, mode))
+        (updates.withColumn("seq", F.struct("seq.batch", "seq.pos"))
+         .write.mode("overwrite").parquet(f"{_log_path(store, log_root)}/{name}"))
 
     return apply
 
@@ -166,13 +160,14 @@ def start_status_log_stream(spark: SparkSession, source_path: str, store: Versio
                             log_root: str, rules: DataFrame, codes: DataFrame, checkpoint: str,
                             mode: str = AS_WRITTEN, available_now: bool = True):
     """STM-01 + merge-on-read STM-02."""
-    writer = (observation_stream(spark, source_path).writeStream
-              .foreachBatch(status_log_apply(store, log_root, rules, codes, mode))
+    apply = status_log_apply(store, log_root, rules, codes, stream_name(checkpoint), mode)
+    writer = (observation_stream(spark, source_path).writeStream.foreachBatch(apply)
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
 
 def compact(spark: SparkSession, store: VersionedTable, log_root: str) -> int:
-    """Fold the change log into the next base version (a fresh, empty log follows)."""
-    return store.commit(current_tracker(spark, store, log_root))
+    """Fold the change log into the next base version (a fresh, empty log follows).  A key
+    collision fails here, as it does in the snapshot stream."""
+    return store.commit(current_tracker(spark, store, log_root, on_duplicate="error"))

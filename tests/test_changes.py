@@ -74,8 +74,12 @@ def test_keyed_update_collision(spark):
                                 "item_id string, market string, reason string, status string, seq long")
     with pytest.raises(changes.KeyCollision):
         changes.set_reason_status(t, upd)
-    kept = changes.set_reason_status(t, upd, on_duplicate="keep_first")
-    assert [r.seq for r in kept.collect()] == [1]
+    kept = changes.set_reason_status(t, upd, on_duplicate="allow")
+    assert sorted(r.seq for r in kept.collect()) == [1, 2]      # no row is ever dropped
+    with pytest.raises(ValueError):
+        changes.set_reason_status(t, upd, on_duplicate="keep_first")
+    with pytest.raises(ValueError):
+        changes.set_reason_status(t, upd.drop("seq"))            # "last wins" needs an order
 
 
 def test_bulk_delete(spark):

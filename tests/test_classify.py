@@ -1,4 +1,5 @@
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from itemtrack.operators.classify import classify
 
@@ -61,17 +62,26 @@ def test_matches_plain_first_match_loop(spark, rules, obs):
     assert run(spark, obs, table) == want
 
 
-def test_large_rule_sets_use_ordered_chunks(spark):
-    # More rules than the broadcast bound: chunked path, earliest rule still wins.
+def test_first_rule_without_a_type_still_decides(spark):
+    from itemtrack.operators import classify as C
+    rules = [("US", 1, "k", None), ("US", 2, "k", "SECOND"), ("UK", 1, "", "ANY")]
+    obs = [("US", "OperationalRule", "has k", 0), ("US", "OperationalRule", "none", 1),
+           ("UK", "OperationalRule", "x", 2), ("DE", "OperationalRule", "x", 3)]
+    o, r = spark.createDataFrame(obs, OBS_SCHEMA), spark.createDataFrame(rules, RULE_SCHEMA)
+    got = [x.new_reason for x in C.classify(o, r).orderBy("seq").collect()]
+    assert got == [None, "Others", "ANY", "Others"]
+    only = C.classify(o.withColumn("market", F.lit("US")), r)     # a constant market
+    assert [x.new_reason for x in only.orderBy("seq").collect()] == [None, "Others", "Others", "Others"]
+
+
+def test_many_rules_earliest_wins(spark):
     from itemtrack.operators import classify as C
     rules = [("US", i, f"k{i}", f"T{i}") for i in range(1, 8)] + [("US", 8, "k", "LAST")]
     o = spark.createDataFrame([("US", "OperationalRule", "has k5 and k2", 0)], OBS_SCHEMA)
-    r = spark.createDataFrame(rules, RULE_SCHEMA)
-    got = C.first_matching_rule(o, r, max_rules=3).first()["matched_type"]
-    assert got == "T2"
+    assert C.first_matching_rule(o, spark.createDataFrame(rules, RULE_SCHEMA)).first()["matched_type"] == "T2"
 
 
-def test_chunked_rules_keep_order_per_market(spark):
+def test_rules_keep_order_per_market(spark):
     from itemtrack.operators import classify as C
     rules = [("US", 1, "zz", "US1"), ("UK", 1, "b", "UK1"), ("US", 2, "a", "US2"),
              ("UK", 2, "a", "UK2"), ("US", 3, "b", "US3"), ("UK", 3, "zz", "UK3")]
@@ -79,7 +89,5 @@ def test_chunked_rules_keep_order_per_market(spark):
            ("UK", "OperationalRule", "a", 2), ("DE", "OperationalRule", "ab", 3)]
     o = spark.createDataFrame(obs, OBS_SCHEMA)
     r = spark.createDataFrame(rules, RULE_SCHEMA)
-    for bound in (1, 2, 10):
-        got = [x.matched_type for x in
-               C.first_matching_rule(o, r, max_rules=bound).orderBy("seq").collect()]
-        assert got == ["US2", "UK1", "UK2", None], bound
+    got = [x.matched_type for x in C.first_matching_rule(o, r).orderBy("seq").collect()]
+    assert got == ["US2", "UK1", "UK2", None]

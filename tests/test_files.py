@@ -88,7 +88,7 @@ def test_stream_apply_once_and_idempotent(spark, tmp_dir):
     got = {r.item_id: (r.reason, r.status) for r in store.read().collect()}
     assert got == {"0000000001": ("LARGE", "WIP"), "0000000002": ("OLD", "unblocked")}
     # replaying batch 0 changes nothing
-    apply = ingest.status_apply(store, rules, codes)
+    apply = ingest.status_apply(store, rules, codes, ingest.stream_name(f"{tmp_dir}/ckpt"))
     apply(spark.createDataFrame([], "asin string"), 0)
     assert store.current_version() == 1
     # a new file arrives: only it is read
@@ -100,6 +100,65 @@ def test_stream_apply_once_and_idempotent(spark, tmp_dir):
     assert got["0000000001"] == ("Others", "nonaction")
 
 
+def test_stream_on_a_store_with_later_versions(spark, tmp_dir):
+    """Versions of other jobs do not hide a new stream's first batch; a replay changes
+    neither the tracker nor the decisions; both modes give the same tracker."""
+    src = f"{tmp_dir}/incoming"
+    write(f"{src}/US/a.txt", ["1\t1\tOperationalRule\ttoo large\t1"])
+    codes = spark.createDataFrame([("US", 1, 1)], "market string, market_code int, seq int")
+    rules = spark.createDataFrame([("US", 1, "large", "LARGE")],
+                                  "market string, rule_no int, keyword string, blocker_type string")
+    from tests.test_changes import tracker
+    initial = tracker(spark, [("0000000001", "US", "t", "WIP", "OLD", 1),
+                              ("0000000001", "US", "u", None, "OLDER", 2)]).drop("seq")
+    store, other = (VersionedTable(spark, f"{tmp_dir}/{n}") for n in ("snap", "base"))
+    for _ in range(3):
+        store.commit(initial)
+    other.commit(initial)
+    out = f"{tmp_dir}/decisions"
+    q = ingest.start_status_stream(spark, src, store, rules, codes, f"{tmp_dir}/c1", decisions_sink=out)
+    q.awaitTermination(120)
+    assert store.current_version() == 3
+    rows = sorted(map(str, store.read(schema=initial.schema).collect()))
+    assert "LARGE" in rows[0] and spark.read.parquet(out).count() == 1
+    lines = ingest.scan_lines(spark.read.option("recursiveFileLookup", "true"), src, seq_col=None)
+    ingest.status_apply(store, rules, codes, ingest.stream_name(f"{tmp_dir}/c1"), decisions_sink=out)(lines, 0)
+    assert store.current_version() == 3 and spark.read.parquet(out).count() == 1
+    log = f"{tmp_dir}/log"
+    q = ingest.start_status_log_stream(spark, src, other, log, rules, codes, f"{tmp_dir}/c2")
+    q.awaitTermination(120)
+    assert ingest.compact(spark, other, log) == 1
+    assert sorted(map(str, other.read(schema=initial.schema).collect())) == rows
+    ingest.status_log_apply(other, log, rules, codes, ingest.stream_name(f"{tmp_dir}/c2"))(lines, 0)
+    again = ingest.current_tracker(spark, other, log).select(store.read(schema=initial.schema).columns)
+    assert sorted(map(str, again.collect())) == rows
+
+
+def test_header_names_and_widths(spark, tmp_dir):
+    """Fields go by each file's own header; its width says which lines are too long."""
+    root = f"{tmp_dir}/in put/x=1"
+    write(f"{root}/a.txt", ["7\t1\tC\tR\t2", "8\t1\tC\tR\t2\tmore"])
+    with open(f"{root}/b.txt", "w") as fh:
+        fh.write("marketplace_id\tasin\textra\tcontributions\n3\t9\te\tK\n3\t10\te\tK\ttoo much\n\n4\t11\n")
+    rows = tsv.read_tolerant_tsv(spark, root, schemas.OBSERVATION_FILE_COLUMNS).collect()
+    got = sorted((r.asin, r.marketplace_id, r.contributions, r.restriction_reasons, r.country_code) for r in rows)
+    assert got == [("11", "4", None, None, None), ("7", "1", "C", "R", "2"), ("9", "3", "K", None, None)]
+
+
+def test_only_passed_folders_are_read(spark, tmp_dir):
+    import datetime
+    root = f"{tmp_dir}/in put"
+    write(f"{root}/US/a.txt", ["1\t1\tC\tR\t1"])
+    write(f"{root}/market=U%20K/a.txt", ["2\t2\tC\tR\t2"])
+    write(f"{root}/DE/a.txt", ["3\t3\tC\tR\t3"])
+    day = datetime.datetime.now(datetime.timezone.utc).date()
+    gate = spark.createDataFrame([("US",), ("U K",), ("JP",)], "market string")
+    found = tsv.discover_result_files(spark, root, schemas.OBSERVATION_FILE_COLUMNS, gate, day)
+    assert sorted((r.market, r.asin) for r in found.collect()) == [("U K", "2"), ("US", "1")]
+    assert not [f for f in found.inputFiles() if "/DE/" in f]
+    assert tsv.discover_result_files(spark, root, schemas.OBSERVATION_FILE_COLUMNS, [], day).count() == 0
+
+
 def test_quoting_like_the_reference_reader(spark, tmp_dir):
     write(f"{tmp_dir}/q/a.txt", ['1\t1\tOperationalRule\t"says ""too large"", \\\\ ok"\t1'])
     row = tsv.read_tolerant_tsv(spark, f"{tmp_dir}/q", schemas.OBSERVATION_FILE_COLUMNS).first()
@@ -118,7 +177,7 @@ def test_change_log_stream_and_compaction(spark, tmp_dir):
                               ("0000000002", "US", "t", "WIP", "OLD", 2),
                               ("0000000003", "US", "t", "WIP", "KEEP", 3)]).drop("seq")
     store = VersionedTable(spark, f"{tmp_dir}/tracker")
-    store.commit(initial, version=0)
+    store.commit(initial)
     log = f"{tmp_dir}/log"
     q = ingest.start_status_log_stream(spark, src, store, log, rules, codes, f"{tmp_dir}/ckpt")
     q.awaitTermination(120)
@@ -127,8 +186,9 @@ def test_change_log_stream_and_compaction(spark, tmp_dir):
              ingest.current_tracker(spark, store, log).collect()}
     assert state == {"0000000001": ("LARGE", "WIP"), "0000000002": ("OLD", "unblocked"),
                      "0000000003": ("KEEP", "WIP")}
-    # replaying batch 0 rewrites only its own log folder: same state
-    ingest.status_log_apply(store, log, rules, codes)(ingest.observation_batch(spark, src), 0)
+    # replaying batch 0 is skipped: same state
+    lines = ingest.scan_lines(spark.read.option("recursiveFileLookup", "true"), src, seq_col=None)
+    ingest.status_log_apply(store, log, rules, codes, ingest.stream_name(f"{tmp_dir}/ckpt"))(lines, 0)
     state2 = {r.item_id: (r.reason, r.status) for r in
               ingest.current_tracker(spark, store, log).collect()}
     assert state2 == state
@@ -148,5 +208,5 @@ def test_versioned_table_ignores_unfinished_versions(spark, tmp_dir):
     with open(f"{tmp_dir}/t/v=00000001/market=US/part-0.parquet", "w") as fh:
         fh.write("partial")
     assert store.current_version() == 0 and store.read().count() == 1
-    assert store.commit(df.union(df), version=1) == 1      # the retry overwrites it
+    assert store.commit(df.union(df)) == 1                 # the retry overwrites it
     assert store.current_version() == 1 and store.read().count() == 2

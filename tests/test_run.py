@@ -1,10 +1,11 @@
 """The job runner end to end on folders built from the driver tables."""
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from itemtrack.plans import bindings as B, run
-from itemtrack.plans.catalog import tracker as bound_tracker
+from itemtrack.plans.catalog import REASON_NAME, tracker as bound_tracker
 from itemtrack.sources import sinks
 from itemtrack.sources.sinks import VersionedTable
 
@@ -25,11 +26,15 @@ def test_status_and_export_and_intake_jobs(spark, tmp_dir):
     write_sheet(B.view(spark, SF_SMALL, "v_allow"), f"{cfg}/allow.csv")
     tracker = bound_tracker(spark, SF_SMALL).drop("seq")
     store = VersionedTable(spark, f"{tmp_dir}/tracker")
-    store.commit(tracker, version=0)
+    store.commit(tracker)
     results = f"{tmp_dir}/results"
     obs = B.view(spark, SF_SMALL, "v_obs_raw").withColumn("file_no", F.col("seq") % 2)
     sinks.write_result_files(obs, results, folder_col="marketplace_id")
 
+    with pytest.raises(FileNotFoundError):                  # no gate sheet: no run
+        run.status(spark, f"{tmp_dir}/tracker", results, cfg, f"{tmp_dir}/out")
+    with open(f"{cfg}/jobs.csv", "w") as fh:                # folders are market codes here
+        fh.write("market,slot_no,phase,status_text\n1,1,result,Success\n2,1,result,Success\n")
     v = run.status(spark, f"{tmp_dir}/tracker", results, cfg, f"{tmp_dir}/out")
     assert v == 1 and store.read().count() == tracker.count()
     decisions = spark.read.parquet(f"{tmp_dir}/out/status/decisions")
@@ -45,7 +50,7 @@ def test_status_and_export_and_intake_jobs(spark, tmp_dir):
     assert report.where("updated").count() >= 1
 
     hist = VersionedTable(spark, f"{tmp_dir}/history")
-    hist.commit(tracker.limit(0), version=0)
+    hist.commit(tracker.limit(0))
     inflow = f"{tmp_dir}/inflow"
     B.view(spark, SF_SMALL, "v_inflow").drop("seq").write.parquet(inflow)
     tv, hv = run.intake(spark, f"{tmp_dir}/tracker", f"{tmp_dir}/history", inflow, f"{tmp_dir}/out")
@@ -64,10 +69,10 @@ def test_dimensions_job(spark, tmp_dir):
                 .select("market", "slot_no", "phase", "status_text"), f"{cfg}/jobs.csv")
     tracker = bound_tracker(spark, SF_SMALL).drop("seq")
     store = VersionedTable(spark, f"{tmp_dir}/tracker")
-    store.commit(tracker, version=0)
+    store.commit(tracker)
     warehouse = f"{tmp_dir}/warehouse"
     B.view(spark, SF_SMALL, "v_dimensions").write.parquet(warehouse)
-    v = run.dimensions(spark, f"{tmp_dir}/tracker", warehouse, cfg, f"{tmp_dir}/out")
+    v = run.dimensions(spark, f"{tmp_dir}/tracker", warehouse, cfg, f"{tmp_dir}/out", REASON_NAME)
     assert v == 1 and store.read().count() == tracker.count()
     from pyspark.errors import AnalysisException
     from itemtrack.operators import queues
@@ -79,4 +84,4 @@ def test_dimensions_job(spark, tmp_dir):
             return 0
 
     assert rows("assigned") > 0
-    assert rows("assigned") + rows("unassigned") == queues.dimension_queue(tracker).count()
+    assert rows("assigned") + rows("unassigned") == queues.dimension_queue(tracker, REASON_NAME).count()
