@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from itemtrack import schemas
 from itemtrack.operators import changes, lookups
-from itemtrack.operators.common import rank_within
 from itemtrack.plans import refresh as R
 from itemtrack.session import path_exists, remove_path, scratch_path
 from itemtrack.sources import sinks, tables, tsv
@@ -52,9 +51,9 @@ def load_config(spark: SparkSession, config_dir: str) -> dict:
 
 
 def with_seq(df: DataFrame, columns) -> DataFrame:
-    """Order for order-dependent steps: the table's own ``seq``, else the stated columns,
-    so that two runs over differently written files agree."""
-    return df if "seq" in df.columns else df.withColumn("seq", F.struct(*columns))
+    """Order for order-dependent steps: the table's own ``seq``, else the text of the stated
+    columns, so that two runs over differently written files agree."""
+    return df if "seq" in df.columns else df.withColumn("seq", F.to_json(F.struct(*columns)))
 
 
 def _sheet(cfg: dict, name: str) -> DataFrame:
@@ -139,9 +138,7 @@ def intake(spark, tracker_root, history_root, inflow_path, out_dir, only_archive
     store, tracker = _read_store(spark, tracker_root)
     hstore, history = _read_store(spark, history_root)
     inflow = spark.read.parquet(inflow_path)
-    if "seq" not in inflow.columns:                  # order by the rows themselves, as one number
-        rows = [c for c in schemas.INFLOW_INSERT_COLUMNS if c in inflow.columns]
-        inflow = rank_within(inflow.withColumn("_all", F.lit(0)), "_all", rows, out="seq").drop("_all")
+    inflow = with_seq(inflow, [c for c in schemas.INFLOW_INSERT_COLUMNS if c in inflow.columns])
     res = R.intake_inflow(tracker, history, inflow, only_archived)
     _publish(out_dir, "intake", {"found": res["found"]})
     hversion = hstore.commit(res["history"].drop("seq"))
