@@ -2,9 +2,10 @@
 plan reduces groups map-side (partial aggregates) before any shuffle."""
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
-from itemtrack.operators import decide as D
+from itemtrack.operators import changes, decide as D, joins
 from itemtrack.plans import bindings as B
 
 from conftest import SF_SMALL
@@ -79,3 +80,47 @@ def test_statistics_are_partial_before_the_shuffle(spark):
     assert "partial_count" in plan and "partial_min(" in plan
     # the only window runs over (item, market) statistics: at most one row per market
     assert plan.count("Window ") <= 1
+
+
+@pytest.fixture()
+def shuffled(spark):
+    """No broadcasts and low skew limits, so that a hot key shows in small tables."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, value in conf.items():
+        spark.conf.set(k, value)
+    yield spark
+    for k, value in before.items():
+        spark.conf.unset(k) if value is None else spark.conf.set(k, value)
+
+
+def hot_rows(spark, n=120_000):
+    """A third of the rows on one item; market differs by row."""
+    return spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("item_id"),
+        F.when(F.col("id") % 3 == 0, "US").otherwise(F.concat(F.lit("m"), F.col("id") % 5)).alias("market"),
+        F.concat(F.lit("r"), F.col("id") % 4).alias("reason"), F.lit("WIP").alias("status"),
+        F.repeat(F.md5(F.col("id").cast("string")), 2).alias("filler"), F.col("id").alias("seq"))
+
+
+@pytest.mark.parametrize("kind", ["rows_per_item", "rows_per_item_market", "attach_state", "restrict_to_keys",
+                                  "keyed_difference", "keyed_update"])
+def test_hot_keys_are_split(shuffled, kind):
+    rows = hot_rows(shuffled)
+    keys = rows.select("item_id", "market").where("seq % 2 = 0")
+    out = {
+        "rows_per_item": lambda: D.rows_per_item(rows),
+        "rows_per_item_market": lambda: D.rows_per_item_market(rows),
+        "attach_state": lambda: joins.attach_state(rows.drop("reason", "status"), joins.first_state(rows)),
+        "restrict_to_keys": lambda: joins.restrict_to_keys(rows, keys),
+        "keyed_difference": lambda: changes.keyed_difference(rows, keys.where("item_id <> 'hot'"),
+                                                             ["item_id", "market"]),
+        "keyed_update": lambda: changes.keyed_update(rows, rows.select("item_id", "market", "reason", "seq"),
+                                                     ["reason"], on_duplicate="allow"),
+    }[kind]()
+    counted = out.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*out.columns) % 1000), F.max("filler"))
+    assert counted.collect()[0][0] > 0
+    assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
