@@ -160,7 +160,7 @@ def build_filter(counts: DataFrame, n_bits: int = FILTER_BITS, probes: int = PRO
     rows = (counts.repartition(parts, segment).sortWithinPartitions(segment, F.col("h"))
             .mapInArrow(run, "segment long, bits binary"))
     found = np.zeros(n_bits // 8, np.uint8)
-    for row in rows.toLocalIterator():               # SEGMENTS rows of a fixed size
+    for row in materialize(rows, "lm-filter").toLocalIterator():  # SEGMENTS rows of a fixed size
         at = row["segment"] * (size // 8)
         found[at:at + size // 8] = np.frombuffer(row["bits"], np.uint8)
     return LogFrequencyFilter(found, n_bits, probes)
