@@ -3,10 +3,11 @@
 Documents are indexed in shards of bounded text; every shard row holds sorted terms,
 their postings and document lengths.  Document frequencies, the number of documents and
 their mean length are global, so a document's score does not depend on its shard.  A
-shard keeps, per term and block of neighbouring documents, the largest contribution.
-For a query the block maxima of its terms are summed; as in WAND's pivot test only
-blocks whose sum reaches the k-th best score so far can hold a result and are scored,
-best first.  The shards' lists are merged by score and id.
+shard keeps, per frequent term and block of neighbouring documents, the largest
+contribution.  The postings of a query's rare terms are added up by document; as in
+block-max WAND's pivot test only documents whose sum so far and the block maxima of the
+frequent terms together reach the k-th best score can be results, and only in their
+blocks the frequent terms are looked at.  The shards' lists are merged by score and id.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from itemtrack.llm.common import materialize, slices, text_bytes, word_hashes
 
 K1, B = 1.2, 0.75
-SHARD_BYTES = 32 << 20     # text in one shard, unless a task's input ends before
+SHARD_BYTES = 64 << 20     # text in one shard, unless a task's input ends before
 BLOCK = 32                 # neighbouring documents under one maximum
+DENSE = 16                 # terms in a 16th of a shard's documents or more have rows of their own
+SLACK = 1e-4               # relative; single-precision sums are off by far less
 
 # Words end at ASCII blanks and punctuation; A-Z count as a-z.
 _TO_BLANK = bytes(32 if chr(c) in "\t\n\x0b\x0c\r !\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else c for c in range(256))
@@ -80,66 +83,86 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 class Shard:
-    """One shard's postings with their contributions and block maxima."""
+    """One shard's postings with their contributions.
+
+    Terms in at least a ``DENSE`` share of the documents have a row of contributions by
+    document and a row of their maxima by block of neighbouring documents; the postings of
+    the other, rarer terms are read as they are.
+    """
 
     def __init__(self, row: dict, mean_length: float, k1: float, b: float):
         self.ids = row["doc_ids"]
+        self.n = len(self.ids)
         self.terms = np.asarray(row["terms"], np.int64)
         df = np.asarray(row["df"], np.int64)
         self.docs = np.frombuffer(row["docs"], np.int32)
         tf = np.frombuffer(row["tfs"], np.int32).astype(np.float64)
         norm = k1 * (1 - b + b * np.asarray(row["lengths"], np.float64) / max(mean_length, 1e-9))
         self.gain = tf * (k1 + 1) / (tf + norm[self.docs])
-        # A cell is the run of one term's postings inside one block of documents.
-        owner, block = np.repeat(np.arange(len(df)), df), self.docs // BLOCK
-        new = np.ones(len(owner), bool)
-        new[1:] = (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])
-        self.cell_start = np.append(np.nonzero(new)[0], len(owner))
-        starts = self.cell_start[:-1]
-        self.cell_block = block[starts]
-        self.cell_max = np.maximum.reduceat(self.gain, starts) if len(starts) else np.zeros(0)
-        self.term_cell = np.searchsorted(owner[starts], np.arange(len(df) + 1))
-        self.n_blocks = -(-len(self.ids) // BLOCK)
-
-    @staticmethod
-    def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All whole numbers of some ranges, and for each the range it is from."""
-        sizes = ends - starts
-        which = np.repeat(np.arange(len(starts)), sizes)
-        return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes), which
+        self.offset = np.append(0, np.cumsum(df))
+        self.posting = np.repeat(np.arange(len(df)), df) * self.n + self.docs  # sorted (term, document)
+        often = np.nonzero(df >= max(self.n // DENSE, 1))[0]
+        self.row_of = np.full(len(df), -1)
+        self.row_of[often] = np.arange(len(often))
+        n_blocks = -(-self.n // BLOCK)
+        self.rows = np.zeros((len(often), n_blocks, BLOCK), np.float32)
+        posts, which = ranges(self.offset[often], self.offset[often + 1])
+        self.rows[which, self.docs[posts] // BLOCK, self.docs[posts] % BLOCK] = self.gain[posts]
+        self.maxima = self.rows.max(2)
+        self.examined = 0                            # documents whose frequent terms were looked at
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[object, float]]:
-        """The best ``k`` documents that hold a term, by score and then by id."""
+        """The best ``k`` documents that hold one of the (sorted) terms, by score and then by id."""
         place = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
         here = self.terms[place] == terms if len(self.terms) else np.zeros(len(terms), bool)
         place, weights = place[here], weights[here]
         if not len(place):
             return []
-        cells, which = self._ranges(self.term_cell[place], self.term_cell[place + 1])
-        bound = np.bincount(self.cell_block[cells], self.cell_max[cells] * weights[which], self.n_blocks)
-        bound *= 1 + 1e-9                            # above any rounding of the sums
-        queue = np.argsort(-bound, kind="stable")
-        queue = queue[bound[queue] > 0]
-        by_block = np.argsort(self.cell_block[cells], kind="stable")
-        first = np.searchsorted(self.cell_block[cells][by_block], np.arange(self.n_blocks + 1))
-        best_docs, best, least, step = np.zeros(0, np.int64), np.zeros(0), -np.inf, -(-2 * k // BLOCK) + 1
-        while len(queue):
-            blocks, queue, step = queue[:step], queue[step:], 2 * step
-            taken, _ = self._ranges(first[blocks], first[blocks + 1])
-            taken = np.sort(by_block[taken])         # by term: sums in the same order for every document
-            posts, cell = self._ranges(self.cell_start[cells[taken]], self.cell_start[cells[taken] + 1])
-            total = np.bincount(self.docs[posts], self.gain[posts] * weights[which[taken]][cell], len(self.ids))
-            docs = np.unique(self.docs[posts])
-            best_docs, best = np.concatenate([best_docs, docs]), np.concatenate([best, total[docs]])
-            if len(best) > k:
-                least = np.partition(best, len(best) - k)[len(best) - k]
-                keep = best >= least
-                best_docs, best = best_docs[keep], best[keep]
-            queue = queue[bound[queue] >= least]     # the rest cannot reach the k-th best
-        found = sorted(((self.ids[d], float(s)) for d, s in zip(best_docs, best)),
+        row = self.row_of[place]
+        often, heavy = row[row >= 0], weights[row >= 0].astype(np.float32)
+        rare, light = place[row < 0], weights[row < 0]
+        posts, which = ranges(self.offset[rare], self.offset[rare + 1])
+        total = np.bincount(self.docs[posts], self.gain[posts] * light[which], self.n)
+        # The pivot test: a document's rare terms and its block's maxima must reach the k-th best.
+        bound = total + np.repeat(heavy @ self.maxima[often], BLOCK)[:self.n]
+        bound *= 1 + SLACK                           # above any rounding of the sums
+        least = 0.0
+        if np.count_nonzero(bound > 0) > 4 * k:
+            seed = np.unique(np.argpartition(-bound, 4 * k)[:4 * k] // BLOCK)
+            least = self._kth(self._scores(total, often, heavy, seed)[1], k)
+        blocks = np.unique(np.nonzero((bound > 0) & (bound >= least))[0] // BLOCK)
+        alive, score = self._scores(total, often, heavy, blocks)
+        alive = alive[(score > 0) & (score >= self._kth(score, k))]
+        # Exact scores of those left, summed in the order of terms for every document.
+        wanted = place[:, None] * self.n + alive[None, :]
+        at = np.minimum(np.searchsorted(self.posting, wanted), len(self.posting) - 1)
+        exact = np.cumsum(np.where(self.posting[at] == wanted, self.gain[at] * weights[:, None], 0.0), 0)[-1]
+        found = sorted(((self.ids[d], float(x)) for d, x in zip(alive, exact)),
                        key=lambda r: (-r[1], r[0] is None, r[0]))
         return found[:k]
 
+    def _scores(self, total: np.ndarray, often: np.ndarray, heavy: np.ndarray,
+                blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The documents of some blocks and their scores."""
+        docs = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        more = heavy @ self.rows[np.ix_(often, blocks)].reshape(len(often), len(blocks) * BLOCK)
+        inside = docs < self.n
+        docs = docs[inside]
+        self.examined += len(docs)
+        return docs, total[docs] + more[inside]
+
+    @staticmethod
+    def _kth(scores: np.ndarray, k: int) -> float:
+        """A bound that the k-th best of these scores surely reaches."""
+        return np.partition(scores, len(scores) - k)[len(scores) - k] * (1 - 2 * SLACK) if len(scores) >= k else -np.inf
+
+
+def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All whole numbers of some ranges, and for each the range it is from."""
+    sizes = ends - starts
+    which = np.repeat(np.arange(len(starts)), sizes)
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes), which
+
 
 def top_k(index: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
           k1: float = K1, b: float = B) -> DataFrame:
