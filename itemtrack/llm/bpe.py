@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -21,8 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from itemtrack.llm.common import slices, texts
 
-CACHE_ENTRIES = 300_000    # chunks that a worker remembers before it starts anew
-PAIR_ENTRIES = 1_000_000   # neighbour tests that a worker remembers
+CACHE_ENTRIES = 400_000    # parts between spaces that a worker remembers
+PAIR_ENTRIES = 500_000     # neighbour tests that a worker remembers
 
 
 def load_tokens(path: str) -> list[bytes]:
@@ -41,10 +42,15 @@ class PrefixBpe:
     def __init__(self, tokens: list[bytes], pattern: str):
         self.tokens = tokens
         self.rank = {t: i for i, t in enumerate(tokens) if t}
-        self.tails = {t[i:] for t in self.rank for i in range(len(t))}
+        self.longest = max(map(len, tokens))
+        # Enumerates the tokens that end at each byte, the longest first; a byte is a character.
+        self._ends = ahocorasick.Automaton()
+        for token, i in self.rank.items():
+            if self._merge(token) == [i]:            # a token that its own bytes do not give is never used
+                self._ends.add_word(token.decode("latin-1"), (i, len(token)))
+        self._ends.make_automaton()
         self.pieces = regex.compile(pattern).findall
         self._pairs: dict[int, bool] = {}
-        self._alone: dict[int, bool] = {}
         self._chunks: dict[str, bytes] = {}
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self._starts = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
@@ -64,12 +70,6 @@ class PrefixBpe:
             parts[best[1]:best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
         return [self.rank[p] for p in parts]
 
-    def _valid(self, token: int) -> bool:
-        ok = self._alone.get(token)
-        if ok is None:
-            ok = self._alone[token] = self._merge(self.tokens[token]) == [token]
-        return ok
-
     def _follows(self, left: int, right: int) -> bool:
         key = left << 24 | right
         ok = self._pairs.get(key)
@@ -85,20 +85,23 @@ class PrefixBpe:
         """``table[i]`` is the last token of the encoding of ``data[:i + 1]``.  A table of
         a shorter prefix is continued, so appending costs only the new bytes."""
         table = list(table or ())
-        rank, tails = self.rank, self.tails
-        for end in range(len(table) + 1, len(data) + 1):
-            start, found = end, []
-            while start and data[start - 1:end] in tails:
-                start -= 1
-                token = rank.get(data[start:end])
-                if token is not None:
-                    found.append((start, token))
-            for start, token in reversed(found):  # exactly one fits
-                if self._valid(token) and (not start or self._follows(table[start - 1], token)):
-                    table.append(token)
+        done, pairs, add = len(table), self._pairs, table.append
+        for end, (token, size) in self._ends.iter(data.decode("latin-1"), max(0, done + 1 - self.longest)):
+            if end != done:                          # this prefix has its token, exactly one fits
+                if end > done:
                     break
-            else:
-                raise ValueError("the rank list cannot encode this text: a byte has no token")
+                continue
+            start = end + 1 - size
+            if start:
+                ok = pairs.get(table[start - 1] << 24 | token)
+                if ok is None:
+                    ok = self._follows(table[start - 1], token)
+                if not ok:
+                    continue
+            add(token)
+            done += 1
+        if done != len(data):
+            raise ValueError("the rank list cannot encode this text: a byte has no token")
         return table
 
     def walk_back(self, table: list[int]) -> list[int]:
@@ -109,9 +112,6 @@ class PrefixBpe:
         return ids[::-1]
 
     def encode_piece(self, data: bytes) -> list[int]:
-        token = self.rank.get(data)
-        if token is not None and self._valid(token):  # the table's last entry would be this token
-            return [token]
         return self.walk_back(self.last_tokens(data))
 
     # -- whole texts --------------------------------------------------------------------
@@ -138,10 +138,10 @@ class PrefixBpe:
             blank_end = part[-1:].isspace()
             if blank_end and not last:
                 return np.array(self.encode_plain(text), np.int32)
-            found[i] = np.array(self.encode_plain(part), np.int32).tobytes()
-            if part and not blank_end:
-                if len(known) >= CACHE_ENTRIES:
-                    known.clear()
+            found[i] = b"".join([known.get(x) or np.array(self.encode_piece(x.encode()), np.int32).tobytes()
+                                 for x in self.pieces(part)])
+            # The words seen first are the frequent ones: a full memory takes no more.
+            if part and not blank_end and len(known) < CACHE_ENTRIES:
                 known[part] = found[i]
         return np.frombuffer(b"".join(found), np.int32)
 
