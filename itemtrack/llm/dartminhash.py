@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from itemtrack.llm.common import materialize, mix64, slices, text_bytes, word_hashes
+from itemtrack.operators.common import join_split
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -144,6 +145,27 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             .filter(both >= F.lit(similarity) * (F.size("sa") + F.size("sb") - both)).select("a", "b"))
 
 
+def _prefixes(sets: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The rarest shingles of every node (key, n, label, apart, shingle), so many that two
+    nodes as similar as asked share one of them.
+
+    ``small`` bounds the size of the nodes that a node may be linked to.  Such sets have at
+    least t / (1 + t) * (n + small) shingles in common, so of a node's shingles, ordered by
+    their frequency, all but so many less one must hold a common one.  Shingles of one
+    node only are not returned.
+    """
+    least = F.greatest(F.col("small").cast("double"), F.lit(similarity) * F.col("n"))
+    need = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n") + least) - 1e-6)
+    spread = (sets.join(nodes.select("key", (F.col("n") - need + 1).cast("int").alias("length")), "key")
+              .select("key", "length", F.explode("shingles").alias("shingle")))
+    often = spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"))
+    ordered = join_split(spread, often, "shingle").groupBy("key", "length").agg(
+        F.array_sort(F.collect_list(F.struct("c", "shingle"))).alias("all"))
+    rare = ordered.select("key", F.explode(F.slice("all", F.lit(1), F.greatest("length", F.lit(0)))).alias("one"))
+    return (rare.filter("one.c > 1").select("key", F.col("one.shingle").alias("shingle"))
+            .join(nodes.select("key", "n", "label", "apart"), "key"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(key, label): every node of an edge with the least key of its connected component.
 
@@ -179,34 +201,42 @@ def _classes(docs: DataFrame, similarity: float, id_col: str, text_col: str, wid
     nodes = materialize(sketch.filter("key IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "dart-nodes")
     spread = nodes.select(F.explode("bands").alias("band"), "key", "n")
-    shared = materialize(spread.groupBy("band").agg(F.min("key").alias("lead"), F.count(F.lit(1)).alias("c"))
-                         .filter("c > 1").select("band", "lead"), "dart-buckets")
+    shared = materialize(spread.groupBy("band").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "dart-buckets")
     members = materialize(spread.join(shared, "band"), "dart-members")
+    # The lead of a bucket is the node that meets most others in all its buckets: it tends to be
+    # the middle of its group, so that most links are found with it.
+    meets = members.groupBy("key").agg(F.sum("c").alias("meets"))
+    leads = materialize(members.join(meets, "key").groupBy("band").agg(
+        F.max_by("key", F.struct("meets", "key")).alias("lead")), "dart-leads")
+    members = materialize(members.select("band", "key", "n").join(leads, "band"), "dart-members")
     sizes = materialize(members.select("key", "n").distinct(), "dart-found")
     sets = materialize(_sets(docs, nodes.join(sizes.select("key"), "key").select("key", "doc_id"),
                              id_col, text_col, width), "dart-sets")
     least, most = F.least("na", "nb"), F.greatest("na", "nb")  # sizes alone rule out many pairs
     alike = least >= F.lit(similarity) * most
-    # Every node of a bucket with the bucket's least node.
+    # Every node of a bucket with the bucket's lead.
     stars = materialize(
         members.filter("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b"), F.col("n").alias("nb"))
         .distinct().join(sizes.select(F.col("key").alias("a"), F.col("n").alias("na")), "a")
         .filter(alike).select("a", "b"), "dart-pairs")
     links = materialize(_links(stars, sets, similarity), "dart-links")
     labels = components(links)
-    # Buckets that still hold several components: all members of all but the largest of them
-    # with the members of the others.
+    # Buckets that still hold several components: the members of all but the largest of them
+    # against the members of the others.
     now = members.join(labels, "key", "left").select("band", "key", "n", F.coalesce("label", "key").alias("label"))
     now = materialize(now, "dart-open")
-    parts = now.groupBy("band", "label").agg(F.count(F.lit(1)).alias("c"))
-    largest = materialize(parts.groupBy("band").agg(F.max_by("label", F.struct("c", "label")).alias("main"),
-                                                    F.count(F.lit(1)).alias("parts"))
-                          .filter("parts > 1").select("band", "main"), "dart-largest")
-    now = now.join(largest, "band")
-    apart = now.filter("label <> main").select("band", F.col("key").alias("x"), F.col("n").alias("na"),
-                                               F.col("label").alias("lx"))
-    other = now.select("band", F.col("key").alias("y"), F.col("n").alias("nb"), F.col("label").alias("ly"))
-    rest = materialize(apart.join(other, "band").filter("lx <> ly").filter(alike)
+    parts = now.groupBy("band", "label").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("small"))
+    largest = parts.groupBy("band").agg(F.max_by("label", F.struct("c", "label")).alias("main"),
+                                        F.min("small").alias("small"), F.count(F.lit(1)).alias("parts"))
+    largest = materialize(largest.filter("parts > 1").select("band", "main", "small"), "dart-largest")
+    open_nodes = materialize(now.join(largest, "band").groupBy("key").agg(
+        F.first("n").alias("n"), F.first("label").alias("label"), F.min("small").alias("small"),
+        F.max((F.col("label") != F.col("main")).cast("int")).alias("apart")), "dart-nodes")
+    prefixes = materialize(_prefixes(sets, open_nodes, similarity), "dart-prefixes")
+    one = prefixes.filter("apart = 1").select("shingle", F.col("key").alias("x"), F.col("n").alias("na"),
+                                              F.col("label").alias("lx"))
+    two = prefixes.select("shingle", F.col("key").alias("y"), F.col("n").alias("nb"), F.col("label").alias("ly"))
+    rest = materialize(one.join(two, "shingle").filter("lx <> ly").filter(alike)
                        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
                        .join(stars, ["a", "b"], "left_anti"), "dart-pairs")
     more = materialize(_links(rest, sets, similarity), "dart-links")
@@ -229,9 +259,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     such row is alone, under its own id.  An empty table gives an empty result; other
     columns are ignored.
 
-    Every node is first compared with the least node of each of its buckets.  In buckets
-    that then still hold several components, all members of all but the largest are
-    compared with the members of the others: between two nodes of a bucket no link is lost.
+    Every node is first compared with the lead node of each of its buckets.  In buckets
+    that then still hold several components, the members of all but the largest are
+    compared with the members of the others that share one of their rarest shingles,
+    which all that similar do: between two nodes of a bucket no link is lost.
     """
     named, classes = _classes(docs, similarity, id_col, text_col, width, bands, rows)
     return named.join(classes, "label", "left").select(
