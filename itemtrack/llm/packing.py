@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from itemtrack.llm.common import materialize, slices, texts
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 300_000    # parts that a worker remembers, some 200 bytes each
 
 
 class ChunkedEncoder:
@@ -46,32 +46,39 @@ class ChunkedEncoder:
 
     def encode(self, strings: list[str]) -> list[np.ndarray]:
         """Ids of every text, without special tokens."""
-        if len(self._chunks) > CACHE_ENTRIES:
-            self._chunks.clear()
-        known, split, new = self._chunks, [], {}
+        known, split, new = self._chunks, [], set()
         for text in strings:
-            parts = text.split(" ")
-            parts[1:] = [" " + p for p in parts[1:]]
+            parts = text.split(" ")                  # all but the first follow a space
             split.append(parts)
-            new.update((p, None) for p in parts if p not in known)
-        self._learn([p for p in new if p[:1] == " " and not p[-1:].isspace()])
+            new.update(set(parts[1:]).difference(known))
+        learned = self._learn([p for p in new if p and not p[-1:].isspace()])
+        if len(known) + len(learned) <= CACHE_ENTRIES:  # the words seen first are the frequent ones
+            known.update(learned)
+            learned = {}
         out = []
         for text, parts in zip(strings, split):
             found = list(map(known.get, parts))
-            for i in (0, len(parts) - 1):            # the ends of a text may have blanks
-                if found[i] is None and (i or len(parts) == 1 or not parts[0][-1:].isspace()):
-                    found[i] = self._ids(parts[i]).tobytes()
+            if learned and None in found:
+                found = [learned.get(p) if f is None else f for p, f in zip(parts, found)]
+            last = len(parts) - 1                    # the ends of a text may have blanks
+            found[0] = None if last and parts[0][-1:].isspace() else self._ids(parts[0]).tobytes()
+            if last and found[last] is None:
+                found[last] = self._ids(" " + parts[last]).tobytes()
             out.append(self._ids(text) if None in found else np.frombuffer(b"".join(found), np.uint32))
         return out
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn(self, parts: list[str]) -> dict[str, bytes]:
+        found = {}
         for lo in range(0, len(parts), 20_000):
             some = parts[lo:lo + 20_000]
-            ids = self._ids("".join(some))
+            ids = self._ids(" " + " ".join(some))
             ends = np.cumsum(self.sizes[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(p.encode()) for p in some]), "left") + 1
-            for part, a, b in zip(some, np.concatenate([[0], cuts[:-1]]), cuts):
-                self._chunks[part] = ids[a:b].tobytes()
+            cuts = np.searchsorted(ends, np.cumsum([len(p.encode()) + 1 for p in some]), "left") + 1
+            data, at = ids.tobytes(), 0
+            for part, end in zip(some, (4 * cuts).tolist()):
+                found[part] = data[at:end]
+                at = end
+        return found
 
 
 @lru_cache(2)
