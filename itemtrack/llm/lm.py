@@ -1,10 +1,12 @@
 """Operator 10: language-model scores from a log-frequency Bloom filter.
 
 Word and word-pair counts of the training documents are quantised by their logarithm;
-an n-gram of level q is put into a Bloom filter q times, once per level.  A worker
-reads a count back by asking for level 1, 2, ... until one is missing, and smooths the
-pair's count with the word's.  The filter has a fixed number of bits, which bounds the
-broadcast; it is built segment by segment on the executors.
+an n-gram of level q is put into a Bloom filter q times, once per level.  A count
+is read back by asking for level 1, 2, ... until one is missing, and the pair's count is
+smoothed with the word's.  The filter grows with the corpus, so it is never in one place:
+it is built in segments by the n-grams' hashes, each sized by the levels counted in it, and
+the distinct n-grams of each block of documents are sent to their segments and the levels
+found there sent back.
 
 The exact unigram baseline needs exact counts of an open vocabulary, which must not be
 broadcast: documents are grouped into blocks of bounded text, each block's distinct
@@ -17,13 +19,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from itemtrack.llm.common import materialize, mix64, slices, text_bytes, word_hashes
 
-FILTER_BITS = 1 << 29      # 64 MiB, whatever the corpus; about 6 bits per n-gram level at 65 million pairs
-SEGMENTS = 256             # the filter is built in this many parts
+FILTER_BITS = 1 << 29      # all segments together at least
+LEVEL_BITS = 10            # bits of a segment per n-gram level in it at least: 1.7 % false hits a level with 3 probes
+SEGMENTS = 256             # at least; a power of two
+SEGMENT_BYTES = 32 << 20   # training text per segment at most: bounds a segment's n-grams and bits
+KEY_BYTES = 5              # of a hash after its segment's bits; a segment's n-grams meet in 1e-5 of cases at most
 PROBES = 3
 PRIOR = 50.0               # weight of the word's own probability against its context's count
 MAX_LEVEL = 48
@@ -54,36 +60,90 @@ def level_count(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, (low + 2 * low - 1) / 2, 0.0)
 
 
-class LogFrequencyFilter:
-    """Bits of the filter; all probes of an n-gram fall into its segment (the hash's top byte)."""
+def places(keys: np.ndarray, level: int, probe: int, size: int) -> np.ndarray:
+    """Bit of a probe inside the n-gram's segment of ``size`` bits (a power of two)."""
+    salt = np.uint64((level * 131 + probe + 1) * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF)
+    return (mix64(keys + salt) & np.uint64(size - 1)).astype(np.int64)
+
+
+def found_levels(bits: np.ndarray, keys: np.ndarray, probes: int) -> np.ndarray:
+    """The largest level of each n-gram of a segment up to which all levels are present."""
+    found = np.zeros(len(keys), np.uint8)
+    alive = np.arange(len(keys))
+    for level in range(1, MAX_LEVEL + 1):
+        for probe in range(probes):
+            at = places(keys[alive], level, probe, 8 * len(bits))
+            alive = alive[((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)]
+        if not len(alive):
+            break
+        found[alive] = level
+    return found
+
+
+def short_hashes(hashes: np.ndarray, n_segments: int) -> np.ndarray:
+    """The hashes without the bits that ``pack`` leaves out."""
+    drop = np.uint64(max(64 - 8 * KEY_BYTES - (n_segments - 1).bit_length(), 0))
+    return hashes.astype(np.uint64) >> drop << drop
+
+
+def keys_of(hashes: np.ndarray, n_segments: int) -> np.ndarray:
+    """The hashes' keys inside their segments, in the same order."""
+    return hashes << np.uint64((n_segments - 1).bit_length()) >> np.uint64(64 - 8 * KEY_BYTES)
+
+
+def pack(keys: np.ndarray) -> bytes:
+    """Keys byte place by byte place: the high bytes of sorted keys compress well."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].T.tobytes()
 
-    def __init__(self, bits: np.ndarray, n_bits: int, probes: int = PROBES):
-        self.bits, self.n_bits, self.probes = bits, n_bits, probes
 
-    @staticmethod
-    def places(hashes: np.ndarray, level: int, probe: int, n_bits: int) -> np.ndarray:
-        """Bit of a probe inside the n-gram's segment."""
-        salt = np.uint64((level * 131 + probe + 1) * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF)
-        return mix64(hashes + salt) & np.uint64(n_bits // SEGMENTS - 1)
+def unpack(rows: list[bytes]) -> np.ndarray:
+    """The keys of some packed rows, one after the other."""
+    out = np.zeros((sum(map(len, rows)) // KEY_BYTES, 8), np.uint8)
+    at = 0
+    for row in rows:
+        n = len(row) // KEY_BYTES
+        out[at:at + n, :KEY_BYTES] = np.frombuffer(row, np.uint8).reshape(KEY_BYTES, n).T
+        at += n
+    return out.view("<u8").ravel()
+
+
+def segment_cuts(hashes: np.ndarray, n_segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """The segments (top bits) that sorted hashes fall into, and where each one's begin, with the end."""
+    if not len(hashes):
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+    segment = (hashes >> np.uint64(64 - (n_segments - 1).bit_length())).astype(np.int64)
+    starts = np.concatenate([[0], np.nonzero(segment[1:] != segment[:-1])[0] + 1])
+    return segment[starts], np.append(starts, len(hashes))
+
+
+def segments_for(text_bytes: int) -> int:
+    """How many segments a training text of that size needs."""
+    return max(SEGMENTS, 1 << (-(-text_bytes // SEGMENT_BYTES) - 1).bit_length())
+
+
+class LogFrequencyFilter:
+    """All segments of a filter in one process, for those that fit there."""
+
+    def __init__(self, segments: dict[int, np.ndarray], n_segments: int, probes: int = PROBES):
+        self.segments, self.n_segments, self.probes = segments, n_segments, probes
 
     def level(self, hashes: np.ndarray) -> np.ndarray:
-        """The largest level up to which all levels are present."""
-        found = np.zeros(len(hashes), np.int64)
-        alive = np.arange(len(hashes))
-        base = (hashes >> np.uint64(56)) * np.uint64(self.n_bits // SEGMENTS)
-        for level in range(1, MAX_LEVEL + 1):
-            for probe in range(self.probes):
-                at = base[alive] + self.places(hashes[alive], level, probe, self.n_bits)
-                hit = (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
-                alive = alive[hit.astype(bool)]
-            if not len(alive):
-                break
-            found[alive] = level
-        return found
-
-
-def ngram_counts(texts: DataFrame) -> DataFrame:
-    """(h, c): hashes of words and word pairs of ``text`` with counts summed per task."""
+        hashes, which = np.unique(hashes, return_inverse=True)
+        found, keys = np.zeros(len(hashes), np.int64), keys_of(hashes, self.n_segments)
+        names, cuts = segment_cuts(hashes, self.n_segments)
+        for s, lo, hi in zip(names, cuts, cuts[1:]):
+            if int(s) in self.segments:
+                found[lo:hi] = found_levels(self.segments[int(s)], keys[lo:hi], self.probes)
+        return found[which]
+
+
+def ngram_counts(texts: DataFrame, n_segments: int = SEGMENTS) -> DataFrame:
+    """(segment, h, c): hashes of words and word pairs of ``text`` and their counts, summed
+    per task and packed by segment."""
+
+    def summed(parts: list[np.ndarray]) -> pa.RecordBatch:
+        hashes = short_hashes(np.concatenate(parts), n_segments)
+        return _packed(*np.unique(hashes, return_counts=True), n_segments)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[np.ndarray] = []
@@ -95,75 +155,126 @@ def ngram_counts(texts: DataFrame) -> DataFrame:
                 parts += [tokens, [START], pair_hashes(before, tokens)]
                 held += 2 * len(tokens) + 1
             if held >= FLUSH:
-                yield _summed(parts)
+                yield summed(parts)
                 parts, held = [], 0
         if parts:
-            yield _summed(parts)
+            yield summed(parts)
 
-    return texts.mapInArrow(run, "h long, c long")
+    return texts.mapInArrow(run, "segment long, h binary, c binary")
 
 
-def _summed(parts: list[np.ndarray]) -> pa.RecordBatch:
-    hashes, counts = np.unique(np.concatenate(parts).astype(np.uint64), return_counts=True)
-    return pa.record_batch({"h": pa.array(hashes.astype(np.int64)), "c": pa.array(counts)})
+def _packed(hashes: np.ndarray, counts: np.ndarray, n_segments: int) -> pa.RecordBatch:
+    """Sorted hashes and their counts as one row per segment."""
+    names, cuts = segment_cuts(hashes, n_segments)
+    keys, counts = keys_of(hashes, n_segments), counts.astype(np.int64)
+    return pa.record_batch({"segment": pa.array(names, pa.int64()),
+                            "h": pa.array([pack(keys[lo:hi]) for lo, hi in zip(cuts, cuts[1:])], pa.binary()),
+                            "c": pa.array([counts[lo:hi].tobytes() for lo, hi in zip(cuts, cuts[1:])], pa.binary())})
 
 
-def build_filter(counts: DataFrame, n_bits: int = FILTER_BITS, probes: int = PROBES) -> LogFrequencyFilter:
-    """The filter of all n-grams in ``counts`` (h, c; an n-gram may have several rows).
-    Rows meet by segment, sorted, so a task adds up runs and holds one segment's bits."""
+def filter_segments(counts: DataFrame, n_segments: int = SEGMENTS, n_bits: int = FILTER_BITS,
+                    probes: int = PROBES) -> DataFrame:
+    """(segment, bits): the written filter of all n-grams in ``counts`` (packed; an n-gram may
+    be in several rows).  A segment has its share of ``n_bits``, and ``LEVEL_BITS`` for each
+    level of the n-grams in it; a task holds one segment's n-grams and bits at a time."""
     parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    segment = F.shiftrightunsigned("h", 56)
-    size = n_bits // SEGMENTS
+
+    def built(segment: int, h: list[bytes], c: list[bytes]) -> pa.RecordBatch:
+        keys, ones = unpack(h), np.frombuffer(b"".join(c), np.int64)
+        order = np.argsort(keys, kind="stable")  # sorted runs
+        keys, ones = keys[order], ones[order]
+        starts = np.concatenate([[0], np.nonzero(keys[1:] != keys[:-1])[0] + 1])
+        keys, level = keys[starts], np.minimum(levels(np.add.reduceat(ones, starts)), MAX_LEVEL)
+        size = 1 << (max(n_bits // n_segments, LEVEL_BITS * int(level.sum()), 8) - 1).bit_length()
+        bits = np.zeros(size, bool)
+        for q in range(1, int(level.max()) + 1):
+            keys, level = keys[level >= q], level[level >= q]
+            for probe in range(probes):
+                bits[places(keys, q, probe, size)] = True
+        return pa.record_batch({"segment": pa.array([segment], pa.int64()),
+                                "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, current = np.zeros(size, bool), None
-        last, total = None, 0
+        current, h, c = None, [], []
+        for batch in batches:
+            for i, segment in enumerate(batch.column(0).to_pylist()):
+                if h and segment != current:
+                    yield built(current, h, c)
+                    h, c = [], []
+                current = segment
+                h.append(batch.column(1)[i].as_py())
+                c.append(batch.column(2)[i].as_py())
+        if h:
+            yield built(current, h, c)
+
+    rows = counts.repartition(parts, "segment").sortWithinPartitions("segment")
+    return materialize(rows.mapInArrow(run, "segment long, bits binary"), "lm-filter")
 
-        def put(hashes: np.ndarray, sums: np.ndarray) -> None:
-            level = np.minimum(levels(sums), MAX_LEVEL)
-            for q in range(1, int(level.max(initial=0)) + 1):
-                some = hashes[level >= q]
-                for probe in range(probes):
-                    bits[LogFrequencyFilter.places(some, q, probe, n_bits).astype(np.int64)] = True
 
-        def packed() -> pa.RecordBatch:
-            return pa.record_batch({"segment": pa.array([int(current)], pa.int64()),
-                                    "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+def build_filter(counts: DataFrame, n_bits: int = FILTER_BITS, probes: int = PROBES) -> LogFrequencyFilter:
+    """The filter of the n-grams in ``counts`` (h, c; an n-gram may have several rows) in this process."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            h = batch.column(0).to_numpy().astype(np.uint64)
-            c = batch.column(1).to_numpy()
-            if last is not None:                     # the run that the batch before ended in
-                h, c = np.concatenate([[last], h]), np.concatenate([[total], c])
-            starts = np.concatenate([[0], np.nonzero(h[1:] != h[:-1])[0] + 1])
-            sums, keys = np.add.reduceat(c, starts), h[starts]
-            last, total = keys[-1], sums[-1]
-            keys, sums = keys[:-1], sums[:-1]
-            owner = (keys >> np.uint64(56)).astype(np.int64)
-            for s in np.unique(owner) if len(keys) else ():
-                if current is not None and s != current:
-                    yield packed()
-                    bits[:] = False
-                current = s
-                put(keys[owner == s], sums[owner == s])
-        if last is not None:
-            s = int(last >> np.uint64(56))
-            if current is not None and s != current:
-                yield packed()
-                bits[:] = False
-            current = s
-            put(np.array([last]), np.array([total]))
-            yield packed()
-
-    rows = (counts.repartition(parts, segment).sortWithinPartitions(segment, F.col("h"))
-            .mapInArrow(run, "segment long, bits binary"))
-    found = np.zeros(n_bits // 8, np.uint8)
-    for row in materialize(rows, "lm-filter").toLocalIterator():  # SEGMENTS rows of a fixed size
-        at = row["segment"] * (size // 8)
-        found[at:at + size // 8] = np.frombuffer(row["bits"], np.uint8)
-    return LogFrequencyFilter(found, n_bits, probes)
+            h, c = batch.column(0).to_numpy().astype(np.uint64), batch.column(1).to_numpy()
+            order = np.argsort(h)
+            yield _packed(h[order], c[order], SEGMENTS)
+
+    rows = filter_segments(counts.mapInArrow(run, "segment long, h binary, c binary"), SEGMENTS, n_bits, probes)
+    return LogFrequencyFilter({r["segment"]: np.frombuffer(r["bits"], np.uint8) for r in rows.toLocalIterator()},
+                              SEGMENTS, probes)
+
+
+def look_up(segments: DataFrame, asked: DataFrame, probes: int = PROBES) -> DataFrame:
+    """(block, segment, levels): for every row of ``asked`` (block, segment, keys: packed)
+    the levels of its n-grams, one byte each; written.  In each partition a segment's bits come
+    first, then the rows asking it."""
+    parts = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owner, bits = None, None
+        for batch in batches:
+            names = batch.column("segment").to_numpy()
+            out: list[bytes] = []
+            blocks: list[int] = []
+            starts = np.concatenate([[0], np.nonzero(names[1:] != names[:-1])[0] + 1, [len(names)]])
+            for lo, hi in zip(starts, starts[1:]):
+                first = lo
+                if hi > lo and batch.column("bits")[lo].is_valid:
+                    owner, bits = names[lo], np.frombuffer(batch.column("bits")[lo].as_py(), np.uint8)
+                    first = lo + 1
+                if first >= hi:
+                    continue
+                keys = [x.as_py() for x in batch.column("keys")[first:hi]]
+                got = (found_levels(bits, unpack(keys), probes).tobytes() if owner == names[lo]
+                       else bytes(sum(map(len, keys)) // KEY_BYTES))  # a segment without n-grams has no row
+                cuts = np.cumsum([0] + [len(k) // KEY_BYTES for k in keys])
+                out += [got[a:b] for a, b in zip(cuts, cuts[1:])]
+                blocks += [*zip(batch.column("block")[first:hi].to_pylist(), names[first:hi])]
+            if out:
+                yield pa.record_batch({"block": pa.array([b for b, _ in blocks], pa.int64()),
+                                       "segment": pa.array([int(s) for _, s in blocks], pa.int64()),
+                                       "levels": pa.array(out, pa.binary())})
+
+    null = F.lit(None)
+    rows = (segments.select("segment", "bits", null.cast("long").alias("block"), null.cast("binary").alias("keys"))
+            .unionByName(asked.select("segment", null.cast("binary").alias("bits"), "block", "keys"))
+            .withColumn("asks", F.col("bits").isNull())
+            .repartition(parts, "segment").sortWithinPartitions("segment", "asks"))
+    return materialize(rows.mapInArrow(run, "block long, segment long, levels binary"), "lm-levels")
+
+
+def block_pairs(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Pair hashes of the tokens of several documents that begin at ``starts``."""
+    before = np.empty_like(flat)
+    before[1:] = flat[:-1]
+    before[starts] = START
+    return pair_hashes(before, flat)
+
+
+def block_grams(words: np.ndarray, pairs: np.ndarray, n_segments: int) -> np.ndarray:
+    """All n-grams that a block asks the filter for: the start, its words, its pairs."""
+    return short_hashes(np.concatenate([[START], words, pairs]), n_segments)
 
 
 def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -179,28 +290,38 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(training, F.lit(False)).alias("training"),
                         F.col(text_col).alias("text"))
-    lm = build_filter(ngram_counts(plain.filter("training").select("text")), n_bits, probes)
-    shared = spark.sparkContext.broadcast((lm.bits, n_bits, probes))
+    learned = plain.filter("training").select("text")
+    n_segments = segments_for(learned.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    segments = filter_segments(ngram_counts(learned, n_segments), n_segments, n_bits, probes)
     kind = plain.schema["doc_id"].dataType.simpleString()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Documents as places in their block's sorted words, and those words."""
+        """Documents as places in their block's sorted words, those words, and its n-grams by segment."""
         ids, marks, found, size, n = [], [], [], 0, 0
         first = TaskContext.get().partitionId() << 32
 
         def out() -> pa.RecordBatch:
-            words, which = np.unique(np.concatenate(found), return_inverse=True)
+            flat = np.concatenate(found)
+            words, which = np.unique(flat, return_inverse=True)
             own = np.repeat(np.array(marks), [len(f) for f in found])
             seen = np.bincount(which[own], minlength=len(words))
             docs_n, cuts = len(found), np.cumsum([len(f) for f in found])[:-1]
             lists = [x.astype(np.int32) for x in np.split(which, cuts)]
+            grams = np.unique(block_grams(words, block_pairs(flat, np.append(0, cuts)), n_segments))
+            names, ends = segment_cuts(grams, n_segments)
+            keys = keys_of(grams, n_segments)
+            packed = [pack(keys[lo:hi]) for lo, hi in zip(ends, ends[1:])]
+            asks = len(names)
             return pa.RecordBatch.from_arrays(
-                [pa.array([first + n] * (docs_n + 1), pa.int64()),
-                 pa.concat_arrays([pa.array(ids, id_type), pa.nulls(1, id_type)]),
-                 pa.array([*marks, None], pa.bool_()), pa.array([*lists, None], pa.list_(pa.int32())),
-                 pa.array([None] * docs_n + [words.astype(np.int64)], pa.list_(pa.int64())),
-                 pa.array([None] * docs_n + [seen], pa.list_(pa.int64()))],
-                ["block", "doc_id", "training", "tokens", "words", "seen"])
+                [pa.array([first + n] * (docs_n + 1 + asks), pa.int64()),
+                 pa.concat_arrays([pa.array(ids, id_type), pa.nulls(1 + asks, id_type)]),
+                 pa.array(marks + [None] * (1 + asks), pa.bool_()),
+                 pa.array(lists + [None] * (1 + asks), pa.list_(pa.int32())),
+                 pa.array([None] * docs_n + [words.astype(np.int64)] + [None] * asks, pa.list_(pa.int64())),
+                 pa.array([None] * docs_n + [seen] + [None] * asks, pa.list_(pa.int64())),
+                 pa.array([None] * (docs_n + 1) + names.tolist(), pa.int64()),
+                 pa.array([None] * (docs_n + 1) + packed, pa.binary())],
+                ["block", "doc_id", "training", "tokens", "words", "seen", "segment", "keys"])
 
         for part in slices(batches):
             id_type = part.schema.field("doc_id").type
@@ -217,37 +338,38 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
 
     table = materialize(plain.mapInArrow(
         blocks, f"block long, doc_id {kind}, training boolean, tokens array<int>, words array<long>, "
-                "seen array<long>"), "lm-blocks")
+                "seen array<long>, segment long, keys binary"), "lm-blocks")
+    answers = look_up(segments, table.filter("keys IS NOT NULL").select("block", "segment", "keys"), probes)
     words = (table.filter("words IS NOT NULL").select("block", F.posexplode(F.arrays_zip("words", "seen")))
              .select("block", F.col("pos").alias("place"), F.col("col.words").alias("h"), F.col("col.seen").alias("c")))
     counts = materialize(words.groupBy("h").agg(F.sum("c").alias("total")).filter("total > 0"), "lm-counts")
     whole = counts.agg(F.sum("total").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_train, n_words = int(whole["n"] or 0), int(whole["v"])
     entries = (words.join(counts, "h", "left")
-               .select("block", "place", "h", F.coalesce("total", F.lit(0)).cast("long").alias("c")))
+               .select("block", "place", "h", F.coalesce("total", F.lit(0)).cast("long").alias("c"))
+               .unionByName(answers, allowMissingColumns=True))
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        bits, size, k = shared.value
-        lm = LogFrequencyFilter(bits, size, k)
-        order = np.argsort(right.column("place").to_numpy())
-        h, c = (right.column(x).to_numpy()[order] for x in ("h", "c"))
+        known = right.filter(pc.is_valid(right.column("place"))).sort_by("place")
+        heard = right.filter(pc.is_valid(right.column("levels"))).sort_by("segment")
+        h, c = (known.column(x).to_numpy() for x in ("h", "c"))
         h = h.astype(np.uint64)
         total = n_train + 0.5 * (n_words + 1)
         exact = np.log10((c + 0.5) / total)
-        about = level_count(lm.level(h))             # the filter's counts of the block's words
-        alone = (about + 0.5) / total
-        begin = float(level_count(lm.level(np.array([START])))[0])
         tokens = left.column("tokens").combine_chunks()
         flat = tokens.values.to_numpy() if len(tokens) else np.zeros(0, np.int32)
         cuts = tokens.offsets.to_numpy().astype(np.int64) - int(tokens.offsets[0].as_py())
         flat = flat[int(tokens.offsets[0].as_py()):int(tokens.offsets[len(tokens)].as_py())].astype(np.int64)
-        before, context = np.empty(len(flat), np.uint64), np.empty(len(flat))
-        before[1:], context[1:] = h[flat[:-1]], about[flat[:-1]]
-        before[cuts[:-1]], context[cuts[:-1]] = START, begin
-        both = np.empty(len(flat))
-        for lo in range(0, len(flat), 1 << 18):
-            part = slice(lo, lo + (1 << 18))
-            both[part] = level_count(lm.level(pair_hashes(before[part], h[flat[part]])))
+        # The filter's counts of the block's n-grams, answered in the order of their hashes.
+        grams, which = np.unique(block_grams(h, block_pairs(h[flat], cuts[:-1]), n_segments), return_inverse=True)
+        answered = np.frombuffer(b"".join(heard.column("levels").to_pylist()), np.uint8)
+        if len(answered) != len(grams):
+            raise ValueError(f"{len(answered)} levels for {len(grams)} n-grams of a block")
+        filtered = level_count(answered.astype(np.int64))[which]
+        begin, about, both = filtered[0], filtered[1:len(h) + 1], filtered[len(h) + 1:]
+        alone = (about + 0.5) / total
+        context = np.empty(len(flat))
+        context[1:], context[cuts[:-1]] = about[flat[:-1]], begin
         # Dirichlet smoothing; a context cannot be rarer than a pair it begins.
         p = np.log10((both + prior * alone[flat]) / (np.maximum(context, both) + prior))
         return pa.table({"doc_id": left.column("doc_id"), "training": left.column("training"),
@@ -256,7 +378,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
                          "base_score": pa.array(np.add.reduceat(exact[flat], cuts[:-1])),
                          "score": pa.array(np.add.reduceat(p, cuts[:-1]))})
 
-    texts = table.filter("words IS NULL").select(F.col("block").alias("own"), "doc_id", "training", "tokens")
+    texts = table.filter("tokens IS NOT NULL").select(F.col("block").alias("own"), "doc_id", "training", "tokens")
     scored = texts.groupBy("own").cogroup(entries.groupBy("block")).applyInArrow(
         judge, f"doc_id {kind}, training boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "training", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"),

@@ -7,6 +7,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from itemtrack.llm import langid, lm, quality, queries, sharding
 from itemtrack.llm.common import fold, word_hashes
@@ -236,3 +237,25 @@ def test_lm_edges(edges, empty):
     untaught = rows_of(lm.score(edges, fold("key", 1) == 1, id_col="key", n_bits=1 << 16))
     assert {(r["n_known"], r["train_tokens"]) for r in untaught} == {(0, 0)}
     assert lm.score(empty, fold("doc_id", 5) != 1, n_bits=1 << 16).count() == 0
+
+
+def test_filter_grows_with_the_corpus(spark):
+    """Hits of unseen n-grams stay rare and counts right, however many levels are put in."""
+    for n in (2_000, 200_000):
+        counts = spark.range(n).select(F.xxhash64("id").alias("h"), (1 + F.col("id") % 3).alias("c"))
+        built = lm.build_filter(counts, 1 << 16)
+        rows = counts.limit(4000).toPandas()
+        got, want = built.level(rows["h"].to_numpy().astype(np.uint64)), lm.levels(rows["c"].to_numpy())
+        assert (got >= want).all() and (got == want).mean() > 0.97
+        strangers = built.level(np.random.default_rng(2).integers(0, 2 ** 64, 20_000, np.uint64))
+        assert (strangers > 0).mean() < 0.025
+    assert lm.segments_for(0) == lm.SEGMENTS and lm.segments_for(30 * 10 ** 9) == 1024
+
+
+def test_scores_from_many_segments(edges, monkeypatch):
+    """More text takes more segments; the scores stay those of the true levels."""
+    monkeypatch.setattr(lm, "SEGMENT_BYTES", 100)
+    texts = {r["key"]: r["text"] or "" for r in edges.collect()}
+    assert lm.segments_for(sum(map(len, texts.values()))) > lm.SEGMENTS
+    check_lm(rows_of(lm.score(edges, fold("key", 3) != 1, id_col="key", block_bytes=20_000)), texts,
+             lambda i: zlib.crc32(str(i).encode()) % 3 != 1, lm.PRIOR)
