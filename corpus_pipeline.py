@@ -14,15 +14,18 @@ from itemtrack.llm.common import fold, materialize, read_table
 
 # A text that is this far from every language (cosine) is not taken as text of any.
 MIN_LANGUAGE_SCORE = 0.01
+# The cut for texts of 100 distinct grams or more, less in proportion for shorter ones: unlearned texts
+# have 1/32 times a normal number for each language; a few clean words may have as little.
+MIN_LONG_SCORE = 0.125
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the rows whose text has a language (operator 6).  Null and empty texts and
-    texts without letters go.  The profiles learn from the labelled documents outside
+    texts without letters go, and texts far from all languages.  The profiles learn from the labelled documents outside
     the held-out fold."""
     from itemtrack.llm.langid import LanguageProfiles
     profiles = LanguageProfiles().fit(docs.filter(fold("doc_id", 4) != 2))
-    return profiles.keep_rows(docs, MIN_LANGUAGE_SCORE)
+    return profiles.keep_rows(docs, MIN_LANGUAGE_SCORE, MIN_LONG_SCORE)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

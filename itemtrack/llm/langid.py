@@ -20,6 +20,7 @@ from itemtrack.llm.common import slices, texts
 DIM = 1024
 GRAM_BLOCK = 4096          # grams turned into vectors at a time
 DOC_BLOCK = 256            # texts bundled at a time
+LONG_GRAMS = 100           # distinct grams from which a text's cosine does not hang on a few words
 UNKNOWN = "und"
 
 
@@ -168,16 +169,21 @@ class LanguageProfiles:
 
         return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema)
 
-    def keep_rows(self, docs: DataFrame, min_score: float, text_col: str = "text") -> DataFrame:
+    def keep_rows(self, docs: DataFrame, min_score: float, min_long: float = 0.0,
+                  text_col: str = "text") -> DataFrame:
         """The rows of ``docs``, unchanged, whose text has a language with at least this
-        cosine; the others go.  All columns pass through whatever their names."""
+        cosine; the others go.  The least cosine grows with the text's distinct grams, up
+        to ``min_long`` from ``LONG_GRAMS`` of them.  All columns pass through whatever their names."""
         place = docs.columns.index(text_col)
         names = [f"c{i}" for i in range(len(docs.columns))]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in slices(batches, names[place]):
-                langs, score = self.classify(texts(part, names[place]))
+                strings = texts(part, names[place])
+                langs, score = self.classify(strings)
                 ok = np.array([x != UNKNOWN for x in langs]) & (score >= min_score)
+                for i in np.nonzero(ok & (score < min_long))[0]:
+                    ok[i] = score[i] >= min_long * min(len(grams_of([strings[i]])[0]) / LONG_GRAMS, 1.0)
                 yield part.filter(pa.array(ok))
 
         plain = docs.toDF(*names)

@@ -1,4 +1,6 @@
 """The corpus pipeline, stage by stage, against brute-force versions."""
+import random
+
 import numpy as np
 import public_tokenizers as P
 import tokenizers
@@ -62,3 +64,20 @@ def test_stages_take_edge_rows(spark, edges, empty):
     assert now.count() == 0
     alone = [stage(spark, edges, SF) for _, stage in corpus_pipeline.STAGES]
     assert all(df.count() > 0 for df in alone)
+
+
+def test_texts_of_no_learned_language_go(spark, docs):
+    """Unlearned scripts and random letters go; very short clean texts and excerpts stay."""
+    rng = random.Random(1)
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщыьэюя", "αβγδεζηθικλμνξοπρστυφχψω",
+                 "bcdfghjklmnpqrstvwxz"]
+    noise = [" ".join("".join(rng.choice(a) for _ in range(rng.randint(2, 9))) for _ in range(n))
+             for a in alphabets for n in (50, 500) for _ in range(20)]
+    clean = [r["text"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")]
+    clean += [" ".join(t.split()[10:60]) for t in clean if len(t.split()) > 60]
+    clean += ["A.", "A.\nAll rights reserved."]
+    rows = [(-1 - i, t, None) for i, t in enumerate(noise)] + [(10 ** 9 + i, t, None) for i, t in enumerate(clean)]
+    added = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string"), allowMissingColumns=True)
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, added, SF).collect()}
+    assert sum(-1 - i in kept for i in range(len(noise))) <= 0.01 * len(noise)
+    assert all(10 ** 9 + i in kept for i in range(len(clean)))
