@@ -80,9 +80,9 @@ def lexical(urls: DataFrame, url_col: str) -> DataFrame:
 class UrlFilter:
     """Boosted trees with the suffix statistics that its features need.
 
-    ``fit`` uses at most ``max_labelled`` labelled urls (those of the smallest hash, so
-    the choice is the same on every run); the statistics therefore have at most that
-    many rows, which bounds their broadcast.
+    ``fit`` uses at most ``max_labelled`` distinct labelled urls (those of the smallest hash,
+    so the choice is the same on every run), each weighted by its rows; the statistics
+    therefore have at most that many rows, which bounds their broadcast.
     """
 
     def __init__(self, max_labelled: int = 20_000, trees: int = 20, depth: int = 4, smoothing: float = 20.0,
@@ -96,20 +96,26 @@ class UrlFilter:
         labels of one kind only (or none) the verdict is that kind (none: allow)."""
         rows = (labelled.select(F.col(url_col).alias("url"), F.col(label_col).cast("double").alias("label"))
                 .filter("url IS NOT NULL AND label IS NOT NULL")
-                .orderBy(F.xxhash64("url"), "url", "label").limit(self.max_labelled))
+                .groupBy("url").agg(F.sum("label").alias("ones"), F.count(F.lit(1)).alias("n"))
+                .orderBy(F.xxhash64("url"), "url").limit(self.max_labelled))
+        # A url with rows of both labels is one example of each.
+        rows = rows.select("url", F.inline(F.array(
+            F.struct(F.lit(1.0).alias("label"), F.col("ones").alias("weight")),
+            F.struct(F.lit(0.0).alias("label"), (F.col("n") - F.col("ones")).alias("weight"))))).filter("weight > 0")
         rows = lexical(with_parts(rows, "url"), "url").withColumn("host_key", F.col("host"))
         rows = materialize(rows.coalesce(4), "url-train")
-        seen = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("p")).first()
+        ones = F.sum(F.col("label") * F.col("weight"))
+        seen = rows.agg(F.count(F.lit(1)).alias("n"), (ones / F.sum("weight")).alias("p")).first()
         self.prior = float(seen["p"] or 0.0)
         if not seen["n"] or self.prior in (0.0, 1.0):
             return self
         for key in ("suffix1", "suffix2", "host_key"):
             self.rates[key] = materialize(rows.groupBy(key).agg(
-                ((F.sum("label") + self.smoothing * self.prior) / (F.count(F.lit(1)) + self.smoothing))
+                ((ones + self.smoothing * self.prior) / (F.sum("weight") + self.smoothing))
                 .alias(f"{key}_rate")).coalesce(1), "url-rates")
-        train = materialize(self._vectors(rows).select("features", "label").coalesce(4), "url-vectors")
+        train = materialize(self._vectors(rows).select("features", "label", "weight").coalesce(4), "url-vectors")
         self.model = GBTClassifier(maxIter=self.trees, maxDepth=self.depth, seed=self.seed,
-                                   stepSize=0.1).fit(train)
+                                   stepSize=0.1, weightCol="weight").fit(train)
         return self
 
     def _vectors(self, rows: DataFrame) -> DataFrame:

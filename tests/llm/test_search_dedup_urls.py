@@ -7,6 +7,8 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from itemtrack.llm import dartminhash, queries, search
 from itemtrack.llm.urls import UrlFilter, labelled_pages
 
@@ -254,3 +256,14 @@ def test_labels_reach_urls_by_document_number(spark):
     labels = spark.createDataFrame([(7, 0, 0), (8, 1, 1), (8, 1, 0), (9, 1, 0)], "doc_id long, quality int, toxic int")
     assert sorted((r["url"], r["label"]) for r in rows_of(labelled_pages(pages, labels))) == [
         ("http://a/9#t", 0), ("http://a/en/7.html", 1), ("http://a/en/8/?x=1", 1)]
+
+
+def test_a_hot_url_does_not_fill_the_sample(spark):
+    urls = [f"http://{'x9-win' if i % 2 else 'news'}.site{i}.org/{i}" for i in range(200)]
+    hashed = spark.createDataFrame([(u,) for u in urls], "url string").orderBy(F.xxhash64("url"))
+    hot = hashed.first()["url"]
+    rows = [(u, int("win" in u)) for u in urls + [hot] * 100]
+    model = UrlFilter(max_labelled=100, trees=3, depth=2).fit(spark.createDataFrame(rows, "url string, label int"))
+    assert model.model is not None and 0 < model.prior < 1
+    mixed = spark.createDataFrame([(urls[0], 1)] * 3 + [(urls[0], 0)], "url string, label int")
+    assert UrlFilter(trees=1).fit(mixed).prior == 0.75
