@@ -25,6 +25,7 @@ K1, B = 1.2, 0.75
 SHARD_BYTES = 64 << 20     # text in one shard, unless a task's input ends before
 BLOCK = 32                 # neighbouring documents under one maximum
 DENSE = 16                 # terms in a 16th of a shard's documents or more have rows of their own
+LEAST = 32                 # documents of a shard from which terms get rows; below, all are read as they are
 SLACK = 1e-4               # relative; single-precision sums are off by far less
 
 # Words end at ASCII blanks and punctuation; A-Z count as a-z.
@@ -86,8 +87,8 @@ class Shard:
     """One shard's postings with their contributions.
 
     Terms in at least a ``DENSE`` share of the documents have a row of contributions by
-    document and a row of their maxima by block of neighbouring documents; the postings of
-    the other, rarer terms are read as they are.
+    document and a row of their maxima by block of neighbouring documents, in shards of at
+    least ``LEAST`` documents; the postings of the other, rarer terms are read as they are.
     """
 
     def __init__(self, row: dict, mean_length: float, k1: float, b: float):
@@ -101,7 +102,7 @@ class Shard:
         self.gain = tf * (k1 + 1) / (tf + norm[self.docs])
         self.offset = np.append(0, np.cumsum(df))
         self.posting = np.repeat(np.arange(len(df)), df) * self.n + self.docs  # sorted (term, document)
-        often = np.nonzero(df >= max(self.n // DENSE, 1))[0]
+        often = np.nonzero((df >= self.n // DENSE) & (self.n >= LEAST))[0]
         self.row_of = np.full(len(df), -1)
         self.row_of[often] = np.arange(len(often))
         n_blocks = -(-self.n // BLOCK)

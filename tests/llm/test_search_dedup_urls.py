@@ -267,3 +267,13 @@ def test_a_hot_url_does_not_fill_the_sample(spark):
     assert model.model is not None and 0 < model.prior < 1
     mixed = spark.createDataFrame([(urls[0], 1)] * 3 + [(urls[0], 0)], "url string, label int")
     assert UrlFilter(trees=1).fit(mixed).prior == 0.75
+
+
+def test_small_shards_have_no_dense_rows():
+    """A few long texts take postings only, not a row of floats for every word."""
+    n, words = 3, 5000
+    row = {"doc_ids": list(range(n)), "lengths": [words] * n, "terms": np.arange(n * words), "df": np.ones(n * words, int),
+           "docs": np.repeat(np.arange(n, dtype=np.int32), words).tobytes(), "tfs": np.ones(n * words, np.int32).tobytes()}
+    shard = search.Shard(row, float(words), search.K1, search.B)
+    assert shard.rows.size == 0
+    assert [d for d, _ in shard.search(np.array([1, words + 2]), np.array([1.0, 2.0]), 2)] == [1, 0]
