@@ -38,3 +38,24 @@ placed AS (SELECT x.doc_id, x.len + 1 AS size, coalesce(c.crc, 0) AS text_crc32,
 cut AS (SELECT *, least(15, (2 * before + size) * 16 // (2 * total)) AS s FROM placed)
 SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, s::INTEGER AS shard,
     (place - min(place) OVER (PARTITION BY s))::BIGINT AS slot, NULL::INTEGER AS grown_shard FROM cut"""
+
+
+DECONTAMINATION = r"""WITH docs AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(w[s + 1 : s + 10], ' ') AS phrase
+    FROM (SELECT item, w, unnest(range(greatest(len(w) - 10, 0) + 1)) AS s FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (SELECT row, size, s, array_to_string(w[s + 1 : s + size], ' ') AS phrase
+    FROM (SELECT row, w, size, unnest(range(len(w) - size + 1)) AS s FROM docs, sizes WHERE len(w) >= size)),
+found AS (SELECT p.row, p.s, p.size, w.item FROM places p JOIN windows w USING (size, phrase)),
+hit AS (SELECT row, count(DISTINCT word) AS n_hit FROM (SELECT row, unnest(range(s, s + size)) AS word
+    FROM (SELECT DISTINCT row, s, size FROM found)) GROUP BY row),
+named AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+    FROM (SELECT DISTINCT row, item FROM found) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)"""

@@ -80,8 +80,15 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_score", "score")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from itemtrack.llm.positional import contamination
+    judged = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_byte_bpe, op2_search, op3_url_filter, op4_token_counts, op5_packing, op6_language_id, op7_dart_minhash,
-    op8_sharding, op9_quality_rules, op10_lm_scoring)}
+    op8_sharding, op9_quality_rules, op10_lm_scoring, op11_decontamination)}
 
-ORACLE = {"op8_sharding": oracles.SHARDING}
+ORACLE = {"op8_sharding": oracles.SHARDING, "op11_decontamination": oracles.DECONTAMINATION}
