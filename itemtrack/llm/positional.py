@@ -114,7 +114,8 @@ def phrase_matches(index: PositionalIndex, phrases: DataFrame, longest: int) ->
                         "phrase-places")
 
     reach = longest - 1
-    texts = (index.rows.select("row", "norm").join(asked, "row")
+    # Texts and places meet by a sorted merge at every size: places grow with the corpus.
+    texts = (index.rows.select("row", "norm").join(asked.hint("merge"), "row")
              .select("row", "places", F.split("norm", " ").alias("words")))
 
     def around(place: Column) -> Column:
