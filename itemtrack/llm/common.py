@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +19,21 @@ SLICE_BYTES = 4 << 20
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Jobs inside remove their shuffle files when they end."""
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEAN, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder; the job's shuffle files go when it ends."""
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEAN, "false")
-    conf.set(_CLEAN, "true")
-    try:
+    with shuffles_removed(df.sparkSession):
         return _materialize(df, name)
-    finally:
-        conf.set(_CLEAN, before)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -87,8 +87,22 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from itemtrack.llm.conversations import Repair, damage, talk_digests
+    given = read_table(spark, sf_dir, "conversations")
+    repair = Repair(damage(given))
+    # One row per conversation from each part; conversations without rows after the damage have only the first.
+    parts = (given.select("conv_id").distinct().unionByName(repair.summary, allowMissingColumns=True)
+             .unionByName(talk_digests(repair.repaired()), allowMissingColumns=True))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return parts.groupBy("conv_id").agg(
+        *[F.coalesce(F.max(c), F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("repaired_sha256"), F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_byte_bpe, op2_search, op3_url_filter, op4_token_counts, op5_packing, op6_language_id, op7_dart_minhash,
-    op8_sharding, op9_quality_rules, op10_lm_scoring, op11_decontamination)}
+    op8_sharding, op9_quality_rules, op10_lm_scoring, op11_decontamination, op12_conversation_repair)}
 
 ORACLE = {"op8_sharding": oracles.SHARDING, "op11_decontamination": oracles.DECONTAMINATION}
