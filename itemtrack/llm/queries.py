@@ -101,8 +101,14 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.max("repaired_sha256"), F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from itemtrack.llm.spelling import spelling_variants
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_byte_bpe, op2_search, op3_url_filter, op4_token_counts, op5_packing, op6_language_id, op7_dart_minhash,
-    op8_sharding, op9_quality_rules, op10_lm_scoring, op11_decontamination, op12_conversation_repair)}
+    op8_sharding, op9_quality_rules, op10_lm_scoring, op11_decontamination, op12_conversation_repair,
+    op13_spelling_variants)}
 
 ORACLE = {"op8_sharding": oracles.SHARDING, "op11_decontamination": oracles.DECONTAMINATION}
