@@ -163,7 +163,8 @@ ORACLE["SRC_02"] = with_("v_core_export", extra=[CE_CTE]) + "SELECT * FROM ce"
 
 # Result files written from v_obs_raw with malformed lines by rule:
 # seq % 13 = 0 one field too many (dropped), seq % 17 = 0 only three fields
-# (padded), seq % 19 = 0 an NA token as reason, seq % 23 = 0 followed by an empty line.
+# (padded), seq % 19 = 0 an NA token as reason, seq % 11 = 0 a quoted reason over three
+# lines, seq % 23 = 0 followed by an empty line.
 def _obs_lines(df: DataFrame) -> DataFrame:
     seq = F.col("seq")
     raw = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in
@@ -171,8 +172,10 @@ def _obs_lines(df: DataFrame) -> DataFrame:
     short = F.concat_ws("\t", "asin", "marketplace_id", "contributions")
     na = F.concat_ws("\t", "asin", "marketplace_id", "contributions", F.lit("N/A"),
                      F.coalesce("country_code", F.lit("")))
-    line = (F.when(seq % 13 == 0, F.concat(raw, F.lit("\textra")))
-            .when(seq % 17 == 0, short).when(seq % 19 == 0, na).otherwise(raw))
+    says = F.concat(F.lit('"'), F.coalesce("restriction_reasons", F.lit("")), F.lit('\nsays ""'), "asin", F.lit('""\n"'))
+    long = F.concat_ws("\t", "asin", "marketplace_id", "contributions", says, "country_code")
+    line = (F.when(seq % 13 == 0, F.concat(raw, F.lit("\textra"))).when(seq % 17 == 0, short)
+            .when(seq % 19 == 0, na).when(seq % 11 == 0, long).otherwise(raw))
     line = F.when(seq % 23 == 0, F.concat(line, F.lit("\n"))).otherwise(line)
     return df.withColumn("_line", line)
 
@@ -188,7 +191,9 @@ def _write_obs_files(spark, sf, folder_col, file_expr):
 
 _READ_BACK = ["asin", "marketplace_id", "contributions", "restriction_reasons", "country_code"]
 _EXPECT_ROWS = """rows AS (SELECT asin, marketplace_id, contributions,
-  CASE WHEN seq % 17 = 0 OR seq % 19 = 0 THEN NULL ELSE restriction_reasons END AS restriction_reasons,
+  CASE WHEN seq % 17 = 0 OR seq % 19 = 0 THEN NULL
+       WHEN seq % 11 = 0 THEN concat(coalesce(restriction_reasons, ''), chr(10), 'says "', asin, '"', chr(10))
+       ELSE restriction_reasons END AS restriction_reasons,
   CASE WHEN seq % 17 = 0 THEN NULL ELSE country_code END AS country_code, seq
   FROM v_obs_raw WHERE seq % 13 <> 0)"""
 

@@ -1,7 +1,12 @@
 """Result files: SRC-03 tolerant TSV scan, SRC-04 discovery by day, SRC-05 routing.
 
-Files are scanned as lines.  Each file's first line is its header: fields are taken by
-the header's names, and the header's width says which lines are too long.
+Files are scanned as lines.  A quoted field may hold line breaks, so whether a line starts a
+record depends on all lines before it.  What a line does to that state is one of four
+functions (leave it, open, close, toggle); a first scan sends one small row per file split
+(its header line and the lines that hold quotes), the functions are composed over lines and
+splits, and the places of the records of several lines come out.  The second scan then reads
+lines, joined to the headers and, where there are any, to those places; lines themselves
+are never exchanged as long as these two tables are small enough to be sent to them.
 """
 
 from __future__ import annotations
@@ -10,53 +15,167 @@ import datetime as _dt
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from itemtrack import schemas
 from itemtrack.functions import fixed
 from itemtrack.functions.scalars import na_to_null
-from itemtrack.operators.common import join_split
+from itemtrack.operators.common import materialize
 from itemtrack.operators.lookups import code_to_market
 
 # A field is quoted ('""' inside is a quote) or runs to the next tab.
-_FIELD = r'(?:^|\t)("(?:[^"]|"")*"[^\t]*|[^\t]*)'
+_FIELD = r'(?:^|\t)("[^"]*+(?:""[^"]*+)*+"[^\t]*|[^\t]*)'
 
 
 def fields(line: Column) -> Column:
-    """The fields of a tab-separated line as an array of text."""
+    """The fields of a tab-separated record as an array of text."""
     plain = F.split(line, "\t")
     quoted = F.transform(F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1)), lambda x: F.when(
-        x.startswith('"'), F.replace(F.regexp_replace(x, r'^"((?:[^"]|"")*)"', "$1"), F.lit('""'), F.lit('"')))
+        x.startswith('"'), F.replace(F.regexp_replace(x, r'^"([^"]*+(?:""[^"]*+)*+)"', "$1"), F.lit('""'), F.lit('"')))
         .otherwise(x))
     return F.when(F.instr(line, '"') > 0, quoted).otherwise(plain)
 
 
 def scan_lines(reader, paths, seq_col: str | None = "seq") -> DataFrame:
     """Lines of result files with ``_file``, ``_file_mtime``, ``_block`` and, on static
-    frames, the arrival order (file, block, position) taken right after the scan."""
+    frames, the order (file, block, position) taken right after the scan."""
     meta = [F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_modification_time").alias("_file_mtime"),
             F.col("_metadata.file_block_start").alias("_block")]
     lines = reader.text(paths).select(F.col("value").alias("_line"), *meta)
-    if seq_col is None:
-        return lines
+    return lines if seq_col is None else number_lines(lines, seq_col)
+
+
+def number_lines(lines: DataFrame, seq_col: str = "seq") -> DataFrame:
+    """The order of the lines of result files: file, split, position.  It does not depend on how
+    files are dealt to batches."""
     return lines.withColumn(seq_col, F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"),
                                               F.monotonically_increasing_id().alias("pos")))
 
 
+# ------------------------------------------------------- records of several lines --
+
+def _leaves_open(line: Column, inside: bool) -> Column:
+    """1 if a line that starts inside a quoted field (or at the start of a field) ends inside one."""
+    def step(state: Column, part: Column) -> Column:
+        # Between tabs: a quoted field is closed by the first quote that is not one of a pair.
+        rest = F.when(state == 1, part).otherwise(F.substring(part, F.lit(2), F.length(part)))
+        closed = F.instr(F.replace(rest, F.lit('""'), F.lit("")), '"') > 0
+        return F.when((state == 1) | part.startswith('"'), F.when(closed, 0).otherwise(1)).otherwise(0)
+
+    return F.aggregate(F.split(line, "\t"), F.lit(int(inside)), step)
+
+
+def _splits(lines: DataFrame, seq_col: str) -> DataFrame:
+    """One row per file split: its first and last position, its first line that is not empty
+    and the effect of its lines with quotes.  A split is read by one task, so this is reduced
+    before the exchange; the list is bounded by the split's size."""
+    pos, shown = F.col(f"{seq_col}.pos"), F.length("_line") > 0
+    effect = F.when(F.instr("_line", '"') > 0, F.struct(
+        pos.alias("pos"), _leaves_open(F.col("_line"), False).alias("out"), _leaves_open(F.col("_line"), True).alias("in")))
+    return lines.groupBy("_file", "_block").agg(
+        F.min(pos).alias("first"), F.max(pos).alias("last"), F.min(F.when(shown, pos)).alias("head_pos"),
+        F.min_by(F.when(shown, F.col("_line")), F.when(shown, pos)).alias("head"),
+        F.collect_list(effect).alias("quotes"))
+
+
+def _running_state(df: DataFrame, group, order: str, entry: Column) -> DataFrame:
+    """Adds ``exit``: the state after each row's function (out, in: what it makes of 0 and 1)
+    within its group.  A function that ignores its input fixes the state; those that turn it
+    are counted since."""
+    rows = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    fixes, turns = F.col("out") == F.col("in"), (F.col("out") == 1) & (F.col("in") == 0)
+    df = df.withColumn("_fixed", F.max(F.when(fixes, F.col(order))).over(rows))
+    since = Window.partitionBy(*group, "_fixed").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    start = F.max(F.when(fixes, F.col("out"))).over(since)
+    turned = F.sum(F.when(turns, 1).otherwise(0)).over(since)
+    return df.withColumn("exit", (F.coalesce(start, entry) + turned) % 2).drop("_fixed")
+
+
+def long_records(splits: DataFrame) -> DataFrame:
+    """Places of records of several lines: _file, block, pos (of the first line), end_block,
+    end_pos.  A quote that its file never closes opens nothing."""
+    lines = splits.select("_file", "_block", F.explode("quotes").alias("q")).select("_file", "_block", "q.*")
+    group = ["_file", "_block"]
+    # What a split makes of 0 and of 1, then the state it starts with; a file has few splits.
+    zero = _running_state(lines, group, "pos", F.lit(0)).withColumnRenamed("exit", "zero")
+    both = _running_state(zero, group, "pos", F.lit(1)).withColumnRenamed("exit", "one")
+    ends = both.groupBy(*group).agg(F.max_by("zero", "pos").alias("out"), F.max_by("one", "pos").alias("in"))
+    earlier = Window.partitionBy("_file").orderBy("_block")
+    starts = (_running_state(ends, ["_file"], "_block", F.lit(0))
+              .withColumn("entry", F.lag("exit", 1, 0).over(earlier)).select(*group, "entry"))
+    # Lines that open a record and lines that close it, in turn.
+    state = both.join(starts, group).withColumn("exit", F.when(F.col("entry") == 1, F.col("one")).otherwise(F.col("zero")))
+    own = Window.partitionBy(*group).orderBy("pos")
+    state = state.withColumn("before", F.lag("exit").over(own))
+    state = state.withColumn("before", F.coalesce("before", "entry")).where("before <> exit")
+    marks = state.select(*group, "pos", (F.col("exit") == 1).alias("opens"),
+                         F.lead(F.struct(F.col("_block").alias("b"), F.col("pos").alias("p"))).over(own).alias("next"))
+    # An opening line that is the last mark of its split is closed by the first mark of a later one.
+    firsts = marks.groupBy(*group).agg(F.min(F.struct(F.col("_block").alias("b"), F.col("pos").alias("p"))).alias("mark"))
+    later = firsts.withColumn("later", F.lead("mark").over(earlier)).select(*group, "later")
+    return (marks.join(later, group).where("opens").withColumn("end", F.coalesce("next", "later"))
+            .where("end IS NOT NULL")
+            .select("_file", F.col("_block").alias("block"), "pos", F.col("end.b").alias("end_block"),
+                    F.col("end.p").alias("end_pos")))
+
+
+def _lines_of(records: DataFrame, splits: DataFrame) -> DataFrame:
+    """_file, _block, _pos of every line of the long records, with the record's first line."""
+    parts = splits.select("_file", F.col("_block").alias("part"), "first", "last")
+    # At most one record reaches from one split into the next.
+    covered = (records.where("block <> end_block").join(parts, "_file")
+               .where("part >= block AND part <= end_block")
+               .withColumn("from", F.when(F.col("part") == F.col("block"), F.col("pos")).otherwise(F.col("first")))
+               .withColumn("to", F.when(F.col("part") == F.col("end_block"), F.col("end_pos")).otherwise(F.col("last"))))
+    short = records.where("block = end_block").select("*", F.col("block").alias("part"), F.col("pos").alias("from"),
+                                                      F.col("end_pos").alias("to"))
+    return short.unionByName(covered.select(*short.columns)).select(
+        "_file", F.col("part").alias("_block"), F.explode(F.sequence("from", "to")).alias("_pos"),
+        F.struct("block", "pos").alias("_record"))
+
+
+def _joined(lines: DataFrame, places: DataFrame, seq_col: str) -> DataFrame:
+    """Long records as one line each, at the place of their first line."""
+    kept = [c for c in lines.columns if c != "_line"]
+    inside = lines.withColumn("_pos", F.col(f"{seq_col}.pos")).join(places, ["_file", "_block", "_pos"])
+    first = (F.col("_record.block") == F.col("_block")) & (F.col("_record.pos") == F.col("_pos"))
+    return (inside.groupBy("_file", "_record")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_block", "_pos", "_line"))),
+                                          lambda x: x["_line"]), "\n").alias("_line"),
+                 F.first(F.when(first, F.struct(*[F.col(c).alias(f"k_{c}") for c in kept])), ignorenulls=True).alias("k"))
+            .select("_line", *[F.col(f"k.k_{c}").alias(c) for c in kept]).select(*lines.columns))
+
+
+# --------------------------------------------------------------------------- rows --
+
 def parse_lines(lines: DataFrame, columns, na_tokens=fixed.PANDAS_NA_TOKENS, seq_col: str = "seq") -> DataFrame:
-    """SRC-03 rules on scanned lines.
+    """SRC-03 rules on numbered lines.
+
+    The first record of a file is its header; ``columns`` are taken by name, a column that
+    the header lacks is NULL.  Records with more fields than the header are dropped, short
+    ones end in NULLs, empty lines outside quotes never appear, NA tokens become NULL.  Line
+    breaks inside a quoted field come back as one line feed.
 
-    The first line of a file is its header (one row per file, a partial aggregate);
-    ``columns`` are taken by name, a column that the header lacks is NULL.  Lines with
-    more fields than the header are dropped, short lines end in NULLs, empty lines never
-    appear, NA tokens become NULL.
+    The first scan (headers and quotes, like a reader's look at a schema) runs when this is
+    called; its results are small written tables.
     """
-    kept = lines.where(F.length("_line") > 0)
-    heads = (kept.where("_block = 0").groupBy("_file")
-             .agg(F.min_by("_line", seq_col).alias("_head"), F.min(seq_col).alias("_first"))
-             .select("_file", "_first", fields(F.col("_head")).alias("_names")))
-    rows = join_split(kept, heads, "_file", "inner").where(F.col(seq_col) > F.col("_first"))
+    splits = materialize(_splits(lines, seq_col), "file-splits")
+    records = materialize(long_records(splits), "long-records")
+    heads = splits.where("_block = 0 AND head_pos IS NOT NULL").select("_file", "head_pos", "head")
+    kept = lines
+    if not records.isEmpty():
+        places = materialize(_lines_of(records, splits), "long-lines")
+        whole = materialize(_joined(lines, places, seq_col), "long-rows")
+        kept = (lines.withColumn("_pos", F.col(f"{seq_col}.pos"))
+                .join(places, ["_file", "_block", "_pos"], "left_anti").drop("_pos").unionByName(whole))
+        first = whole.where("_block = 0").select("_file", F.col(f"{seq_col}.pos").alias("head_pos"),
+                                                 F.col("_line").alias("_whole"))
+        heads = heads.join(first, ["_file", "head_pos"], "left").withColumn("head", F.coalesce("_whole", "head"))
+    heads = materialize(heads.select("_file", F.col("head_pos").alias("_first"), fields(F.col("head")).alias("_names")),
+                        "file-heads")
+    rows = kept.where(F.length("_line") > 0).join(heads, "_file").where(
+        (F.col("_block") > 0) | (F.col(f"{seq_col}.pos") > F.col("_first")))
     rows = rows.withColumn("_fields", fields(F.col("_line"))).where(F.size("_fields") <= F.size("_names"))
     named = [F.get("_fields", (F.array_position("_names", c) - 1).cast("int")) for c in columns]
     out = rows.select(*[F.when(F.array_contains("_names", c), f).alias(c) for c, f in zip(columns, named)],
@@ -125,9 +244,10 @@ def route_by_first_row(df: DataFrame, codes: DataFrame, code_col: str = "country
                        seq_col: str = "seq", strict: bool = False) -> DataFrame:
     """SRC-05: each file goes to the market named by the code on its first row.
 
-    One row per file (``min_by`` on arrival order, a partial aggregate), the code
-    looked up in the code map, then joined back on the file path.  Unknown codes
-    give a NULL market, or an error in strict mode.
+    One row per file (``min_by`` on arrival order, a partial aggregate) and the code looked
+    up in the code map are written as a table of its own size, then joined back on the file
+    path; the rows are only exchanged if that table is too large to be sent to them.
+    Unknown codes give a NULL market, or an error in strict mode.
     """
     firsts = df.groupBy("_file").agg(F.min_by(F.col(code_col), F.col(seq_col)).alias("_code"))
     cmap = code_to_market(codes).select(F.col("market_code").cast("string").alias("_code"),
@@ -137,4 +257,5 @@ def route_by_first_row(df: DataFrame, codes: DataFrame, code_col: str = "country
         routed = routed.withColumn("routed_market", F.coalesce(
             "routed_market", F.raise_error(F.concat(F.lit("unknown country code: "),
                                                     F.coalesce("_code", F.lit("NULL"))))))
-    return join_split(df, routed.select("_file", "routed_market"), "_file", "left")
+    routed = materialize(routed.select("_file", "routed_market"), "file-markets")
+    return df.join(routed, "_file", "left")
