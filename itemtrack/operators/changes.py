@@ -53,22 +53,20 @@ def insert_if_absent(table: DataFrame, incoming: DataFrame, key=TRACKER_KEY,
     """DML-01/02: append incoming rows whose full key is absent; conflicts are
     ignored; among in-batch duplicates the first (by ``order_col``) wins.
 
-    The ten-column key is led by its 64-bit hash: the anti join uses the hash as
-    its only join key with the exact null-safe comparison of every key column as
-    the residual condition (so hash collisions cannot change the result), and the
-    deduplication groups by (hash, key) so sort comparisons mostly end at the
-    first field.
+    The ten-column key is one text (JSON, which tells NULL from every value): the
+    deduplication groups by it and the anti join compares it, so the incoming rows
+    are exchanged once, after their map-side reduction.
     """
     key = list(key)
     _need_order(incoming, order_col)
+    incoming = incoming.withColumn("_order", F.col(order_col))
+    if order_col in table.columns and table.schema[order_col].dataType != incoming.schema[order_col].dataType:
+        incoming = incoming.drop(order_col)          # an order of the batch alone
     # Columns the batch lacks take their defaults (NULL) before keys are compared.
-    incoming = align(incoming, table, keep=[order_col])
-    first = keep_first(incoming, key, order_col).withColumn("_h", F.xxhash64(*key))
-    existing = table.select(F.xxhash64(*key).alias("_t_h"),
-                            *[F.col(c).alias(f"_t_{c}") for c in key])
-    same = reduce(lambda a, b: a & b, [first[c].eqNullSafe(existing[f"_t_{c}"]) for c in key])
-    cond = (first["_h"] == existing["_t_h"]) & F.coalesce(same, F.lit(False))
-    new_rows = first.join(existing, cond, "left_anti")
+    incoming = align(incoming, table, keep=["_order"])
+    text = F.to_json(F.struct(*key))
+    first = keep_first(incoming.withColumn("_key", text), ["_key"], "_order")
+    new_rows = first.join(table.select(text.alias("_key")), "_key", "left_anti")
     return table.unionByName(align(new_rows, table))
 
 
@@ -86,38 +84,37 @@ def insert_new_inflow(table: DataFrame, inflow: DataFrame, order_col: str = "seq
 
 
 def keyed_update(table: DataFrame, updates: DataFrame, set_cols, key=ITEM_MARKET,
-                 order_col: str = "seq", on_duplicate: str = "error") -> DataFrame:
+                 order_col: str = "seq") -> DataFrame:
     """DML-05: set ``set_cols`` on every table row whose key matches.
 
     Repeated update keys: the last (by ``order_col``) wins; an explicit NULL
     overwrites; unmatched updates are dropped.  The updated columns may be part
-    of the full key, so two rows of one (item, market) can collide afterwards:
-    ``on_duplicate='error'`` raises (as the database would), ``'allow'`` skips the
-    check and keeps all rows.  Only matched rows can collide, so the check is
-    limited to them.
+    of the full key, so two rows of one (item, market) can collide afterwards: all
+    rows are kept, and :func:`require_distinct_keys` tells, once the result is written.
     """
-    if on_duplicate not in ("error", "allow"):
-        raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
     key, set_cols = list(key), list(set_cols)
     _need_order(updates, order_col)
     last = keep_last(updates.select(*key, *set_cols, order_col), key, order_col)
     new = last.select(*key, *[F.col(c).alias(f"_new_{c}") for c in set_cols],
                       F.lit(True).alias("_matched"))
     joined = join_split(table, new, key, "left")
-    matched = F.coalesce(F.col("_matched"), F.lit(False))
     out = joined.withColumns({
-        c: F.when(matched, F.col(f"_new_{c}")).otherwise(F.col(c)).cast(table.schema[c].dataType)
+        c: F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)).cast(table.schema[c].dataType)
         for c in set_cols})
-    out = out.withColumn("_matched", matched).drop(*[f"_new_{c}" for c in set_cols])
-    full_key = [c for c in TRACKER_KEY if c in table.columns]
-    if on_duplicate == "error" and len(full_key) == len(TRACKER_KEY):
-        dup = (out.where("_matched").groupBy(*full_key).count().where(F.col("count") > 1)
-               .limit(1).collect())
-        if dup:
-            raise KeyCollision(f"keyed update makes the primary key collide: {dup[0].asDict()}")
     return out.select(*table.columns)
 
 
+def require_distinct_keys(table: DataFrame, updates: DataFrame, key=ITEM_MARKET,
+                          full_key=TRACKER_KEY) -> None:
+    """Raise :class:`KeyCollision` if two rows of ``table`` share the full key, as the database
+    would.  Only rows whose ``key`` was updated can, so only those are looked at; ``table`` is the
+    written result of the update (see ``check`` of :meth:`VersionedTable.commit`)."""
+    touched = join_split(table.select(*full_key), updates.select(*key).distinct(), list(key), "left_semi")
+    dup = touched.groupBy(*full_key).count().where(F.col("count") > 1).limit(1).collect()
+    if dup:
+        raise KeyCollision(f"the update makes the primary key collide: {dup[0].asDict()}")
+
+
 def set_export_dates(table: DataFrame, updates: DataFrame, **kw) -> DataFrame:
     """DML-05, live form: export date by (item, market)."""
     return keyed_update(table, updates, ["export_date"], **kw)

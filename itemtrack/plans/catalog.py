@@ -595,7 +595,7 @@ SELECT market, count(*) AS jobs, CASE WHEN bool_or(state = 'failed') THEN 'faile
 def _pip01(spark, sf, markets=None):
     return P.refresh_export_dates(tracker(spark, sf), core_export(spark, sf),
                                   v(spark, sf, "v_codes"), v(spark, sf, "v_allow"),
-                                  markets=markets, on_duplicate="allow")
+                                  markets=markets)
 
 
 _PIP01_SQL = [T_CTE, CE_CTE, CM2_CTE, """
@@ -952,7 +952,7 @@ ORACLE["DML_04"] = with_("v_tracker_raw", extra=_NEW_ROWS_SQL + [
 def dml_05(spark, sf):
     upd = v(spark, sf, "v_obs").select("item_id", "market", F.col("new_reason").alias("reason"),
                                        F.lit("WIP").alias("status"), "seq")
-    return changes.set_reason_status(tracker(spark, sf), upd, on_duplicate="allow")
+    return changes.set_reason_status(tracker(spark, sf), upd)
 
 
 ORACLE["DML_05"] = with_("v_tracker_raw", "v_obs", extra=[T_CTE, """
@@ -1051,7 +1051,7 @@ def pip_02(spark, sf):
     out = P.refresh_dimensions(
         tracker(spark, sf), v(spark, sf, "v_dim_quota"), v(spark, sf, "v_dimensions"),
         v(spark, sf, "v_dim_jobs"), v(spark, sf, "v_codes"), lookups.region_pairs(spark),
-        reason_name=REASON_NAME, on_duplicate="allow")
+        reason_name=REASON_NAME)
     return out["tracker"]
 
 
@@ -1094,8 +1094,7 @@ FROM v_tracker t LEFT JOIN u USING (item_id, market)"""
 @query("PIP_03")
 def pip_03(spark, sf):
     out = P.refresh_status(tracker(spark, sf), v(spark, sf, "v_obs_raw"),
-                           v(spark, sf, "v_obs_rules"), v(spark, sf, "v_codes"),
-                           on_duplicate="allow")
+                           v(spark, sf, "v_obs_rules"), v(spark, sf, "v_codes"))
     return out["decisions"].select("item_id", "market", "contribution", "new_reason", "reason",
                                    "status", "seq", "next_reason", "next_status", "rule")
 
@@ -1120,7 +1119,7 @@ FROM decided"""
 
 def _status_rows(spark, sf):
     return P.refresh_status(tracker(spark, sf), v(spark, sf, "v_obs_raw"), v(spark, sf, "v_obs_rules"),
-                            v(spark, sf, "v_codes"), on_duplicate="allow")
+                            v(spark, sf, "v_codes"))
 
 
 @query("PIP_03_TRACKER")
@@ -1165,18 +1164,20 @@ LEFT JOIN s ON q.market = s.market AND q.position > s.hi - s.cap AND q.position
 
 
 def _streamed(spark, sf, log: bool):
-    """The status stream over result files written from the events, into a tracker table
-    that other jobs have already given later versions."""
+    """The status stream over result files written from the events, one file a trigger, into a
+    tracker table that other jobs have already given later versions."""
     root = _write_obs_files(spark, sf, F.lit("inbox"), F.col("seq") % 4)
     base = scratch_path(spark, "stream")
     store = VersionedTable(spark, f"{base}/tracker")
     for _ in range(2):
         store.commit(tracker(spark, sf).drop("seq"))
     args = (v(spark, sf, "v_obs_rules"), v(spark, sf, "v_codes"), f"{base}/checkpoint")
+    slow = {"max_files_per_trigger": 1, "state_files_per_trigger": 8}
     if log:
-        ingest.start_status_log_stream(spark, root, store, f"{base}/log", *args).awaitTermination()
+        ingest.start_status_log_stream(spark, root, store, f"{base}/log", *args, **slow).awaitTermination()
         return ingest.current_tracker(spark, store, f"{base}/log")
-    ingest.start_status_stream(spark, root, store, *args, on_duplicate="allow").awaitTermination()
+    # The bound tracker repeats its primary key.
+    ingest.start_status_stream(spark, root, store, *args, check_keys=False, **slow).awaitTermination()
     return store.read(schema=schemas.TRACKER_SCHEMA)
 
 
@@ -1186,7 +1187,7 @@ def stm_01(spark, sf):
     out = scratch_path(spark, "stream-rows")
 
     def apply(batch, batch_id):
-        (ingest.observation_batch(batch, batch_id).select(*_READ_BACK)
+        (ingest.observation_batch(batch).select(*_READ_BACK)
          .write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
 
     (ingest.observation_stream(spark, root, max_files_per_trigger=2).writeStream.foreachBatch(apply)

@@ -13,11 +13,19 @@ from itemtrack.operators import changes, classify as cls, decide as dec, joins,
 from itemtrack.operators.jobs import job_gate, passed_markets
 from itemtrack.operators.quota import plan_batches
 from itemtrack.operators.report import refresh_report, requested_markets
+from itemtrack.schemas import TRACKER_KEY
 from itemtrack.sources.warehouse import dimension_extract
 
 
+def tracker_order(table: DataFrame, columns=TRACKER_KEY, seq_col: str = "seq") -> DataFrame:
+    """The order of a table without an order of its own: by its primary key, so that "first
+    row" does not depend on how the table's files were written.  Batch jobs and streams use
+    this one rule."""
+    return table if seq_col in table.columns else table.withColumn(seq_col, F.struct(*columns))
+
+
 def refresh_export_dates(tracker: DataFrame, core_export: DataFrame, codes: DataFrame,
-                         allow: DataFrame, markets=None, on_duplicate: str = "error") -> dict:
+                         allow: DataFrame, markets=None) -> dict:
     """PIP-01: FLT-04 -> FLT-01 -> JON-05 -> WIN-01 -> JON-03 -> DML-05 -> AGG-07.
 
     ``markets``: requested markets (default: every market of the tracker).
@@ -32,8 +40,7 @@ def refresh_export_dates(tracker: DataFrame, core_export: DataFrame, codes: Data
     joined = joins.queue_with_latest(queue, latest)
     updates = joined.select("item_id", "market", F.col("exportable_date").alias("export_date"))
     # A key repeated in the queue repeats one and the same date.
-    new_tracker = changes.set_export_dates(tracker, updates.withColumn("seq", F.col("export_date")),
-                                           on_duplicate=on_duplicate)
+    new_tracker = changes.set_export_dates(tracker, updates.withColumn("seq", F.col("export_date")))
     return {
         "queue": queue,
         "latest": latest,
@@ -61,8 +68,7 @@ def dimension_updates(rows: DataFrame, codes: DataFrame, strict: bool = True) ->
 
 def refresh_dimensions(tracker: DataFrame, quotas: DataFrame, warehouse: DataFrame,
                        jobs: DataFrame, codes: DataFrame, regions: DataFrame, reason_name: str,
-                       result_rows: DataFrame | None = None,
-                       on_duplicate: str = "error", scratch: str | None = None) -> dict:
+                       result_rows: DataFrame | None = None, scratch: str | None = None) -> dict:
     """PIP-02: FLT-03 -> WIN-06 -> SRC-06 -> AGG-06 -> (SRC-04/03) -> CMP-01 ->
     JON-05 -> DML-05.
 
@@ -79,34 +85,39 @@ def refresh_dimensions(tracker: DataFrame, quotas: DataFrame, warehouse: DataFra
     else:
         result_rows = result_rows.join(passed, "market", "left_semi")
     updates = dimension_updates(result_rows, codes)
-    new_tracker = changes.set_dimension_flags(tracker, updates, on_duplicate=on_duplicate)
+    new_tracker = changes.set_dimension_flags(tracker, updates)
     return {"queue": queue, "assigned": assigned, "unassigned": unassigned, "gate": gate,
             "rows": result_rows, "updates": updates, "tracker": new_tracker}
 
 
-def prepare_observations(raw: DataFrame, codes: DataFrame, strict: bool = True) -> DataFrame:
-    """Result-file columns -> (item_id, market_code, market, contribution,
-    reason_text, seq): PRJ-02, STR-01, CST-01, JON-05, PRJ-01."""
+def prepare_observations(raw: DataFrame, codes: DataFrame, strict: bool = True, keep=()) -> DataFrame:
+    """Result-file columns -> (item_id, market_code, market, contribution, reason_text,
+    seq and the columns ``keep``): PRJ-02, STR-01, CST-01, JON-05, PRJ-01."""
     df = fill_empty(raw, ["asin", "marketplace_id", "contributions", "restriction_reasons"])
     df = df.select(
         zfill("asin").alias("item_id"),
         F.col("marketplace_id").cast("int").alias("market_code"),
         F.col("contributions").alias("contribution"),
         F.col("restriction_reasons").alias("reason_text"),
-        "seq")
+        "seq", *keep)
     return lookups.attach_market(df, codes, "market_code", strict=strict)
 
 
 def decide_status(observations: DataFrame, tracker: DataFrame, rules: DataFrame,
                   mode: str = dec.AS_WRITTEN) -> DataFrame:
     """JON-06 -> AGG-04 -> JON-02/04 -> RUL-01..04 on prepared observations."""
-    classified = cls.classify(observations, rules)
-    deduped = dec.dedup_observations(classified)
     # Deduplication keeps every (item, market) key, so the tracker is restricted
     # by the keys of the unclassified observations (no classification in that
     # branch); AQE reuses the deduplication shuffle between the other branches.
-    state = joins.first_state(joins.restrict_to_keys(tracker, observations))
-    rows = joins.attach_state(deduped, state)
+    return decide_classified(cls.classify(observations, rules), tracker, mode, keys=observations)
+
+
+def decide_classified(classified: DataFrame, tracker: DataFrame, mode: str = dec.AS_WRITTEN,
+                      keys: DataFrame | None = None) -> DataFrame:
+    """AGG-04 -> JON-02/04 -> RUL-01..04 on classified observations; ``keys``: rows with
+    the same (item, market) keys, if they are cheaper to compute."""
+    state = joins.first_state(joins.restrict_to_keys(tracker, classified if keys is None else keys))
+    rows = joins.attach_state(dec.dedup_observations(classified), state)
     return dec.decide(rows, mode=mode)
 
 
@@ -118,20 +129,20 @@ def status_batches(tracker: DataFrame, quotas: DataFrame, scratch: str | None =
 
 
 def refresh_status(tracker: DataFrame, raw_observations: DataFrame, rules: DataFrame,
-                   codes: DataFrame, mode: str = dec.AS_WRITTEN,
-                   on_duplicate: str = "error") -> dict:
+                   codes: DataFrame, mode: str = dec.AS_WRITTEN) -> dict:
     """PIP-03: ... -> JON-06 -> STR-01 -> JON-05 -> JON-02/04 -> AGG-04 ->
     RUL-01..03 -> DML-10 -> DML-05."""
     obs = prepare_observations(raw_observations, codes)
     decisions = decide_status(obs, tracker, rules, mode)
     updates = changes.one_update_per_item_market(decisions)
-    new_tracker = changes.set_reason_status(tracker, updates, on_duplicate=on_duplicate)
+    new_tracker = changes.set_reason_status(tracker, updates)
     return {"decisions": decisions, "updates": updates, "tracker": new_tracker}
 
 
 def intake_inflow(tracker: DataFrame, history: DataFrame, inflow: DataFrame,
                   only_archived: bool = False) -> dict:
-    """PIP-04: JON-01 -> DML-06/07 -> DML-03."""
+    """PIP-04: JON-01 -> DML-06/07 -> DML-03.  The two tables are one change: publish them
+    with :func:`itemtrack.sources.sinks.commit_together`."""
     found = joins.inflow_lookup(tracker, inflow)
     moved_tracker, new_history = changes.archive_move(tracker, history, inflow, only_archived)
     new_tracker = changes.insert_new_inflow(moved_tracker, inflow)

@@ -20,7 +20,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from itemtrack import schemas
-from itemtrack.operators import changes, lookups
+from itemtrack.operators import changes, lookups, report
 from itemtrack.plans import refresh as R
 from itemtrack.session import path_exists, remove_path, scratch_path
 from itemtrack.sources import sinks, tables, tsv
@@ -50,22 +50,29 @@ def load_config(spark: SparkSession, config_dir: str) -> dict:
     return out
 
 
-def with_seq(df: DataFrame, columns) -> DataFrame:
-    """Order for order-dependent steps: the table's own ``seq``, else the text of the stated
-    columns, so that two runs over differently written files agree."""
-    return df if "seq" in df.columns else df.withColumn("seq", F.to_json(F.struct(*columns)))
-
-
 def _sheet(cfg: dict, name: str) -> DataFrame:
     if name not in cfg:
         raise FileNotFoundError(f"this job needs the config sheet {name}.csv")
     return cfg[name]
 
 
+def _ordered(df: DataFrame) -> DataFrame:
+    return tables.normalize_tracker(R.tracker_order(df))
+
+
 def _read_store(spark, root):
     store = VersionedTable(spark, root)
-    return store, tables.normalize_tracker(with_seq(store.read(schema=schemas.TRACKER_SCHEMA),
-                                                    schemas.TRACKER_KEY))
+    return store, _ordered(store.read(schema=schemas.TRACKER_SCHEMA))
+
+
+def _commit_updates(store: VersionedTable, tracker: DataFrame, set_columns, updates: DataFrame) -> int:
+    """DML-05 on the stored tracker: only the partitions of markets that have updates are
+    written, the key check reads the written version, then it is published."""
+    markets = [r["market"] for r in updates.select("market").distinct().collect()]   # as many as the config names
+    touched = tracker.where(F.col("market").isin([m for m in markets if m is not None]))
+    new = set_columns(touched, updates).drop("seq")
+    return store.commit(new, replaces=[m for m in markets if m is not None],
+                        check=lambda written: changes.require_distinct_keys(written, updates))
 
 
 def _publish(out_dir: str, job: str, frames: dict, fmt: str = "parquet") -> dict:
@@ -73,7 +80,7 @@ def _publish(out_dir: str, job: str, frames: dict, fmt: str = "parquet") -> dict
     compute them again."""
     out = {}
     for name, df in frames.items():
-        df = df.drop("seq") if name != "decisions" else df
+        df = df if name in ("decisions", "updates") else df.drop("seq")
         part = "market" if "market" in df.columns and len(df.columns) > 1 else None
         path = sinks.write_snapshot(df, f"{out_dir.rstrip('/')}/{job}/{name}", fmt=fmt, partition_by=part)
         if fmt == "parquet":
@@ -88,8 +95,13 @@ def export_dates(spark, tracker_root, core_export_path, config_dir, out_dir, mar
     cfg = load_config(spark, config_dir)
     core = tables.read_core_export(core_export_path, spark=spark)
     res = R.refresh_export_dates(tracker, core, _sheet(cfg, "codes"), _sheet(cfg, "allow"), markets)
-    _publish(out_dir, "export_dates", {k: res[k] for k in ("queue", "latest", "updates", "report", "skipped")})
-    return store.commit(res["tracker"].drop("seq"))
+    # The joins behind the updates run once: report and tracker are made from the written updates.
+    written = _publish(out_dir, "export_dates", {k: res[k] for k in ("queue", "latest", "updates", "skipped")})
+    requested = tracker.select("market").distinct() if markets is None else report.requested_markets(spark, markets)
+    _publish(out_dir, "export_dates", {"report": report.refresh_report(
+        written["updates"], requested, _sheet(cfg, "allow"), written["queue"])})
+    updates = written["updates"].withColumn("seq", F.col("export_date"))
+    return _commit_updates(store, tracker, changes.set_export_dates, updates)
 
 
 def dimensions(spark, tracker_root, warehouse_path, config_dir, out_dir, reason_name,
@@ -105,8 +117,8 @@ def dimensions(spark, tracker_root, warehouse_path, config_dir, out_dir, reason_
     res = R.refresh_dimensions(tracker, _sheet(cfg, "quotas"), spark.read.parquet(warehouse_path),
                                _sheet(cfg, "jobs"), _sheet(cfg, "codes"), lookups.region_pairs(spark),
                                reason_name, result_rows=rows, scratch=scratch)
-    _publish(out_dir, "dimensions", {k: res[k] for k in ("assigned", "unassigned", "gate", "updates")})
-    version = store.commit(res["tracker"].drop("seq"))
+    written = _publish(out_dir, "dimensions", {k: res[k] for k in ("assigned", "unassigned", "gate", "updates")})
+    version = _commit_updates(store, tracker, changes.set_dimension_flags, written["updates"])
     remove_path(spark, scratch)
     return version
 
@@ -129,20 +141,22 @@ def status(spark, tracker_root, results_root, config_dir, out_dir, day=None,
     obs = R.prepare_observations(raw, codes)
     written = _publish(out_dir, "status", {"decisions": R.decide_status(obs, tracker, _sheet(cfg, "rules"), mode)})
     updates = changes.one_update_per_item_market(written["decisions"])
-    _publish(out_dir, "status", {"updates": updates})
-    return store.commit(changes.set_reason_status(tracker, updates).drop("seq"))
+    written = _publish(out_dir, "status", {"updates": updates})
+    return _commit_updates(store, tracker, changes.set_reason_status, written["updates"])
 
 
 def intake(spark, tracker_root, history_root, inflow_path, out_dir, only_archived=False):
-    """PIP-04 end to end."""
-    store, tracker = _read_store(spark, tracker_root)
-    hstore, history = _read_store(spark, history_root)
+    """PIP-04 end to end; tracker and history change by one act."""
+    store, hstore = VersionedTable(spark, tracker_root), VersionedTable(spark, history_root)
+    both = sinks.read_together({"tracker": store, "history": hstore}, schemas.TRACKER_SCHEMA)
+    tracker, history = _ordered(both["tracker"]), _ordered(both["history"])
     inflow = spark.read.parquet(inflow_path)
-    inflow = with_seq(inflow, [c for c in schemas.INFLOW_INSERT_COLUMNS if c in inflow.columns])
+    inflow = R.tracker_order(inflow, [c for c in schemas.INFLOW_INSERT_COLUMNS if c in inflow.columns])
     res = R.intake_inflow(tracker, history, inflow, only_archived)
     _publish(out_dir, "intake", {"found": res["found"]})
-    hversion = hstore.commit(res["history"].drop("seq"))
-    return store.commit(res["tracker"].drop("seq")), hversion
+    made = sinks.commit_together({"history": (hstore, res["history"].drop("seq")),
+                                  "tracker": (store, res["tracker"].drop("seq"))}, f"{store.root}-commits")
+    return made["tracker"], made["history"]
 
 
 def main(argv=None) -> None:

@@ -63,8 +63,12 @@ def read_core_export(source, spark: SparkSession | None = None,
 def read_jdbc_by_market(spark: SparkSession, url: str, table: str, markets,
                         properties: dict | None = None) -> DataFrame:
     """SRC-01 over a database: one JDBC partition per market predicate."""
-    predicates = [f"market = '{m}'" for m in markets]
-    return spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})
+    return spark.read.jdbc(url, table, predicates=market_predicates(markets), properties=properties or {})
+
+
+def market_predicates(markets) -> list[str]:
+    """One SQL predicate per market; quotes and backslashes in a name stay part of the name."""
+    return ["market = '" + m.replace("\\", "\\\\").replace("'", "''") + "'" for m in markets]
 
 
 def read_lookup(spark: SparkSession, path: str, schema, fmt: str = "csv",

@@ -72,12 +72,11 @@ def test_keyed_update_collision(spark):
     t = tracker(spark, [("a", "US", "t1", "WIP", "A", 1), ("a", "US", "t1", "WIP", "B", 2)])
     upd = spark.createDataFrame([("a", "US", "X", "TP", 1)],
                                 "item_id string, market string, reason string, status string, seq long")
+    new = changes.set_reason_status(t, upd)
+    assert sorted(r.seq for r in new.collect()) == [1, 2]       # no row is ever dropped
     with pytest.raises(changes.KeyCollision):
-        changes.set_reason_status(t, upd)
-    kept = changes.set_reason_status(t, upd, on_duplicate="allow")
-    assert sorted(r.seq for r in kept.collect()) == [1, 2]      # no row is ever dropped
-    with pytest.raises(ValueError):
-        changes.set_reason_status(t, upd, on_duplicate="keep_first")
+        changes.require_distinct_keys(new, upd)
+    changes.require_distinct_keys(t, upd)
     with pytest.raises(ValueError):
         changes.set_reason_status(t, upd.drop("seq"))            # "last wins" needs an order
 

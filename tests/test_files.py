@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from itemtrack import schemas
 from itemtrack.sources import sinks, tsv
 from itemtrack.sources.sinks import VersionedTable
-from itemtrack.streaming import ingest
 
 HEADER = "\t".join(schemas.OBSERVATION_FILE_COLUMNS)
 
@@ -71,69 +70,6 @@ def test_result_file_writer_roundtrip(spark, tmp_dir):
         [("1", "x"), ("2", None), ("3", "y")]
 
 
-def test_stream_apply_once_and_idempotent(spark, tmp_dir):
-    src = f"{tmp_dir}/incoming"
-    write(f"{src}/US/a.txt", ["1\t1\tOperationalRule\ttoo large\t1",
-                              "2\t1\tOperationalRule\t\t1"])
-    codes = spark.createDataFrame([("US", 1, 1)], "market string, market_code int, seq int")
-    rules = spark.createDataFrame([("US", 1, "large", "LARGE")],
-                                  "market string, rule_no int, keyword string, blocker_type string")
-    from tests.test_changes import tracker
-    initial = tracker(spark, [("0000000001", "US", "t", "WIP", "OLD", 1),
-                              ("0000000002", "US", "t", "WIP", "OLD", 2)])
-    store = ingest.tracker_store(spark, f"{tmp_dir}/tracker", initial)
-    q = ingest.start_status_stream(spark, src, store, rules, codes, f"{tmp_dir}/ckpt")
-    q.awaitTermination(120)
-    assert store.current_version() == 1
-    got = {r.item_id: (r.reason, r.status) for r in store.read().collect()}
-    assert got == {"0000000001": ("LARGE", "WIP"), "0000000002": ("OLD", "unblocked")}
-    # replaying batch 0 changes nothing
-    apply = ingest.status_apply(store, rules, codes, ingest.stream_name(f"{tmp_dir}/ckpt"))
-    apply(spark.createDataFrame([], "asin string"), 0)
-    assert store.current_version() == 1
-    # a new file arrives: only it is read
-    write(f"{src}/US/b.txt", ["1\t1\tOperationalRule\tfine\t1"])
-    q = ingest.start_status_stream(spark, src, store, rules, codes, f"{tmp_dir}/ckpt")
-    q.awaitTermination(120)
-    assert store.current_version() == 2
-    got = {r.item_id: (r.reason, r.status) for r in store.read().collect()}
-    assert got["0000000001"] == ("Others", "nonaction")
-
-
-def test_stream_on_a_store_with_later_versions(spark, tmp_dir):
-    """Versions of other jobs do not hide a new stream's first batch; a replay changes
-    neither the tracker nor the decisions; both modes give the same tracker."""
-    src = f"{tmp_dir}/incoming"
-    write(f"{src}/US/a.txt", ["1\t1\tOperationalRule\ttoo large\t1"])
-    codes = spark.createDataFrame([("US", 1, 1)], "market string, market_code int, seq int")
-    rules = spark.createDataFrame([("US", 1, "large", "LARGE")],
-                                  "market string, rule_no int, keyword string, blocker_type string")
-    from tests.test_changes import tracker
-    initial = tracker(spark, [("0000000001", "US", "t", "WIP", "OLD", 1),
-                              ("0000000001", "US", "u", None, "OLDER", 2)]).drop("seq")
-    store, other = (VersionedTable(spark, f"{tmp_dir}/{n}") for n in ("snap", "base"))
-    for _ in range(3):
-        store.commit(initial)
-    other.commit(initial)
-    out = f"{tmp_dir}/decisions"
-    q = ingest.start_status_stream(spark, src, store, rules, codes, f"{tmp_dir}/c1", decisions_sink=out)
-    q.awaitTermination(120)
-    assert store.current_version() == 3
-    rows = sorted(map(str, store.read(schema=initial.schema).collect()))
-    assert "LARGE" in rows[0] and spark.read.parquet(out).count() == 1
-    lines = ingest.scan_lines(spark.read.option("recursiveFileLookup", "true"), src, seq_col=None)
-    ingest.status_apply(store, rules, codes, ingest.stream_name(f"{tmp_dir}/c1"), decisions_sink=out)(lines, 0)
-    assert store.current_version() == 3 and spark.read.parquet(out).count() == 1
-    log = f"{tmp_dir}/log"
-    q = ingest.start_status_log_stream(spark, src, other, log, rules, codes, f"{tmp_dir}/c2")
-    q.awaitTermination(120)
-    assert ingest.compact(spark, other, log) == 1
-    assert sorted(map(str, other.read(schema=initial.schema).collect())) == rows
-    ingest.status_log_apply(other, log, rules, codes, ingest.stream_name(f"{tmp_dir}/c2"))(lines, 0)
-    again = ingest.current_tracker(spark, other, log).select(store.read(schema=initial.schema).columns)
-    assert sorted(map(str, again.collect())) == rows
-
-
 def test_header_names_and_widths(spark, tmp_dir):
     """Fields go by each file's own header; its width says which lines are too long."""
     root = f"{tmp_dir}/in put/x=1"
@@ -165,40 +101,6 @@ def test_quoting_like_the_reference_reader(spark, tmp_dir):
     assert row.restriction_reasons == 'says "too large", \\\\ ok'
 
 
-def test_change_log_stream_and_compaction(spark, tmp_dir):
-    src = f"{tmp_dir}/incoming"
-    write(f"{src}/US/a.txt", ["1\t1\tOperationalRule\ttoo large\t1",
-                              "2\t1\tOperationalRule\t\t1"])
-    codes = spark.createDataFrame([("US", 1, 1)], "market string, market_code int, seq int")
-    rules = spark.createDataFrame([("US", 1, "large", "LARGE")],
-                                  "market string, rule_no int, keyword string, blocker_type string")
-    from tests.test_changes import tracker
-    initial = tracker(spark, [("0000000001", "US", "t", "WIP", "OLD", 1),
-                              ("0000000002", "US", "t", "WIP", "OLD", 2),
-                              ("0000000003", "US", "t", "WIP", "KEEP", 3)]).drop("seq")
-    store = VersionedTable(spark, f"{tmp_dir}/tracker")
-    store.commit(initial)
-    log = f"{tmp_dir}/log"
-    q = ingest.start_status_log_stream(spark, src, store, log, rules, codes, f"{tmp_dir}/ckpt")
-    q.awaitTermination(120)
-    assert store.current_version() == 0                       # the base is not rewritten
-    state = {r.item_id: (r.reason, r.status) for r in
-             ingest.current_tracker(spark, store, log).collect()}
-    assert state == {"0000000001": ("LARGE", "WIP"), "0000000002": ("OLD", "unblocked"),
-                     "0000000003": ("KEEP", "WIP")}
-    # replaying batch 0 is skipped: same state
-    lines = ingest.scan_lines(spark.read.option("recursiveFileLookup", "true"), src, seq_col=None)
-    ingest.status_log_apply(store, log, rules, codes, ingest.stream_name(f"{tmp_dir}/ckpt"))(lines, 0)
-    state2 = {r.item_id: (r.reason, r.status) for r in
-              ingest.current_tracker(spark, store, log).collect()}
-    assert state2 == state
-    assert ingest.compact(spark, store, log) == 1
-    folded = {r.item_id: (r.reason, r.status) for r in store.read().collect()}
-    assert folded == {k: v for k, v in state2.items()}
-    assert {r.item_id: (r.reason, r.status) for r in
-            ingest.current_tracker(spark, store, log).collect()} == folded
-
-
 def test_versioned_table_ignores_unfinished_versions(spark, tmp_dir):
     store = VersionedTable(spark, f"{tmp_dir}/t")
     df = spark.createDataFrame([("a", "US")], "item_id string, market string")
