@@ -6,8 +6,11 @@ returned in a second output instead of being dropped silently); a market
 without slots assigns nothing.
 
 Plan: the queue position is computed by :func:`rank_within` (range partitioning
-plus prefix sums: no task holds a whole market); slots become
-(lo, hi] ranges by a running sum over the small quota sheet; a join on ``market`` with the range as residual condition assigns each item.
+plus prefix sums: no task holds a whole market); slots become (lo, hi] ranges by a
+running sum over the quota sheet.  Positions and lower bounds are then put in one order
+and swept: every item takes the last bound before it.  The sweep runs in stretches of
+positions, each of which starts with the bound carried over from the stretches before,
+so it costs queue + slots however many slots a market has.
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from itemtrack.operators.common import rank_within
 
+STRETCH = 100_000          # positions swept by one window group
+
 
 def slot_ranges(quotas: DataFrame) -> DataFrame:
     """Cumulative (lo, hi] queue positions per slot, in slot order."""
@@ -42,18 +47,39 @@ def plan_batches(queue: DataFrame, quotas: DataFrame, order_col: str = "seq", st
     The positions are written at once, to ``store`` if given (the caller's folder, to be
     removed when the outputs are no longer needed), else to a fresh scratch folder.
     """
-    ranked = queue_positions(queue, order_col, store)
-    ranges = slot_ranges(quotas)
-    cond = ((ranked["market"] == ranges["market"])
-            & (ranked["position"] > ranges["lo"]) & (ranked["position"] <= ranges["hi"]))
-    assigned = ranked.join(ranges, cond, "inner").select(
-        ranked["market"], "slot_no", "slot_ref", *[ranked[c] for c in ranked.columns if c != "market"])
-    totals = quotas.groupBy("market").agg(
-        F.sum(F.greatest(F.coalesce("capacity", F.lit(0)), F.lit(0))).cast("long").alias("_total"))
-    unassigned = (ranked.join(totals, "market", "left")
-                  .where(F.col("position") > F.coalesce(F.col("_total"), F.lit(0)))
-                  .drop("_total"))
-    return assigned, unassigned
+    swept = _sweep(queue_positions(queue, order_col, store), slot_ranges(quotas).where("hi > lo"))
+    within = F.col("_slot").isNotNull() & (F.col("position") <= F.col("_slot.hi"))
+    columns = [c for c in swept.columns if c not in ("_slot", "market")]
+    assigned = swept.where(within).select("market", "_slot.slot_no", "_slot.slot_ref", *columns, "_slot.lo", "_slot.hi")
+    unassigned = swept.where(~F.coalesce(within, F.lit(False))).drop("_slot")
+    return assigned.drop("lo", "hi"), unassigned
+
+
+def _sweep(ranked: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Adds ``_slot``: of the market's ranges the last one that begins before the position
+    (NULL if none does)."""
+    slot = F.struct("slot_no", "slot_ref", "lo", "hi")
+    group = ["market", "_stretch"]
+    # A bound at position p follows the item at p: ranges are open below.
+    items = ranked.withColumns({"_slot": F.lit(None), "_at": F.col("position"), "_bound": F.lit(0)})
+    bounds = ranges.where("market IS NOT NULL").select(
+        "market", slot.alias("_slot"), F.col("lo").alias("_at"), F.lit(1).alias("_bound"))
+    items = items.withColumn("_slot", F.col("_slot").cast(bounds.schema["_slot"].dataType))
+    both = items.unionByName(bounds, allowMissingColumns=True).withColumn(
+        "_stretch", F.floor(F.col("_at") / STRETCH))
+    # The last bound of each stretch that has one, carried to the next such stretch's items and beyond.
+    ends = bounds.withColumn("_stretch", F.floor(F.col("_at") / STRETCH)).groupBy(*group).agg(
+        F.max_by("_slot", "_at").alias("_last"))
+    known = both.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).drop("_rows")
+    earlier = Window.partitionBy("market").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (known.join(ends, group, "left")
+               .withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier)).select(*group, "_carry")
+               .where("_carry IS NOT NULL"))
+    # Distinct bounds and distinct positions: a group has at most twice STRETCH rows.
+    so_far = Window.partitionBy(*group).orderBy("_at", "_bound").rowsBetween(Window.unboundedPreceding, 0)
+    swept = both.withColumn("_own", F.last("_slot", ignorenulls=True).over(so_far)).where("_bound = 0")
+    return (swept.join(carried, group, "left")
+            .withColumn("_slot", F.coalesce("_own", "_carry")).select(*ranked.columns, "_slot"))
 
 
 def first_n_per_market(queue: DataFrame, n: int, order_col: str = "seq") -> DataFrame:

@@ -79,43 +79,51 @@ def _splits(lines: DataFrame, seq_col: str) -> DataFrame:
         F.collect_list(effect).alias("quotes"))
 
 
-def _running_state(df: DataFrame, group, order: str, entry: Column) -> DataFrame:
-    """Adds ``exit``: the state after each row's function (out, in: what it makes of 0 and 1)
-    within its group.  A function that ignores its input fixes the state; those that turn it
-    are counted since."""
+def _running_state(df: DataFrame, group, order: str) -> DataFrame:
+    """Adds ``state`` (after each row's function, if its group starts with 0) and ``sure``
+    (whether it is the same if the group starts with 1).  A function that ignores its input fixes
+    the state; those that turn it (out, in: what it makes of 0 and 1) are counted since."""
     rows = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     fixes, turns = F.col("out") == F.col("in"), (F.col("out") == 1) & (F.col("in") == 0)
     df = df.withColumn("_fixed", F.max(F.when(fixes, F.col(order))).over(rows))
     since = Window.partitionBy(*group, "_fixed").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    start = F.max(F.when(fixes, F.col("out"))).over(since)
+    start = F.coalesce(F.max(F.when(fixes, F.col("out"))).over(since), F.lit(0))
     turned = F.sum(F.when(turns, 1).otherwise(0)).over(since)
-    return df.withColumn("exit", (F.coalesce(start, entry) + turned) % 2).drop("_fixed")
+    return df.withColumns({"state": (start + turned) % 2, "sure": F.col("_fixed").isNotNull()}).drop("_fixed")
 
 
 def long_records(splits: DataFrame) -> DataFrame:
     """Places of records of several lines: _file, block, pos (of the first line), end_block,
     end_pos.  A quote that its file never closes opens nothing."""
     lines = splits.select("_file", "_block", F.explode("quotes").alias("q")).select("_file", "_block", "q.*")
-    group = ["_file", "_block"]
-    # What a split makes of 0 and of 1, then the state it starts with; a file has few splits.
-    zero = _running_state(lines, group, "pos", F.lit(0)).withColumnRenamed("exit", "zero")
-    both = _running_state(zero, group, "pos", F.lit(1)).withColumnRenamed("exit", "one")
-    ends = both.groupBy(*group).agg(F.max_by("zero", "pos").alias("out"), F.max_by("one", "pos").alias("in"))
-    earlier = Window.partitionBy("_file").orderBy("_block")
-    starts = (_running_state(ends, ["_file"], "_block", F.lit(0))
-              .withColumn("entry", F.lag("exit", 1, 0).over(earlier)).select(*group, "entry"))
-    # Lines that open a record and lines that close it, in turn.
-    state = both.join(starts, group).withColumn("exit", F.when(F.col("entry") == 1, F.col("one")).otherwise(F.col("zero")))
+    group, place = ["_file", "_block"], F.struct(F.col("_block").alias("b"), F.col("pos").alias("p"))
     own = Window.partitionBy(*group).orderBy("pos")
-    state = state.withColumn("before", F.lag("exit").over(own))
-    state = state.withColumn("before", F.coalesce("before", "entry")).where("before <> exit")
-    marks = state.select(*group, "pos", (F.col("exit") == 1).alias("opens"),
-                         F.lead(F.struct(F.col("_block").alias("b"), F.col("pos").alias("p"))).over(own).alias("next"))
-    # An opening line that is the last mark of its split is closed by the first mark of a later one.
-    firsts = marks.groupBy(*group).agg(F.min(F.struct(F.col("_block").alias("b"), F.col("pos").alias("p"))).alias("mark"))
-    later = firsts.withColumn("later", F.lead("mark").over(earlier)).select(*group, "later")
-    return (marks.join(later, group).where("opens").withColumn("end", F.coalesce("next", "later"))
-            .where("end IS NOT NULL")
+
+    def state(entry: Column | int, behind: bool) -> Column:
+        name = "state" if behind else "p.state"
+        sure = F.col("sure" if behind else "p.sure")
+        inner = F.when(sure, F.col(name)).otherwise((F.col(name) + entry) % 2)
+        return inner if behind else F.when(F.col("p").isNull(), entry).otherwise(inner)
+
+    def marks(entry: Column | int) -> Column:          # the line opens or closes a record
+        return state(entry, False) != state(entry, True)
+
+    lines = _running_state(lines, group, "pos").withColumn("p", F.lag(F.struct("state", "sure")).over(own))
+    # One row per split and start: where it ends and its first mark.  Then the splits of a file
+    # in order give every split its true start and the first mark behind it.
+    ends = lines.groupBy(*group).agg(
+        F.max_by(state(F.lit(0), True), "pos").alias("out"), F.max_by(state(F.lit(1), True), "pos").alias("in"),
+        F.min(F.when(marks(F.lit(0)), place)).alias("first0"), F.min(F.when(marks(F.lit(1)), place)).alias("first1"))
+    file = Window.partitionBy("_file").orderBy("_block")
+    starts = (_running_state(ends, ["_file"], "_block").withColumn("entry", F.lag("state", 1, 0).over(file))
+              .withColumn("first", F.when(F.col("entry") == 1, F.col("first1")).otherwise(F.col("first0")))
+              .withColumn("later", F.first("first", ignorenulls=True).over(file.rowsBetween(1, Window.unboundedFollowing)))
+              .select(*group, "entry", "later"))
+    # Lines that open a record and lines that close it, in turn.
+    entry = F.col("entry")
+    turns = (lines.join(starts, group).where(marks(entry))
+             .select(*group, "pos", (state(entry, True) == 1).alias("opens"), "later", F.lead(place).over(own).alias("next")))
+    return (turns.where("opens").withColumn("end", F.coalesce("next", "later")).where("end IS NOT NULL")
             .select("_file", F.col("_block").alias("block"), "pos", F.col("end.b").alias("end_block"),
                     F.col("end.p").alias("end_pos")))
 
@@ -161,17 +169,19 @@ def parse_lines(lines: DataFrame, columns, na_tokens=fixed.PANDAS_NA_TOKENS, seq
     called; its results are small written tables.
     """
     splits = materialize(_splits(lines, seq_col), "file-splits")
-    records = materialize(long_records(splits), "long-records")
     heads = splits.where("_block = 0 AND head_pos IS NOT NULL").select("_file", "head_pos", "head")
     kept = lines
-    if not records.isEmpty():
-        places = materialize(_lines_of(records, splits), "long-lines")
-        whole = materialize(_joined(lines, places, seq_col), "long-rows")
+    if not splits.where(F.exists("quotes", lambda q: q["out"] == 1)).isEmpty():     # some line may open a record
+        records = materialize(long_records(splits), "long-records")
+        places = _lines_of(records, splits)
         kept = (lines.withColumn("_pos", F.col(f"{seq_col}.pos"))
-                .join(places, ["_file", "_block", "_pos"], "left_anti").drop("_pos").unionByName(whole))
-        first = whole.where("_block = 0").select("_file", F.col(f"{seq_col}.pos").alias("head_pos"),
-                                                 F.col("_line").alias("_whole"))
-        heads = heads.join(first, ["_file", "head_pos"], "left").withColumn("head", F.coalesce("_whole", "head"))
+                .join(places, ["_file", "_block", "_pos"], "left_anti").drop("_pos")
+                .unionByName(_joined(lines, places, seq_col)))
+        over = records.join(heads.select("_file", F.col("head_pos").alias("pos")), ["_file", "pos"]).where("block = 0")
+        if not over.isEmpty():                         # headers of several lines
+            whole = _joined(lines, _lines_of(over.select(*records.columns), splits), seq_col)
+            heads = heads.join(whole.select("_file", F.col("_line").alias("_whole")), "_file", "left").withColumn(
+                "head", F.coalesce("_whole", "head"))
     heads = materialize(heads.select("_file", F.col("head_pos").alias("_first"), fields(F.col("head")).alias("_names")),
                         "file-heads")
     rows = kept.where(F.length("_line") > 0).join(heads, "_file").where(

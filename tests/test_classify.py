@@ -91,3 +91,28 @@ def test_rules_keep_order_per_market(spark):
     r = spark.createDataFrame(rules, RULE_SCHEMA)
     got = [x.matched_type for x in C.first_matching_rule(o, r).orderBy("seq").collect()]
     assert got == ["US2", "UK1", "UK2", None]
+
+
+def test_ten_thousand_keywords(spark):
+    """Texts meet a large sheet by trigrams: few candidates a text, the same first rule."""
+    import random
+    from itemtrack.operators import classify as C
+    rng = random.Random(3)
+
+    def word(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ü\n") for _ in range(n))
+
+    sheet = [("US", n, f"{word(rng.randint(5, 9))};{word(7)}", f"T{n}") for n in range(5000)]
+    sheet += [("US", 5000, "#", "HASH"), ("US", 5001, "üü", "TWO"), ("UK", 1, "abc", "UK")]
+    texts = [word(rng.randint(0, 60)) for _ in range(300)]
+    texts += [word(10) + rng.choice(sheet[:5000])[2].split(";")[0] + word(9) for _ in range(200)] + ["x#x", "aüüb"]
+    obs = [(rng.choice(["US", "US", "US", "UK", None]), "OperationalRule", t) for t in texts]
+    assert run(spark, obs, sheet) == [python_first_match(sheet, *o) for o in obs]
+    t = spark.createDataFrame([(i, m, x) for i, (m, _, x) in enumerate(obs)], "_id long, _market string, _text string")
+    words = C._keywords(spark.createDataFrame(sheet, RULE_SCHEMA), ";")
+    assert C.candidates(t, words).count() < 40 * len(obs)           # of 10,002 keywords for each text of US
+
+
+def test_long_text_is_read_in_one_pass(spark):
+    text = "äb" * 300_000 + "needle" + "c" * 300_000
+    assert run(spark, [("US", "OperationalRule", text)], [("US", 1, "needle", "N")]) == ["N"]

@@ -85,3 +85,16 @@ def test_rank_within_equals_row_number_with_a_hot_market(spark):
     want = q.withColumn("rank", F.row_number().over(Window.partitionBy("market").orderBy("seq")))
     assert sorted(map(tuple, got.select("seq", "market", "rank").collect())) == \
         sorted(map(tuple, want.select("seq", "market", "rank").collect()))
+
+
+def test_ten_thousand_slots_in_short_stretches(spark, monkeypatch):
+    import random
+    monkeypatch.setattr(quota, "STRETCH", 50)
+    rng = random.Random(7)
+    caps = [rng.choice([0, 1, 1, 2, 3, 400]) if n % 500 == 0 else rng.randint(0, 2) for n in range(10_000)]
+    queue = [(f"i{n:06d}", "US", n) for n in range(sum(caps) + 70)] + [("n", None, 1), ("d", "DE", 1)]
+    quotas = [("US", n, c, f"s{n}") for n, c in enumerate(caps)] + [(None, 1, 9, "none")]
+    assigned, left = plan(spark, queue, quotas)
+    want = [n for n, c in enumerate(caps) for _ in range(c)]
+    assert [assigned[f"i{n:06d}"] for n in range(len(want))] == want
+    assert left == sorted([q[0] for q in queue[len(want):]])
