@@ -10,6 +10,7 @@ lets a piece grow by exact appends, and keeps the table before an edit valid.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -20,10 +21,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from itemtrack.llm.common import slices, texts
+from itemtrack.llm.common import Remembered, slices, texts
 
-CACHE_ENTRIES = 400_000    # parts between spaces that a worker remembers
-PAIR_ENTRIES = 500_000     # neighbour tests that a worker remembers
+PAIR_ENTRIES = 300_000     # neighbour tests that a worker remembers, about 100 bytes each
 
 
 def load_tokens(path: str) -> list[bytes]:
@@ -51,7 +51,7 @@ class PrefixBpe:
         self._ends.make_automaton()
         self.pieces = regex.compile(pattern).findall
         self._pairs: dict[int, bool] = {}
-        self._chunks: dict[str, bytes] = {}
+        self.chunks = Remembered()               # parts between spaces
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self._starts = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
         self._blob = np.frombuffer(b"".join(tokens), np.uint8)
@@ -81,10 +81,10 @@ class PrefixBpe:
 
     # -- the prefix table ---------------------------------------------------------------
 
-    def last_tokens(self, data: bytes, table: list[int] | None = None) -> list[int]:
+    def last_tokens(self, data: bytes, table: array | None = None) -> array:
         """``table[i]`` is the last token of the encoding of ``data[:i + 1]``.  A table of
         a shorter prefix is continued, so appending costs only the new bytes."""
-        table = list(table or ())
+        table = array("i", table or ())
         done, pairs, add = len(table), self._pairs, table.append
         for end, (token, size) in self._ends.iter(data.decode("latin-1"), max(0, done + 1 - self.longest)):
             if end != done:                          # this prefix has its token, exactly one fits
@@ -104,21 +104,36 @@ class PrefixBpe:
             raise ValueError("the rank list cannot encode this text: a byte has no token")
         return table
 
-    def walk_back(self, table: list[int]) -> list[int]:
-        ids, end = [], len(table)
+    def walk_back(self, table: array, end: int | None = None) -> array:
+        """The encoding of the first ``end`` bytes (default: all)."""
+        ids, end = array("i"), len(table) if end is None else end
         while end:
             ids.append(table[end - 1])
             end -= len(self.tokens[ids[-1]])
         return ids[::-1]
 
-    def encode_piece(self, data: bytes) -> list[int]:
+    def edit_table(self, data: bytes, table: array, start: int, end: int, new: bytes) -> tuple[bytes, array]:
+        """A piece with bytes ``start`` to ``end`` replaced, and its table: entries before the edit
+        stay, and once ``longest`` entries in a row behind it are as they were, all later ones are,
+        since an entry depends on no more bytes and entries than these."""
+        changed, shift, stop = data[:start] + new + data[end:], len(new) - (end - start), start + len(new)
+        out = table[:start]
+        while len(out) < len(changed):
+            done = min(len(changed), max(len(out), stop) + 2 * self.longest)
+            out = self.last_tokens(changed[:done], out)
+            if done - self.longest >= stop and out[-self.longest:] == table[done - shift - self.longest:done - shift]:
+                out.extend(table[done - shift:])
+                break
+        return changed, out
+
+    def encode_piece(self, data: bytes) -> array:
         return self.walk_back(self.last_tokens(data))
 
     # -- whole texts --------------------------------------------------------------------
 
-    def encode_plain(self, text: str) -> list[int]:
+    def encode_plain(self, text: str) -> array:
         """Every match of the pattern encoded separately."""
-        ids: list[int] = []
+        ids = array("i")
         for piece in self.pieces(text):
             ids += self.encode_piece(piece.encode())
         return ids
@@ -129,7 +144,7 @@ class PrefixBpe:
         unless blanks meet at such a cut."""
         parts = text.split(" ")
         parts[1:] = [" " + p for p in parts[1:]]
-        known = self._chunks
+        known = self.chunks
         found = list(map(known.get, parts))
         for i, value in enumerate(found) if None in found else ():
             if value is not None:
@@ -140,9 +155,8 @@ class PrefixBpe:
                 return np.array(self.encode_plain(text), np.int32)
             found[i] = b"".join([known.get(x) or np.array(self.encode_piece(x.encode()), np.int32).tobytes()
                                  for x in self.pieces(part)])
-            # The words seen first are the frequent ones: a full memory takes no more.
-            if part and not blank_end and len(known) < CACHE_ENTRIES:
-                known[part] = found[i]
+            if part and not blank_end:
+                known.put(part, found[i], len(found[i]))
         return np.frombuffer(b"".join(found), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -194,7 +208,7 @@ class BpeTokenizer:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coder = _coder(*shared.value)
-            for part in slices(batches, "__text"):
+            for part in slices(batches, "__text", own=coder.chunks):
                 found = [coder.encode(t) for t in texts(part, "__text")]
                 yield _with_lists(part, len(part.columns) - 1, found, "ids")
 
@@ -226,7 +240,7 @@ class BpeTokenizer:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coder = _coder(*shared.value)
-            for part in slices(batches, "__text"):
+            for part in slices(batches, "__text", own=coder.chunks):
                 n = len(part.columns) - 5
                 done = [coder.edit(t or "", np.array(i or [], np.int32), s, e, r or "") for t, i, s, e, r in
                         zip(*(part.column(n + j).to_pylist() for j in range(5)))]

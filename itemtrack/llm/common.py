@@ -14,6 +14,35 @@ from itemtrack.operators.common import materialize as _materialize
 # One slice of rows that a task holds as Python objects at a time.
 SLICE_BYTES = 4 << 20
 
+REMEMBERED_BYTES = 64 << 20    # of parts of texts that an operator remembers in a worker
+LONGEST_PART = 64              # letters of a remembered part
+ENTRY_BYTES = 200              # what an entry takes besides its part and its value, about
+
+
+class Remembered(dict):
+    """Results for short parts of texts, bounded in bytes.  A full memory takes no more: the parts
+    seen first are the frequent ones.  A worker serves many tasks: an operator that starts there
+    makes all others forget (see :func:`slices`)."""
+
+    everyone: "list[Remembered]" = []
+
+    def __init__(self, max_bytes: int = REMEMBERED_BYTES):
+        super().__init__()
+        self.max_bytes = self.left = max_bytes
+        self.everyone.append(self)
+
+    def put(self, part: str, value, size: int = 0) -> bool:
+        size += ENTRY_BYTES + len(part)
+        if len(part) > LONGEST_PART or size > self.left:
+            return False
+        self.left -= size
+        self[part] = value
+        return True
+
+    def forget(self) -> None:
+        self.clear()
+        self.left = self.max_bytes
+
 
 # Shuffle files of a finished job are of no use once its result is a table.
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -45,11 +74,14 @@ def fold(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
-           max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = SLICE_BYTES,
+           own: Remembered | None = None) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds at most ``max_bytes`` per slice (a
     single longer text makes a slice of its own): memory stays bounded whatever the
-    rows-per-batch setting is."""
+    rows-per-batch setting is.  What other operators remember in this worker is released."""
+    for memory in Remembered.everyone:
+        if memory is not own:
+            memory.forget()
     for batch in batches:
         if not batch.num_rows:
             continue
