@@ -19,9 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from itemtrack.llm.common import materialize, slices, texts
-
-CACHE_ENTRIES = 300_000    # parts that a worker remembers, some 200 bytes each
+from itemtrack.llm.common import Remembered, materialize, slices, texts
 
 
 class ChunkedEncoder:
@@ -39,22 +37,20 @@ class ChunkedEncoder:
         self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.sizes[i] = len(token)               # one character of the vocabulary is one byte
-        self._chunks: dict[str, bytes] = {}
+        self.chunks = Remembered()
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, strings: list[str]) -> list[np.ndarray]:
         """Ids of every text, without special tokens."""
-        known, split, new = self._chunks, [], set()
+        known, split, new = self.chunks, [], set()
         for text in strings:
             parts = text.split(" ")                  # all but the first follow a space
             split.append(parts)
             new.update(set(parts[1:]).difference(known))
         learned = self._learn([p for p in new if p and not p[-1:].isspace()])
-        if len(known) + len(learned) <= CACHE_ENTRIES:  # the words seen first are the frequent ones
-            known.update(learned)
-            learned = {}
+        learned = {p: ids for p, ids in learned.items() if not known.put(p, ids, len(ids))}
         out = []
         for text, parts in zip(strings, split):
             found = list(map(known.get, parts))
@@ -174,7 +170,7 @@ def document_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, pid = _encoder(shared.value), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
-        for part in slices(batches):
+        for part in slices(batches, own=encoder.chunks):
             owner, out = [], []
             for i, ids in enumerate(encoder.encode(texts(part))):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
@@ -193,6 +189,7 @@ def document_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id:
                 arrays.append(pa.array([np.frombuffer(d, "<u4").astype(np.int32) for d in cols[6]],
                                        pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(arrays, names)
+        encoder.chunks.forget()                      # learned again quickly; idle workers hold none
 
     schema = (f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, "
               "ids_crc32 long, pid int, rank long" + ", ids array<int>" * with_ids)
