@@ -17,11 +17,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from itemtrack.llm.common import slices, texts
+from itemtrack.llm.common import Remembered, slices, texts
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0     # fixed value: an unknown character scores this much below the lowest piece
-CACHE_ENTRIES = 300_000
+HELD = 8192                # places behind the current one whose best paths are held, more for longer pieces
 
 
 @dataclass(frozen=True)
@@ -58,32 +58,39 @@ class Counter:
         # character and scores are whole numbers, whose sums have no rounding.
         self.splits = (all(SPACE not in p.lstrip(SPACE) for p, _ in vocabulary.pieces)
                        and all(s == int(s) for _, s in vocabulary.pieces))
-        self._known: dict[str, tuple[int, float]] = {}
+        self.known = Remembered()
+        self.reach = max((len(p) for p, _ in vocabulary.pieces), default=1)
 
     def viterbi(self, text: str) -> tuple[int, float]:
-        """(pieces, score) of the best path through ``text``."""
-        n = len(text)
-        ending: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-        for end, match in self.automaton.iter(text):
-            ending[end + 1].append(match)
-        score, count, unknown_end = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
-        fallback = self.vocabulary.byte_fallback
-        for end in range(1, n + 1):
+        """(pieces, score) of the best path through ``text``.  Only the places that the longest
+        piece can reach back to are held, so memory does not grow with the text."""
+        score, count, unknown_end = [0.0], [0], False
+        fallback, matches = self.vocabulary.byte_fallback, self.automaton.iter(text)
+        found = next(matches, None)
+        for place, character in enumerate(text):
+            ending = []
+            while found is not None and found[0] == place:
+                ending.append(found[1])
+                found = next(matches, None)
             best, single = None, False
-            for length, value in sorted(ending[end], reverse=True) if len(ending[end]) > 1 else ending[end]:
-                total = score[end - length] + value
+            for length, value in sorted(ending, reverse=True) if len(ending) > 1 else ending:
+                total = score[-length] + value     # the last entry is the place before this character
                 if best is None or total > best:
-                    best, pieces = total, count[end - length] + 1
+                    best, pieces = total, count[-length] + 1
                 single = single or length == 1
             unknown = False
-            if not single and (best is None or score[end - 1] + self.unknown > best):
-                best, unknown = score[end - 1] + self.unknown, True
+            if not single and (best is None or score[-1] + self.unknown > best):
+                best, unknown = score[-1] + self.unknown, True
                 if fallback:
-                    pieces = count[end - 1] + len(text[end - 1].encode())
+                    pieces = count[-1] + len(character.encode())
                 else:                              # neighbouring unknown characters are one token
-                    pieces = count[end - 1] + (not unknown_end[end - 1])
-            score[end], count[end], unknown_end[end] = best, pieces, unknown
-        return count[n], score[n]
+                    pieces = count[-1] + (not unknown_end)
+            score.append(best)
+            count.append(pieces)
+            unknown_end = unknown
+            if len(score) > HELD + 2 * self.reach:
+                del score[:-self.reach], count[:-self.reach]
+        return count[-1], score[-1]
 
     def count(self, text: str) -> tuple[int, float]:
         """(tokens, score) of a whole text; the empty text has none."""
@@ -96,15 +103,13 @@ class Counter:
         parts = (re.findall(f"{SPACE}+[^{SPACE}]*", text) if SPACE * 2 in text or text.endswith(SPACE)
                  else text[1:].split(SPACE))
         plain = not (SPACE * 2 in text or text.endswith(SPACE))
-        tokens, total, known = 0, 0.0, self._known
+        tokens, total, known = 0, 0.0, self.known
         for part in parts:
             got = known.get(part) if plain else None
             if got is None:
                 got = self.viterbi(SPACE + part if plain else part)
                 if plain:
-                    if len(known) >= CACHE_ENTRIES:
-                        known.clear()
-                    known[part] = got
+                    known.put(part, got, 100)
             tokens += got[0]
             total += got[1]
         return tokens, total
@@ -128,7 +133,7 @@ def count_tokens(docs: DataFrame, vocabulary: UnigramVocabulary, *keep: Column |
         counter = _COUNTERS.get(shared.value)
         if counter is None:
             counter = _COUNTERS.setdefault(shared.value, Counter(shared.value))
-        for part in slices(batches, "__text"):
+        for part in slices(batches, "__text", own=counter.known):
             found = [counter.count(t) for t in texts(part, "__text")]
             yield pa.RecordBatch.from_arrays(
                 [*part.columns[:-1], pa.array(np.array([f[0] for f in found], np.int64)),
