@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from itemtrack.llm.common import materialize, mix64, slices, text_bytes, word_hashes
+from itemtrack.session import path_exists, remove_path, scratch_path
 
 FILTER_BITS = 1 << 29      # all segments together at least
 LEVEL_BITS = 10            # bits of a segment per n-gram level in it at least: 1.7 % false hits a level with 3 probes
@@ -336,11 +337,22 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
         if found:
             yield out()
 
-    table = materialize(plain.mapInArrow(
-        blocks, f"block long, doc_id {kind}, training boolean, tokens array<int>, words array<long>, "
-                "seen array<long>, segment long, keys binary"), "lm-blocks")
-    answers = look_up(segments, table.filter("keys IS NOT NULL").select("block", "segment", "keys"), probes)
-    words = (table.filter("words IS NOT NULL").select("block", F.posexplode(F.arrays_zip("words", "seen")))
+    # One folder per kind of row, so that the keys can go once they are answered.
+    schema = (f"block long, doc_id {kind}, training boolean, tokens array<int>, words array<long>, "
+              "seen array<long>, segment long, keys binary")
+    path = scratch_path(spark, "lm-blocks")
+    of_kind = F.when(F.col("keys").isNotNull(), "keys").when(F.col("words").isNotNull(), "words").otherwise("tokens")
+    plain.mapInArrow(blocks, schema).withColumn("kind", of_kind).write.partitionBy("kind").parquet(path)
+
+    def rows_of(name: str) -> DataFrame:
+        folder = f"{path}/kind={name}"
+        return spark.read.schema(schema).parquet(folder) if path_exists(spark, folder) else spark.createDataFrame([], schema)
+
+    answers = look_up(segments, rows_of("keys").select("block", "segment", "keys"), probes)
+    remove_path(spark, f"{path}/kind=keys")
+    for file in segments.inputFiles()[:1]:             # the filter has answered all it will be asked
+        remove_path(spark, file.rsplit("/", 1)[0])
+    words = (rows_of("words").select("block", F.posexplode(F.arrays_zip("words", "seen")))
              .select("block", F.col("pos").alias("place"), F.col("col.words").alias("h"), F.col("col.seen").alias("c")))
     counts = materialize(words.groupBy("h").agg(F.sum("c").alias("total")).filter("total > 0"), "lm-counts")
     whole = counts.agg(F.sum("total").alias("n"), F.count(F.lit(1)).alias("v")).first()
@@ -378,7 +390,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
                          "base_score": pa.array(np.add.reduceat(exact[flat], cuts[:-1])),
                          "score": pa.array(np.add.reduceat(p, cuts[:-1]))})
 
-    texts = table.filter("tokens IS NOT NULL").select(F.col("block").alias("own"), "doc_id", "training", "tokens")
+    texts = rows_of("tokens").select(F.col("block").alias("own"), "doc_id", "training", "tokens")
     scored = texts.groupBy("own").cogroup(entries.groupBy("block")).applyInArrow(
         judge, f"doc_id {kind}, training boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "training", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"),
