@@ -31,11 +31,14 @@ fold AS (SELECT b.row, b.m, xor(begin.v, b.v) AS v FROM blocks b JOIN begin ON b
 crc AS (SELECT row, xor(v, 4294967295) AS crc FROM fold WHERE m = 0)"""
 
 SHARDING = f"""WITH RECURSIVE {_CRC32},
-placed AS (SELECT x.doc_id, x.len + 1 AS size, coalesce(c.crc, 0) AS text_crc32,
+placed AS (SELECT x.doc_id, x.len + 1 AS size, coalesce(c.crc, 0) AS text_crc32, md5(x.text) AS digest,
     row_number() OVER o AS place, sum(x.len + 1) OVER o - (x.len + 1) AS before, sum(x.len + 1) OVER () AS total
     FROM texts x LEFT JOIN crc c ON c.row = x.row
     WINDOW o AS (ORDER BY md5(x.text), x.doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING)),
-cut AS (SELECT *, least(15, (2 * before + size) * 16 // (2 * total)) AS s FROM placed)
+grouped AS (SELECT *, min(before) OVER (PARTITION BY digest) AS start, sum(size) OVER (PARTITION BY digest) AS bytes
+    FROM placed),
+cut AS (SELECT *, least(15, CASE WHEN bytes * 16 <= total THEN 2 * start + bytes ELSE 2 * before + size END
+    * 16 // (2 * total)) AS s FROM grouped)
 SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, s::INTEGER AS shard,
     (place - min(place) OVER (PARTITION BY s))::BIGINT AS slot, NULL::INTEGER AS grown_shard FROM cut"""
 

@@ -76,7 +76,13 @@ def check_shards(rows, source, n):
     for r in rows:
         shards[r["shard"]].append(r)
     total = sum(r["size"] for r in rows)
-    largest = max(r["size"] for r in rows)
+    # Groups of equal texts (here: of equal checksum and size) that fit a shard lie in one.
+    groups = collections.defaultdict(list)
+    for r in rows:
+        groups[r["text_crc32"], r["size"]].append(r)
+    whole = {g: sum(r["size"] for r in own) for g, own in groups.items() if sum(r["size"] for r in own) * n <= total}
+    assert all(len({r["shard"] for r in groups[g]}) == 1 for g in whole)
+    largest = max([r["size"] for r in rows] + list(whole.values()))
     for shard, own in shards.items():
         assert 0 <= shard < n
         assert sorted(r["slot"] for r in own) == list(range(len(own)))
