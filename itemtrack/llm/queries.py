@@ -45,7 +45,7 @@ def op2_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from itemtrack.llm.urls import UrlFilter, labelled_pages
     pages, labels = read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels")
-    return UrlFilter().fit(labelled_pages(pages, labels)).judge(pages, URL_RULES)
+    return UrlFilter().fit(labelled_pages(pages, labels), count_col="pages").judge(pages, URL_RULES)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,12 +14,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from itemtrack.llm.common import materialize
+from itemtrack.operators.common import join_split
 
 # Characters whose frequencies make up the entropy; all others form one class.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789-._~/?#=&%:"
 FEATURES = ["url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digits",
             "entropy", "hyphens", "params", "query_length", "fragment", "https", "escapes", "dots",
             "suffix1_rate", "suffix2_rate", "host_rate"]
+FOLDS = 5
 
 
 def with_parts(urls: DataFrame, url_col: str) -> DataFrame:
@@ -91,12 +93,16 @@ class UrlFilter:
         self.smoothing, self.threshold, self.seed = smoothing, threshold, seed
         self.model, self.rates, self.prior = None, {}, 0.0
 
-    def fit(self, labelled: DataFrame, url_col: str = "url", label_col: str = "label") -> "UrlFilter":
+    def fit(self, labelled: DataFrame, url_col: str = "url", label_col: str = "label",
+            count_col: str | None = None) -> "UrlFilter":
         """``label``: 1 block, 0 allow; rows with a null url or label do not count.  With
-        labels of one kind only (or none) the verdict is that kind (none: allow)."""
-        rows = (labelled.select(F.col(url_col).alias("url"), F.col(label_col).cast("double").alias("label"))
+        labels of one kind only (or none) the verdict is that kind (none: allow).  ``count_col``:
+        how many rows a row stands for."""
+        times = F.lit(1) if count_col is None else F.col(count_col)
+        rows = (labelled.select(F.col(url_col).alias("url"), F.col(label_col).cast("double").alias("label"),
+                                times.cast("double").alias("times"))
                 .filter("url IS NOT NULL AND label IS NOT NULL")
-                .groupBy("url").agg(F.sum("label").alias("ones"), F.count(F.lit(1)).alias("n"))
+                .groupBy("url").agg(F.sum(F.col("label") * F.col("times")).alias("ones"), F.sum("times").alias("n"))
                 .orderBy(F.xxhash64("url"), "url").limit(self.max_labelled))
         # A url with rows of both labels is one example of each.
         rows = rows.select("url", F.inline(F.array(
@@ -113,11 +119,26 @@ class UrlFilter:
             self.rates[key] = materialize(rows.groupBy(key).agg(
                 ((ones + self.smoothing * self.prior) / (F.sum("weight") + self.smoothing))
                 .alias(f"{key}_rate")).coalesce(1), "url-rates")
-        train = materialize(self._vectors(rows).select("features", "label", "weight").coalesce(4), "url-vectors")
+        train = materialize(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(self._out_of_fold(rows))
+                            .select("features", "label", "weight").coalesce(4), "url-vectors")
         self.model = GBTClassifier(maxIter=self.trees, maxDepth=self.depth, seed=self.seed,
                                    stepSize=0.1, weightCol="weight").fit(train)
         return self
 
+    def _out_of_fold(self, rows: DataFrame) -> DataFrame:
+        """Training rows with their keys' block rates among the urls of the other folds, as an
+        unseen url gets them: a url's own label is no part of its features."""
+        rows = rows.withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(FOLDS)))
+        ones = F.sum(F.col("label") * F.col("weight"))
+        for key in ("suffix1", "suffix2", "host_key"):
+            all_folds = rows.groupBy(key).agg(ones.alias("_ones"), F.sum("weight").alias("_n"))
+            own = rows.groupBy(key, "fold").agg(ones.alias("_own"), F.sum("weight").alias("_own_n"))
+            rate = ((F.col("_ones") - F.col("_own") + self.smoothing * self.prior)
+                    / (F.col("_n") - F.col("_own_n") + self.smoothing)).alias(f"{key}_rate")
+            # At most as many rows as labelled urls.
+            rows = rows.join(F.broadcast(own.join(all_folds, key).select(key, "fold", rate)), [key, "fold"])
+        return rows.withColumnRenamed("host_key_rate", "host_rate")
+
     def _vectors(self, rows: DataFrame) -> DataFrame:
         for key, rates in self.rates.items():
             rows = rows.join(F.broadcast(rates), key, "left")
@@ -148,10 +169,12 @@ class UrlFilter:
 
 
 def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """(url, label) of pages whose document is labelled: the url's last path segment
-    names the document; label 1 (block) if the document is of low quality or toxic."""
+    """(url, label, pages) of the urls of pages whose document is labelled: the url's last path
+    segment names the document; label 1 (block) if the document is of low quality or toxic.
+    Equal urls are one row before the join, and a document that many urls name is split."""
     number = F.regexp_extract(F.col("url"), r"/([0-9]{1,18})(?:\.html|/)?(?:[?#].*)?$", 1)
     marks = labels.groupBy("doc_id").agg(F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1)
                                                .otherwise(0)).alias("label"))
     named = pages.select("url", F.when(number != "", number.cast("long")).alias("doc_id")).filter("doc_id IS NOT NULL")
-    return named.join(marks, "doc_id").select("url", "label")
+    named = named.groupBy("url", "doc_id").agg(F.count(F.lit(1)).alias("pages"))
+    return join_split(named, marks, "doc_id", "inner").select("url", "label", "pages")

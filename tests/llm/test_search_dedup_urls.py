@@ -9,7 +9,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from itemtrack.llm import dartminhash, queries, search
+from itemtrack.llm import dartminhash, queries, search, urls
 from itemtrack.llm.urls import UrlFilter, labelled_pages
 
 from llm_helpers import SF, docs, edges, empty, labels, rows_of  # noqa: F401
@@ -259,13 +259,13 @@ def test_labels_reach_urls_by_document_number(spark):
 
 
 def test_a_hot_url_does_not_fill_the_sample(spark):
-    urls = [f"http://{'x9-win' if i % 2 else 'news'}.site{i}.org/{i}" for i in range(200)]
-    hashed = spark.createDataFrame([(u,) for u in urls], "url string").orderBy(F.xxhash64("url"))
+    given = [f"http://{'x9-win' if i % 2 else 'news'}.site{i}.org/{i}" for i in range(200)]
+    hashed = spark.createDataFrame([(u,) for u in given], "url string").orderBy(F.xxhash64("url"))
     hot = hashed.first()["url"]
-    rows = [(u, int("win" in u)) for u in urls + [hot] * 100]
+    rows = [(u, int("win" in u)) for u in given + [hot] * 100]
     model = UrlFilter(max_labelled=100, trees=3, depth=2).fit(spark.createDataFrame(rows, "url string, label int"))
     assert model.model is not None and 0 < model.prior < 1
-    mixed = spark.createDataFrame([(urls[0], 1)] * 3 + [(urls[0], 0)], "url string, label int")
+    mixed = spark.createDataFrame([(given[0], 1)] * 3 + [(given[0], 0)], "url string, label int")
     assert UrlFilter(trees=1).fit(mixed).prior == 0.75
 
 
@@ -277,3 +277,59 @@ def test_small_shards_have_no_dense_rows():
     shard = search.Shard(row, float(words), search.K1, search.B)
     assert shard.rows.size == 0
     assert [d for d, _ in shard.search(np.array([1, words + 2]), np.array([1.0, 2.0]), 2)] == [1, 0]
+
+
+def plain_features(url):
+    """The lexical features of a url in plain Python."""
+    import math
+    import re
+    from collections import Counter
+    text = (url or "").lower()
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host, path = re.match(r"(?s)([^/?#]*)([^?#]*)", rest).groups()
+    host = host.translate({c: c + 32 for c in range(65, 91)})
+    n = max(len(text), 1)
+    classes = Counter(c if c in urls.ALPHABET else "" for c in text)
+    entropy = -sum(c / n * math.log2(c / n) for c in classes.values())
+    query = re.search(r"\?([^#]*)", text)
+    digits = sum(c in "0123456789" for c in text)
+    return [len(text), len(host), len(path), path.count("/"), host.count("."), digits / n,
+            sum(c in "0123456789" for c in host), entropy, text.count("-"), text.count("="),
+            len(query.group(1)) if query else 0, int("#" in text), int(text.startswith("https")), text.count("%"),
+            path.count("."), ".".join(host.split(".")[-1:]), ".".join(host.split(".")[-2:])]
+
+
+def test_lexical_features_equal_plain_ones(spark):
+    given = ["https://www.A-b.example.co.uk/x/y-z.html?a=1&b=%20#t", "http://casino-77.win", "x", "", None, "://", "http://",
+             "ftp://h.com//a..b/?q", "http://é.org/ü/%C3%BC?=#", "HTTP://UP.COM/PATH/1/22/333.PDF?x=y?z=1#a#b", "http://a.b?c/d#e"]
+    given += [f"https://s{i}.d{i % 3}.net/p{'/q' * (i % 5)}?{'k=v&' * (i % 4)}" for i in range(30)]
+    table = spark.createDataFrame([(i, u) for i, u in enumerate(given)], "id int, url string")
+    names = [*urls.FEATURES[:15], "suffix1", "suffix2"]
+    got = {r["id"]: [r[c] for c in names] for r in rows_of(urls.lexical(urls.with_parts(table, "url"), "url"))}
+    for i, url in enumerate(given):
+        for name, have, want in zip(names, got[i], plain_features(url)):
+            assert have == want or abs(have - want) < 1e-9, (url, name, have, want)
+
+
+def test_rates_of_training_rows_leave_their_fold_out(spark):
+    """A url alone on its host knows nothing of its own label."""
+    rows = [(f"http://host{i}.org/", i % 2) for i in range(60)] + [(f"http://same.net/{i}", 1) for i in range(20)]
+    model = UrlFilter(trees=1, smoothing=2.0).fit(spark.createDataFrame(rows, "url string, label int"))
+    train = urls.lexical(urls.with_parts(spark.createDataFrame(rows, "url string, label int"), "url"), "url")
+    train = train.withColumn("host_key", F.col("host")).withColumn("weight", F.lit(1.0))
+    got = {r["url"]: r["host_rate"] for r in rows_of(model._out_of_fold(train))}
+    folds = {r["url"]: r["f"] for r in rows_of(train.select("url", F.pmod(F.xxhash64("url"), F.lit(urls.FOLDS)).alias("f")))}
+    for url, _ in rows:
+        others = [x for x, _ in rows if "same.net" in x and "same.net" in url and folds[x] != folds[url]]
+        assert abs(got[url] - (len(others) + 2 * model.prior) / (len(others) + 2)) < 1e-9
+
+
+def test_hot_url_and_hot_document_are_reduced_or_split(spark):
+    pages = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 == 0, "http://hot/1").otherwise(
+        F.concat(F.lit("http://h"), "id", F.lit("/2"))).alias("url"))
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {r["label"]: (r["urls"], r["pages"]) for r in rows_of(
+        labelled_pages(pages, labels).groupBy("label").agg(F.count("*").alias("urls"), F.sum("pages").alias("pages")))}
+    assert got == {1: (1, 20_000), 0: (40_000, 40_000)}
+    plan = labelled_pages(pages, labels)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "_key_hash" in plan

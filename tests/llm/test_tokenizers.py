@@ -45,7 +45,7 @@ def test_prefix_tables_grow_by_exact_appends(coder, library):
     table = []
     for end in range(1, len(data) + 1):
         table = coder.last_tokens(data[:end], table)
-        assert coder.walk_back(table) == library._core_bpe.encode_single_piece(data[:end])
+        assert list(coder.walk_back(table)) == library._core_bpe.encode_single_piece(data[:end])
 
 
 def test_odd_texts_and_edits_equal_the_library(coder, library):
@@ -242,3 +242,46 @@ def test_pack_edges(edges, empty):
     for r in rows:
         assert r["ids"] == ids[r["doc_id"]][r["start"]:r["start"] + r["length"]].tolist()
     assert pack(empty, BPE_JSON).count() == 0
+
+
+def test_tables_after_edits_equal_the_library(coder, library):
+    rng = random.Random(8)
+    data = "".join(rng.choice(["inter", "nation", "al", "zq", "é", "aaa", "ß"]) for _ in range(800)).encode()
+    table = coder.last_tokens(data)
+    for _ in range(40):
+        start = rng.randrange(len(data))
+        end, new = min(len(data), start + rng.randint(0, 9)), rng.choice([b"", b"x", b"tion", b"aaaaaaaa"])
+        changed, after = coder.edit_table(data, table, start, end, new)
+        assert changed == data[:start] + new + data[end:] and after == coder.last_tokens(changed)
+        data, table = changed, after
+    assert list(coder.walk_back(table)) == library._core_bpe.encode_single_piece(data)
+
+
+def test_texts_without_spaces_of_many_megabytes(coder, library, vocabulary):
+    """Nothing of such texts is remembered, and counting holds a window of them."""
+    import tracemalloc
+    text = "".join(random.Random(5).choices("abcdefgh", k=2_000_000))
+    assert coder.encode(text).tolist() == library.encode_ordinary(text)
+    assert all(len(p) <= 64 for p in coder.chunks)
+    counter = Counter(vocabulary)
+    small = text[:20_000]
+    want = counter.viterbi(small)
+    tracemalloc.start()
+    counter.viterbi(text[:400_000])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 << 20
+    library_counter = tokenizers.Tokenizer(tokenizers.models.Unigram(list(vocabulary.pieces), vocabulary.unknown,
+                                                                     byte_fallback=vocabulary.byte_fallback))
+    assert want[0] == len(library_counter.encode(small, add_special_tokens=False).ids)
+
+
+def test_memories_are_bounded_and_released(coder):
+    from itemtrack.llm.common import Remembered, slices
+    import pyarrow as pa
+    memory, other = Remembered(2_000), Remembered()
+    assert not memory.put("x" * 65, b"") and memory.put("a", b"1", 1)
+    assert not all(memory.put(f"p{i}", b"", 0) for i in range(100)) and len(memory) <= 10
+    other.put("b", b"")
+    list(slices(iter([pa.record_batch({"text": ["t"]})]), own=memory))
+    assert memory and not other and other.left == other.max_bytes
