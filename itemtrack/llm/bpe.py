@@ -144,7 +144,7 @@ class PrefixBpe:
         unless blanks meet at such a cut."""
         parts = text.split(" ")
         parts[1:] = [" " + p for p in parts[1:]]
-        known = self.chunks
+        known = self.chunks.held
         found = list(map(known.get, parts))
         for i, value in enumerate(found) if None in found else ():
             if value is not None:
@@ -156,7 +156,7 @@ class PrefixBpe:
             found[i] = b"".join([known.get(x) or np.array(self.encode_piece(x.encode()), np.int32).tobytes()
                                  for x in self.pieces(part)])
             if part and not blank_end:
-                known.put(part, found[i], len(found[i]))
+                self.chunks.put(part, found[i], len(found[i]))
         return np.frombuffer(b"".join(found), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:

@@ -19,7 +19,7 @@ LONGEST_PART = 64              # letters of a remembered part
 ENTRY_BYTES = 200              # what an entry takes besides its part and its value, about
 
 
-class Remembered(dict):
+class Remembered:
     """Results for short parts of texts, bounded in bytes.  A full memory takes no more: the parts
     seen first are the frequent ones.  A worker serves many tasks: an operator that starts there
     makes all others forget (see :func:`slices`)."""
@@ -27,7 +27,7 @@ class Remembered(dict):
     everyone: "list[Remembered]" = []
 
     def __init__(self, max_bytes: int = REMEMBERED_BYTES):
-        super().__init__()
+        self.held: dict = {}
         self.max_bytes = self.left = max_bytes
         self.everyone.append(self)
 
@@ -36,11 +36,11 @@ class Remembered(dict):
         if len(part) > LONGEST_PART or size > self.left:
             return False
         self.left -= size
-        self[part] = value
+        self.held[part] = value
         return True
 
     def forget(self) -> None:
-        self.clear()
+        self.held.clear()
         self.left = self.max_bytes
 
 

@@ -44,13 +44,13 @@ class ChunkedEncoder:
 
     def encode(self, strings: list[str]) -> list[np.ndarray]:
         """Ids of every text, without special tokens."""
-        known, split, new = self.chunks, [], set()
+        known, split, new = self.chunks.held, [], set()
         for text in strings:
             parts = text.split(" ")                  # all but the first follow a space
             split.append(parts)
             new.update(set(parts[1:]).difference(known))
         learned = self._learn([p for p in new if p and not p[-1:].isspace()])
-        learned = {p: ids for p, ids in learned.items() if not known.put(p, ids, len(ids))}
+        learned = {p: ids for p, ids in learned.items() if not self.chunks.put(p, ids, len(ids))}
         out = []
         for text, parts in zip(strings, split):
             found = list(map(known.get, parts))

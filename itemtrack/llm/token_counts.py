@@ -103,13 +103,13 @@ class Counter:
         parts = (re.findall(f"{SPACE}+[^{SPACE}]*", text) if SPACE * 2 in text or text.endswith(SPACE)
                  else text[1:].split(SPACE))
         plain = not (SPACE * 2 in text or text.endswith(SPACE))
-        tokens, total, known = 0, 0.0, self.known
+        tokens, total, known = 0, 0.0, self.known.held
         for part in parts:
             got = known.get(part) if plain else None
             if got is None:
                 got = self.viterbi(SPACE + part if plain else part)
                 if plain:
-                    known.put(part, got, 100)
+                    self.known.put(part, got, 100)
             tokens += got[0]
             total += got[1]
         return tokens, total

@@ -262,7 +262,7 @@ def test_texts_without_spaces_of_many_megabytes(coder, library, vocabulary):
     import tracemalloc
     text = "".join(random.Random(5).choices("abcdefgh", k=2_000_000))
     assert coder.encode(text).tolist() == library.encode_ordinary(text)
-    assert all(len(p) <= 64 for p in coder.chunks)
+    assert all(len(p) <= 64 for p in coder.chunks.held)
     counter = Counter(vocabulary)
     small = text[:20_000]
     want = counter.viterbi(small)
@@ -281,7 +281,7 @@ def test_memories_are_bounded_and_released(coder):
     import pyarrow as pa
     memory, other = Remembered(2_000), Remembered()
     assert not memory.put("x" * 65, b"") and memory.put("a", b"1", 1)
-    assert not all(memory.put(f"p{i}", b"", 0) for i in range(100)) and len(memory) <= 10
+    assert not all(memory.put(f"p{i}", b"", 0) for i in range(100)) and len(memory.held) <= 10
     other.put("b", b"")
     list(slices(iter([pa.record_batch({"text": ["t"]})]), own=memory))
-    assert memory and not other and other.left == other.max_bytes
+    assert memory.held and not other.held and other.left == other.max_bytes
