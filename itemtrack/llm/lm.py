@@ -357,15 +357,17 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     counts = materialize(words.groupBy("h").agg(F.sum("c").alias("total")).filter("total > 0"), "lm-counts")
     whole = counts.agg(F.sum("total").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_train, n_words = int(whole["n"] or 0), int(whole["v"])
-    entries = (words.join(counts, "h", "left")
-               .select("block", "place", "h", F.coalesce("total", F.lit(0)).cast("long").alias("c"))
-               .unionByName(answers, allowMissingColumns=True))
+    # The counts go back as (block, place, count); the words themselves are there once a block.
+    found = materialize(words.join(counts, "h", "left").select(
+        "block", "place", F.coalesce("total", F.lit(0)).cast("long").alias("c")), "lm-found")
+    entries = (found.unionByName(answers, allowMissingColumns=True)
+               .unionByName(rows_of("words").select("block", "words"), allowMissingColumns=True))
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
         known = right.filter(pc.is_valid(right.column("place"))).sort_by("place")
         heard = right.filter(pc.is_valid(right.column("levels"))).sort_by("segment")
-        h, c = (known.column(x).to_numpy() for x in ("h", "c"))
-        h = h.astype(np.uint64)
+        c = known.column("c").to_numpy()
+        h = right.column("words").drop_null().combine_chunks().flatten().to_numpy().astype(np.uint64)
         total = n_train + 0.5 * (n_words + 1)
         exact = np.log10((c + 0.5) / total)
         tokens = left.column("tokens").combine_chunks()
