@@ -342,7 +342,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
               "seen array<long>, segment long, keys binary")
     path = scratch_path(spark, "lm-blocks")
     of_kind = F.when(F.col("keys").isNotNull(), "keys").when(F.col("words").isNotNull(), "words").otherwise("tokens")
-    plain.mapInArrow(blocks, schema).withColumn("kind", of_kind).write.partitionBy("kind").parquet(path)
+    plain.mapInArrow(blocks, schema).withColumn("kind", of_kind).write.partitionBy("kind").option("compression", "zstd").parquet(path)
 
     def rows_of(name: str) -> DataFrame:
         folder = f"{path}/kind={name}"
