@@ -10,6 +10,7 @@ the driver ever holds the pieces.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,67 +20,58 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from itemtrack.llm.common import Remembered, materialize, slices, texts
+from itemtrack.llm.common import materialize, slices, texts
 
 
-class ChunkedEncoder:
-    """A public tokenizer that remembers the ids of parts between spaces.
+# Fixed value: how byte-level tokenizers split a text before they merge.
+BYTE_LEVEL_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
-    The byte-level split pattern never reaches from a non-blank character over a space,
-    so such parts are encoded on their own; new parts go to the tokenizer joined into
-    one text.  Texts in which blanks meet at a cut are encoded whole.
-    """
 
-    def __init__(self, tokenizer_json: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.sizes[i] = len(token)               # one character of the vocabulary is one byte
-        self.chunks = Remembered()
+def byte_level_ranks(tokenizer: dict) -> dict[bytes, int] | None:
+    """Token bytes and ids of a byte-level BPE tokenizer file whose merges are in the order of
+    the ids they give, so that ids serve as merge ranks; None for any other."""
+    model, split = tokenizer["model"], tokenizer.get("pre_tokenizer") or {}
+    plain = (model.get("type") == "BPE" and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+             and not split.get("add_prefix_space") and not tokenizer.get("normalizer")
+             and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix",
+                                                "end_of_word_suffix", "byte_fallback", "ignore_merges")))
+    if not plain:
+        return None
+    merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if merged != sorted(merged):
+        return None
+    # The vocabulary writes a byte as a printable character: itself, or one from 256 on, in order.
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in shown}
+    byte_of.update({chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))})
+    special = {t["content"] for t in tokenizer.get("added_tokens", ())}
+    return {bytes(map(byte_of.get, t)): i for t, i in model["vocab"].items() if t not in special}
+
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+class Encoder:
+    """Ids of whole texts by a public tokenizer file, without special tokens (their strings in
+    a text are ordinary text).  Byte-level BPE files run in the faster of the two public
+    libraries, which gives the same ids; nothing is remembered between texts."""
+
+    def __init__(self, tokenizer_json: str):
+        ranks = byte_level_ranks(json.loads(tokenizer_json))
+        if ranks is not None:
+            import tiktoken
+            coder = tiktoken.Encoding("file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.ids = lambda text: coder.encode_to_numpy(text, disallowed_special=())
+        else:
+            from tokenizers import Tokenizer
+            tokenizer = Tokenizer.from_str(tokenizer_json)
+            tokenizer.encode_special_tokens = True
+            self.ids = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, strings: list[str]) -> list[np.ndarray]:
-        """Ids of every text, without special tokens."""
-        known, split, new = self.chunks.held, [], set()
-        for text in strings:
-            parts = text.split(" ")                  # all but the first follow a space
-            split.append(parts)
-            new.update(set(parts[1:]).difference(known))
-        learned = self._learn([p for p in new if p and not p[-1:].isspace()])
-        learned = {p: ids for p, ids in learned.items() if not self.chunks.put(p, ids, len(ids))}
-        out = []
-        for text, parts in zip(strings, split):
-            found = list(map(known.get, parts))
-            if learned and None in found:
-                found = [learned.get(p) if f is None else f for p, f in zip(parts, found)]
-            last = len(parts) - 1                    # the ends of a text may have blanks
-            found[0] = None if last and parts[0][-1:].isspace() else self._ids(parts[0]).tobytes()
-            if last and found[last] is None:
-                found[last] = self._ids(" " + parts[last]).tobytes()
-            out.append(self._ids(text) if None in found else np.frombuffer(b"".join(found), np.uint32))
-        return out
-
-    def _learn(self, parts: list[str]) -> dict[str, bytes]:
-        found = {}
-        for lo in range(0, len(parts), 20_000):
-            some = parts[lo:lo + 20_000]
-            ids = self._ids(" " + " ".join(some))
-            ends = np.cumsum(self.sizes[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(p.encode()) + 1 for p in some]), "left") + 1
-            data, at = ids.tobytes(), 0
-            for part, end in zip(some, (4 * cuts).tolist()):
-                found[part] = data[at:end]
-                at = end
-        return found
+        return [self.ids(text) for text in strings]
 
 
 @lru_cache(2)
-def _encoder(tokenizer_json: str) -> ChunkedEncoder:
-    return ChunkedEncoder(tokenizer_json)
+def _encoder(tokenizer_json: str) -> Encoder:
+    return Encoder(tokenizer_json)
 
 
 class OpenBins:
@@ -170,7 +162,7 @@ def document_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, pid = _encoder(shared.value), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
-        for part in slices(batches, own=encoder.chunks):
+        for part in slices(batches):
             owner, out = [], []
             for i, ids in enumerate(encoder.encode(texts(part))):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
@@ -189,7 +181,6 @@ def document_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id:
                 arrays.append(pa.array([np.frombuffer(d, "<u4").astype(np.int32) for d in cols[6]],
                                        pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(arrays, names)
-        encoder.chunks.forget()                      # learned again quickly; idle workers hold none
 
     schema = (f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, "
               "ids_crc32 long, pid int, rank long" + ", ids array<int>" * with_ids)

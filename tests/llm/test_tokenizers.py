@@ -285,3 +285,18 @@ def test_memories_are_bounded_and_released(coder):
     other.put("b", b"")
     list(slices(iter([pa.record_batch({"text": ["t"]})]), own=memory))
     assert memory.held and not other.held and other.left == other.max_bytes
+
+
+def test_packing_ids_equal_the_tokenizers_library():
+    """Byte-level files run in another library than others do; both give the file's ids."""
+    import json
+    from itemtrack.llm.packing import Encoder, byte_level_ranks
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        with open(P.path(name), encoding="utf-8") as f:
+            text = f.read()
+        assert (byte_level_ranks(json.loads(text)) is not None) == name.startswith("byte")
+        library = tokenizers.Tokenizer.from_str(text)
+        library.encode_special_tokens = True
+        given = odd_texts(1500, 9) + ["", " ", "a" * 5000, "x\r\n\r\n  y"]
+        for t, ids in zip(given, Encoder(text).encode(given)):
+            assert ids.tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
