@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from itemtrack.llm.common import Remembered, slices, texts
 
+WORD_BYTES = 256
 PAIR_ENTRIES = 300_000     # neighbour tests that a worker remembers, about 100 bytes each
 
 
@@ -52,7 +53,8 @@ class PrefixBpe:
         self.pieces = regex.compile(pattern).findall
         self._pairs: dict[int, bool] = {}
         self.chunks = Remembered()               # parts between spaces
-        self.lengths = np.array([len(t) for t in tokens], np.int64)
+        self._sizes = [len(t) for t in tokens]
+        self.lengths = np.array(self._sizes, np.int64)
         self._starts = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
         self._blob = np.frombuffer(b"".join(tokens), np.uint8)
 
@@ -81,10 +83,11 @@ class PrefixBpe:
 
     # -- the prefix table ---------------------------------------------------------------
 
-    def last_tokens(self, data: bytes, table: array | None = None) -> array:
+    def last_tokens(self, data: bytes, table: array | list | None = None) -> array | list:
         """``table[i]`` is the last token of the encoding of ``data[:i + 1]``.  A table of
-        a shorter prefix is continued, so appending costs only the new bytes."""
-        table = array("i", table or ())
+        a shorter prefix is continued, so appending costs only the new bytes.  (Words take a
+        list, which is quicker, longer pieces an array, which is smaller.)"""
+        table = list(table or ()) if len(data) < WORD_BYTES else array("i", table or ())
         done, pairs, add = len(table), self._pairs, table.append
         for end, (token, size) in self._ends.iter(data.decode("latin-1"), max(0, done + 1 - self.longest)):
             if end != done:                          # this prefix has its token, exactly one fits
@@ -104,23 +107,26 @@ class PrefixBpe:
             raise ValueError("the rank list cannot encode this text: a byte has no token")
         return table
 
-    def walk_back(self, table: array, end: int | None = None) -> array:
-        """The encoding of the first ``end`` bytes (default: all)."""
-        ids, end = array("i"), len(table) if end is None else end
+    def walk_back(self, table: array | list) -> array:
+        """The encoding that a table holds."""
+        ids, end, sizes = array("i"), len(table), self._sizes
         while end:
-            ids.append(table[end - 1])
-            end -= len(self.tokens[ids[-1]])
-        return ids[::-1]
+            token = table[end - 1]
+            ids.append(token)
+            end -= sizes[token]
+        ids.reverse()
+        return ids
 
     def edit_table(self, data: bytes, table: array, start: int, end: int, new: bytes) -> tuple[bytes, array]:
         """A piece with bytes ``start`` to ``end`` replaced, and its table: entries before the edit
         stay, and once ``longest`` entries in a row behind it are as they were, all later ones are,
         since an entry depends on no more bytes and entries than these."""
         changed, shift, stop = data[:start] + new + data[end:], len(new) - (end - start), start + len(new)
+        table = array("i", table)
         out = table[:start]
         while len(out) < len(changed):
             done = min(len(changed), max(len(out), stop) + 2 * self.longest)
-            out = self.last_tokens(changed[:done], out)
+            out = array("i", self.last_tokens(changed[:done], out))
             if done - self.longest >= stop and out[-self.longest:] == table[done - shift - self.longest:done - shift]:
                 out.extend(table[done - shift:])
                 break
@@ -142,21 +148,26 @@ class PrefixBpe:
         """Ids of a whole text.  No match of the pattern reaches from a non-blank character
         over a space, so the parts between spaces are encoded on their own (and remembered)
         unless blanks meet at such a cut."""
-        parts = text.split(" ")
-        parts[1:] = [" " + p for p in parts[1:]]
-        known = self.chunks.held
-        found = list(map(known.get, parts))
-        for i, value in enumerate(found) if None in found else ():
-            if value is not None:
+        parts = text.split(" ")                  # all but the first follow a space
+        known = self.chunks.held.get
+        found = list(map(known, parts))
+        found[0] = None
+        last = len(parts) - 1
+        new: dict[str, bytes] = {}
+        for i in [i for i, value in enumerate(found) if value is None]:
+            part = parts[i]
+            if i and part in new:
+                found[i] = new[part]
                 continue
-            part, last = parts[i], i == len(parts) - 1
-            blank_end = part[-1:].isspace()
-            if blank_end and not last:
+            blank_end = part[-1:].isspace() or not part
+            if blank_end and i != last and (i or part):
                 return np.array(self.encode_plain(text), np.int32)
-            found[i] = b"".join([known.get(x) or np.array(self.encode_piece(x.encode()), np.int32).tobytes()
-                                 for x in self.pieces(part)])
-            if part and not blank_end:
-                self.chunks.put(part, found[i], len(found[i]))
+            ids = b"".join([(x[:1] == " " and known(x[1:])) or self.encode_piece(x.encode()).tobytes()
+                            for x in self.pieces(" " + part if i else part)])
+            found[i] = ids
+            if i and not blank_end:
+                new[part] = ids
+                self.chunks.put(part, ids, len(ids))
         return np.frombuffer(b"".join(found), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
