@@ -1,13 +1,19 @@
-"""Operator 2: exact BM25 top-k over sharded inverted indexes with block-max pruning.
+"""Operator 2: exact BM25 top-k over sharded inverted indexes with block-max WAND.
 
 Documents are indexed in shards of bounded text; every shard row holds sorted terms,
 their postings and document lengths.  Document frequencies, the number of documents and
-their mean length are global, so a document's score does not depend on its shard.  A
-shard keeps, per frequent term and block of neighbouring documents, the largest
-contribution.  The postings of a query's rare terms are added up by document; as in
-block-max WAND's pivot test only documents whose sum so far and the block maxima of the
-frequent terms together reach the k-th best score can be results, and only in their
-blocks the frequent terms are looked at.  The shards' lists are merged by score and id.
+their mean length are global, so a document's score does not depend on its shard.
+
+Inside a shard the documents are numbered by their most widespread term and their
+length, so that neighbours are alike, and cut into blocks; every term keeps, per block in
+which it occurs, its largest contribution and where its postings there begin.  A query
+adds up the maxima of all its terms by block.  A block is a pivot if that sum reaches the
+k-th best score so far; the pivots are visited from the highest sum on, their postings
+scored, and the k-th best score raised; the postings of all other blocks are skipped.
+The shards' lists are merged by score and id.
+
+Queries go past the shards in blocks of bounded size: a block is broadcast, and every
+task searches the shards it reads from the index table, which is not shuffled.
 """
 
 from __future__ import annotations
@@ -16,17 +22,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from itemtrack.llm.common import materialize, slices, text_bytes, word_hashes
+from itemtrack.llm.common import materialize, shuffles_removed, slices, text_bytes, word_hashes
+from itemtrack.operators.common import join_split
+from itemtrack.session import remove_path, scratch_path
 
 K1, B = 1.2, 0.75
 SHARD_BYTES = 64 << 20     # text in one shard, unless a task's input ends before
+QUERY_BYTES = 32 << 20     # terms and weights of the queries that are broadcast at once
 BLOCK = 32                 # neighbouring documents under one maximum
-DENSE = 16                 # terms in a 16th of a shard's documents or more have rows of their own
-LEAST = 32                 # documents of a shard from which terms get rows; below, all are read as they are
-SLACK = 1e-4               # relative; single-precision sums are off by far less
+SLACK = 1e-9               # relative; sums of the same numbers in another order are off by far less
 
 # Words end at ASCII blanks and punctuation; A-Z count as a-z.
 _TO_BLANK = bytes(32 if chr(c) in "\t\n\x0b\x0c\r !\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else c for c in range(256))
@@ -42,6 +50,19 @@ def terms_of(data: bytes) -> tuple[np.ndarray, np.ndarray, int]:
     return terms, counts, len(hashes)
 
 
+def _numbers(which: np.ndarray, df: np.ndarray, sizes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Numbers for a shard's documents: by their most widespread term, then by length.  Texts of a
+    language or a length come together, which keeps a block's maxima near its documents' scores."""
+    wide = np.full(len(sizes), -1, np.int64)
+    full = np.nonzero(sizes)[0]
+    if len(full):
+        starts = (np.cumsum(sizes) - sizes)[full]
+        wide[full] = np.maximum.reduceat(df[which].astype(np.int64) * len(df) + which, starts)
+    number = np.empty(len(sizes), np.int32)
+    number[np.lexsort((lengths, wide))] = np.arange(len(sizes))
+    return number
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per shard, written to the shared folder.  Every row of ``docs`` is indexed;
@@ -55,11 +76,15 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         def out() -> pa.RecordBatch:
             flat = np.concatenate(terms)
-            owner = np.repeat(np.arange(len(ids), dtype=np.int32), [len(t) for t in terms])
-            order = np.argsort(flat, kind="stable")  # by term, then by document
-            names, df = np.unique(flat, return_counts=True)
+            sizes = np.array([len(t) for t in terms])
+            names, which, df = np.unique(flat, return_inverse=True, return_counts=True)
+            number = _numbers(which, df, sizes, np.array(lengths))
+            owner = np.repeat(number, sizes)
+            order = np.lexsort((owner, which))  # by term, then by document
+            turn = np.argsort(number)
             cols = [("shard", [first + n], pa.int64()), ("n", [len(ids)], pa.int32()),
-                    ("doc_ids", [ids], pa.list_(id_type)), ("lengths", [lengths], pa.list_(pa.int32())),
+                    ("doc_ids", [[ids[i] for i in turn]], pa.list_(id_type)),
+                    ("lengths", [np.array(lengths, np.int32)[turn]], pa.list_(pa.int32())),
                     ("terms", [names], pa.list_(pa.int64())), ("df", [df.astype(np.int32)], pa.list_(pa.int32())),
                     ("docs", [owner[order].tobytes()], pa.binary()),
                     ("tfs", [np.concatenate(counts).astype(np.int32)[order].tobytes()], pa.binary())]
@@ -84,12 +109,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 class Shard:
-    """One shard's postings with their contributions.
-
-    Terms in at least a ``DENSE`` share of the documents have a row of contributions by
-    document and a row of their maxima by block of neighbouring documents, in shards of at
-    least ``LEAST`` documents; the postings of the other, rarer terms are read as they are.
-    """
+    """One shard's postings with their contributions, and every term's maxima by block."""
 
     def __init__(self, row: dict, mean_length: float, k1: float, b: float):
         self.ids = row["doc_ids"]
@@ -101,61 +121,55 @@ class Shard:
         norm = k1 * (1 - b + b * np.asarray(row["lengths"], np.float64) / max(mean_length, 1e-9))
         self.gain = tf * (k1 + 1) / (tf + norm[self.docs])
         self.offset = np.append(0, np.cumsum(df))
-        self.posting = np.repeat(np.arange(len(df)), df) * self.n + self.docs  # sorted (term, document)
-        often = np.nonzero((df >= self.n // DENSE) & (self.n >= LEAST))[0]
-        self.row_of = np.full(len(df), -1)
-        self.row_of[often] = np.arange(len(often))
-        n_blocks = -(-self.n // BLOCK)
-        self.rows = np.zeros((len(often), n_blocks, BLOCK), np.float32)
-        posts, which = ranges(self.offset[often], self.offset[often + 1])
-        self.rows[which, self.docs[posts] // BLOCK, self.docs[posts] % BLOCK] = self.gain[posts]
-        self.maxima = self.rows.max(2)
-        self.examined = 0                            # documents whose frequent terms were looked at
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[object, float]]:
-        """The best ``k`` documents that hold one of the (sorted) terms, by score and then by id."""
+        # A term's postings in one block are a run; a run has a maximum and a first posting.
+        block = self.docs // BLOCK
+        new = np.ones(len(block), bool)
+        new[1:] = block[1:] != block[:-1]
+        new[self.offset[:-1]] = True
+        first = np.nonzero(new)[0]
+        self.run_block = block[first]
+        self.run_max = np.maximum.reduceat(self.gain, first) if len(first) else self.gain
+        self.run_start = np.append(first, len(block))
+        self.run_offset = np.append(np.cumsum(new) - new, len(first))[self.offset]
+        self.n_blocks = -(-self.n // BLOCK)
+        self.examined = 0                            # documents of visited blocks
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int,
+               least: float = 0.0) -> list[tuple[object, float]]:
+        """The best ``k`` documents that hold one of the (sorted) terms, by score and then by
+        id, of those that score ``least`` or more."""
         place = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
         here = self.terms[place] == terms if len(self.terms) else np.zeros(len(terms), bool)
         place, weights = place[here], weights[here]
         if not len(place):
             return []
-        row = self.row_of[place]
-        often, heavy = row[row >= 0], weights[row >= 0].astype(np.float32)
-        rare, light = place[row < 0], weights[row < 0]
-        posts, which = ranges(self.offset[rare], self.offset[rare + 1])
-        total = np.bincount(self.docs[posts], self.gain[posts] * light[which], self.n)
-        # The pivot test: a document's rare terms and its block's maxima must reach the k-th best.
-        bound = total + np.repeat(heavy @ self.maxima[often], BLOCK)[:self.n]
-        bound *= 1 + SLACK                           # above any rounding of the sums
-        least = 0.0
-        if np.count_nonzero(bound > 0) > 4 * k:
-            seed = np.unique(np.argpartition(-bound, 4 * k)[:4 * k] // BLOCK)
-            least = self._kth(self._scores(total, often, heavy, seed)[1], k)
-        blocks = np.unique(np.nonzero((bound > 0) & (bound >= least))[0] // BLOCK)
-        alive, score = self._scores(total, often, heavy, blocks)
-        alive = alive[(score > 0) & (score >= self._kth(score, k))]
-        # Exact scores of those left, summed in the order of terms for every document.
-        wanted = place[:, None] * self.n + alive[None, :]
-        at = np.minimum(np.searchsorted(self.posting, wanted), len(self.posting) - 1)
-        exact = np.cumsum(np.where(self.posting[at] == wanted, self.gain[at] * weights[:, None], 0.0), 0)[-1]
-        found = sorted(((self.ids[d], float(x)) for d, x in zip(alive, exact)),
-                       key=lambda r: (-r[1], r[0] is None, r[0]))
-        return found[:k]
-
-    def _scores(self, total: np.ndarray, often: np.ndarray, heavy: np.ndarray,
-                blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The documents of some blocks and their scores."""
-        docs = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        more = heavy @ self.rows[np.ix_(often, blocks)].reshape(len(often), len(blocks) * BLOCK)
-        inside = docs < self.n
-        docs = docs[inside]
-        self.examined += len(docs)
-        return docs, total[docs] + more[inside]
-
-    @staticmethod
-    def _kth(scores: np.ndarray, k: int) -> float:
-        """A bound that the k-th best of these scores surely reaches."""
-        return np.partition(scores, len(scores) - k)[len(scores) - k] * (1 - 2 * SLACK) if len(scores) >= k else -np.inf
+        runs, which = ranges(self.run_offset[place], self.run_offset[place + 1])
+        weights, block = weights[which], self.run_block[runs]
+        bound = np.bincount(block, self.run_max[runs] * weights, self.n_blocks) * (1 + SLACK)
+        turn = np.argsort(-bound, kind="stable")
+        turn = turn[:np.count_nonzero(bound)]
+        found, scores, n = [], np.zeros(0), max(2, -(-2 * k // BLOCK))
+        while len(turn):
+            turn = turn[:np.searchsorted(-bound[turn], -least, "right")]   # the pivots
+            now, turn, n = turn[:n], turn[n:], 2 * n
+            visited = np.zeros(self.n_blocks, bool)
+            visited[now] = True
+            inside = visited[block]
+            run = runs[inside]
+            posts, of = ranges(self.run_start[run], self.run_start[run + 1])
+            # Runs are in the order of terms, so a document's sum does not depend on the visit.
+            total = np.bincount(self.docs[posts], self.gain[posts] * weights[inside][of], self.n)
+            docs = np.nonzero(total >= max(least, np.finfo(float).tiny))[0]
+            self.examined += len(now) * BLOCK
+            found.append(docs)
+            scores = np.append(scores, total[docs])
+            if len(scores) >= k:
+                least = max(least, np.partition(scores, len(scores) - k)[len(scores) - k])
+        docs = np.concatenate(found) if found else np.zeros(0, np.int64)
+        stays = scores >= least
+        best = sorted(((self.ids[d], float(x)) for d, x in zip(docs[stays], scores[stays])),
+                      key=lambda r: (-r[1], r[0] is None, r[0]))
+        return best[:k]
 
 
 def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,13 +180,14 @@ def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def top_k(index: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
-          k1: float = K1, b: float = B) -> DataFrame:
+          k1: float = K1, b: float = B, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """query_id, rank (from 1), doc_id and score: the exact BM25 top ``k`` of every query.
 
     Score: sum over the query's words of ln(1 + (N - df + 0.5) / (df + 0.5)) *
     tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean length)).  Ties go to the smaller
     id.  Only documents holding a word of the query are listed; a null, empty or unknown
     query has no rows.  Rows with the same query id are one query of all their words.
+    The queries are searched when called, ``query_bytes`` of terms and weights at a time.
     """
     plain = queries.select(F.col(id_col).alias("query_id"), F.col(text_col).alias("text"))
     kind = plain.schema["query_id"].dataType.simpleString()
@@ -194,47 +209,60 @@ def top_k(index: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     words = plain.mapInArrow(split, f"query_id {kind}, h long, tf long").groupBy("query_id", "h").agg(
         F.sum("tf").alias("tf"))
     idf = F.log(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    asked = materialize(words.join(df, "h").groupBy("query_id").agg(
+    asked = materialize(join_split(words, df, "h", "inner").groupBy("query_id").agg(
         F.array_sort(F.collect_list(F.struct("h", (F.col("tf") * idf).alias("w")))).alias("q"))
         .select("query_id", F.col("q.h").alias("h"), F.col("q.w").alias("w")), "search-queries")
-    # The stated query set goes to every shard; shards are few: the text divided by their size.
-    shards = [r["shard"] for r in index.select("shard").collect()]
-    if not shards:
-        return asked.select("query_id", F.lit(0).alias("rank"), F.lit(None).cast(doc_kind).alias("doc_id"),
-                            F.lit(0.0).alias("score")).limit(0)
-    numbered = index.select("shard", *[F.col(c) for c in index.columns if c != "shard"],
-                            F.lit(None).cast(kind).alias("query_id"), F.lit(None).cast("array<long>").alias("h"),
-                            F.lit(None).cast("array<double>").alias("w"))
-    sent = asked.select(F.explode(F.array([F.lit(s).cast("long") for s in shards])).alias("shard"),
-                        *[F.lit(None).cast(index.schema[c].dataType).alias(c) for c in index.columns if c != "shard"],
-                        "query_id", "h", "w")
-    parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # In each partition a shard's index row comes first, then its queries, one batch at a time.
-    rows = (numbered.unionByName(sent).withColumn("is_query", F.col("n").isNull())
-            .repartition(parts, "shard").sortWithinPartitions("shard", "is_query"))
+    # The stated query set goes past all shards in blocks of about QUERY_BYTES.
+    spark = index.sparkSession
+    n_terms = asked.agg(F.sum(F.size("h").cast("long"))).first()[0] or 0
+    n_blocks = max(1, -(-n_terms * 16 // query_bytes))
+    by_block = scratch_path(spark, "search-blocks")
+    (asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))).repartition("block")
+     .write.partitionBy("block").parquet(by_block))
+    blocks = spark.read.schema(f"query_id {kind}, h array<long>, w array<double>, block long").parquet(by_block)
+    schema = f"query_id {kind}, doc_id {doc_kind}, score double"
+    top = f"query_id {kind}, rank int, doc_id {doc_kind}, score double"
+    path = scratch_path(spark, "search-top")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
+    with shuffles_removed(spark):
+        for block in range(n_blocks):
+            found = _searched(index, blocks.filter(F.col("block") == block).drop("block"), k, mean, k1, b, schema)
+            (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+             .select("query_id", "rank", "doc_id", "score").write.mode("append").parquet(path))
+    remove_path(spark, by_block)
+    return spark.read.schema(top).parquet(path)
+
+
+def _searched(index: DataFrame, queries: DataFrame, k: int, mean: float, k1: float, b: float,
+              schema: str) -> DataFrame:
+    """The best ``k`` documents of each shard for each of ``queries``, a block that is broadcast."""
+    table = queries.toArrow().combine_chunks()
+    h, w = (table.column(c).combine_chunks() for c in ("h", "w"))
+    lists = (np.append(0, np.cumsum(pc.list_value_length(h).to_numpy(zero_copy_only=False).astype(np.int64))),
+             h.flatten().to_numpy(), w.flatten().to_numpy())
+    names = table.column("query_id").to_pylist()
+    kinds = [table.schema.field("query_id").type, index.limit(0).toArrow().schema.field("doc_ids").type.value_type]
+    sent = index.sparkSession.sparkContext.broadcast((names, lists, kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = None
+        names, (offset, terms, weights), kinds = sent.value
+        least = [0.0] * len(names)                   # what the task's earlier shards give for sure
         for batch in batches:
-            out = []
             for i in range(batch.num_rows):
-                if not batch.column("is_query")[i].as_py():
-                    shard = Shard({c: batch.column(c)[i].as_py() if c in ("docs", "tfs", "doc_ids")
-                                   else batch.column(c)[i].values.to_numpy()
-                                   for c in ("doc_ids", "lengths", "terms", "df", "docs", "tfs")}, mean, k1, b)
-                    continue
-                query = batch.column("query_id")[i].as_py()
-                terms, weights = batch.column("h")[i].values, batch.column("w")[i].values
-                out += [(query, d, s) for d, s in shard.search(terms.to_numpy(), weights.to_numpy(), k)]
-            if out:
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], batch.schema.field("query_id").type),
-                     pa.array(cols[1], batch.schema.field("doc_ids").type.value_type), pa.array(cols[2], pa.float64())],
-                    ["query_id", "doc_id", "score"])
-
-    found = rows.mapInArrow(run, f"query_id {kind}, doc_id {doc_kind}, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "doc_id", "score")
-
+                shard = Shard({c: batch.column(c)[i].as_py() if c in ("docs", "tfs", "doc_ids")
+                               else batch.column(c)[i].values.to_numpy()
+                               for c in ("doc_ids", "lengths", "terms", "df", "docs", "tfs")}, mean, k1, b)
+                out: tuple[list, list, list] = ([], [], [])
+                for q, name in enumerate(names):
+                    own = slice(offset[q], offset[q + 1])
+                    found = shard.search(terms[own], weights[own], k, least[q])
+                    if len(found) == k:
+                        least[q] = found[-1][1]
+                    for d, x in found:
+                        out[0].append(name)
+                        out[1].append(d)
+                        out[2].append(x)
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, [*kinds, pa.float64()])],
+                                                 ["query_id", "doc_id", "score"])
+
+    return index.select("doc_ids", "lengths", "terms", "df", "docs", "tfs").mapInArrow(run, schema)

@@ -80,6 +80,29 @@ def test_documents_are_skipped(docs):
     assert best[0][0] == row["doc_ids"][one] and shard.examined <= len(row["doc_ids"]) * .7
 
 
+def test_queries_in_blocks_give_the_same_lists(docs):
+    """A bound on what is broadcast at once changes no list; blocks below the k-th best are skipped."""
+    source = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    asked = docs.filter("doc_id % 5 = 0")
+    index = search.build_index(docs.coalesce(1), shard_bytes=100_000)
+    check_top(rows_of(search.top_k(index, asked, 3, query_bytes=4_000)),
+              plain_top(source, [s for s in source if s[0] % 5 == 0], 3))
+
+
+def test_a_lower_bound_skips_blocks_and_keeps_ties():
+    """Documents that score the given bound stay; blocks that cannot reach it are not visited."""
+    n = 8 * search.BLOCK
+    row = {"doc_ids": list(range(n)), "lengths": [10] * n, "terms": np.array([5]), "df": np.array([n]),
+           "docs": np.arange(n, dtype=np.int32).tobytes(),
+           "tfs": np.repeat(np.arange(1, 9, dtype=np.int32), search.BLOCK).tobytes()}
+    shard = search.Shard(row, 10.0, search.K1, search.B)
+    best = shard.search(np.array([5]), np.array([1.0]), 2)
+    assert [d for d, _ in best] == [n - search.BLOCK, n - search.BLOCK + 1] and shard.examined == 2 * search.BLOCK
+    shard.examined = 0
+    assert shard.search(np.array([5]), np.array([1.0]), 2, best[0][1]) == best and shard.examined == search.BLOCK
+    assert shard.search(np.array([5]), np.array([1.0]), 2, best[0][1] * 1.01) == []
+
+
 def test_search_edges(spark, edges, empty):
     source = [(r["key"], r["text"]) for r in edges.collect()]
     index = search.build_index(edges, id_col="key", shard_bytes=3000)
@@ -269,13 +292,13 @@ def test_a_hot_url_does_not_fill_the_sample(spark):
     assert UrlFilter(trees=1).fit(mixed).prior == 0.75
 
 
-def test_small_shards_have_no_dense_rows():
-    """A few long texts take postings only, not a row of floats for every word."""
+def test_small_shards_hold_no_more_than_their_postings():
+    """A few long texts take one maximum for every word and block, not a row of floats for every word."""
     n, words = 3, 5000
     row = {"doc_ids": list(range(n)), "lengths": [words] * n, "terms": np.arange(n * words), "df": np.ones(n * words, int),
            "docs": np.repeat(np.arange(n, dtype=np.int32), words).tobytes(), "tfs": np.ones(n * words, np.int32).tobytes()}
     shard = search.Shard(row, float(words), search.K1, search.B)
-    assert shard.rows.size == 0
+    assert len(shard.run_max) == n * words and shard.n_blocks == 1
     assert [d for d, _ in shard.search(np.array([1, words + 2]), np.array([1.0, 2.0]), 2)] == [1, 0]
 
 
