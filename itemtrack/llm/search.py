@@ -33,8 +33,11 @@ from itemtrack.session import remove_path, scratch_path
 K1, B = 1.2, 0.75
 SHARD_BYTES = 64 << 20     # text in one shard, unless a task's input ends before
 QUERY_BYTES = 32 << 20     # terms and weights of the queries that are broadcast at once
-BLOCK = 32                 # neighbouring documents under one maximum
-SLACK = 1e-9               # relative; sums of the same numbers in another order are off by far less
+BLOCKS = 64                # of neighbouring documents under one maximum: at least so many in a shard,
+LEAST, MOST = 16, 128      # of so many documents
+DENSE = 16                 # a term in one of so many documents of a block is kept there as a row of its documents
+CELLS = 8 << 20            # of queries searched at once: their number times their terms or the shard's documents
+SLACK = 1e-4               # relative; single-precision sums are off by far less
 
 # Words end at ASCII blanks and punctuation; A-Z count as a-z.
 _TO_BLANK = bytes(32 if chr(c) in "\t\n\x0b\x0c\r !\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else c for c in range(256))
@@ -98,7 +101,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 lengths.append(length)
                 terms.append(t)
                 counts.append(c)
-                size += len(data)
+                size += len(data) + 16               # many empty texts fill a shard, too
                 if size >= shard_bytes:
                     yield out()
                     ids, lengths, terms, counts, size, n = [], [], [], [], 0, n + 1
@@ -109,67 +112,167 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 class Shard:
-    """One shard's postings with their contributions, and every term's maxima by block."""
+    """One shard's postings with their contributions, and every term's maxima by block.
+
+    A term's postings in one block are a run.  A run that holds one in ``DENSE`` of the block's documents
+    or more is kept as a row of them, a shorter one as it is.  Both are in single precision
+    and decide what is visited; a document's score comes from its own terms, in double
+    precision and in the order of terms, so it is the same in every shard.
+    """
 
     def __init__(self, row: dict, mean_length: float, k1: float, b: float):
         self.ids = row["doc_ids"]
         self.n = len(self.ids)
         self.terms = np.asarray(row["terms"], np.int64)
         df = np.asarray(row["df"], np.int64)
-        self.docs = np.frombuffer(row["docs"], np.int32)
+        docs = np.frombuffer(row["docs"], np.int32)
         tf = np.frombuffer(row["tfs"], np.int32).astype(np.float64)
         norm = k1 * (1 - b + b * np.asarray(row["lengths"], np.float64) / max(mean_length, 1e-9))
-        self.gain = tf * (k1 + 1) / (tf + norm[self.docs])
+        gain = tf * (k1 + 1) / (tf + norm[docs])
+        # By document: its terms and their contributions.
+        order = np.argsort(docs, kind="stable")
+        self.doc_terms = np.repeat(np.arange(len(df), dtype=np.int32), df)[order]
+        self.doc_gains = gain[order]
+        self.doc_offset = np.append(0, np.cumsum(np.bincount(docs, minlength=self.n)))
+        # By term: its runs, their blocks and maxima.
         self.offset = np.append(0, np.cumsum(df))
-        # A term's postings in one block are a run; a run has a maximum and a first posting.
-        block = self.docs // BLOCK
+        self.block = LEAST
+        while self.block < MOST and self.n >= 2 * BLOCKS * self.block:
+            self.block *= 2
+        block = docs // self.block
         new = np.ones(len(block), bool)
         new[1:] = block[1:] != block[:-1]
         new[self.offset[:-1]] = True
         first = np.nonzero(new)[0]
-        self.run_block = block[first]
-        self.run_max = np.maximum.reduceat(self.gain, first) if len(first) else self.gain
-        self.run_start = np.append(first, len(block))
+        ends = np.append(first, len(block))[1:]
         self.run_offset = np.append(np.cumsum(new) - new, len(first))[self.offset]
-        self.n_blocks = -(-self.n // BLOCK)
+        self.run_block = block[first]
+        self.run_max = np.maximum.reduceat(gain, first).astype(np.float32) if len(first) else gain
+        dense = (ends - first) * DENSE >= self.block
+        where = np.nonzero(dense)[0][np.argsort(self.run_block[dense], kind="stable")]  # rows by block
+        self.rows = np.zeros((len(where), self.block), np.float32)
+        posts, which = ranges(first[where], ends[where])
+        self.rows[which, docs[posts] % self.block] = gain[posts]
+        self.row_term = (np.searchsorted(self.run_offset, where, "right") - 1).astype(np.int32)
+        self.n_blocks = -(-self.n // self.block)
+        self.row_offset = np.searchsorted(self.run_block[where], np.arange(self.n_blocks + 1))
+        # The postings of the other runs.
+        sizes = np.where(dense, 0, ends - first)
+        self.run_start = np.append(0, np.cumsum(sizes))
+        single = np.repeat(~dense, ends - first)
+        self.place = (docs[single] % self.block).astype(np.uint8)
+        self.gain = gain[single].astype(np.float32)
         self.examined = 0                            # documents of visited blocks
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int,
                least: float = 0.0) -> list[tuple[object, float]]:
-        """The best ``k`` documents that hold one of the (sorted) terms, by score and then by
-        id, of those that score ``least`` or more."""
+        """:meth:`search_many` for one query."""
+        return self.search_many(np.array([0, len(terms)]), terms, weights, k, [least])[0]
+
+    def groups(self, offset: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Ranges of queries (``offset``: of their terms) that are searched at once in bounded memory."""
+        start = 0
+        while start < len(offset) - 1:
+            end = start + 1
+            while end < len(offset) - 1 and (
+                    (end + 1 - start) * max(int(offset[end + 1] - offset[start]), self.n) <= CELLS):
+                end += 1
+            yield start, end
+            start = end
+
+    def search_many(self, offset: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int,
+                    least: list[float]) -> list[list[tuple[object, float]]]:
+        """For each query (its sorted terms are ``terms[offset[q]:offset[q + 1]]``) the best ``k``
+        documents that hold one of them, by score and then by id, of those that score
+        ``least[q]`` or more."""
+        g = len(offset) - 1
+        query = np.repeat(np.arange(g), np.diff(offset))
         place = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
         here = self.terms[place] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        place, weights = place[here], weights[here]
-        if not len(place):
-            return []
+        query, place, weights = query[here], place[here], weights[here]
+        heavy = weights.astype(np.float32)
+        # Every term's maxima, added up by query and block.
         runs, which = ranges(self.run_offset[place], self.run_offset[place + 1])
-        weights, block = weights[which], self.run_block[runs]
-        bound = np.bincount(block, self.run_max[runs] * weights, self.n_blocks) * (1 + SLACK)
-        turn = np.argsort(-bound, kind="stable")
-        turn = turn[:np.count_nonzero(bound)]
-        found, scores, n = [], np.zeros(0), max(2, -(-2 * k // BLOCK))
-        while len(turn):
-            turn = turn[:np.searchsorted(-bound[turn], -least, "right")]   # the pivots
-            now, turn, n = turn[:n], turn[n:], 2 * n
-            visited = np.zeros(self.n_blocks, bool)
-            visited[now] = True
-            inside = visited[block]
+        cell = query[which] * self.n_blocks + self.run_block[runs]
+        bound = np.bincount(cell, self.run_max[runs] * heavy[which], g * self.n_blocks).reshape(g, -1) * (1 + SLACK)
+        turn = np.argsort(-bound, axis=1, kind="stable")
+        # The weights of the terms that have rows, and the runs that have none.
+        asked = np.unique(place)
+        column = np.full(len(self.terms), -1, np.int32)
+        column[asked] = np.arange(len(asked))
+        matrix = np.zeros((len(asked), g), np.float32)
+        matrix[column[place], query] = heavy
+        single = self.run_start[runs + 1] > self.run_start[runs]
+        runs, which, cell = runs[single], which[single], cell[single]
+        enough = np.array(least, float) * (1 - SLACK)
+        hits = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]  # query, document, score about
+        lo, n = 0, max(2, -(-2 * k // self.block))
+        while lo < self.n_blocks:
+            now = turn[:, lo:lo + n]
+            reach = np.take_along_axis(bound, now, 1)
+            pivot = (reach > 0) & (reach >= enough[:, None])
+            if not pivot.any():
+                break
+            of, at = np.nonzero(pivot)
+            at = now[of, at]
+            order = np.argsort(at, kind="stable")
+            of, at = of[order], at[order]             # the pivots, by block
+            slot = np.full(g * self.n_blocks, -1, np.int32)
+            slot[of * self.n_blocks + at] = np.arange(len(of))
+            inside = np.nonzero(slot[cell] >= 0)[0]
             run = runs[inside]
-            posts, of = ranges(self.run_start[run], self.run_start[run + 1])
-            # Runs are in the order of terms, so a document's sum does not depend on the visit.
-            total = np.bincount(self.docs[posts], self.gain[posts] * weights[inside][of], self.n)
-            docs = np.nonzero(total >= max(least, np.finfo(float).tiny))[0]
-            self.examined += len(now) * BLOCK
-            found.append(docs)
-            scores = np.append(scores, total[docs])
-            if len(scores) >= k:
-                least = max(least, np.partition(scores, len(scores) - k)[len(scores) - k])
-        docs = np.concatenate(found) if found else np.zeros(0, np.int64)
-        stays = scores >= least
-        best = sorted(((self.ids[d], float(x)) for d, x in zip(docs[stays], scores[stays])),
-                      key=lambda r: (-r[1], r[0] is None, r[0]))
-        return best[:k]
+            posts, owner = ranges(self.run_start[run], self.run_start[run + 1])
+            inside = inside[owner]
+            score = np.bincount(slot[cell[inside]] * self.block + self.place[posts],
+                                self.gain[posts] * heavy[which[inside]], len(of) * self.block).astype(np.float64)
+            score = score.reshape(-1, self.block)
+            starts = np.nonzero(np.append(True, at[1:] != at[:-1]))[0]
+            for i, j in zip(starts.tolist(), np.append(starts[1:], len(at)).tolist()):
+                rows = slice(self.row_offset[at[i]], self.row_offset[at[i] + 1])
+                cols = column[self.row_term[rows]]
+                held = cols >= 0
+                # One product for the group costs less than picking the weights of the block's pivots.
+                score[i:j] += (matrix[cols[held]].T @ self.rows[rows][held])[of[i:j]]
+            self.examined += len(of) * self.block
+            i, j = np.nonzero((score > 0) & (score >= enough[of][:, None]))
+            hits = [np.concatenate(h) for h in zip(hits, (of[i], at[i] * self.block + j, score[i, j]))]
+            hits, kth = self._best(hits, k, g)
+            enough = np.maximum(enough, kth * (1 - 2 * SLACK))
+            stays = hits[2] >= enough[hits[0]]
+            hits = [h[stays] for h in hits]
+            lo, n = lo + n, 8 * n
+        ends = np.cumsum(np.bincount(hits[0], minlength=g))
+        first, last = np.searchsorted(query, np.arange(g)), np.searchsorted(query, np.arange(g), "right")
+        return [self._top(hits[1][s:e], place[i:j], weights[i:j], k, x) if e > s else []
+                for s, e, i, j, x in zip(np.append(0, ends).tolist(), ends.tolist(), first, last, least)]
+
+    @staticmethod
+    def _best(hits: list[np.ndarray], k: int, g: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """The hits by query and falling score, and every query's k-th best score (0: fewer hits)."""
+        order = np.lexsort((-hits[2], hits[0]))
+        hits = [h[order] for h in hits]
+        count = np.bincount(hits[0], minlength=g)
+        start = np.cumsum(count) - count
+        kth = np.zeros(g)
+        full = np.nonzero(count >= k)[0]
+        kth[full] = hits[2][start[full] + k - 1]
+        return hits, kth
+
+    def _top(self, docs: np.ndarray, place: np.ndarray, weights: np.ndarray, k: int,
+             least: float) -> list[tuple[object, float]]:
+        exact = self._scores(docs, place, weights)
+        if len(exact) > k:
+            least = max(least, np.partition(exact, len(exact) - k)[len(exact) - k])
+        stays = exact >= least
+        return sorted(((self.ids[d], float(x)) for d, x in zip(docs[stays], exact[stays])),
+                      key=lambda r: (-r[1], r[0] is None, r[0]))[:k]
+
+    def _scores(self, docs: np.ndarray, place: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        posts, which = ranges(self.doc_offset[docs], self.doc_offset[docs + 1])
+        terms = self.doc_terms[posts]
+        at = np.minimum(np.searchsorted(place, terms), len(place) - 1)
+        asked = place[at] == terms
+        return np.bincount(which[asked], (self.doc_gains[posts] * weights[at])[asked], len(docs))
 
 
 def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -253,15 +356,16 @@ def _searched(index: DataFrame, queries: DataFrame, k: int, mean: float, k1: flo
                                else batch.column(c)[i].values.to_numpy()
                                for c in ("doc_ids", "lengths", "terms", "df", "docs", "tfs")}, mean, k1, b)
                 out: tuple[list, list, list] = ([], [], [])
-                for q, name in enumerate(names):
-                    own = slice(offset[q], offset[q + 1])
-                    found = shard.search(terms[own], weights[own], k, least[q])
-                    if len(found) == k:
-                        least[q] = found[-1][1]
-                    for d, x in found:
-                        out[0].append(name)
-                        out[1].append(d)
-                        out[2].append(x)
+                for start, end in shard.groups(offset):
+                    own = slice(offset[start], offset[end])
+                    for q, found in enumerate(shard.search_many(offset[start:end + 1] - offset[start], terms[own],
+                                                                weights[own], k, least[start:end]), start):
+                        if len(found) == k:
+                            least[q] = found[-1][1]
+                        for d, x in found:
+                            out[0].append(names[q])
+                            out[1].append(d)
+                            out[2].append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, [*kinds, pa.float64()])],
                                                  ["query_id", "doc_id", "score"])
 

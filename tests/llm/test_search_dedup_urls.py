@@ -91,18 +91,38 @@ def test_queries_in_blocks_give_the_same_lists(docs):
 
 def test_a_lower_bound_skips_blocks_and_keeps_ties():
     """Documents that score the given bound stay; blocks that cannot reach it are not visited."""
-    n = 8 * search.BLOCK
+    n = 8 * search.LEAST
     row = {"doc_ids": list(range(n)), "lengths": [10] * n, "terms": np.array([5]), "df": np.array([n]),
            "docs": np.arange(n, dtype=np.int32).tobytes(),
-           "tfs": np.repeat(np.arange(1, 9, dtype=np.int32), search.BLOCK).tobytes()}
+           "tfs": np.repeat(np.arange(1, 9, dtype=np.int32), search.LEAST).tobytes()}
     shard = search.Shard(row, 10.0, search.K1, search.B)
     best = shard.search(np.array([5]), np.array([1.0]), 2)
-    assert [d for d, _ in best] == [n - search.BLOCK, n - search.BLOCK + 1] and shard.examined == 2 * search.BLOCK
+    assert [d for d, _ in best] == [n - search.LEAST, n - search.LEAST + 1] and shard.examined == 2 * search.LEAST
     shard.examined = 0
-    assert shard.search(np.array([5]), np.array([1.0]), 2, best[0][1]) == best and shard.examined == search.BLOCK
+    assert shard.search(np.array([5]), np.array([1.0]), 2, best[0][1]) == best and shard.examined == search.LEAST
     assert shard.search(np.array([5]), np.array([1.0]), 2, best[0][1] * 1.01) == []
 
 
+def test_queries_together_give_their_own_lists(docs, monkeypatch):
+    """Groups of queries, rows of dense runs and postings of the others give the exact sums."""
+    row = search.build_index(docs.coalesce(1)).collect()[0].asDict()
+    shard = search.Shard(row, 100.0, 1.2, .75)
+    asked = [search.terms_of((r["text"] or "").encode())[:2] for r in docs.collect()]
+    offset = np.append(0, np.cumsum([len(t) for t, _ in asked]))
+    terms, weights = np.concatenate([t for t, _ in asked]), np.concatenate([c for _, c in asked]) + .5
+    monkeypatch.setattr(search, "CELLS", 20 * shard.n)
+    groups = list(shard.groups(offset))
+    assert len(groups) > 5 and [s for s, _ in groups[1:]] == [e for _, e in groups[:-1]]
+    for s, e in groups:
+        own = slice(offset[s], offset[e])
+        found = shard.search_many(offset[s:e + 1] - offset[s], terms[own], weights[own], 4, [0.0] * (e - s))
+        for q, top in enumerate(found, s):
+            mine = slice(offset[q], offset[q + 1])
+            exact = shard._scores(np.arange(shard.n), np.searchsorted(shard.terms, terms[mine]), weights[mine])
+            want = sorted(((shard.ids[d], x) for d, x in enumerate(exact.tolist()) if x > 0), key=lambda r: (-r[1], r[0]))
+            assert top == want[:4]
+
+
 def test_search_edges(spark, edges, empty):
     source = [(r["key"], r["text"]) for r in edges.collect()]
     index = search.build_index(edges, id_col="key", shard_bytes=3000)
