@@ -35,8 +35,9 @@ SHARD_BYTES = 64 << 20     # text in one shard, unless a task's input ends befor
 QUERY_BYTES = 32 << 20     # terms and weights of the queries that are broadcast at once
 BLOCKS = 64                # of neighbouring documents under one maximum: at least so many in a shard,
 LEAST, MOST = 16, 128      # of so many documents
-DENSE = 16                 # a term in one of so many documents of a block is kept there as a row of its documents
-CELLS = 8 << 20            # of queries searched at once: their number times their terms or the shard's documents
+DENSE = 8                  # a term in one of so many documents of a block is kept there as a row of its documents
+CELLS = 4 << 20            # of queries searched at once: their number times their terms or the shard's documents
+POSTINGS = 1 << 20         # of the terms of queries searched at once, unless one query has more
 SLACK = 1e-4               # relative; single-precision sums are off by far less
 
 # Words end at ASCII blanks and punctuation; A-Z count as a-z.
@@ -169,13 +170,16 @@ class Shard:
         """:meth:`search_many` for one query."""
         return self.search_many(np.array([0, len(terms)]), terms, weights, k, [least])[0]
 
-    def groups(self, offset: np.ndarray) -> Iterator[tuple[int, int]]:
+    def groups(self, offset: np.ndarray, terms: np.ndarray) -> Iterator[tuple[int, int]]:
         """Ranges of queries (``offset``: of their terms) that are searched at once in bounded memory."""
-        start = 0
+        place = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
+        df = np.diff(self.offset)[place] * (self.terms[place] == terms) if len(self.terms) else 0 * terms
+        read = np.append(0, np.cumsum(df))[offset].tolist()
+        offset, start = offset.tolist(), 0
         while start < len(offset) - 1:
             end = start + 1
-            while end < len(offset) - 1 and (
-                    (end + 1 - start) * max(int(offset[end + 1] - offset[start]), self.n) <= CELLS):
+            while (end < len(offset) - 1 and read[end + 1] - read[start] <= POSTINGS
+                    and (end + 1 - start) * max(offset[end + 1] - offset[start], self.n) <= CELLS):
                 end += 1
             yield start, end
             start = end
@@ -356,7 +360,7 @@ def _searched(index: DataFrame, queries: DataFrame, k: int, mean: float, k1: flo
                                else batch.column(c)[i].values.to_numpy()
                                for c in ("doc_ids", "lengths", "terms", "df", "docs", "tfs")}, mean, k1, b)
                 out: tuple[list, list, list] = ([], [], [])
-                for start, end in shard.groups(offset):
+                for start, end in shard.groups(offset, terms):
                     own = slice(offset[start], offset[end])
                     for q, found in enumerate(shard.search_many(offset[start:end + 1] - offset[start], terms[own],
                                                                 weights[own], k, least[start:end]), start):

@@ -111,7 +111,7 @@ def test_queries_together_give_their_own_lists(docs, monkeypatch):
     offset = np.append(0, np.cumsum([len(t) for t, _ in asked]))
     terms, weights = np.concatenate([t for t, _ in asked]), np.concatenate([c for _, c in asked]) + .5
     monkeypatch.setattr(search, "CELLS", 20 * shard.n)
-    groups = list(shard.groups(offset))
+    groups = list(shard.groups(offset, terms))
     assert len(groups) > 5 and [s for s, _ in groups[1:]] == [e for _, e in groups[:-1]]
     for s, e in groups:
         own = slice(offset[s], offset[e])
