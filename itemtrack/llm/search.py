@@ -37,7 +37,7 @@ BLOCKS = 64                # of neighbouring documents under one maximum: at lea
 LEAST, MOST = 16, 128      # of so many documents
 DENSE = 8                  # a term in one of so many documents of a block is kept there as a row of its documents
 CELLS = 4 << 20            # of queries searched at once: their number times their terms or the shard's documents
-POSTINGS = 1 << 20         # of the terms of queries searched at once, unless one query has more
+POSTINGS = 4 << 20         # of the terms of queries searched at once, unless one query has more
 SLACK = 1e-4               # relative; single-precision sums are off by far less
 
 # Words end at ASCII blanks and punctuation; A-Z count as a-z.
