@@ -37,7 +37,7 @@ BLOCKS = 64                # of neighbouring documents under one maximum: at lea
 LEAST, MOST = 16, 128      # of so many documents
 DENSE = 8                  # a term in one of so many documents of a block is kept there as a row of its documents
 CELLS = 4 << 20            # of queries searched at once: their number times their terms or the shard's documents
-POSTINGS = 4 << 20         # of the terms of queries searched at once, unless one query has more
+POSTINGS = 2 << 20         # of the terms of queries searched at once, unless one query has more
 SLACK = 1e-4               # relative; single-precision sums are off by far less
 
 # Words end at ASCII blanks and punctuation; A-Z count as a-z.
@@ -190,7 +190,7 @@ class Shard:
         documents that hold one of them, by score and then by id, of those that score
         ``least[q]`` or more."""
         g = len(offset) - 1
-        query = np.repeat(np.arange(g), np.diff(offset))
+        query = np.repeat(np.arange(g, dtype=np.int32), np.diff(offset))
         place = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
         here = self.terms[place] == terms if len(self.terms) else np.zeros(len(terms), bool)
         query, place, weights = query[here], place[here], weights[here]
@@ -208,6 +208,7 @@ class Shard:
         matrix[column[place], query] = heavy
         single = self.run_start[runs + 1] > self.run_start[runs]
         runs, which, cell = runs[single], which[single], cell[single]
+        del single
         enough = np.array(least, float) * (1 - SLACK)
         hits = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]  # query, document, score about
         lo, n = 0, max(2, -(-2 * k // self.block))
@@ -223,13 +224,14 @@ class Shard:
             of, at = of[order], at[order]             # the pivots, by block
             slot = np.full(g * self.n_blocks, -1, np.int32)
             slot[of * self.n_blocks + at] = np.arange(len(of))
-            inside = np.nonzero(slot[cell] >= 0)[0]
+            inside = np.nonzero(slot[cell] >= 0)[0].astype(np.int32)
             run = runs[inside]
             posts, owner = ranges(self.run_start[run], self.run_start[run + 1])
             inside = inside[owner]
             score = np.bincount(slot[cell[inside]] * self.block + self.place[posts],
                                 self.gain[posts] * heavy[which[inside]], len(of) * self.block).astype(np.float64)
             score = score.reshape(-1, self.block)
+            del posts, owner, inside, run
             starts = np.nonzero(np.append(True, at[1:] != at[:-1]))[0]
             for i, j in zip(starts.tolist(), np.append(starts[1:], len(at)).tolist()):
                 rows = slice(self.row_offset[at[i]], self.row_offset[at[i] + 1])
@@ -282,8 +284,8 @@ class Shard:
 def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All whole numbers of some ranges, and for each the range it is from."""
     sizes = ends - starts
-    which = np.repeat(np.arange(len(starts)), sizes)
-    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes), which
+    which = np.repeat(np.arange(len(starts), dtype=np.int32), sizes)
+    return np.arange(sizes.sum(), dtype=np.int32) + (starts - (np.cumsum(sizes) - sizes)).astype(np.int32)[which], which
 
 
 def top_k(index: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
@@ -353,6 +355,7 @@ def _searched(index: DataFrame, queries: DataFrame, k: int, mean: float, k1: flo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, (offset, terms, weights), kinds = sent.value
+        pa.default_memory_pool().release_unused()    # what building the index left in this worker
         least = [0.0] * len(names)                   # what the task's earlier shards give for sure
         for batch in batches:
             for i in range(batch.num_rows):
