@@ -7,9 +7,10 @@ coordinate keeps its earliest dart (lowest rank).  Two documents share a coordin
 dart with a probability equal to their weighted Jaccard similarity.  About
 k*ln(k) + 2k darts are thrown whatever the size of the document.
 
-Bands of coordinates are joined; candidates are compared exactly on their shingle sets;
-classes are the connected components of the links found.  Texts with equal shingle sets
-are one node from the start, so copies never meet as pairs.
+A shingle weighs as often as it occurs in the text (``weighted=False``: once).  Bands of
+coordinates are joined; candidates are compared exactly by the same similarity, as sets of
+numbered occurrences; classes are the connected components of the links found.  Texts with
+equal weights are one node from the start, so copies never meet as pairs.
 """
 
 from __future__ import annotations
@@ -32,17 +33,32 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _POISSON = np.cumsum([np.exp(-1.0) / f for f in np.cumprod([1.0, *range(1, 16)])]) * 2.0 ** 32
 
 
-def shingles(words: list[bytes], width: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles; a text of fewer words than
-    ``width`` has one shingle of them all, a text without words none."""
+def shingles(words: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct 64-bit hashes of the word shingles and how often each occurs; a text
+    of fewer words than ``width`` has one shingle of them all, a text without words none."""
     if not words:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     hashes, width = word_hashes(words), min(width, len(words))
     n = len(hashes) - width + 1
     keys = np.full(n, width, np.uint64)
     for i in range(width):
         keys = mix64(keys * _GOLD + hashes[i:i + n])
-    return np.unique(keys)
+    return np.unique(keys, return_counts=True)
+
+
+def occurrences(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """One 64-bit name per occurrence (the element's first, second, ...): the Jaccard
+    similarity of such sets is the weighted one of the counts."""
+    if len(elements) == counts.sum():
+        return elements
+    turn = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.where(turn == 0, np.uint64(0), mix64(turn.astype(np.uint64) * _GOLD)) + np.repeat(elements, counts)
+
+
+def _weighted(data: bytes, width: int, weighted: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of a text and their weights."""
+    elements, counts = shingles(data.split(), width)
+    return elements, counts if weighted else np.ones_like(counts)
 
 
 def dart_sketch(elements: np.ndarray, weights: np.ndarray | None, k: int) -> np.ndarray:
@@ -60,6 +76,8 @@ def dart_sketch(elements: np.ndarray, weights: np.ndarray | None, k: int) -> np.
         cells = np.repeat(elements, tall)
         levels = (np.arange(len(cells)) - np.repeat(np.cumsum(tall) - tall, tall)).astype(np.uint64)
         limit, total = np.repeat(weights, tall) - levels, weights.sum()
+        if (limit >= 1).all():                       # whole weights: every dart of a cell is below
+            limit = None
     if not total > 0:
         return sketch
     cells = mix64(cells + levels * _GOLD)
@@ -91,23 +109,24 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _set_key(elements: np.ndarray) -> int:
-    """A 64-bit name of a set of shingles."""
+    """A 64-bit name of a set of occurrences."""
     total = mix64(elements * _GOLD).sum(dtype=np.uint64, keepdims=True)  # arrays wrap around silently
     return int(mix64(total + np.array([len(elements)], np.uint64) * _GOLD)[0].astype(np.int64))
 
 
-def sketch_documents(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, width: int) -> DataFrame:
-    """doc_id, key (names the shingle set; null without words), n (its size) and bands."""
+def sketch_documents(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, width: int,
+                     weighted: bool = True) -> DataFrame:
+    """doc_id, key (names the weighted shingles; null without words), n (their weight) and bands."""
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             keys, sizes, found = [], [], []
             for data in text_bytes(part):
-                elements = shingles(data.split(), width)
-                sizes.append(len(elements))
-                keys.append(_set_key(elements) if len(elements) else None)
-                found.append(band_keys(dart_sketch(elements, None, bands * rows), bands, rows).astype(np.int64)
+                elements, weights = _weighted(data, width, weighted)
+                sizes.append(int(weights.sum()))
+                keys.append(_set_key(occurrences(elements, weights)) if len(elements) else None)
+                found.append(band_keys(dart_sketch(elements, weights, bands * rows), bands, rows).astype(np.int64)
                              if len(elements) else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()),
@@ -117,8 +136,8 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, bands: int, ro
     return plain.mapInArrow(run, f"doc_id {kind}, key long, n long, bands array<long>")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """key and shingles of the nodes in ``wanted`` (key, doc_id: one document of the node)."""
+def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int, weighted: bool) -> DataFrame:
+    """key and shingles (all occurrences) of the nodes in ``wanted`` (key, doc_id: one document of the node)."""
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = plain.join(wanted, plain["doc_id"].eqNullSafe(wanted["doc_id"])).select("key", "text")
 
@@ -126,7 +145,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width:
         for part in slices(batches):
             keys, found = [], []
             for key, data in zip(part.column(0).to_pylist(), text_bytes(part)):
-                elements = shingles(data.split(), width)
+                elements = occurrences(*_weighted(data, width, weighted))
                 if len(elements) and _set_key(elements) == key:  # ids may repeat over different texts
                     keys.append(key)
                     found.append(elements.astype(np.int64))
@@ -194,10 +213,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _classes(docs: DataFrame, similarity: float, id_col: str, text_col: str, width: int, bands: int,
-             rows: int) -> tuple[DataFrame, DataFrame]:
+             rows: int, weighted: bool) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key, n, label) of all rows, and (label, class_id) of all classes."""
-    sketch = materialize(sketch_documents(docs, id_col, text_col, bands, rows, width), "dart-sketch")
-    # One node per shingle set: copies are reduced before anything is exploded or joined.
+    sketch = materialize(sketch_documents(docs, id_col, text_col, bands, rows, width, weighted), "dart-sketch")
+    # One node per weighted shingle set: copies are reduced before anything is exploded or joined.
     nodes = materialize(sketch.filter("key IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "dart-nodes")
     spread = nodes.select(F.explode("bands").alias("band"), "key", "n")
@@ -211,7 +230,7 @@ def _classes(docs: DataFrame, similarity: float, id_col: str, text_col: str, wid
     members = materialize(members.select("band", "key", "n").join(leads, "band"), "dart-members")
     sizes = materialize(members.select("key", "n").distinct(), "dart-found")
     sets = materialize(_sets(docs, nodes.join(sizes.select("key"), "key").select("key", "doc_id"),
-                             id_col, text_col, width), "dart-sets")
+                             id_col, text_col, width, weighted), "dart-sets")
     least, most = F.least("na", "nb"), F.greatest("na", "nb")  # sizes alone rule out many pairs
     alike = least >= F.lit(similarity) * most
     # Every node of a bucket with the bucket's lead.
@@ -249,13 +268,14 @@ def _classes(docs: DataFrame, similarity: float, id_col: str, text_col: str, wid
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id",
-                    text_col: str = "text", width: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+                    text_col: str = "text", width: int = SHINGLE, bands: int = BANDS, rows: int = ROWS,
+                    weighted: bool = True) -> DataFrame:
     """doc_id, class_id and n_shingles for every row of ``docs``.
 
     ``class_id`` is the smallest doc_id of the row's class: the connected component of
-    links between shingle sets that share a band and have a Jaccard similarity of at
-    least ``similarity``.  Rows with equal shingle sets (copies, repeated rows) are in
-    one class.  Null and empty texts and texts of blanks only have no shingles: each
+    links between texts that share a band and have a weighted Jaccard similarity of at
+    least ``similarity``; a shingle weighs as often as it occurs (``weighted=False``: once).
+    Rows with equal weights (copies, repeated rows) are in one class.  Null and empty texts and texts of blanks only have no shingles: each
     such row is alone, under its own id.  An empty table gives an empty result; other
     columns are ignored.
 
@@ -264,17 +284,17 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     compared with the members of the others that share one of their rarest shingles,
     which all that similar do: between two nodes of a bucket no link is lost.
     """
-    named, classes = _classes(docs, similarity, id_col, text_col, width, bands, rows)
+    named, classes = _classes(docs, similarity, id_col, text_col, width, bands, rows, weighted)
     return named.join(classes, "label", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.col("n").alias("n_shingles"))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text",
-             width: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+             width: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, weighted: bool = True) -> DataFrame:
     """The rows of ``docs``, unchanged, of which one of each class stays: that of the
     smallest id (of repeated rows one).  Rows without words all stay.  All columns pass
     through whatever their names."""
-    named, classes = _classes(docs, similarity, id_col, text_col, width, bands, rows)
+    named, classes = _classes(docs, similarity, id_col, text_col, width, bands, rows, weighted)
     stays = (named.join(classes, "label").filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
              .groupBy("label").agg(F.min("key").alias("__key"), F.first("class_id").alias("__id"))
              .select("__key", "__id"))
@@ -284,7 +304,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):
-            found = [shingles(data.split(), width) for data in text_bytes(part, text)]
+            found = [occurrences(*_weighted(data, width, weighted)) for data in text_bytes(part, text)]
             keys = pa.array([_set_key(e) if len(e) else None for e in found], pa.int64())
             yield pa.RecordBatch.from_arrays([*part.columns, keys], [*part.schema.names, "__row"])
 

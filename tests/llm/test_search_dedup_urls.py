@@ -137,15 +137,16 @@ def test_search_edges(spark, edges, empty):
 
 # -- operator 7 ------------------------------------------------------------------------
 
-def shingle_set(text):
+def shingle_counts(text, weighted=True):
     words = (text or "").encode().split()
     k = min(5, len(words))
-    return frozenset(tuple(words[i:i + k]) for i in range(len(words) - k + 1)) if words else frozenset()
+    counts = collections.Counter(tuple(words[i:i + k]) for i in range(len(words) - k + 1 if words else 0))
+    return counts if weighted else collections.Counter(set(counts))
 
 
-def plain_classes(source, similarity=0.8):
+def plain_classes(source, similarity=0.8, weighted=True):
     """Class (smallest row number) of every row, over all pairs."""
-    sets = [shingle_set(t) for _, t in source]
+    sets = [shingle_counts(t, weighted) for _, t in source]
     parent = list(range(len(source)))
 
     def root(x):
@@ -155,14 +156,14 @@ def plain_classes(source, similarity=0.8):
 
     for i in range(len(sets)):
         for j in range(i):
-            if sets[i] and sets[j] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+            if sets[i] and sets[j] and (sets[i] & sets[j]).total() >= similarity * (sets[i] | sets[j]).total():
                 a, b = sorted((root(i), root(j)))
                 parent[b] = a
     return [root(i) for i in range(len(source))]
 
 
-def expected_ids(source):
-    classes = plain_classes(source)
+def expected_ids(source, weighted=True):
+    classes = plain_classes(source, weighted=weighted)
     least = {}
     for (i, _), c in zip(source, classes):
         least[c] = min((x for x in (least.get(c), i) if x is not None), default=None)
@@ -200,6 +201,41 @@ def test_chains_strays_and_hot_groups(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c in expected_ids(source)})
 
 
+def test_repeated_lines_weigh(spark):
+    rng = random.Random(13)
+    lines = [" ".join(f"w{rng.randint(0, 10 ** 6)}" for _ in range(12)) for _ in range(40)]
+    source = []
+    for i in range(60):                               # most lines of one text, some with two lines repeated
+        own = lines[:rng.choice([36, 38, 40])]
+        repeats = rng.choice([0, 1, 9]) * rng.sample(lines[:3], 2)
+        source.append((i, "\n".join(own + repeats)))
+    df = spark.createDataFrame(source, "doc_id long, text string").repartition(4)
+    found = {}
+    for weighted in (True, False):
+        want = sorted(expected_ids(source, weighted))
+        got = rows_of(dartminhash.near_duplicates(df, weighted=weighted))
+        assert sorted((r["doc_id"], r["class_id"]) for r in got) == want
+        kept = dartminhash.keep_one(df, weighted=weighted)
+        assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c in want})
+        found[weighted] = len({c for _, c in want})
+    assert found[True] > found[False]                 # repeats set texts apart only by their weight
+
+
+def test_weighted_candidates_recall():
+    rng = np.random.default_rng(5)
+    bands, rows, hit, pairs = dartminhash.BANDS, dartminhash.ROWS, 0, 0
+    for _ in range(60):
+        elements = rng.integers(0, 2 ** 63, 200).astype(np.uint64)
+        wa = rng.integers(1, 6, 200)
+        wb = np.maximum(wa + (rng.random(200) < .28) * rng.integers(-4, 5, 200), 0)
+        if not .8 <= np.minimum(wa, wb).sum() / np.maximum(wa, wb).sum() < .9:
+            continue
+        a, b = (dartminhash.band_keys(dartminhash.dart_sketch(elements[w > 0], w[w > 0], bands * rows), bands, rows)
+                for w in (wa, wb))
+        pairs, hit = pairs + 1, hit + bool((a == b).any())
+    assert pairs > 20 and hit == pairs                # a pair at 0.8 is missed with probability 8e-6
+
+
 def test_dedup_edges(edges, empty):
     rows = rows_of(dartminhash.near_duplicates(edges))
     source = [(r["doc_id"], r["text"]) for r in edges.collect()]
@@ -332,7 +368,7 @@ def plain_features(url):
     host, path = re.match(r"(?s)([^/?#]*)([^?#]*)", rest).groups()
     host = host.translate({c: c + 32 for c in range(65, 91)})
     n = max(len(text), 1)
-    classes = Counter(c if c in urls.ALPHABET else "" for c in text)
+    classes = collections.Counter(c if c in urls.ALPHABET else "" for c in text)
     entropy = -sum(c / n * math.log2(c / n) for c in classes.values())
     query = re.search(r"\?([^#]*)", text)
     digits = sum(c in "0123456789" for c in text)
