@@ -221,6 +221,19 @@ SELECT
 FROM {events}
 """
 
+# Status rows as they arrive: five daily runs, two jobs a market; the newest run is still before its deadline.
+VIEWS["v_job_events"] = """
+SELECT CAST(1704067200 + (event_id % 5) * 86400 AS BIGINT) AS run_s,
+  CAST(CAST(floor(event_id / 30) AS BIGINT) AS STRING) AS market,
+  CAST(CAST(floor(event_id / 5) AS BIGINT) % 2 AS INT) AS slot_no,
+  CASE WHEN event_id % 3 = 0 THEN 'submit' ELSE 'result' END AS phase,
+  CASE event_type WHEN 'error' THEN 'Error' WHEN 'signup' THEN 'Executing'
+       WHEN 'purchase' THEN 'Waiting for Resources' ELSE 'Success' END AS status_text,
+  CAST(1704067200 + (event_id % 5) * 86400
+       + (event_id * 7919) % (CASE WHEN event_id % 5 = 4 THEN 10000 ELSE 30000 END) AS BIGINT) AS at_s
+FROM {events}
+"""
+
 # Quota sheet and job table for the tracker markets (dimension refresh, PIP-02).
 VIEWS["v_dim_quota"] = f"""
 SELECT {market_of('s_suppkey')} AS market, CAST(s_suppkey AS INT) AS slot_no,

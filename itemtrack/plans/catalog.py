@@ -20,6 +20,7 @@ from itemtrack.plans import bindings as B
 from itemtrack.plans import refresh as P
 from itemtrack.session import scratch_path
 from itemtrack.streaming import ingest
+from itemtrack.streaming import gate as job_gates
 from itemtrack.sources import sinks, tables, tsv
 from itemtrack.sources.sinks import VersionedTable
 from itemtrack.sources.warehouse import dimension_extract
@@ -1231,6 +1232,39 @@ FROM v_tracker t LEFT JOIN upd u USING (item_id, market)"""
 ORACLE["STM_02"] = ORACLE["STM_02_LOG"] = _STREAM_SQL
 
 
+@query("AGG_06_STREAM")
+def agg_06_stream(spark, sf):
+    """Gates over status rows that arrive in files, one file a trigger."""
+    base = scratch_path(spark, "gate")
+    rows = v(spark, sf, "v_job_events").select(
+        F.timestamp_seconds("run_s").alias("run_at"), "market", "slot_no", "phase", "status_text",
+        F.timestamp_seconds("at_s").alias("at"))
+    rows.repartition(4, "at").write.parquet(f"{base}/in")
+    log = job_gates.JobLog(spark, f"{base}/log")
+    job_gates.start_gate_stream(spark, f"{base}/in", log, f"{base}/checkpoint",
+                                max_files_per_trigger=1).awaitTermination()
+    return log.gates().select(F.unix_seconds("run_at").alias("run_s"), "market", "jobs", "late", "gate",
+                              F.unix_seconds("decided_at").alias("decided_s"))
+
+
+ORACLE["AGG_06_STREAM"] = with_("v_job_events", extra=[
+    f"s AS (SELECT *, {_JOB_STATE} AS state FROM v_job_events)", """
+e AS (SELECT run_s, market, slot_no,
+        min(CASE WHEN (state = 'failed' OR (phase = 'result' AND state = 'ok')) AND at_s <= run_s + 14400
+                 THEN at_s * 2 + (CASE WHEN state = 'ok' THEN 1 ELSE 0 END) END) AS ending
+      FROM s GROUP BY run_s, market, slot_no)""", """
+o AS (SELECT run_s, market, coalesce(ending // 2, run_s + 14400) AS ended,
+        CASE WHEN ending % 2 = 0 THEN 'failed' WHEN ending % 2 = 1 THEN 'ok'
+             WHEN (SELECT max(at_s) FROM v_job_events) > run_s + 14400 THEN 'late' ELSE 'pending' END AS outcome
+      FROM e)""", """
+g AS (SELECT run_s, market, count(*) AS jobs, count(*) FILTER (WHERE outcome = 'late') AS late,
+        bool_or(outcome IN ('failed', 'late')) AS bad, bool_and(outcome = 'ok') AS good,
+        min(ended) FILTER (WHERE outcome IN ('failed', 'late')) AS first_bad, max(ended) AS last
+      FROM o GROUP BY run_s, market)"""]) + """
+SELECT run_s, market, jobs, late, CASE WHEN bad THEN 'failed' WHEN good THEN 'passed' ELSE 'pending' END AS gate,
+  CASE WHEN bad THEN first_bad WHEN good THEN last END AS decided_s FROM g"""
+
+
 def _intake(spark, sf):
     t = tracker(spark, sf)
     return P.intake_inflow(t, t.where(F.col("status") == "TP"), v(spark, sf, "v_inflow"))
