@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from itemtrack import schemas
-from itemtrack.operators.common import join_split, keep_first, keep_last
+from itemtrack.operators.common import any_case, join_split, keep_first, keep_last
 from itemtrack.schemas import DELETE_KEY, ITEM_MARKET, TRACKER_KEY
 
 
@@ -49,13 +49,14 @@ def _need_order(df: DataFrame, order_col: str) -> None:
 
 
 def insert_if_absent(table: DataFrame, incoming: DataFrame, key=TRACKER_KEY,
-                     order_col: str = "seq") -> DataFrame:
+                     order_col: str = "seq", ignore_case: bool = False) -> DataFrame:
     """DML-01/02: append incoming rows whose full key is absent; conflicts are
     ignored; among in-batch duplicates the first (by ``order_col``) wins.
 
     The ten-column key is one text (JSON, which tells NULL from every value): the
     deduplication groups by it and the anti join compares it, so the incoming rows
-    are exchanged once, after their map-side reduction.
+    are exchanged once, after their map-side reduction.  ``ignore_case``: keys that
+    differ in case only are equal.
     """
     key = list(key)
     _need_order(incoming, order_col)
@@ -65,17 +66,19 @@ def insert_if_absent(table: DataFrame, incoming: DataFrame, key=TRACKER_KEY,
     # Columns the batch lacks take their defaults (NULL) before keys are compared.
     incoming = align(incoming, table, keep=["_order"])
     text = F.to_json(F.struct(*key))
+    if ignore_case:
+        text = any_case(text)
     first = keep_first(incoming.withColumn("_key", text), ["_key"], "_order")
     new_rows = first.join(table.select(text.alias("_key")), "_key", "left_anti")
     return table.unionByName(align(new_rows, table))
 
 
 def insert_partial(table: DataFrame, incoming: DataFrame, columns,
-                   order_col: str = "seq") -> DataFrame:
+                   order_col: str = "seq", ignore_case: bool = False) -> DataFrame:
     """DML-03/04: insert-if-absent of rows that carry only ``columns``; the rest
     take their defaults (NULL)."""
     cols = list(columns) + ([order_col] if order_col in incoming.columns else [])
-    return insert_if_absent(table, incoming.select(*cols), order_col=order_col)
+    return insert_if_absent(table, incoming.select(*cols), order_col=order_col, ignore_case=ignore_case)
 
 
 def insert_new_inflow(table: DataFrame, inflow: DataFrame, order_col: str = "seq") -> DataFrame:
@@ -84,20 +87,21 @@ def insert_new_inflow(table: DataFrame, inflow: DataFrame, order_col: str = "seq
 
 
 def keyed_update(table: DataFrame, updates: DataFrame, set_cols, key=ITEM_MARKET,
-                 order_col: str = "seq") -> DataFrame:
+                 order_col: str = "seq", ignore_case: bool = False) -> DataFrame:
     """DML-05: set ``set_cols`` on every table row whose key matches.
 
     Repeated update keys: the last (by ``order_col``) wins; an explicit NULL
     overwrites; unmatched updates are dropped.  The updated columns may be part
     of the full key, so two rows of one (item, market) can collide afterwards: all
     rows are kept, and :func:`require_distinct_keys` tells, once the result is written.
+    ``ignore_case``: keys match whatever their case; the table's own keys stay as written.
     """
     key, set_cols = list(key), list(set_cols)
     _need_order(updates, order_col)
-    last = keep_last(updates.select(*key, *set_cols, order_col), key, order_col)
+    last = keep_last(updates.select(*key, *set_cols, order_col), key, order_col, ignore_case)
     new = last.select(*key, *[F.col(c).alias(f"_new_{c}") for c in set_cols],
                       F.lit(True).alias("_matched"))
-    joined = join_split(table, new, key, "left")
+    joined = join_split(table, new, key, "left", ignore_case)
     out = joined.withColumns({
         c: F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)).cast(table.schema[c].dataType)
         for c in set_cols})
@@ -105,11 +109,15 @@ def keyed_update(table: DataFrame, updates: DataFrame, set_cols, key=ITEM_MARKET
 
 
 def require_distinct_keys(table: DataFrame, updates: DataFrame, key=ITEM_MARKET,
-                          full_key=TRACKER_KEY) -> None:
+                          full_key=TRACKER_KEY, ignore_case: bool = False) -> None:
     """Raise :class:`KeyCollision` if two rows of ``table`` share the full key, as the database
     would.  Only rows whose ``key`` was updated can, so only those are looked at; ``table`` is the
     written result of the update (see ``check`` of :meth:`VersionedTable.commit`)."""
-    touched = join_split(table.select(*full_key), updates.select(*key).distinct(), list(key), "left_semi")
+    touched = join_split(table.select(*full_key), updates.select(*key).distinct(), list(key), "left_semi",
+                         ignore_case)
+    if ignore_case:
+        texts = [f.name for f in touched.schema.fields if f.dataType.typeName() == "string"]
+        touched = touched.withColumns({c: any_case(c) for c in texts})
     dup = touched.groupBy(*full_key).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
         raise KeyCollision(f"the update makes the primary key collide: {dup[0].asDict()}")

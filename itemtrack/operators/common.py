@@ -4,19 +4,53 @@ ordered distinct lists and a scalable rank within a few large groups."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StringType
 
 from itemtrack.session import scratch_path
 
 
-def join_split(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
+IGNORING_CASE = "UTF8_LCASE"
+
+
+def any_case(c) -> Column:
+    """A text column that is compared, grouped and joined whatever its case."""
+    return F.collate(F.col(c) if isinstance(c, str) else c, IGNORING_CASE)
+
+
+def key_mark(df: DataFrame, cols, ignore_case: bool = False) -> Column:
+    """64-bit hash of the key.  Hashes of collated texts differ with the case, so texts that are
+    compared whatever their case are folded first: in lower case, and a final sigma (which
+    ``lower`` sets by its place in the word) like any other, as the collation does."""
+    if not ignore_case:
+        return F.xxhash64(*cols)
+    texts = text_columns(df, cols)
+    return F.xxhash64(*[F.translate(F.lower(c), "ς", "σ") if c in texts else F.col(c) for c in cols])
+
+
+def text_columns(df: DataFrame, cols) -> list[str]:
+    return [c for c in cols if isinstance(df.schema[c].dataType, StringType)]
+
+
+def join_split(left: DataFrame, right: DataFrame, on, how: str = "left", ignore_case: bool = False) -> DataFrame:
     """Join on ``on`` so that adaptive execution can split a hot key.
 
     A side that was just aggregated (or ranked) by the join key is joined without an
     exchange of its own, and the skew rule only splits joins whose both sides were
     exchanged for them.  A further equality on the hash of the key gives both sides
-    such an exchange; the key columns themselves still decide.
+    such an exchange; the key columns themselves still decide.  With ``ignore_case`` texts
+    match whatever their case and the key columns are those of ``left``.
     """
     on = [on] if isinstance(on, str) else list(on)
+    if ignore_case:
+        def keyed(df):
+            texts = text_columns(df, on)
+            return df.withColumns({"_key_hash": key_mark(df, on, True), **{
+                f"_match_{c}": any_case(c) if c in texts else F.col(c) for c in on}})
+
+        names = ["_key_hash", *[f"_match_{c}" for c in on]]
+        rest = [c for c in left.columns if c not in on]
+        joined = keyed(left).join(keyed(right).drop(*on), names, how).drop(*names)
+        return joined.select(*on, *rest, *[c for c in joined.columns if c not in left.columns])
     mark = F.xxhash64(*on)
     return (left.withColumn("_key_hash", mark)
             .join(right.withColumn("_key_hash", mark), ["_key_hash", *on], how).drop("_key_hash"))
@@ -58,8 +92,14 @@ def null_safe_on(left: DataFrame, right: DataFrame, cols) -> Column:
     return cond
 
 
-def _by_key(df: DataFrame, keys, order_col: str, pick, name: str) -> DataFrame:
+def _by_key(df: DataFrame, keys, order_col: str, pick, name: str, ignore_case: bool = False) -> DataFrame:
     keys = list(keys)
+    if ignore_case:                                  # the key is written as in the row that is kept
+        texts = text_columns(df, keys)
+        match = {f"_match_{c}": any_case(c) if c in texts else F.col(c) for c in keys}
+        whole = df.withColumns(match)
+        kept = pick(F.struct(*df.columns), F.col(order_col)).alias(name)
+        return whole.groupBy(*match).agg(kept).select(f"{name}.*")
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)
@@ -72,18 +112,18 @@ def _by_key(df: DataFrame, keys, order_col: str, pick, name: str) -> DataFrame:
             .select(*keys, f"{name}.*").select(*df.columns))
 
 
-def keep_first(df: DataFrame, keys, order_col: str = "seq") -> DataFrame:
+def keep_first(df: DataFrame, keys, order_col: str = "seq", ignore_case: bool = False) -> DataFrame:
     """First row per key by ``order_col`` (pandas ``drop_duplicates(keep='first')``).
 
     Written as ``min_by`` over a struct so the aggregate is partial: a hot key
     is reduced map-side before the shuffle instead of landing whole in one task.
     """
-    return _by_key(df, keys, order_col, F.min_by, "_first")
+    return _by_key(df, keys, order_col, F.min_by, "_first", ignore_case)
 
 
-def keep_last(df: DataFrame, keys, order_col: str = "seq") -> DataFrame:
+def keep_last(df: DataFrame, keys, order_col: str = "seq", ignore_case: bool = False) -> DataFrame:
     """Last row per key by ``order_col`` (repeated keyed updates: last one wins)."""
-    return _by_key(df, keys, order_col, F.max_by, "_last")
+    return _by_key(df, keys, order_col, F.max_by, "_last", ignore_case)
 
 
 def ordered_distinct_list(df: DataFrame, keys, value: str, order_col: str = "seq",

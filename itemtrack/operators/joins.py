@@ -13,30 +13,30 @@ from itemtrack.operators.common import join_split
 from itemtrack.schemas import ITEM_MARKET
 
 
-def restrict_to_keys(df: DataFrame, keys: DataFrame, on=ITEM_MARKET) -> DataFrame:
+def restrict_to_keys(df: DataFrame, keys: DataFrame, on=ITEM_MARKET, ignore_case: bool = False) -> DataFrame:
     """JON-07: rows of a large table whose key is in the key table (semi join).
 
     The key list is made distinct first (a partial aggregate), so a key repeated
     in a third of the list is collapsed map-side; a key hot in ``df`` is split by
-    adaptive execution.
+    adaptive execution.  ``ignore_case``: keys match whatever their case.
     """
     on = list(on)
-    return join_split(df, keys.select(*on).distinct(), on, "left_semi")
+    return join_split(df, keys.select(*on).distinct(), on, "left_semi", ignore_case)
 
 
-def inflow_lookup(tracker: DataFrame, inflow: DataFrame) -> DataFrame:
+def inflow_lookup(tracker: DataFrame, inflow: DataFrame, ignore_case: bool = False) -> DataFrame:
     """JON-01: tracker (item, market) rows whose key is in the inflow list, any status."""
-    return restrict_to_keys(tracker, inflow).select(*ITEM_MARKET)
+    return restrict_to_keys(tracker, inflow, ignore_case=ignore_case).select(*ITEM_MARKET)
 
 
-def status_lookup(tracker: DataFrame, keys: DataFrame) -> DataFrame:
+def status_lookup(tracker: DataFrame, keys: DataFrame, ignore_case: bool = False) -> DataFrame:
     """JON-02: item, market, reason, status for the keys; several rows stay several."""
-    return restrict_to_keys(tracker, keys).select(*ITEM_MARKET, "reason", "status")
+    return restrict_to_keys(tracker, keys, ignore_case=ignore_case).select(*ITEM_MARKET, "reason", "status")
 
 
-def attach_state(observations: DataFrame, state: DataFrame) -> DataFrame:
+def attach_state(observations: DataFrame, state: DataFrame, ignore_case: bool = False) -> DataFrame:
     """JON-04: observations left-joined to tracker state on (item, market); fans out."""
-    return join_split(observations, state, ITEM_MARKET, "left")
+    return join_split(observations, state, ITEM_MARKET, "left", ignore_case)
 
 
 def first_state(tracker: DataFrame, order_col: str = "seq") -> DataFrame:
