@@ -78,6 +78,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under a folder."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for python-side file helpers used in tests."""
     if path.startswith("file:"):

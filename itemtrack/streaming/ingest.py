@@ -33,11 +33,14 @@ from itemtrack.operators import changes, classify as cls
 from itemtrack.operators.common import materialize
 from itemtrack.operators.decide import AS_WRITTEN
 from itemtrack.plans import refresh as P
-from itemtrack.session import path_exists, remove_path
+from itemtrack.session import path_bytes, path_exists, remove_path, scratch_path
 from itemtrack.sources.sinks import VersionedTable
 from itemtrack.sources.tsv import number_lines, parse_lines, read_tolerant_tsv, scan_lines
 
 UPDATE_COLUMNS = ["reason", "status"]
+LANDING_BYTES = 64 << 20   # of rows in a landing file, about,
+LANDING_FILES = 8          # if a batch needs no more files than so many; larger ones then
+ROW_GROUP = 8 << 20        # bytes of a landing file that one task of the state query reads at least
 KEEP_DAYS = 7              # a file this much older than the newest one seen is no longer taken
 
 _ORDER = "struct<file:string,block:bigint,pos:bigint>"
@@ -77,14 +80,22 @@ def stream_name(checkpoint: str) -> str:
 
 
 def intake_apply(landing: str, rules: DataFrame, codes: DataFrame, stream: str):
-    """The intake's ``foreachBatch`` function: rows of the files, classified, as one folder per batch."""
+    """The intake's ``foreachBatch`` function: rows of the files, classified, as one folder per batch.
+
+    A state micro-batch takes a number of landing files and its cost is that of the whole day, so
+    the files follow from the rows' size, not from how many tasks wrote them: the rows are
+    written by all tasks first and then put together."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         folder = f"{landing.rstrip('/')}/batch={stream}-{batch_id}"
         if path_exists(batch.sparkSession, f"{folder}/_SUCCESS"):
             return
         raw = observation_batch(batch).withColumnRenamed("_file_mtime", "arrived")
         rows = cls.classify(P.prepare_observations(raw, codes, keep=("arrived",)), rules)
-        rows.select(*LANDING_COLUMNS).write.mode("overwrite").parquet(folder)
+        staged = scratch_path(batch.sparkSession, "intake")
+        rows = materialize(rows.select(*LANDING_COLUMNS), path=staged)
+        files = min(max(1, -(-path_bytes(batch.sparkSession, staged) // LANDING_BYTES)), LANDING_FILES)
+        rows.coalesce(files).write.mode("overwrite").option("parquet.block.size", ROW_GROUP).parquet(folder)
+        remove_path(batch.sparkSession, staged)
 
     return apply
 

@@ -256,3 +256,24 @@ def test_insert_exchanges_the_incoming_rows_once(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("Exchange hashpartitioning") == 2               # one a side
+
+
+def test_landing_files_follow_from_bytes_not_from_tasks(spark, tmp_dir, sheets):
+    """A result file read by many tasks lands in one small file, so that the day is decided once."""
+    source = f"{tmp_dir}/in"
+    write(f"{source}/a.txt", [(i % 7 + 1, 1 + i % 2, ("large", '"so\nheavy"', "?", "")[i % 4]) for i in range(300)])
+    write(f"{source}/b.txt", FILES[1][1])
+    tracker = initial(spark)
+    store = ingest.tracker_store(spark, f"{tmp_dir}/t", tracker)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        stream = ingest.start_status_stream(spark, source, store, *sheets, f"{tmp_dir}/c", max_files_per_trigger=1,
+                                            state_files_per_trigger=2)
+        assert stream.awaitTermination(300)
+        want = batch_job(spark, tracker, source, sheets)[0]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    landed = [f for _, _, files in os.walk(f"{tmp_dir}/c/landing") for f in files if f.endswith(".parquet")]
+    assert len(landed) == 2 and store.versions() == [0, 1]
+    assert rows(store.read(schema=schemas.TRACKER_SCHEMA)) == want
