@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -65,31 +66,30 @@ class Counter:
         """(pieces, score) of the best path through ``text``.  Only the places that the longest
         piece can reach back to are held, so memory does not grow with the text."""
         score, count, unknown_end = [0.0], [0], False
-        fallback, matches = self.vocabulary.byte_fallback, self.automaton.iter(text)
-        found = next(matches, None)
-        for place, character in enumerate(text):
-            ending = []
-            while found is not None and found[0] == place:
-                ending.append(found[1])
-                found = next(matches, None)
-            best, single = None, False
-            for length, value in sorted(ending, reverse=True) if len(ending) > 1 else ending:
-                total = score[-length] + value     # the last entry is the place before this character
-                if best is None or total > best:
-                    best, pieces = total, count[-length] + 1
-                single = single or length == 1
-            unknown = False
-            if not single and (best is None or score[-1] + self.unknown > best):
-                best, unknown = score[-1] + self.unknown, True
-                if fallback:
-                    pieces = count[-1] + len(character.encode())
-                else:                              # neighbouring unknown characters are one token
-                    pieces = count[-1] + (not unknown_end)
-            score.append(best)
-            count.append(pieces)
-            unknown_end = unknown
-            if len(score) > HELD + 2 * self.reach:
-                del score[:-self.reach], count[:-self.reach]
+        unknown, fallback, held = self.unknown, self.vocabulary.byte_fallback, HELD + 2 * self.reach
+        place, best, pieces, longest, single = 0, None, 0, 0, False
+        # Matches come by their end; the last entry closes the last place.
+        for end, (length, value) in chain(self.automaton.iter(text), ((len(text), (1, 0.0)),)):
+            while place < end:                     # all pieces that end at this place are known
+                if not single and (best is None or score[-1] + unknown > best):
+                    best = score[-1] + unknown
+                    if fallback:
+                        pieces = count[-1] + len(text[place].encode())
+                    else:                          # neighbouring unknown characters are one token
+                        pieces = count[-1] + (not unknown_end)
+                    unknown_end = True
+                else:
+                    unknown_end = False
+                score.append(best)
+                count.append(pieces)
+                place, best, longest, single = place + 1, None, 0, False
+                if len(score) > held:
+                    del score[:-self.reach], count[:-self.reach]
+            total = score[-length] + value         # the last entry is the place before this character
+            if best is None or total > best or (total == best and length > longest):
+                best, pieces, longest = total, count[-length] + 1, length
+            if length == 1:
+                single = True
         return count[-1], score[-1]
 
     def count(self, text: str) -> tuple[int, float]:

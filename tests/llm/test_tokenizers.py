@@ -300,3 +300,31 @@ def test_packing_ids_equal_the_tokenizers_library():
         given = odd_texts(1500, 9) + ["", " ", "a" * 5000, "x\r\n\r\n  y"]
         for t, ids in zip(given, Encoder(text).encode(given)):
             assert ids.tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_unigram_best_path_against_all_paths():
+    """Random vocabularies, equal scores included: tokens and score of the path that the rule names."""
+    import random
+    from itemtrack.llm.token_counts import Counter, UnigramVocabulary
+    rnd = random.Random(4)
+
+    def plain(counter, text):                       # (score, tokens, ends in an unknown character) by place
+        pieces, best = dict(counter.vocabulary.pieces), [(0.0, 0, False)]
+        for end in range(1, len(text) + 1):
+            paths = [(best[i][0] + pieces[text[i:end]], best[i][1] + 1, False) for i in range(end)
+                     if text[i:end] in pieces]
+            found = max(paths, key=lambda p: p[0], default=None)     # of equal ones the longest last piece
+            score, tokens, open_ = best[-1]
+            if text[end - 1] not in pieces and (found is None or score + counter.unknown > found[0]):
+                found = (score + counter.unknown, tokens + (len(text[end - 1].encode()) if counter.vocabulary.byte_fallback
+                                                            else not open_), True)
+            best.append(found)
+        return best[-1][1], best[-1][0]
+
+    for trial in range(200):
+        made = {"".join(rnd.choice("abé€") for _ in range(rnd.randint(1, 4))) for _ in range(rnd.randint(2, 12))}
+        scores = {p: float(-rnd.randint(0, 3)) if trial % 2 else -rnd.random() for p in sorted(made)}
+        counter = Counter(UnigramVocabulary(tuple(scores.items()), 0, trial % 4 < 2))
+        for _ in range(5):
+            text = "".join(rnd.choice("abé€z😀") for _ in range(rnd.randint(1, 30)))
+            assert counter.viterbi(text) == plain(counter, text), (scores, text)
