@@ -27,6 +27,7 @@ from itemtrack.operators.common import join_split
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 64, 8        # a pair at 0.8 shares no band with probability 8e-6
+PARITY = 16                # 64-bit words of parities that a node carries into the join of rarest shingles
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 # Cumulative probabilities of a Poisson number with mean 1, on the 32-bit scale.
@@ -114,6 +115,15 @@ def _set_key(elements: np.ndarray) -> int:
     return int(mix64(total + np.array([len(elements)], np.uint64) * _GOLD)[0].astype(np.int64))
 
 
+def _parities(elements: np.ndarray) -> np.ndarray:
+    """Bits of ``PARITY`` words: whether an odd number of the elements falls on each.  An
+    element of only one of two sets turns one bit, so their bits differ in no more places than the
+    sets do in elements."""
+    n = 64 * PARITY
+    odd = np.bincount((elements % np.uint64(n)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sketch_documents(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, width: int,
                      weighted: bool = True) -> DataFrame:
     """doc_id, key (names the weighted shingles; null without words), n (their weight) and bands."""
@@ -137,22 +147,24 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, bands: int, ro
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int, weighted: bool) -> DataFrame:
-    """key and shingles (all occurrences) of the nodes in ``wanted`` (key, doc_id: one document of the node)."""
+    """key, shingles (all occurrences) and their parities of the nodes in ``wanted`` (key, doc_id: one document of the node)."""
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = plain.join(wanted, plain["doc_id"].eqNullSafe(wanted["doc_id"])).select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            keys, found = [], []
+            keys, found, parities = [], [], []
             for key, data in zip(part.column(0).to_pylist(), text_bytes(part)):
                 elements = occurrences(*_weighted(data, width, weighted))
                 if len(elements) and _set_key(elements) == key:  # ids may repeat over different texts
                     keys.append(key)
                     found.append(elements.astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
-                                             ["key", "shingles"])
+                    parities.append(_parities(elements))
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, kind),
+                                              pa.array(parities, kind)], ["key", "shingles", "parities"])
 
-    return rows.mapInArrow(run, "key long, shingles array<long>").dropDuplicates(["key"])
+    return rows.mapInArrow(run, "key long, shingles array<long>, parities array<long>").dropDuplicates(["key"])
 
 
 def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -185,6 +197,29 @@ def _prefixes(sets: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame
             .join(nodes.select("key", "n", "label", "apart"), "key"))
 
 
+def _candidates(prefixes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of an apart node and one of another component that share a rarest shingle, unless
+    their sizes or parities rule out that they are as similar as asked.
+
+    Sets of that similarity differ in at most (1 - t) / (1 + t) of their elements.  In a group of
+    near copies nearly all pairs share a shingle; what is written and compared are those near the bound.
+    """
+    met = (prefixes.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                           F.max("apart").alias("apart"))
+           .filter("apart = 1 AND lo <> hi").select("shingle"))
+    open_ = materialize(join_split(prefixes, met, "shingle", "left_semi")
+                        .join(sets.select("key", "parities"), "key"), "dart-open")
+    one = open_.filter("apart = 1").select("shingle", F.col("key").alias("x"), F.col("n").alias("na"),
+                                           F.col("label").alias("lx"), F.col("parities").alias("px"))
+    two = open_.select("shingle", F.col("key").alias("y"), F.col("n").alias("nb"), F.col("label").alias("ly"),
+                       F.col("parities").alias("py"))
+    alike = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb")
+    differ = sum((F.bit_count(F.col("px")[i].bitwiseXOR(F.col("py")[i])) for i in range(PARITY)), F.lit(0))
+    near = differ <= F.lit((1 - similarity) / (1 + similarity)) * (F.col("na") + F.col("nb")) + 1e-6
+    return (one.join(two, "shingle").filter("lx <> ly").filter(alike).filter(near)
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(key, label): every node of an edge with the least key of its connected component.
 
@@ -252,12 +287,7 @@ def _classes(docs: DataFrame, similarity: float, id_col: str, text_col: str, wid
         F.first("n").alias("n"), F.first("label").alias("label"), F.min("small").alias("small"),
         F.max((F.col("label") != F.col("main")).cast("int")).alias("apart")), "dart-nodes")
     prefixes = materialize(_prefixes(sets, open_nodes, similarity), "dart-prefixes")
-    one = prefixes.filter("apart = 1").select("shingle", F.col("key").alias("x"), F.col("n").alias("na"),
-                                              F.col("label").alias("lx"))
-    two = prefixes.select("shingle", F.col("key").alias("y"), F.col("n").alias("nb"), F.col("label").alias("ly"))
-    rest = materialize(one.join(two, "shingle").filter("lx <> ly").filter(alike)
-                       .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-                       .join(stars, ["a", "b"], "left_anti"), "dart-pairs")
+    rest = materialize(_candidates(prefixes, sets, similarity).join(stars, ["a", "b"], "left_anti"), "dart-pairs")
     more = materialize(_links(rest, sets, similarity), "dart-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))

@@ -221,6 +221,36 @@ def test_repeated_lines_weigh(spark):
     assert found[True] > found[False]                 # repeats set texts apart only by their weight
 
 
+def test_near_copies_too_far_apart_are_not_written_as_pairs(spark, monkeypatch):
+    """Texts with other words of one text left out share shingles with each other, but few are similar:
+    only pairs near the bound go on to the exact comparison, and no link is lost."""
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(150)]
+    source = [(i, " ".join(w for w in base if rng.random() > .045)) for i in range(160)]
+    compared, links = [], dartminhash._links
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return links(pairs, *rest)
+
+    monkeypatch.setattr(dartminhash, "_links", counted)
+    rows = rows_of(dartminhash.near_duplicates(spark.createDataFrame(source, "doc_id long, text string")))
+    want = expected_ids(source)
+    assert sorted((r["doc_id"], r["class_id"]) for r in rows) == sorted(want)
+    assert len({c for _, c in want}) > 40
+    assert len(compared) == 2 and compared[1] < len(source), compared
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(18)
+    for n, apart in ((1, 0), (40, 7), (300, 60), (5000, 900)):
+        one = rng.integers(0, 2 ** 63, n, np.uint64)
+        two = np.concatenate([one[apart:], rng.integers(0, 2 ** 63, apart, np.uint64)])
+        differ = sum(bin(int(x) & (2 ** 64 - 1)).count("1")
+                     for x in dartminhash._parities(one) ^ dartminhash._parities(two))
+        assert differ <= 2 * apart and (n > 300 or differ >= 1.6 * apart)
+
+
 def test_weighted_candidates_recall():
     rng = np.random.default_rng(5)
     bands, rows, hit, pairs = dartminhash.BANDS, dartminhash.ROWS, 0, 0
