@@ -35,9 +35,10 @@ SHARD_BYTES = 64 << 20     # text in one shard, unless a task's input ends befor
 QUERY_BYTES = 32 << 20     # terms and weights of the queries that are broadcast at once
 BLOCKS = 64                # of neighbouring documents under one maximum: at least so many in a shard,
 LEAST, MOST = 16, 128      # of so many documents
-DENSE = 8                  # a term in one of so many documents of a block is kept there as a row of its documents
-CELLS = 4 << 20            # of queries searched at once: their number times their terms or the shard's documents
-POSTINGS = 2 << 20         # of the terms of queries searched at once, unless one query has more
+DENSE = 12                 # a term in one of so many documents of a block is kept there as a row of its documents
+WIDE = 4                   # a term in one of so many blocks has a row of maxima
+CELLS = 4 << 20            # of queries searched at once: their number times the shard's documents or the terms with rows
+POSTINGS = 2 << 20         # of the terms of queries searched at once without those in rows, unless one query has more
 SLACK = 1e-4               # relative; single-precision sums are off by far less
 
 # Words end at ASCII blanks and punctuation; A-Z count as a-z.
@@ -116,7 +117,9 @@ class Shard:
     """One shard's postings with their contributions, and every term's maxima by block.
 
     A term's postings in one block are a run.  A run that holds one in ``DENSE`` of the block's documents
-    or more is kept as a row of them, a shorter one as it is.  Both are in single precision
+    or more (two at least) is kept as a row of them, a shorter one as it is; the maxima of a term in one of
+    ``WIDE`` blocks or more are a row, too.  So matrix products add up what many queries and documents have in
+    common, for many queries at once, and only the rest is added one by one.  All are in single precision
     and decide what is visited; a document's score comes from its own terms, in double
     precision and in the order of terms, so it is the same in every shard.
     """
@@ -149,7 +152,7 @@ class Shard:
         self.run_offset = np.append(np.cumsum(new) - new, len(first))[self.offset]
         self.run_block = block[first]
         self.run_max = np.maximum.reduceat(gain, first).astype(np.float32) if len(first) else gain
-        dense = (ends - first) * DENSE >= self.block
+        dense = (ends - first) * DENSE >= max(self.block, 2 * DENSE)
         where = np.nonzero(dense)[0][np.argsort(self.run_block[dense], kind="stable")]  # rows by block
         self.rows = np.zeros((len(where), self.block), np.float32)
         posts, which = ranges(first[where], ends[where])
@@ -157,12 +160,26 @@ class Shard:
         self.row_term = (np.searchsorted(self.run_offset, where, "right") - 1).astype(np.int32)
         self.n_blocks = -(-self.n // self.block)
         self.row_offset = np.searchsorted(self.run_block[where], np.arange(self.n_blocks + 1))
-        # The postings of the other runs.
-        sizes = np.where(dense, 0, ends - first)
-        self.run_start = np.append(0, np.cumsum(sizes))
+        # The other runs: their blocks and postings.
+        self.single_offset = np.append(0, np.cumsum(~dense))[self.run_offset]
+        self.single_block = self.run_block[~dense]
+        self.single_start = np.append(0, np.cumsum((ends - first)[~dense]))
         single = np.repeat(~dense, ends - first)
         self.place = (docs[single] % self.block).astype(np.uint8)
         self.gain = gain[single].astype(np.float32)
+        # The maxima of terms in many blocks, as rows.
+        n_runs = np.diff(self.run_offset)
+        many = np.nonzero(n_runs * WIDE >= max(self.n_blocks, 2 * WIDE))[0]
+        self.wide = np.full(len(self.terms), -1, np.int32)
+        self.wide[many] = np.arange(len(many))
+        self.maxima = np.zeros((len(many), self.n_blocks), np.float32)
+        runs, which = ranges(self.run_offset[many], self.run_offset[many + 1])
+        self.maxima[which, self.run_block[runs]] = self.run_max[runs]
+        self.in_rows = self.wide >= 0
+        self.in_rows[self.row_term] = True
+        # What a term takes of ``POSTINGS``: its runs without a row and their postings.
+        self.takes = np.where(self.wide >= 0, 0, n_runs) + np.diff(self.single_start[self.single_offset])
+        self.asked = np.zeros(len(self.terms))       # weights of one query's terms, while it is scored
         self.examined = 0                            # documents of visited blocks
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int,
@@ -170,16 +187,25 @@ class Shard:
         """:meth:`search_many` for one query."""
         return self.search_many(np.array([0, len(terms)]), terms, weights, k, [least])[0]
 
+    def _places(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the terms of queries are in the shard's, and whether they are there."""
+        names, which = np.unique(terms, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.terms, names), max(len(self.terms) - 1, 0))
+        here = self.terms[place] == names if len(self.terms) else np.zeros(len(names), bool)
+        return place[which], here[which]
+
     def groups(self, offset: np.ndarray, terms: np.ndarray) -> Iterator[tuple[int, int]]:
         """Ranges of queries (``offset``: of their terms) that are searched at once in bounded memory."""
-        place = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-        df = np.diff(self.offset)[place] * (self.terms[place] == terms) if len(self.terms) else 0 * terms
-        read = np.append(0, np.cumsum(df))[offset].tolist()
+        place, here = self._places(terms)
+        takes = np.zeros(len(terms), np.int64)
+        takes[here] = self.takes[place[here]]
+        read = np.append(0, np.cumsum(takes))[offset].tolist()
+        most = max(self.n, int(self.in_rows.sum()))
         offset, start = offset.tolist(), 0
         while start < len(offset) - 1:
             end = start + 1
             while (end < len(offset) - 1 and read[end + 1] - read[start] <= POSTINGS
-                    and (end + 1 - start) * max(offset[end + 1] - offset[start], self.n) <= CELLS):
+                    and (end + 1 - start) * min(most, max(offset[end + 1] - offset[start], self.n)) <= CELLS):
                 end += 1
             yield start, end
             start = end
@@ -191,24 +217,28 @@ class Shard:
         ``least[q]`` or more."""
         g = len(offset) - 1
         query = np.repeat(np.arange(g, dtype=np.int32), np.diff(offset))
-        place = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-        here = self.terms[place] == terms if len(self.terms) else np.zeros(len(terms), bool)
+        place, here = self._places(terms)
         query, place, weights = query[here], place[here], weights[here]
         heavy = weights.astype(np.float32)
-        # Every term's maxima, added up by query and block.
-        runs, which = ranges(self.run_offset[place], self.run_offset[place + 1])
-        cell = query[which] * self.n_blocks + self.run_block[runs]
-        bound = np.bincount(cell, self.run_max[runs] * heavy[which], g * self.n_blocks).reshape(g, -1) * (1 + SLACK)
-        turn = np.argsort(-bound, axis=1, kind="stable")
-        # The weights of the terms that have rows, and the runs that have none.
-        asked = np.unique(place)
+        # The weights of the terms that have rows.
+        held = np.nonzero(self.in_rows[place])[0]
+        asked = np.unique(place[held])
         column = np.full(len(self.terms), -1, np.int32)
         column[asked] = np.arange(len(asked))
         matrix = np.zeros((len(asked), g), np.float32)
-        matrix[column[place], query] = heavy
-        single = self.run_start[runs + 1] > self.run_start[runs]
-        runs, which, cell = runs[single], which[single], cell[single]
-        del single
+        matrix[column[place[held]], query[held]] = heavy[held]
+        # Every term's maxima, added up by query and block.
+        narrow = np.nonzero(self.wide[place] < 0)[0].astype(np.int32)
+        runs, which = ranges(self.run_offset[place[narrow]], self.run_offset[place[narrow] + 1])
+        which = narrow[which]
+        cell = query[which] * self.n_blocks + self.run_block[runs]
+        bound = np.bincount(cell, self.run_max[runs] * heavy[which], g * self.n_blocks).reshape(g, -1)
+        wide = self.wide[asked]
+        bound = (bound + matrix[wide >= 0].T @ self.maxima[wide[wide >= 0]]) * (1 + SLACK)
+        turn = np.argsort(-bound, axis=1, kind="stable")
+        # The runs that have no rows.
+        runs, which = ranges(self.single_offset[place], self.single_offset[place + 1])
+        cell = query[which] * self.n_blocks + self.single_block[runs]
         enough = np.array(least, float) * (1 - SLACK)
         hits = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]  # query, document, score about
         lo, n = 0, max(2, -(-2 * k // self.block))
@@ -226,7 +256,7 @@ class Shard:
             slot[of * self.n_blocks + at] = np.arange(len(of))
             inside = np.nonzero(slot[cell] >= 0)[0].astype(np.int32)
             run = runs[inside]
-            posts, owner = ranges(self.run_start[run], self.run_start[run + 1])
+            posts, owner = ranges(self.single_start[run], self.single_start[run + 1])
             inside = inside[owner]
             score = np.bincount(slot[cell[inside]] * self.block + self.place[posts],
                                 self.gain[posts] * heavy[which[inside]], len(of) * self.block).astype(np.float64)
@@ -237,8 +267,11 @@ class Shard:
                 rows = slice(self.row_offset[at[i]], self.row_offset[at[i] + 1])
                 cols = column[self.row_term[rows]]
                 held = cols >= 0
-                # One product for the group costs less than picking the weights of the block's pivots.
-                score[i:j] += (matrix[cols[held]].T @ self.rows[rows][held])[of[i:j]]
+                heavies = matrix[cols[held]]
+                if 4 * (j - i) < g:                   # few of the group's queries have the block as a pivot
+                    score[i:j] += heavies[:, of[i:j]].T @ self.rows[rows][held]
+                else:                                 # one product for all costs less than picking weights
+                    score[i:j] += (heavies.T @ self.rows[rows][held])[of[i:j]]
             self.examined += len(of) * self.block
             i, j = np.nonzero((score > 0) & (score >= enough[of][:, None]))
             hits = [np.concatenate(h) for h in zip(hits, (of[i], at[i] * self.block + j, score[i, j]))]
@@ -275,10 +308,10 @@ class Shard:
 
     def _scores(self, docs: np.ndarray, place: np.ndarray, weights: np.ndarray) -> np.ndarray:
         posts, which = ranges(self.doc_offset[docs], self.doc_offset[docs + 1])
-        terms = self.doc_terms[posts]
-        at = np.minimum(np.searchsorted(place, terms), len(place) - 1)
-        asked = place[at] == terms
-        return np.bincount(which[asked], (self.doc_gains[posts] * weights[at])[asked], len(docs))
+        self.asked[place] = weights
+        scores = np.bincount(which, self.doc_gains[posts] * self.asked[self.doc_terms[posts]], len(docs))
+        self.asked[place] = 0
+        return scores
 
 
 def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -123,6 +123,22 @@ def test_queries_together_give_their_own_lists(docs, monkeypatch):
             assert top == want[:4]
 
 
+def test_queries_are_searched_many_at_once(docs):
+    """Terms in rows take no postings of a group: hundreds of queries share its matrix products."""
+    row = search.build_index(docs.coalesce(1)).collect()[0].asDict()
+    asked = [search.terms_of((r["text"] or "").encode()) for r in docs.collect()]
+    n = 40                                            # the shard's documents, many times under other numbers
+    df, docs_, tfs = (np.array(row["df"]), np.frombuffer(row["docs"], np.int32), np.frombuffer(row["tfs"], np.int32))
+    order = np.lexsort((np.concatenate([np.repeat(np.arange(len(df)), df)] * n),))
+    big = {"doc_ids": list(range(n * row["n"])), "lengths": list(row["lengths"]) * n, "terms": row["terms"], "df": df * n,
+           "docs": np.concatenate([docs_ + i * row["n"] for i in range(n)]).astype(np.int32)[order].tobytes(),
+           "tfs": np.tile(tfs, n)[order].tobytes()}
+    shard = search.Shard(big, 100.0, 1.2, .75)
+    offset = np.append(0, np.cumsum([len(t) for t, _, _ in asked]))
+    groups = list(shard.groups(offset, np.concatenate([t for t, _, _ in asked])))
+    assert len(asked) >= 100 and len(groups) <= 4, (len(asked), len(groups))
+
+
 def test_search_edges(spark, edges, empty):
     source = [(r["key"], r["text"]) for r in edges.collect()]
     index = search.build_index(edges, id_col="key", shard_bytes=3000)
