@@ -139,6 +139,80 @@ def test_queries_are_searched_many_at_once(docs):
     assert len(asked) >= 100 and len(groups) <= 4, (len(asked), len(groups))
 
 
+def test_a_query_visits_blocks_of_texts_like_it():
+    """Texts of two vocabularies are not mixed in blocks, though one word is in all of them."""
+    rng = random.Random(5)
+    vocabulary = [[f"{v}{i}" for i in range(60)] for v in "xy"]
+    texts = [" ".join(["all", *rng.choices(vocabulary[i % 2], k=40)]).encode() for i in range(2000)]
+    found = [search.terms_of(t) for t in texts]
+    sizes, lengths = np.array([len(f[0]) for f in found]), np.array([f[2] for f in found])
+    names, which, df = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True, return_counts=True)
+    number = search._numbers(which, df, sizes, lengths)
+    owner = np.repeat(number, sizes)
+    order = np.lexsort((owner, which))
+    row = {"doc_ids": np.argsort(number).tolist(), "lengths": lengths[np.argsort(number)], "terms": names, "df": df,
+           "docs": owner[order].astype(np.int32).tobytes(),
+           "tfs": np.concatenate([f[1] for f in found])[order].astype(np.int32).tobytes()}
+    shard = search.Shard(row, float(lengths.mean()), search.K1, search.B)
+    idf = np.log(1 + (2000 - df + .5) / (df + .5))
+    for i in range(4):
+        place = which[sizes[:i].sum():sizes[:i + 1].sum()]
+        shard.examined = 0
+        best = shard.search(names[place], found[i][1] * idf[place], 5)
+        assert best[0][0] == i and all(d % 2 == i % 2 for d, _ in best)
+        assert shard.examined <= .6 * len(texts)
+
+
+def test_later_shards_return_only_what_can_be_among_the_best(spark, monkeypatch):
+    """The k-th best scores of the shards searched first bound the others' rows; no list changes."""
+    rng = random.Random(8)
+    source = [(i, " ".join(f"w{int(rng.paretovariate(.7)) % 300}" for _ in range(rng.randint(1, 60)))) for i in range(600)]
+    source += [(600, None), (None, source[3][1]), (601, source[3][1]), (602, "")]
+    frame = spark.createDataFrame(source, "doc_id long, text string")
+    index = search.build_index(frame.repartition(24))
+    shards = {r[0] for r in index.select("shard").collect()}
+    assert len(shards) == index.count() == 24
+    asked = [r for r in source if r[0] is None or r[0] % 30 == 0 or r[0] > 599]
+    rows, plain = [], search._searched
+
+    def counted(*args):
+        found = plain(*args)
+        rows.append(found.count())
+        return found
+
+    monkeypatch.setattr(search, "_searched", counted)
+    check_top(rows_of(search.top_k(index, spark.createDataFrame(asked, "doc_id long, text string"), 5)),
+              plain_top(source, asked, 5))
+    assert sum(rows) < 24 * 5 * len(asked) / 2
+
+
+def test_a_first_bound_keeps_ties(spark):
+    """Equal scores in shards searched first and later: the smaller ids are listed."""
+    source = [(i, "river stone" if i % 3 else "river light") for i in range(200)]
+    frame = spark.createDataFrame(source, "doc_id long, text string")
+    index = search.build_index(frame.repartition(20))
+    asked = [(0, "river stone"), (1, "light"), (2, "none")]
+    check_top(rows_of(search.top_k(index, spark.createDataFrame(asked, "doc_id long, text string"), 4)),
+              plain_top(source, asked, 4))
+
+
+def test_long_queries_in_single_precision_lose_nothing():
+    """Thousands of terms of alike scores: what single precision may be off grows with a query's terms."""
+    rng = np.random.default_rng(2)
+    n, words = 300, 4000
+    tfs = rng.integers(0, 4, (words, n)).astype(np.int32)
+    where = [np.nonzero(t)[0].astype(np.int32) for t in tfs]
+    row = {"doc_ids": list(range(n)), "lengths": tfs.sum(0), "terms": np.arange(words),
+           "df": np.array([len(d) for d in where]), "docs": np.concatenate(where).tobytes(),
+           "tfs": np.concatenate([t[d] for t, d in zip(tfs, where)]).tobytes()}
+    shard = search.Shard(row, float(tfs.sum(0).mean()), search.K1, search.B)
+    weights = rng.random(words)
+    exact = shard._scores(np.arange(n), np.arange(words), weights)
+    want = sorted(enumerate(exact.tolist()), key=lambda r: (-r[1], r[0]))[:10]
+    assert shard.search(np.arange(words), weights, 10) == want
+    assert shard.search(np.arange(words), weights, 10, want[9][1]) == want
+
+
 def test_search_edges(spark, edges, empty):
     source = [(r["key"], r["text"]) for r in edges.collect()]
     index = search.build_index(edges, id_col="key", shard_bytes=3000)
