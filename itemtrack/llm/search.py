@@ -38,7 +38,7 @@ BLOCKS = 8                 # of neighbouring documents under one maximum: at lea
 LEAST, MOST = 16, 512      # of so many documents
 DENSE = 12                 # a term in one of so many documents of a block is kept there as a row of its documents
 CELLS = 8 << 20            # of queries searched at once: their number times the shard's documents or the terms with rows
-POSTINGS = 1 << 18         # of short runs that are added up at once
+POSTINGS = 1 << 16         # of short runs that are added up at once
 FIRST = 16                 # one in so many shards is searched before the others
 FEATURES, CLUSTERS, ROUNDS = 256, 16, 4  # terms by which texts are clustered, clusters, rounds of that
 SLACK, ROUNDED = 1e-4, 2e-7  # relative: what sums may be off, and what they may be off more for each of a query's terms
