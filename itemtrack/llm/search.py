@@ -38,6 +38,7 @@ BLOCKS = 8                 # of neighbouring documents under one maximum: at lea
 LEAST, MOST = 16, 512      # of so many documents
 DENSE = 12                 # a term in one of so many documents of a block is kept there as a row of its documents
 CELLS = 8 << 20            # of queries searched at once: their number times the shard's documents or the terms with rows
+TERMS = 1 << 20            # of queries searched at once, unless one query has more
 POSTINGS = 1 << 16         # of short runs that are added up at once
 FIRST = 16                 # one in so many shards is searched before the others
 FEATURES, CLUSTERS, ROUNDS = 256, 16, 4  # terms by which texts are clustered, clusters, rounds of that
@@ -228,7 +229,7 @@ class Shard:
         while start < len(offset) - 1:
             end = start + 1
             while (end < len(offset) - 1 and (end + 1 - start) * min(most, max(offset[end + 1] - offset[start], self.n))
-                    <= CELLS and offset[end + 1] - offset[start] <= CELLS):
+                    <= CELLS and offset[end + 1] - offset[start] <= TERMS):
                 end += 1
             yield start, end
             start = end
